@@ -6,7 +6,7 @@ runs on a single row of arrays whose size is fixed by the grid, inside one expre
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions import coordinates as xy
@@ -160,7 +160,6 @@ def surface_to_matrix(surface: DataFrame) -> DataFrame:
 
 def normalise_to_max(surface: DataFrame, column: str = "xt_value") -> DataFrame:
     """Surface with each value as a share of the largest (null when that is zero)."""
-    top = surface.agg(F.max(column).alias("_max"))
-    # One row, broadcast as such.
-    joined = surface.join(F.broadcast(top))
-    return joined.withColumn("xt_normalised", round_any(ratio(F.col(column), F.col("_max")), 4)).drop("_max")
+    # An unpartitioned window is safe here: the surface has 192 rows.
+    top = F.max(column).over(Window.partitionBy())
+    return surface.withColumn("xt_normalised", round_any(ratio(F.col(column), top), 4))

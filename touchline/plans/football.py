@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from touchline.plans import silver
 from touchline.sources import tables
 
-# How order lines become events.
+# How order lines become events. Two teams meet in a series of matches with one squad each.
 ORDERS_PER_MATCH = 160
-MATCHES_PER_SQUAD = 10
+MATCHES_PER_SERIES = 10
 SQUAD = 44
 
 _KEYS = {
@@ -40,10 +40,10 @@ _EVENT = {
     "event_id": "concat_ws('_', o, n, p, s)",
     "match_id": "match_id",
     "competition_id": "match_id % 5",
-    "team_id": """cast(case when (o + p + s) % 53 = 0 then null when p % 2 = 0 then match_id % 25
-        else (match_id % 25 + 1 + (match_id div 25) % 24) % 25 end as int)""",
+    "team_id": """cast(case when (o + p + s) % 53 = 0 then null when p % 2 = 0 then series % 25
+        else (series % 25 + 1 + (series div 25) % 24) % 25 end as int)""",
     "player_id": f"""cast(case when s % 31 = 0 and n = 1 then null
-        else (match_id div {MATCHES_PER_SQUAD}) * {SQUAD} + p % {SQUAD} end as int)""",
+        else series * {SQUAD} + p % {SQUAD} end as int)""",
     "event_type": "event_type",
     "minute": "cast(clock div 60 as smallint)",
     "second": "cast(case when (o + n) % 97 = 0 then null else clock % 60 end as smallint)",
@@ -93,7 +93,8 @@ class Football:
         typed = keys.selectExpr(
             "*", f"{_TYPE} as event_type", "case system when 0 then 1210 else 1010 end as wide",
             "case system when 0 then 810 else 1010 end as tall",
-            f"(match_id div {MATCHES_PER_SQUAD}) * {SQUAD} + (p % {SQUAD} + 2 * (1 + s % 5)) % {SQUAD} as receiver",
+            f"match_id div {MATCHES_PER_SERIES} as series",
+            f"(match_id div {MATCHES_PER_SERIES}) * {SQUAD} + (p % {SQUAD} + 2 * (1 + s % 5)) % {SQUAD} as receiver",
         )
         return typed.selectExpr(*[f"{expr} as {name}" for name, expr in _EVENT.items()])
 
@@ -126,8 +127,10 @@ class Football:
             F.expr(f"cast(o_orderkey div {ORDERS_PER_MATCH} as int)").alias("match_id")
         ).agg(F.min("o_orderdate").cast("date").alias("match_date"))
         sides = dated.selectExpr(
-            "match_id", "match_date", "match_id % 25 as _home",
-            "cast((match_id % 25 + 1 + (match_id div 25) % 24) % 25 as int) as _away",
+            "match_id", "match_date", f"cast(match_id div {MATCHES_PER_SERIES} as int) as _series"
+        ).selectExpr(
+            "match_id", "match_date", "_series % 25 as _home",
+            "cast((_series % 25 + 1 + (_series div 25) % 24) % 25 as int) as _away",
         )
         for side in ("home", "away"):
             named = self.teams.select(c("team_id").alias(f"_{side}"), c("team_name").alias(f"{side}_team"))
