@@ -27,8 +27,14 @@ def clip_code(rank: Column) -> Column:
 
 
 def fixed(value: Column, digits: int) -> Column:
-    """A number as text with a fixed count of decimals and no thousands separators."""
-    return value.cast(f"decimal(18,{digits})").cast("string")
+    """A number as text with a fixed count of decimals, rounded on its binary value as printf does.
+
+    A direct cast to decimal would round the shortest decimal form instead: 0.5035 is stored a little below
+    that and prints as 0.503.
+    """
+    units = F.floor(F.abs(value) * F.lit(10.0**digits) + F.lit(0.5))
+    signed = F.when(value < 0, -units).otherwise(units) / F.lit(10.0**digits)
+    return signed.cast(f"decimal(18,{digits})").cast("string")
 
 
 def clip_label() -> Column:

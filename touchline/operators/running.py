@@ -24,26 +24,26 @@ def running_sum(
     ``order`` must be total within a partition (end it with a unique id).
     """
     keys = list(partition)
-    prepared = df.withColumn("_units", units)
+    prepared = df.withColumn("_rs_units", units)
     keyed = [F.col(k).asc_nulls_first() for k in keys] + list(order)
     spread = prepared.repartitionByRange(ranges, *keyed) if ranges else prepared.repartitionByRange(*keyed)
     # Written out so that the rows and the totals below see the same range boundaries.
-    rows = materialise(spread.withColumn("_range", F.spark_partition_id()), "ranges")
+    rows = materialise(spread.withColumn("_rs_range", F.spark_partition_id()), "ranges")
 
-    local = Window.partitionBy(*keys, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_local", F.sum("_units").over(local))
+    local = Window.partitionBy(*keys, "_rs_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_rs_local", F.sum("_rs_units").over(local))
 
-    totals = rows.groupBy(*keys, "_range").agg(F.sum("_units").alias("_total"))
-    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("_offset", F.sum("_total").over(earlier)).where(F.col("_offset").isNotNull())
-    side = offsets.select(F.col("_range").alias("_r"), *[F.col(k).alias(f"_k_{k}") for k in keys], "_offset")
-    on = F.col("_range") == F.col("_r")
+    totals = rows.groupBy(*keys, "_rs_range").agg(F.sum("_rs_units").alias("_rs_total"))
+    earlier = Window.partitionBy(*keys).orderBy("_rs_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.withColumn("_rs_offset", F.sum("_rs_total").over(earlier)).where(F.col("_rs_offset").isNotNull())
+    side = offsets.select(F.col("_rs_range").alias("_rs_r"), *[F.col(k).alias(f"_rs_k_{k}") for k in keys], "_rs_offset")
+    on = F.col("_rs_range") == F.col("_rs_r")
     for key in keys:
-        on = on & F.col(key).eqNullSafe(F.col(f"_k_{key}"))
+        on = on & F.col(key).eqNullSafe(F.col(f"_rs_k_{key}"))
     # At most one row per range boundary, so this broadcast is bounded by the number of shuffle partitions.
     joined = rows.join(F.broadcast(side), on, "left")
-    total = F.col("_local") + F.coalesce("_offset", F.lit(0).cast("bigint"))
-    drop = ["_units", "_range", "_local", "_r", "_offset", *[f"_k_{k}" for k in keys]]
+    total = F.col("_rs_local") + F.coalesce("_rs_offset", F.lit(0).cast("bigint"))
+    drop = ["_rs_units", "_rs_range", "_rs_local", "_rs_r", "_rs_offset", *[f"_rs_k_{k}" for k in keys]]
     return joined.withColumn(out, total).drop(*drop)
 
 

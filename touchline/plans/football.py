@@ -28,6 +28,7 @@ _KEYS = {
     "clock": "cast(((l_partkey * 11 + l_orderkey * 7) % 24) * 285 "
              "+ (l_orderkey * 13 + l_linenumber * 5 + l_suppkey) % 15 as int)",
     "flag": "l_returnflag", "line": "l_linestatus", "shipped": "l_shipdate",
+    "cents": "cast(floor(l_extendedprice * 100 + 0.5D) as bigint)",
 }
 
 _TYPE = """case when (o + p) % 1009 = 0 then null
@@ -37,7 +38,7 @@ _TYPE = """case when (o + p) % 1009 = 0 then null
     when p % 3 = 0 then 'Foul' when p % 3 = 1 then 'Dribble' else 'Clearance' end"""
 
 _EVENT = {
-    "event_id": "concat_ws('_', o, n, p, s)",
+    "event_id": "concat_ws('_', o, n, p, s, cents)",
     "match_id": "match_id",
     "competition_id": "match_id % 5",
     "team_id": """cast(case when (o + p + s) % 53 = 0 then null when p % 2 = 0 then series % 25

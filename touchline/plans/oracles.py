@@ -54,7 +54,8 @@ CTE["line"] = """SELECT l_orderkey AS o, l_partkey AS p, l_suppkey AS s, l_linen
   CAST(l_orderkey // 160 AS INTEGER) AS match_id, (l_orderkey // 160) // 10 AS series,
   (l_orderkey + l_partkey) % 3 AS sys, (l_orderkey + l_linenumber + l_suppkey) % 20 AS kind,
   ((l_partkey * 11 + l_orderkey * 7) % 24) * 285 + (l_orderkey * 13 + l_linenumber * 5 + l_suppkey) % 15 AS clock,
-  l_returnflag AS flag, l_linestatus AS line_status, l_shipdate AS shipped FROM lineitem"""
+  l_returnflag AS flag, l_linestatus AS line_status, l_shipdate AS shipped,
+  CAST(FLOOR(l_extendedprice * 100 + 0.5) AS BIGINT) AS cents FROM lineitem"""
 
 CTE["typed"] = """SELECT *, CASE WHEN (o + p) % 1009 = 0 THEN NULL WHEN kind <= 8 THEN 'Pass' WHEN kind <= 11 THEN 'Carry'
   WHEN kind <= 13 THEN 'Shot' WHEN kind = 14 THEN 'Pressure' WHEN kind = 15 THEN 'Tackle'
@@ -63,7 +64,7 @@ CTE["typed"] = """SELECT *, CASE WHEN (o + p) % 1009 = 0 THEN NULL WHEN kind <=
   CASE sys WHEN 0 THEN 1210 ELSE 1010 END AS wide, CASE sys WHEN 0 THEN 810 ELSE 1010 END AS tall,
   series * 44 + (p % 44 + 2 * (1 + s % 5)) % 44 AS receiver FROM line"""
 
-CTE["fact"] = """SELECT concat_ws('_', o, n, p, s) AS event_id, match_id, match_id % 5 AS competition_id,
+CTE["fact"] = """SELECT concat_ws('_', o, n, p, s, cents) AS event_id, match_id, match_id % 5 AS competition_id,
   CAST(CASE WHEN (o + p + s) % 53 = 0 THEN NULL WHEN p % 2 = 0 THEN series % 25
     ELSE (series % 25 + 1 + (series // 25) % 24) % 25 END AS INTEGER) AS team_id,
   CAST(CASE WHEN s % 31 = 0 AND n = 1 THEN NULL ELSE series * 44 + p % 44 END AS INTEGER) AS player_id,
@@ -334,4 +335,7 @@ def statement(body: str) -> str:
     visit(body)
     if not order:
         return body
-    return "WITH " + ",\n".join(f"{name} AS ({CTE[name]})" for name in order) + "\n" + body
+    named = ",\n".join(f"{name} AS ({CTE[name]})" for name in order)
+    # A body with its own WITH continues the list.
+    rest = ",\n" + body.removeprefix("WITH ") if body.startswith("WITH ") else "\n" + body
+    return f"WITH {named}{rest}"
