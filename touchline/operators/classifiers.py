@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from touchline.functions.numeric import round_pos
 from touchline.operators.metrics import classifier_metrics
 from touchline.plans.features import XG_FEATURES, XP_FEATURES
-from touchline.session import materialise
+from touchline.session import materialise, run_together
 
 log = logging.getLogger(__name__)
 
@@ -108,6 +109,16 @@ class CalibratedModel:
         return cls([PipelineModel.load(f"{path.rstrip('/')}/fold-{i}") for i in range(folds)], features)
 
 
+def _fit_fold(data: DataFrame, label: str, settings: TreeSettings, fold: int) -> PipelineModel:
+    trees = settings.classifier(label).fit(data.where(F.col("fold") != fold))
+    held = _margin(trees.transform(data.where(F.col("fold") == fold)), "_margin")
+    held = VectorAssembler(inputCols=["_margin"], outputCol="_m").transform(held)
+    sigmoid = LogisticRegression(
+        labelCol=label, featuresCol="_m", rawPredictionCol="_raw", probabilityCol="_prob", predictionCol="_pred"
+    ).fit(held)
+    return PipelineModel([trees, sigmoid])
+
+
 def fit_calibrated(
     rows: DataFrame, label: str, features: Sequence[str], settings: TreeSettings, folds: int
 ) -> CalibratedModel:
@@ -115,15 +126,8 @@ def fit_calibrated(
     fold = F.floor(hash_share("event_id", SEED) * folds).cast("int")
     data = _assemble(rows, features).select("event_id", label, "features", fold.alias("fold")).persist()
     try:
-        models = []
-        for i in range(folds):
-            trees = settings.classifier(label).fit(data.where(F.col("fold") != i))
-            held = _margin(trees.transform(data.where(F.col("fold") == i)), "_margin")
-            held = VectorAssembler(inputCols=["_margin"], outputCol="_m").transform(held)
-            sigmoid = LogisticRegression(
-                labelCol=label, featuresCol="_m", rawPredictionCol="_raw", probabilityCol="_prob", predictionCol="_pred"
-            ).fit(held)
-            models.append(PipelineModel([trees, sigmoid]))
+        fits = [partial(_fit_fold, data, label, settings, i) for i in range(folds)]
+        models = run_together(rows.sparkSession, fits)
         return CalibratedModel(models, features)
     finally:
         data.unpersist()

@@ -47,22 +47,27 @@ def running_sum(
     return joined.withColumn(out, total).drop(*drop)
 
 
-def rank_desc(df: DataFrame, partition: Sequence[str], sort_units: str, out: str) -> DataFrame:
-    """Add ``out``: rank by the whole-number column ``sort_units``, largest first, ties sharing a rank, nulls first.
+def rank_table(df: DataFrame, partition: Sequence[str], sort_units: str, out: str) -> DataFrame:
+    """Rank of every distinct (partition, ``sort_units``): largest first, ties sharing a rank, nulls first.
 
     Rows are first counted per distinct value, so equal values collapse before anything is sorted.
     """
     keys = list(partition)
     counts = df.groupBy(*keys, sort_units).agg(F.count("*").alias("_n"))
     ranked = running_sum(counts, keys, [F.col(sort_units).desc_nulls_first()], F.col("_n"), "_upto")
-    side = ranked.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col(sort_units).alias("_v"),
-        (F.col("_upto") - F.col("_n") + 1).cast("int").alias(out),
-    )
-    on = F.col(sort_units).eqNullSafe(F.col("_v"))
+    return ranked.select(*keys, sort_units, (F.col("_upto") - F.col("_n") + 1).cast("int").alias(out))
+
+
+def rank_desc(df: DataFrame, partition: Sequence[str], sort_units: str, out: str, source: DataFrame | None = None):
+    """Add ``out``: the rank of each row within its partition. ``source`` may give the ranked rows when ``df`` is
+    those rows with more columns joined to them."""
+    keys = [*partition, sort_units]
+    table = rank_table(df if source is None else source, partition, sort_units, out)
+    side = table.select(*[F.col(k).alias(f"_k_{k}") for k in keys], out)
+    on = F.lit(True)
     for key in keys:
         on = on & F.col(key).eqNullSafe(F.col(f"_k_{key}"))
-    return df.join(side, on, "left").drop("_v", *[f"_k_{k}" for k in keys])
+    return df.join(side, on, "left").drop(*[f"_k_{k}" for k in keys])
 
 
 def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, out: str = "rank") -> DataFrame:

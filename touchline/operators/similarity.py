@@ -33,6 +33,7 @@ SLACK = 2e-6  # two units of the last digit kept, so rounding never hides a tie
 def standardised(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     """``key`` and ``vec``: columns scaled to zero mean and unit population deviation; nulls count as zero."""
     filled = df.select(key, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols])
+    filled = materialise(filled, "profiles")  # read twice: for the statistics and for the scaled rows
     stats = scaler_statistics(filled, cols).first()  # one row of means and deviations
     if stats[f"{cols[0]}_mean"] is None:
         return filled.select(key, F.array(*cols).alias("vec"))
@@ -82,10 +83,12 @@ def _distinct_vectors(points: DataFrame, k: int) -> DataFrame:
 
 def _search(reps: DataFrame, k: int, block_rows: int, pivots: int) -> DataFrame:
     """Top ``k`` other representatives of every representative (non-zero unit vectors)."""
-    # A bounded sample of vectors, whatever the size of the table.
-    sample = reps.orderBy(F.xxhash64("id"), "id").limit(pivots).collect()
-    if not sample:
+    total = reps.count()
+    if not total:
         return reps.sparkSession.createDataFrame([], _PAIRS)
+    # A bounded sample of vectors, whatever the size of the table; a few cells per block of rows are enough.
+    wanted = min(pivots, max(1, 4 * (math.ceil(total / block_rows) - 1)))
+    sample = reps.orderBy(F.xxhash64("id"), "id").limit(wanted).collect()
     pivot = np.array([row["vec"] for row in sample], dtype="float64")
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -106,7 +109,6 @@ def _search(reps: DataFrame, k: int, block_rows: int, pivots: int) -> DataFrame:
     blocks_of = np.array([math.ceil(stats[c][0] / block_rows) for c in used], dtype="int64")
     radius = np.array([stats[c][1] for c in used])
     first_block = np.concatenate([[0], np.cumsum(blocks_of)[:-1]])
-    total = int(sum(n for n, _ in stats.values()))
     chunks = max(1, math.ceil(total / block_rows))
 
     layout = F.create_map(*[

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.coordinates import in_corner_arc
 from touchline.functions.numeric import round_any
-from touchline.session import materialise
+from touchline.session import materialise, run_together
 
 N_ZONES = 6
 RESTARTS = 10
@@ -51,10 +53,9 @@ def kmeans_zones(
         data = VectorAssembler(inputCols=["location_x", "location_y"], outputCol="features").transform(scaled)
         data = data.select("features", "weight").persist()
         try:
-            fits = [
-                KMeans(k=k, seed=seed + i, weightCol="weight", featuresCol="features").fit(data) for i in range(restarts)
-            ]
-            best = min(fits, key=lambda m: m.summary.trainingCost)
+            fits = [KMeans(k=k, seed=seed + i, weightCol="weight", featuresCol="features") for i in range(restarts)]
+            models = run_together(spark, [partial(fit.fit, data) for fit in fits])
+            best = min(models, key=lambda m: m.summary.trainingCost)
             counts = best.transform(data).groupBy("prediction").agg(F.sum("weight").cast("bigint").alias("n"))
             members = {r["prediction"]: r["n"] for r in counts.collect()}  # k rows
         finally:

@@ -11,6 +11,7 @@ from touchline.functions.numeric import count_where, exact_avg, ratio, round_any
 from touchline.operators import joins
 from touchline.operators.running import rank_desc
 from touchline.plans.gold import value_avg, value_sum
+from touchline.session import materialise
 
 # Event types that count as defensive actions, and the smallest pass count of an edge.
 DEFENSIVE_TYPES = ("Tackle", "Interception", "Foul", "Block", "Pressure")
@@ -157,20 +158,26 @@ def competition_totals(events: DataFrame) -> DataFrame:
     )
 
 
-def xt_rank(df: DataFrame) -> DataFrame:
+def with_rank_keys(totals: DataFrame) -> DataFrame:
+    """Whole-number sort keys of the two ranks; a null ratio stays null and comes first."""
+    per_match = ratio(F.col("total_xt"), F.col("matches_played"))
+    return totals.withColumns({"_xt_key": to_units(F.col("total_xt"), 4), "_match_key": to_units(per_match, 12)})
+
+
+def xt_rank(keyed: DataFrame, source: DataFrame | None = None) -> DataFrame:
     """Rank within the competition by total xT."""
-    keyed = df.withColumn("_key", to_units(F.col("total_xt"), 4))
-    return rank_desc(keyed, ["competition_id"], "_key", "xt_rank").drop("_key")
+    return rank_desc(keyed, ["competition_id"], "_xt_key", "xt_rank", source)
 
 
-def xt_per_match_rank(df: DataFrame) -> DataFrame:
-    """Rank within the competition by xT per match; a null ratio comes first."""
-    keyed = df.withColumn("_key", to_units(ratio(F.col("total_xt"), F.col("matches_played")), 12))
-    return rank_desc(keyed, ["competition_id"], "_key", "xt_per_match_rank").drop("_key")
+def xt_per_match_rank(keyed: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    """Rank within the competition by xT per match."""
+    return rank_desc(keyed, ["competition_id"], "_match_key", "xt_per_match_rank", source)
 
 
 def mart_competition_leaderboard(events: DataFrame, players: DataFrame, competitions: DataFrame) -> DataFrame:
-    ranked = xt_per_match_rank(xt_rank(competition_totals(events)))
+    # Ranked twice and joined, so the totals are computed once.
+    totals = materialise(with_rank_keys(competition_totals(events)), "competition-totals")
+    ranked = xt_per_match_rank(xt_rank(totals), totals)
     named = joins.add_player_name(ranked, players)
     named = joins.join_dims_on(
         named, F.col("competition_id"), competitions, "competition_id", {"competition_name": "competition_name"}

@@ -4,16 +4,28 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings a cluster job should start from. AQE splits skewed joins at run time, so a hot player or a hot
-# match does not end in one task.
-DEFAULTS = {
-    "spark.sql.session.timeZone": "UTC",
+T = TypeVar("T")
+
+# Settings that can be changed on a running session.
+# AQE splits skewed joins at run time, so a hot player or a hot match does not end in one task. Generated methods
+# above 8000 bytes of bytecode are not compiled by HotSpot and run some six times slower than split ones.
+RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+# Settings for a session of our own.
+DEFAULTS = {
+    **RUNTIME,
+    "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
@@ -25,6 +37,15 @@ def build_session(app: str = "touchline", **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings a given session did not choose itself."""
+    chosen = spark.sparkContext.getConf()
+    for key, value in RUNTIME.items():
+        if not chosen.contains(key):
+            spark.conf.set(key, value)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a throw-away one only for a local session."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -47,3 +68,9 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     path = f"{shared_folder(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def run_together(spark: SparkSession, tasks: Sequence[Callable[[], T]], width: int = 4) -> list[T]:
+    """Run independent fits at the same time, as the tuning classes of the ML library do; results in order."""
+    with ThreadPoolExecutor(max_workers=max(1, min(width, len(tasks)))) as pool:
+        return list(pool.map(lambda task: inheritable_thread_target(spark)(task)(), tasks))

@@ -133,26 +133,27 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     """Fact table with every declared column; files from before provenance columns get their defaults."""
     # The declared schema spares a pass over every file footer; a column a file lacks reads as null.
     defaults = {"provider": F.lit("statsbomb"), "coord_system": F.lit("statsbomb_120x80"), "under_pressure": F.lit(False)}
-    df = spark.read.schema(schemas.EVENT).parquet(path)
+    df = spark.read.schema(schemas.EVENT).parquet(path).select(*schemas.EVENT.fieldNames())
     return df.withColumns({name: F.coalesce(F.col(name), value) for name, value in defaults.items()})
 
 
 def write_partitioned(
     df: DataFrame, path: str, mode: str = "append", known_competitions: Sequence[int] | None = None
 ) -> None:
-    """One folder per competition; competitions outside ``known_competitions`` share the default folder.
+    """One folder per competition, so that a filter on ``competition_id`` reads only its folders.
 
-    Rows are spread over competition and match, so a very large competition is written by many tasks, and are
-    sorted inside each file so that match and type filters skip row groups.
+    With ``known_competitions`` the folder column is ``competition`` and all other competitions share the folder
+    ``default``. Rows are spread over competition and match, so a very large competition is written by many
+    tasks, and are sorted inside each file so that match and type filters skip row groups.
     """
-    folder = F.col("competition_id").cast("string")
+    folder = "competition_id"
     if known_competitions is not None:
-        folder = F.when(F.col("competition_id").isin(*known_competitions), folder).otherwise("default")
+        folder = "competition"
+        known = F.col("competition_id").isin(*known_competitions)
+        df = df.withColumn(folder, F.when(known, F.col("competition_id").cast("string")).otherwise("default"))
     (
-        df.withColumn("competition", folder)
-        .repartition("competition", "match_id")
-        .sortWithinPartitions("competition", "match_id", "event_type")
-        .write.mode(mode).partitionBy("competition").parquet(path)
+        df.repartition(folder, "match_id").sortWithinPartitions(folder, "match_id", "event_type")
+        .write.mode(mode).partitionBy(folder).parquet(path)
     )
 
 
