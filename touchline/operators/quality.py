@@ -3,17 +3,38 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.coordinates import PITCH_X, PITCH_Y
+from touchline.functions.numeric import count_where
 
 
 class GateError(RuntimeError):
     """A layer did not pass its checks."""
 
 
+def outside(column: str, low: float | None = None, high: float | None = None, inclusive: bool = True) -> Column:
+    """True for a value beyond the bounds; nulls pass."""
+    value, failed = F.col(column), F.lit(False)
+    if low is not None:
+        failed = failed | ((value < low) if inclusive else (value <= low))
+    if high is not None:
+        failed = failed | ((value > high) if inclusive else (value >= high))
+    return failed
+
+
+def not_accepted(column: str, values: Sequence) -> Column:
+    """True for a value outside the list; nulls pass."""
+    return ~F.col(column).isin(*values)
+
+
+def off_pitch() -> Column:
+    return outside("location_x", 0, PITCH_X) | outside("location_y", 0, PITCH_Y)
+
+
 def check_not_null(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNull())
 
@@ -25,41 +46,37 @@ def check_unique(df: DataFrame, column: str) -> DataFrame:
 
 
 def check_accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
-    """Rows with a value outside the list; nulls pass."""
-    return df.where(~F.col(column).isin(*values))
+    return df.where(not_accepted(column, values))
 
 
 def check_range(
     df: DataFrame, column: str, low: float | None = None, high: float | None = None, inclusive: bool = True
 ) -> DataFrame:
-    """Rows outside the bounds; nulls pass."""
-    value, failed = F.col(column), F.lit(False)
-    if low is not None:
-        failed = failed | ((value < low) if inclusive else (value <= low))
-    if high is not None:
-        failed = failed | ((value > high) if inclusive else (value >= high))
-    return df.where(failed)
+    return df.where(outside(column, low, high, inclusive))
 
 
 def assert_coords_in_range(silver: DataFrame) -> DataFrame:
-    x, y = F.col("location_x"), F.col("location_y")
-    outside = (x < 0) | (x > PITCH_X) | (y < 0) | (y > PITCH_Y)
-    return silver.where(outside).select("event_id", "location_x", "location_y", "coord_system")
+    return silver.where(off_pitch()).select("event_id", "location_x", "location_y", "coord_system")
+
+
+def tally(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
+    """Failing rows of many row-level checks on one table, counted in one scan: ``check``, ``failing``."""
+    counts = df.agg(*[count_where(condition).alias(name) for name, condition in conditions.items()])
+    entries = F.array(*[F.struct(F.lit(n).alias("check"), F.col(n).alias("failing")) for n in conditions])
+    return counts.select(F.explode(entries).alias("e")).select("e.check", "e.failing")
+
 
+def duplicates(df: DataFrame, column: str, name: str) -> DataFrame:
+    return check_unique(df, column).agg(F.count("*").alias("failing")).select(F.lit(name).alias("check"), "failing")
 
-def failures(checks: Mapping[str, DataFrame]) -> DataFrame:
-    """Failing rows per check, counted in one job."""
-    parts = [df.agg(F.count("*").alias("failing")).select(F.lit(name).alias("check"), "failing")
-             for name, df in checks.items()]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
 
+def _union(*parts: DataFrame) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
 
-def gate(layer: str, checks: Mapping[str, DataFrame]) -> None:
+
+def gate(layer: str, failures: DataFrame) -> None:
     """Raise if any check of a layer has failing rows, so that later steps do not run."""
-    failed = failures(checks).where(F.col("failing") > 0).collect()  # one row per check
+    failed = failures.where(F.col("failing") > 0).collect()  # one row per check
     if failed:
         detail = ", ".join(f"{row['check']}: {row['failing']}" for row in failed)
         raise GateError(f"{layer} checks failed ({detail})")
@@ -70,46 +87,59 @@ PROVIDERS = ("statsbomb", "opta", "wyscout")
 SYSTEMS = ("statsbomb_120x80", "opta_100x100", "wyscout_100x100")
 
 
-def bronze_checks(bronze: DataFrame) -> dict[str, DataFrame]:
-    required = ("event_id", "match_id", "event_type", "provider", "coord_system")
-    return {
-        **{f"{name}_not_null": check_not_null(bronze, name) for name in required},
-        "event_id_unique": check_unique(bronze, "event_id"),
-        "provider_accepted": check_accepted_values(bronze, "provider", PROVIDERS),
-        "coord_system_accepted": check_accepted_values(bronze, "coord_system", SYSTEMS),
+def _missing(*columns: str) -> dict[str, Column]:
+    return {f"{name}_not_null": F.col(name).isNull() for name in columns}
+
+
+def bronze_failures(bronze: DataFrame) -> DataFrame:
+    rows = {
+        **_missing("event_id", "match_id", "event_type", "provider", "coord_system"),
+        "provider_accepted": not_accepted("provider", PROVIDERS),
+        "coord_system_accepted": not_accepted("coord_system", SYSTEMS),
     }
+    return _union(tally(bronze, rows), duplicates(bronze, "event_id", "event_id_unique"))
 
 
-def silver_checks(
+def silver_failures(
     events: DataFrame, passes: DataFrame, shots: DataFrame, links: DataFrame, strict: bool = False
-) -> dict[str, DataFrame]:
+) -> DataFrame:
     """Checks on the silver views. The provider list lacks the third feed unless ``strict``."""
     allowed = PROVIDERS if strict else PROVIDERS[:2]
-    return {
-        "event_id_unique": check_unique(events, "event_id"),
-        **{f"{name}_not_null": check_not_null(events, name)
-           for name in ("event_id", "match_id", "event_type", "location_x", "location_y")},
-        "provider_accepted": check_accepted_values(events, "provider", allowed),
-        "location_x_range": check_range(events, "location_x", 0, 105),
-        "location_y_range": check_range(events, "location_y", 0, 68),
-        "coords_in_range": assert_coords_in_range(events),
-        "shot_distance_range": check_range(shots, "distance_to_goal", 0, 130),
-        "shot_angle_range": check_range(shots, "shot_angle", 0, 3.1416),
-        "is_goal_accepted": check_accepted_values(shots, "is_goal", (0, 1)),
-        "pass_distance_range": check_range(passes, "pass_distance_m", 0, 150),
-        "link_passer_not_null": check_not_null(links, "from_player_id"),
+    event_rows = {
+        **_missing("event_id", "match_id", "event_type", "location_x", "location_y"),
+        "provider_accepted": not_accepted("provider", allowed),
+        "location_x_range": outside("location_x", 0, 105), "location_y_range": outside("location_y", 0, 68),
+        "coords_in_range": off_pitch(),
+    }
+    shot_rows = {
+        "shot_distance_range": outside("distance_to_goal", 0, 130), "shot_angle_range": outside("shot_angle", 0, 3.1416),
+        "is_goal_accepted": not_accepted("is_goal", (0, 1)),
     }
+    return _union(
+        tally(events, event_rows), duplicates(events, "event_id", "event_id_unique"), tally(shots, shot_rows),
+        tally(passes, {"pass_distance_range": outside("pass_distance_m", 0, 150)}),
+        tally(links, {"link_passer_not_null": F.col("from_player_id").isNull()}),
+    )
 
 
-def mart_checks(
-    players: DataFrame, teams: DataFrame, matches: DataFrame, pressing: DataFrame, network: DataFrame
-) -> dict[str, DataFrame]:
-    return {
-        "player_id_not_null": check_not_null(players, "player_id"),
-        "team_id_unique": check_unique(teams, "team_id"), "team_id_not_null": check_not_null(teams, "team_id"),
-        "match_id_unique": check_unique(matches, "match_id"), "match_id_not_null": check_not_null(matches, "match_id"),
-        "ppda_range": check_range(pressing, "ppda", 0, 100),
-        "pass_count_range": check_range(network, "pass_count", 2),
-        "from_player_not_null": check_not_null(network, "from_player_id"),
-        "to_player_not_null": check_not_null(network, "to_player_id"),
+def gold_failures(player_metrics: DataFrame, team_summary: DataFrame, shot_map: DataFrame) -> DataFrame:
+    shot_rows = {
+        "shot_id_not_null": F.col("event_id").isNull(), "x_range": outside("x_105", 0, 105),
+        "y_range": outside("y_68", 0, 68),
     }
+    return _union(
+        tally(player_metrics, {f"player_metrics_{k}": v for k, v in _missing("player_id", "match_id").items()}),
+        tally(team_summary, {f"team_summary_{k}": v for k, v in _missing("team_id", "match_id").items()}),
+        tally(shot_map, shot_rows), duplicates(shot_map, "event_id", "shot_id_unique"),
+    )
+
+
+def mart_failures(
+    players: DataFrame, teams: DataFrame, matches: DataFrame, pressing: DataFrame, network: DataFrame
+) -> DataFrame:
+    edge_rows = {**_missing("from_player_id", "to_player_id"), "pass_count_range": outside("pass_count", 2)}
+    return _union(
+        tally(players, _missing("player_id")), tally(teams, _missing("team_id")), duplicates(teams, "team_id", "team_id_unique"),
+        tally(matches, _missing("match_id")), duplicates(matches, "match_id", "match_id_unique"),
+        tally(pressing, {"ppda_range": outside("ppda", 0, 100)}), tally(network, edge_rows),
+    )

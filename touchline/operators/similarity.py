@@ -154,8 +154,9 @@ def _search(reps: DataFrame, k: int, block_rows: int, pivots: int) -> DataFrame:
     routed = queries.mapInPandas(route, "id bigint, vec array<double>, targets array<int>")
     chunk = F.pmod(F.xxhash64("id", F.lit(2)), F.lit(chunks)).cast("int")
     asked = routed.select("id", "vec", F.explode("targets").alias("block"), chunk.alias("chunk"))
-    every_chunk = F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))
-    offered = placed.select("id", "vec", "block", every_chunk.alias("chunk"))
+    # A block goes only to the chunks that ask for it.
+    wanted_by = asked.select("block", "chunk").distinct()
+    offered = placed.select("id", "vec", "block").join(wanted_by, "block")
 
     def across(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):

@@ -147,8 +147,9 @@ def event_xt(actions: DataFrame, surface: DataFrame) -> DataFrame:
     """xT per event: the cell's value for a shot, end minus start for a completed move; others are dropped."""
     c = F.col
     value = F.when(c("event_type") == "Shot", c("start_xt")).otherwise(c("end_xt") - c("start_xt"))
-    scored = lookup_cells(actions, surface).withColumn("xt_value", round_any(value, 6))
-    return scored.where(c("xt_value").isNotNull()).drop("start_xt", "end_xt", "cell", "end_cell", "outcome", "event_type")
+    valued = actions.where((c("event_type") == "Shot") | c("end_cell").isNotNull())
+    scored = lookup_cells(valued, surface).withColumn("xt_value", round_any(value, 6))
+    return scored.drop("start_xt", "end_xt", "cell", "end_cell", "outcome", "event_type")
 
 
 def surface_to_matrix(surface: DataFrame) -> DataFrame:

@@ -40,12 +40,19 @@ def kmeans_zones(
     spark = points.sparkSession
     weighted = points.groupBy("event_type", "location_x", "location_y").agg(F.count("*").cast("double").alias("weight"))
     weighted = materialise(weighted, "zone-points")
-    sizes = {r["event_type"]: r["n"] for r in weighted.groupBy("event_type").agg(F.sum("weight").alias("n")).collect()}
+    per_type = weighted.groupBy("event_type").agg(F.sum("weight").alias("n"), F.count("*").alias("points"))
+    sizes = {r["event_type"]: r for r in per_type.collect()}  # two rows
     out = []
     for kind in ZONE_TYPES:
-        if sizes.get(kind, 0) < k:
+        if kind not in sizes or sizes[kind]["n"] < k:
             continue
         rows = weighted.where(F.col("event_type") == kind)
+        if sizes[kind]["points"] <= k:
+            # No more distinct points than zones: every point is a centre and the rest stay empty.
+            points = sorted((r["location_x"], r["location_y"], int(r["weight"])) for r in rows.collect())
+            points += [(*points[0][:2], 0)] * (k - len(points))
+            out += [(kind, label, *point) for label, point in enumerate(points)]
+            continue
         stats = _weighted_scale(rows)
         scaled = rows.select(
             "weight", *[((F.col(c) - stats[c][0]) / stats[c][1]).alias(c) for c in ("location_x", "location_y")]

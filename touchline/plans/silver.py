@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions import coordinates as xy
@@ -46,13 +46,17 @@ def silver_events(bronze: DataFrame, keep: Sequence[str] = (), null_safe: bool =
     """
     c = F.col
 
-    def x(name: str):
-        scaled = xy.normalise_x(c(name), c("coord_system"))
-        return round_pos(xy.clamp(scaled, 0.0, xy.PITCH_X, null_safe), 3).alias(name)
+    def on_pitch(name: str, scaled: Column, high: float) -> Column:
+        value = round_pos(xy.clamp(scaled, 0.0, high, null_safe), 3)
+        # Never null here; saying so lets the optimizer drop the null checks of later layers instead of
+        # computing the coordinate once more to test it.
+        return (value if null_safe else F.coalesce(value, F.lit(0.0))).alias(name)
 
-    def y(name: str):
-        scaled = xy.normalise_y(c(name), c("coord_system"))
-        return round_pos(xy.clamp(scaled, 0.0, xy.PITCH_Y, null_safe), 3).alias(name)
+    def x(name: str) -> Column:
+        return on_pitch(name, xy.normalise_x(c(name), c("coord_system")), xy.PITCH_X)
+
+    def y(name: str) -> Column:
+        return on_pitch(name, xy.normalise_y(c(name), c("coord_system")), xy.PITCH_Y)
 
     placed = c("location_x").isNotNull() & c("location_y").isNotNull()
     return bronze.where(c("event_id").isNotNull() & c("match_id").isNotNull() & placed).select(
@@ -96,8 +100,9 @@ def silver_shots(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return events.where((c("event_type") == "Shot") & placed).select(
         "event_id", "match_id", "team_id", "player_id", "minute", "second", "location_x", "location_y", "outcome",
         "under_pressure", "provider", "raw_json",
-        round_pos(xy.goal_distance(c("location_x"), c("location_y")), 3).alias("distance_to_goal"),
-        round_pos(xy.goal_angle(c("location_x"), c("location_y")), 5).alias("shot_angle"),
+        # Never null for a placed shot; the default only tells the optimizer so.
+        F.coalesce(round_pos(xy.goal_distance(c("location_x"), c("location_y")), 3), F.lit(0.0)).alias("distance_to_goal"),
+        F.coalesce(round_pos(xy.goal_angle(c("location_x"), c("location_y")), 5), F.lit(0.0)).alias("shot_angle"),
         F.coalesce(header, F.lit(False)).alias("is_header"), body_part.alias("body_part"),
         F.when(c("outcome") == "Goal", 1).otherwise(0).alias("is_goal"), *keep,
     )
