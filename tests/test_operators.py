@@ -249,7 +249,8 @@ def brute_neighbours(vectors, n):
     mat = np.array([vectors[i] for i in ids], dtype=float)
     length = np.sqrt((mat * mat).sum(axis=1, keepdims=True))
     unit = np.divide(mat, length, out=np.zeros_like(mat), where=length > 0)
-    scores = similarity._round6(unit @ unit.T)
+    scores = np.array([[float(f"{abs(s):.8f}") * (1 if s >= 0 else -1) for s in row] for row in unit @ unit.T])
+    scores = np.sign(scores) * np.floor(np.round(np.abs(scores) * 1e8) / 100 + 0.5) / 1e6
     out = {}
     for i, row in zip(ids, scores):
         order = sorted(((-s, j) for s, j in zip(row, ids) if j != i))[:n]

@@ -27,7 +27,7 @@ from touchline.session import materialise
 N_NEIGHBOURS = 10
 BLOCK_ROWS = 2048
 PIVOTS = 256
-SLACK = 2e-6  # two units of the last digit kept, so rounding never hides a tie
+SLACK = 2e-6  # two units of the last digit, so that rounding never hides a tie
 
 
 def standardised(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
@@ -47,26 +47,36 @@ def unit(vec: Column) -> Column:
     return F.when(length > 0, F.transform(vec, lambda x: x / length)).otherwise(vec)
 
 
-def _round6(values: np.ndarray) -> np.ndarray:
-    size = np.floor((np.floor(np.abs(values) * 1e8 + 0.5) + 50) / 100) / 1e6
+def _units6(values: np.ndarray) -> np.ndarray:
+    """Cosines as whole millionths, rounded half away from zero after snapping to eight digits."""
+    size = (np.floor(np.abs(values) * 1e8 + 0.5).astype("int64") + 50) // 100
     return np.where(values < 0, -size, size)
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row-wise top k columns by (score desc, id asc); ``ids`` is ascending."""
-    k = min(k, scores.shape[1])
-    order = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-    return ids[order], np.take_along_axis(scores, order, axis=1)
+SELF = -(10**9)  # below any cosine
+
+
+def _best(units: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row-wise top k columns by (cosine desc, id asc); ``ids`` is ascending.
+
+    Cosine and position are packed into one number, so that a partial selection settles ties as well.
+    """
+    width = units.shape[1]
+    k = min(k, width)
+    packed = units * width - np.arange(width)
+    top = np.argpartition(packed, width - k, axis=1)[:, width - k :]
+    top = np.take_along_axis(top, np.argsort(-np.take_along_axis(packed, top, axis=1), axis=1), axis=1)
+    return ids[top], np.take_along_axis(units, top, axis=1)
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype("float64")
 
 
-def _emit(query_ids: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> pd.DataFrame:
+def _emit(query_ids: np.ndarray, ids: np.ndarray, units: np.ndarray) -> pd.DataFrame:
     width = ids.shape[1]
-    out = pd.DataFrame({"id": np.repeat(query_ids, width), "other": ids.ravel(), "score": scores.ravel()})
-    return out[np.isfinite(out["score"]) & (out["id"] != out["other"])]
+    out = pd.DataFrame({"id": np.repeat(query_ids, width), "other": ids.ravel(), "score": units.ravel() / 1e6})
+    return out[units.ravel() != SELF]
 
 
 _PAIRS = "id bigint, other bigint, score double"
@@ -122,9 +132,9 @@ def _search(reps: DataFrame, k: int, block_rows: int, pivots: int) -> DataFrame:
     def own(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id")
         ids, vecs = pdf["id"].to_numpy(), _matrix(pdf["vec"])
-        scores = _round6(vecs @ vecs.T)
-        np.fill_diagonal(scores, -np.inf)
-        return _emit(ids, *_best(scores, ids, k))
+        units = _units6(vecs @ vecs.T)
+        np.fill_diagonal(units, SELF)
+        return _emit(ids, *_best(units, ids, k))
 
     near = placed.select("id", "vec", "block").groupBy("block").applyInPandas(
         lambda pdf: own(pdf[["id", "vec"]]), _PAIRS
@@ -155,15 +165,17 @@ def _search(reps: DataFrame, k: int, block_rows: int, pivots: int) -> DataFrame:
     chunk = F.pmod(F.xxhash64("id", F.lit(2)), F.lit(chunks)).cast("int")
     asked = routed.select("id", "vec", F.explode("targets").alias("block"), chunk.alias("chunk"))
     # A block goes only to the chunks that ask for it.
-    wanted_by = asked.select("block", "chunk").distinct()
-    offered = placed.select("id", "vec", "block").join(wanted_by, "block")
+    wanted_by = asked.select(F.col("block").alias("_block"), F.col("chunk").alias("_chunk")).distinct()
+    offered = placed.join(wanted_by, F.col("block") == F.col("_block")).select(
+        F.col("id").alias("id"), F.col("vec").alias("vec"), F.col("_block").alias("block"), F.col("_chunk").alias("chunk")
+    )
 
     def across(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"id": [], "other": [], "score": []}).astype({"id": "int64", "other": "int64"})
         right = right.sort_values("id")
-        scores = _round6(_matrix(left["vec"]) @ _matrix(right["vec"]).T)
-        return _emit(left["id"].to_numpy(), *_best(scores, right["id"].to_numpy(), k))
+        units = _units6(_matrix(left["vec"]) @ _matrix(right["vec"]).T)
+        return _emit(left["id"].to_numpy(), *_best(units, right["id"].to_numpy(), k))
 
     far = asked.groupBy("block", "chunk").cogroup(offered.groupBy("block", "chunk")).applyInPandas(across, _PAIRS)
     return top_per_group(near.unionByName(far), ["id"], [F.col("score").desc(), F.col("other").asc()], k, "_r").drop("_r")

@@ -177,11 +177,22 @@ def recommendations(candidates: DataFrame, players: DataFrame) -> DataFrame:
 def candidate_documents(candidates: DataFrame) -> DataFrame:
     """Candidate list per target player as one JSON document (at most ten entries each)."""
     c = F.col
+
+    def number(name: str, digits: int = 6) -> Column:
+        return c(name).cast(f"decimal(18,{digits})")
+
+    stats = F.struct(
+        number("avg_xg").alias("avg_xg"), number("pass_completion_pct").alias("pass_completion_pct"),
+        number("avg_xt_per_pass").alias("avg_xt_per_pass"), "total_shots",
+    )
+    delta = F.struct(
+        number("delta_xg").alias("avg_xg"), number("delta_pct").alias("pass_completion_pct"),
+        number("delta_xt").alias("avg_xt_per_pass"),
+    )
     entry = F.struct(
-        "slot", c("similar_player_id").alias("player_id"), "player_name", "position", "similarity_score",
-        F.struct("avg_xg", "pass_completion_pct", "avg_xt_per_pass", "total_shots").alias("stats"),
-        F.struct(c("delta_xg").alias("avg_xg"), c("delta_pct").alias("pass_completion_pct"),
-                 c("delta_xt").alias("avg_xt_per_pass")).alias("delta"),
+        "slot", c("similar_player_id").alias("player_id"), "player_name", "position",
+        number("similarity_score").alias("similarity_score"), stats.alias("stats"), delta.alias("delta"),
     )
     lists = candidates.groupBy("player_id").agg(F.array_sort(F.collect_list(entry)).alias("candidates"))
-    return lists.select("player_id", F.to_json(F.struct("player_id", "candidates")).alias("document"))
+    body = F.to_json(F.struct("player_id", "candidates"), {"ignoreNullFields": "false"})
+    return lists.select("player_id", body.alias("document"))
