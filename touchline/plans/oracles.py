@@ -1,8 +1,7 @@
 """The same answers as plain SQL for another engine: an independent check of every deterministic query.
 
 Statements are put together from named common table expressions; a statement pulls in the ones it names. The
-SQL follows the wording of the definitions (self-joins to the fact table, distinct counts, full joins), not the
-shape of the Spark plans.
+SQL is written for clarity on small data (self-joins, distinct counts, whole-table windows), not for scale.
 """
 
 from __future__ import annotations
@@ -116,6 +115,12 @@ CTE["ledger"] = """SELECT match_id, competition_id, CAST(100 + match_id % 50 AS
   CASE WHEN match_id % 7 = 0 THEN 'error' ELSE 'success' END AS status, CAST(match_date AS TIMESTAMP) AS ingested_at
   FROM dim_matches WHERE season_id % 2 = 1"""
 
+CTE["named"] = """SELECT fact.*, player_name, team_name FROM fact LEFT JOIN dim_players USING (player_id)
+  LEFT JOIN dim_teams USING (team_id)"""
+CTE["match_sides"] = f"""SELECT match_id, SUM({dec('xt_value')}) FILTER (WHERE team_name = home_team) AS home,
+  SUM({dec('xt_value')}) FILTER (WHERE team_name = away_team) AS away
+  FROM named JOIN dim_matches USING (match_id) WHERE xt_value IS NOT NULL AND team_name IS NOT NULL GROUP BY match_id"""
+
 CTE["bronze"] = """SELECT event_id, match_id, team_id, player_id, event_type, CAST(minute AS INTEGER) AS minute,
   CAST(second AS INTEGER) AS second, location_x, location_y, end_location_x, end_location_y, outcome, under_pressure,
   provider, coord_system, raw_json, ingested_at FROM fact WHERE event_id IS NOT NULL"""
@@ -155,67 +160,50 @@ CTE["staged"] = f"""SELECT event_id, match_id, competition_id, team_id, player_i
 CTE["ev"] = """SELECT se.*, fe.competition_id, fe.xt_value, fe.xg_value, fe.xp_value
   FROM silver se JOIN fact fe ON se.event_id = fe.event_id"""
 
-CTE["team_summary"] = f"""SELECT a.*, t.team_name FROM (
-  SELECT e.team_id, e.match_id, COUNT(*) AS total_actions, COUNT(*) FILTER (WHERE e.event_type = 'Pass') AS total_passes,
-    COUNT(*) FILTER (WHERE e.event_type = 'Shot') AS total_shots, COUNT(*) FILTER (WHERE fe.outcome = 'Goal') AS goals,
-    {total('fe.xg_value')} AS total_xg, {total('fe.xt_value')} AS total_xt,
-    {rnd("COUNT(*) FILTER (WHERE fe.outcome = 'Goal') * CAST(1 AS DOUBLE) / NULLIF(COUNT(*) FILTER (WHERE e.event_type = 'Shot'), 0)", 4)}
-      AS conversion_rate
-  FROM silver e LEFT JOIN fact fe ON e.event_id = fe.event_id WHERE e.team_id IS NOT NULL GROUP BY e.team_id, e.match_id) a
-  LEFT JOIN dim_teams t ON a.team_id = t.team_id"""
-
-CTE["player_metrics"] = f"""WITH pa AS (
-  SELECT player_id, team_id, COUNT(*) AS total_passes, CAST(SUM(CAST(is_successful AS INTEGER)) AS BIGINT) AS successful_passes,
-    {rnd('CAST(AVG(CAST(is_successful AS INTEGER)) AS DECIMAL(20,8)) * 100', 1)} AS pass_completion_pct,
-    {mean('pass_distance_m', 2)} AS avg_pass_distance_m,
-    {rnd(f"SUM({dec('COALESCE(xt_value, 0)')}) / COUNT(*)", 6)} AS avg_xt_per_pass,
-    CAST(SUM(CAST(under_pressure AS INTEGER)) AS BIGINT) AS passes_under_pressure, {mean('xp_value')} AS avg_xp
-  FROM (SELECT sp.*, m.xt_value, m.xp_value FROM passes sp LEFT JOIN fact m ON sp.event_id = m.event_id
-        WHERE sp.player_id IS NOT NULL) GROUP BY player_id, team_id),
-sh AS (
-  SELECT player_id, team_id, COUNT(*) AS total_shots, CAST(SUM(is_goal) AS BIGINT) AS goals,
-    {total('xt_value')} AS total_xt_shots, {total('xg_value')} AS total_xg, {mean('xg_value')} AS avg_xg
-  FROM (SELECT ss.*, m.xt_value, m.xg_value FROM shots ss LEFT JOIN fact m ON ss.event_id = m.event_id
-        WHERE ss.player_id IS NOT NULL) GROUP BY player_id, team_id),
-ae AS (
-  SELECT player_id, team_id, {total('xt_value')} AS total_xt
-  FROM (SELECT se.player_id, se.team_id, m.xt_value FROM silver se LEFT JOIN fact m ON se.event_id = m.event_id
-        WHERE se.player_id IS NOT NULL) GROUP BY player_id, team_id)
-SELECT COALESCE(p.player_id, s.player_id) AS player_id, dp.player_name, dt.team_name,
-  COALESCE(p.total_passes, 0) AS total_passes, COALESCE(p.successful_passes, 0) AS successful_passes,
-  p.pass_completion_pct, p.avg_pass_distance_m, COALESCE(p.passes_under_pressure, 0) AS passes_under_pressure, p.avg_xp,
-  COALESCE(s.total_shots, 0) AS total_shots, COALESCE(s.goals, 0) AS goals,
-  COALESCE(s.total_xt_shots, 0) AS total_xt_shots, COALESCE(s.total_xg, 0) AS total_xg, s.avg_xg,
-  {rnd('COALESCE(s.goals, 0) - COALESCE(s.total_xg, 0)', 4)} AS finishing_quality, ae.total_xt, p.avg_xt_per_pass
-FROM pa p FULL OUTER JOIN sh s ON p.player_id = s.player_id AND p.team_id = s.team_id
-LEFT JOIN ae ON COALESCE(p.player_id, s.player_id) = ae.player_id AND COALESCE(p.team_id, s.team_id) = ae.team_id
-LEFT JOIN dim_players dp ON COALESCE(p.player_id, s.player_id) = dp.player_id
-LEFT JOIN dim_teams dt ON COALESCE(p.team_id, s.team_id) = dt.team_id"""
-
-CTE["mart_team"] = f"""SELECT b.*, dt.team_name FROM (
-  SELECT team_id, COUNT(*) AS total_actions, COUNT(*) FILTER (WHERE event_type = 'Pass') AS total_passes,
-    COUNT(*) FILTER (WHERE event_type = 'Shot') AS total_shots, COUNT(*) FILTER (WHERE event_type = 'Dribble') AS total_dribbles,
-    COUNT(*) FILTER (WHERE event_type = 'Pressure') AS total_pressures, COUNT(*) FILTER (WHERE event_type = 'Carry') AS total_carries,
-    {total('xt_value')} AS total_xt, {mean('xp_value')} AS avg_xp, {total('xg_value')} AS total_xg
-  FROM ev WHERE team_id IS NOT NULL GROUP BY team_id) b LEFT JOIN dim_teams dt ON b.team_id = dt.team_id"""
-
-CTE["pressing"] = f"""WITH defensive AS (
-  SELECT match_id, team_id, COUNT(*) AS defensive_actions FROM silver
-  WHERE event_type IN ('Tackle', 'Interception', 'Foul', 'Block', 'Pressure') AND team_id IS NOT NULL GROUP BY match_id, team_id),
-allowed AS (SELECT p.match_id, d.team_id, COUNT(*) AS passes_allowed FROM passes p
-  JOIN defensive d ON p.match_id = d.match_id AND p.team_id <> d.team_id GROUP BY p.match_id, d.team_id)
-SELECT d.match_id, d.team_id, t.team_name, d.defensive_actions, COALESCE(pa.passes_allowed, 0) AS passes_allowed,
-  {rnd('COALESCE(pa.passes_allowed, 0) / NULLIF(d.defensive_actions, 0)', 4)} AS ppda,
-  CASE WHEN COALESCE(pa.passes_allowed, 0) / NULLIF(d.defensive_actions, 0) < 10 THEN 'High'
-    WHEN COALESCE(pa.passes_allowed, 0) / NULLIF(d.defensive_actions, 0) < 15 THEN 'Medium' ELSE 'Low' END AS pressing_intensity
-FROM defensive d LEFT JOIN allowed pa ON d.match_id = pa.match_id AND d.team_id = pa.team_id
-LEFT JOIN dim_teams t ON d.team_id = t.team_id"""
-
-CTE["team_xg"] = f"""SELECT COALESCE(dt.team_name, 'Unknown') AS team_name, fe.match_id, COUNT(*) AS total_shots,
-  {rnd(f"SUM({dec('fe.xg_value')})", 4)} AS total_xg, COUNT(*) FILTER (WHERE fe.outcome = 'Goal') AS goals_scored,
-  {rnd("COUNT(*) FILTER (WHERE fe.outcome = 'Goal') * CAST(1 AS DOUBLE) / NULLIF(COUNT(*), 0)", 4)} AS conversion_rate
-  FROM fact fe LEFT JOIN dim_teams dt ON fe.team_id = dt.team_id WHERE fe.event_type = 'Shot'
-  GROUP BY COALESCE(dt.team_name, 'Unknown'), fe.match_id"""
+CTE["team_summary"] = f"""SELECT team_id, match_id, COUNT(*) AS total_actions, COUNT(*) FILTER (WHERE event_type = 'Pass') AS total_passes,
+  COUNT(*) FILTER (WHERE event_type = 'Shot') AS total_shots, COUNT(*) FILTER (WHERE outcome = 'Goal') AS goals,
+  {total('xg_value')} AS total_xg, {total('xt_value')} AS total_xt,
+  {rnd("CAST(COUNT(*) FILTER (WHERE outcome = 'Goal') AS DOUBLE) / NULLIF(COUNT(*) FILTER (WHERE event_type = 'Shot'), 0)", 4)}
+    AS conversion_rate, team_name
+  FROM ev LEFT JOIN dim_teams USING (team_id) WHERE team_id IS NOT NULL GROUP BY team_id, match_id, team_name"""
+
+CTE["player_metrics"] = f"""SELECT player_id, player_name, team_name, n_pass AS total_passes, done AS successful_passes,
+  pass_completion_pct, avg_pass_distance_m, pressed AS passes_under_pressure, avg_xp, n_shot AS total_shots, goals,
+  total_xt_shots, total_xg, avg_xg, {rnd('goals - total_xg', 4)} AS finishing_quality, total_xt, avg_xt_per_pass FROM (
+    SELECT ev.player_id, ev.team_id, COUNT(p.event_id) AS n_pass, COUNT(*) FILTER (WHERE p.is_successful) AS done,
+      {rnd('CAST(AVG(CAST(p.is_successful AS INTEGER)) AS DECIMAL(20,8)) * 100', 1)} AS pass_completion_pct,
+      {mean('p.pass_distance_m', 2)} AS avg_pass_distance_m, COUNT(*) FILTER (WHERE p.under_pressure) AS pressed,
+      {rnd(f"AVG({dec('xp_value')}) FILTER (WHERE p.event_id IS NOT NULL)", 4)} AS avg_xp, COUNT(s.event_id) AS n_shot,
+      COUNT(*) FILTER (WHERE s.is_goal = 1) AS goals,
+      COALESCE({rnd(f"SUM({dec('xt_value')}) FILTER (WHERE s.event_id IS NOT NULL)", 4)}, 0) AS total_xt_shots,
+      COALESCE({rnd(f"SUM({dec('xg_value')}) FILTER (WHERE s.event_id IS NOT NULL)", 4)}, 0) AS total_xg,
+      {rnd(f"AVG({dec('xg_value')}) FILTER (WHERE s.event_id IS NOT NULL)", 4)} AS avg_xg,
+      CASE WHEN ev.team_id IS NOT NULL THEN {total('xt_value')} END AS total_xt,
+      {rnd(f"SUM({dec('COALESCE(xt_value, 0)')}) FILTER (WHERE p.event_id IS NOT NULL) / NULLIF(COUNT(p.event_id), 0)", 6)} AS avg_xt_per_pass
+    FROM ev LEFT JOIN passes p ON p.event_id = ev.event_id LEFT JOIN shots s ON s.event_id = ev.event_id
+    WHERE ev.player_id IS NOT NULL
+    -- Without a team, passes and shots stay apart.
+    GROUP BY ev.player_id, ev.team_id, CASE WHEN ev.team_id IS NULL THEN ev.event_type END
+    HAVING COUNT(p.event_id) + COUNT(s.event_id) > 0)
+  LEFT JOIN dim_players USING (player_id) LEFT JOIN dim_teams USING (team_id)"""
+
+CTE["mart_team"] = f"""SELECT team_id, team_name, COUNT(*) AS total_actions, COUNT(*) FILTER (WHERE event_type = 'Pass') AS total_passes,
+  COUNT(*) FILTER (WHERE event_type = 'Shot') AS total_shots, COUNT(*) FILTER (WHERE event_type = 'Dribble') AS total_dribbles,
+  COUNT(*) FILTER (WHERE event_type = 'Pressure') AS total_pressures, COUNT(*) FILTER (WHERE event_type = 'Carry') AS total_carries,
+  {total('xt_value')} AS total_xt, {mean('xp_value')} AS avg_xp, {total('xg_value')} AS total_xg
+  FROM ev LEFT JOIN dim_teams USING (team_id) WHERE team_id IS NOT NULL GROUP BY team_id, team_name"""
+
+CTE["pressing"] = f"""SELECT match_id, team_id, team_name, acts AS defensive_actions, faced AS passes_allowed, {rnd('faced / acts', 4)} AS ppda,
+  CASE WHEN faced < 10 * acts THEN 'High' WHEN faced < 15 * acts THEN 'Medium' ELSE 'Low' END AS pressing_intensity FROM (
+    SELECT match_id, team_id, acts, CAST(SUM(own) OVER (PARTITION BY match_id) - own AS BIGINT) AS faced FROM (
+      SELECT match_id, team_id, COUNT(*) FILTER (WHERE event_type IN ('Tackle', 'Interception', 'Foul', 'Block', 'Pressure')) AS acts,
+        COUNT(*) FILTER (WHERE event_type = 'Pass') AS own FROM silver WHERE team_id IS NOT NULL GROUP BY match_id, team_id))
+  LEFT JOIN dim_teams USING (team_id) WHERE acts > 0"""
+
+CTE["team_xg"] = f"""SELECT COALESCE(team_name, 'Unknown') AS team_name, match_id, COUNT(*) AS total_shots,
+  {rnd(f"SUM({dec('xg_value')})", 4)} AS total_xg, COUNT(*) FILTER (WHERE outcome = 'Goal') AS goals_scored,
+  {rnd("AVG(CASE WHEN outcome = 'Goal' THEN 1 ELSE 0 END)", 4)} AS conversion_rate
+  FROM named WHERE event_type = 'Shot' GROUP BY ALL"""
 
 _DONE = "(outcome IS NULL OR outcome IN ('Unknown', ''))"
 CTE["actions"] = f"""SELECT event_id, match_id, player_id, team_id, event_type, outcome, {cell('location_x', 'location_y')} AS cell,
@@ -246,27 +234,19 @@ CTE["triggered"] = """SELECT r.event_id AS rec, r.match_id, r.team_id, r.t, a.ev
   JOIN presses a ON a.match_id = r.match_id AND a.team_id = r.team_id AND a.t BETWEEN r.t AND r.t + 5
   WHERE r.event_type = 'Ball Recovery' AND a.event_type <> 'Ball Recovery'"""
 
-CTE["features"] = f"""WITH sa AS (
-  SELECT player_id, COUNT(*) AS total_shots, SUM(is_goal) AS goals, AVG({dec('distance_to_goal')}) AS avg_shot_distance,
-    AVG({dec('shot_angle')}) AS avg_shot_angle, AVG(CAST(is_header AS INTEGER)) AS header_ratio FROM shots GROUP BY player_id),
-pa AS (
-  SELECT player_id, COUNT(*) AS total_passes, AVG(CAST(is_successful AS INTEGER)) AS pass_completion_rate,
-    AVG({dec('pass_distance_m')}) AS avg_pass_distance_m, AVG({dec('location_x')}) AS avg_location_x,
-    AVG({dec('location_y')}) AS avg_location_y, AVG(CAST(under_pressure AS INTEGER)) AS under_pressure_ratio,
-    COUNT(DISTINCT match_id) AS matches_played FROM passes GROUP BY player_id),
-xa AS (SELECT s.player_id, AVG({dec('fe.xg_value')}) AS xg_per_shot FROM shots s JOIN fact fe ON s.event_id = fe.event_id
-  WHERE fe.xg_value IS NOT NULL GROUP BY s.player_id)
-SELECT dp.player_id, dp.player_name, dp.position,
-  COALESCE(sa.total_shots, 0)::DOUBLE / NULLIF(pa.matches_played, 0) AS shots_per_match,
-  COALESCE(sa.goals, 0)::DOUBLE / NULLIF(pa.matches_played, 0) AS goals_per_match,
-  COALESCE(sa.avg_shot_distance, 0.0)::DOUBLE AS avg_shot_distance, COALESCE(sa.avg_shot_angle, 0.0)::DOUBLE AS avg_shot_angle,
-  COALESCE(sa.header_ratio, 0.0)::DOUBLE AS header_ratio, COALESCE(xa.xg_per_shot, 0.0)::DOUBLE AS xg_per_shot,
-  COALESCE(pa.total_passes, 0)::DOUBLE / NULLIF(pa.matches_played, 0) AS passes_per_match,
-  COALESCE(pa.pass_completion_rate, 0.0)::DOUBLE AS pass_completion_rate,
-  COALESCE(pa.avg_pass_distance_m, 0.0)::DOUBLE AS avg_pass_distance_m, COALESCE(pa.avg_location_x, 52.5)::DOUBLE AS avg_location_x,
-  COALESCE(pa.avg_location_y, 34.0)::DOUBLE AS avg_location_y, COALESCE(pa.under_pressure_ratio, 0.0)::DOUBLE AS under_pressure_ratio
-FROM dim_players dp LEFT JOIN sa ON dp.player_id = sa.player_id LEFT JOIN pa ON dp.player_id = pa.player_id
-LEFT JOIN xa ON dp.player_id = xa.player_id WHERE pa.matches_played >= 3"""
+CTE["features"] = f"""WITH passing AS (SELECT player_id, COUNT(*) AS n, COUNT(DISTINCT match_id) AS m, AVG({dec('pass_distance_m')}) AS length,
+    AVG({dec('location_x')}) AS x, AVG({dec('location_y')}) AS y, COUNT(*) FILTER (WHERE is_successful) AS done,
+    COUNT(*) FILTER (WHERE under_pressure) AS pressed FROM passes GROUP BY player_id HAVING COUNT(DISTINCT match_id) >= 3),
+shooting AS (SELECT s.player_id, COUNT(*) AS n, COUNT(*) FILTER (WHERE is_goal = 1) AS goals, AVG({dec('distance_to_goal')}) AS far,
+    AVG({dec('shot_angle')}) AS angle, COUNT(*) FILTER (WHERE is_header) AS headers, AVG({dec('f.xg_value')}) AS xg
+  FROM shots s JOIN fact f ON f.event_id = s.event_id GROUP BY s.player_id)
+SELECT player_id, player_name, position, COALESCE(g.n, 0)::DOUBLE / p.m AS shots_per_match,
+  COALESCE(g.goals, 0)::DOUBLE / p.m AS goals_per_match, COALESCE(far, 0)::DOUBLE AS avg_shot_distance,
+  COALESCE(angle, 0)::DOUBLE AS avg_shot_angle, COALESCE(headers::DOUBLE / g.n, 0) AS header_ratio,
+  COALESCE(xg, 0)::DOUBLE AS xg_per_shot, p.n::DOUBLE / p.m AS passes_per_match, done::DOUBLE / p.n AS pass_completion_rate,
+  length::DOUBLE AS avg_pass_distance_m, x::DOUBLE AS avg_location_x, y::DOUBLE AS avg_location_y,
+  pressed::DOUBLE / p.n AS under_pressure_ratio
+FROM dim_players JOIN passing p USING (player_id) LEFT JOIN shooting g USING (player_id)"""
 
 FEATURES = (
     "shots_per_match", "goals_per_match", "avg_shot_distance", "avg_shot_angle", "header_ratio", "xg_per_shot",
@@ -296,19 +276,19 @@ SELECT c.*, t.player_name AS target_name, t.avg_xg AS target_avg_xg, t.pass_comp
   {rnd('c.pass_completion_pct - t.pass_completion_pct', 2)} AS delta_pct, {rnd('c.avg_xt_per_pass - t.avg_xt_per_pass', 5)} AS delta_xt
 FROM c JOIN t ON c.player_id = t.player_id"""
 
-CTE["threats"] = f"""SELECT match_id, player_name, team_name, total_xt, CAST(rank AS INTEGER) AS rank FROM (
-  SELECT *, row_number() OVER (PARTITION BY match_id ORDER BY total_xt DESC, player_name, team_name) AS rank FROM (
-    SELECT fe.match_id, dp.player_name, dt.team_name, {rnd(f"SUM({dec('fe.xt_value')})", 4)} AS total_xt
-    FROM fact fe JOIN dim_players dp ON fe.player_id = dp.player_id JOIN dim_teams dt ON fe.team_id = dt.team_id
-    WHERE fe.xt_value > 0 GROUP BY 1, 2, 3)) WHERE rank <= 3"""
-CTE["summary"] = f"""SELECT dm.match_id, dm.home_team, dm.away_team, dm.home_score, dm.away_score,
-  COALESCE(hg.total_xg, 0.0) AS xg_home, COALESCE(ag.total_xg, 0.0) AS xg_away,
-  {rnd('COALESCE(hg.total_xg, 0.0) - COALESCE(ag.total_xg, 0.0)', 4)} AS xg_diff, hp.ppda AS home_ppda, ap.ppda AS away_ppda,
-  COALESCE(hp.pressing_intensity, 'N/A') AS home_pressing, COALESCE(ap.pressing_intensity, 'N/A') AS away_pressing
-  FROM dim_matches dm LEFT JOIN team_summary hg ON hg.match_id = dm.match_id AND hg.team_name = dm.home_team
-  LEFT JOIN team_summary ag ON ag.match_id = dm.match_id AND ag.team_name = dm.away_team
-  LEFT JOIN pressing hp ON hp.match_id = dm.match_id AND hp.team_name = dm.home_team
-  LEFT JOIN pressing ap ON ap.match_id = dm.match_id AND ap.team_name = dm.away_team"""
+CTE["threats"] = f"""SELECT match_id, player_name, team_name, total_xt, CAST(k AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY match_id ORDER BY total_xt DESC, player_name, team_name) AS k FROM (
+    SELECT match_id, player_name, team_name, {rnd(f"SUM({dec('xt_value')})", 4)} AS total_xt FROM named
+    WHERE xt_value > 0 AND player_name IS NOT NULL AND team_name IS NOT NULL GROUP BY ALL)) WHERE k <= 3"""
+CTE["summary"] = f"""WITH sides AS (SELECT match_id, team_name, total_xg, ppda, pressing_intensity AS label
+  FROM team_summary FULL JOIN pressing USING (match_id, team_name))
+SELECT match_id, home_team, away_team, home_score, away_score, COALESCE(h.total_xg, 0) AS xg_home, COALESCE(a.total_xg, 0) AS xg_away,
+  {rnd('COALESCE(h.total_xg, 0) - COALESCE(a.total_xg, 0)', 4)} AS xg_diff, h.ppda AS home_ppda, a.ppda AS away_ppda,
+  COALESCE(h.label, 'N/A') AS home_pressing, COALESCE(a.label, 'N/A') AS away_pressing
+  FROM dim_matches LEFT JOIN (SELECT match_id, team_name AS home_team, * EXCLUDE (match_id, team_name) FROM sides) h
+    USING (match_id, home_team)
+  LEFT JOIN (SELECT match_id, team_name AS away_team, * EXCLUDE (match_id, team_name) FROM sides) a
+    USING (match_id, away_team)"""
 
 CTE["safe_moves"] = f"""SELECT match_id, player_id, team_id, {cell('x', 'y')} AS cell, {cell('ex', 'ey')} AS end_cell FROM (
   SELECT match_id, player_id, team_id, {clamped('location_x', 'x')} AS x, {clamped('location_y', 'y')} AS y,
