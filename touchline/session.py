@@ -21,6 +21,8 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Top-k per group keeps k rows per group and task before the shuffle up to this k (a page may hold 2000 rows).
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
 }
 # Settings for a session of our own.
 DEFAULTS = {

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from touchline import schemas
 
 EVENT_KEYS = ("event_id", "competition_id")
+MAX_PRUNED = 200
 # The views that may be refreshed by name.
 REFRESHABLE = ("mv_team_xg", "mv_shot_locations")
 
@@ -143,8 +144,9 @@ def write_partitioned(
     """One folder per competition, so that a filter on ``competition_id`` reads only its folders.
 
     With ``known_competitions`` the folder column is ``competition`` and all other competitions share the folder
-    ``default``. Rows are spread over competition and match, so a very large competition is written by many
-    tasks, and are sorted inside each file so that match and type filters skip row groups.
+    ``default``. Rows are gathered by competition and match; the rebalance splits whatever is too large for one
+    task, be it one competition or one match, and merges what is too small for a file of its own. Files are sorted,
+    so that match and type filters skip row groups.
     """
     folder = "competition_id"
     if known_competitions is not None:
@@ -152,7 +154,7 @@ def write_partitioned(
         known = F.col("competition_id").isin(*known_competitions)
         df = df.withColumn(folder, F.when(known, F.col("competition_id").cast("string")).otherwise("default"))
     (
-        df.repartition(folder, "match_id").sortWithinPartitions(folder, "match_id", "event_type")
+        df.hint("rebalance", folder, "match_id").sortWithinPartitions(folder, "match_id", "event_type")
         .write.mode(mode).partitionBy(folder).parquet(path)
     )
 
@@ -160,8 +162,12 @@ def write_partitioned(
 def append_events(spark: SparkSession, batch: DataFrame, path: str) -> None:
     """Insert-or-ignore into the stored fact table."""
     if table_exists(spark, path):
-        stored = spark.read.schema(schemas.EVENT).parquet(path)
-        batch = new_rows(stored.select(*EVENT_KEYS), batch)
+        stored = spark.read.schema(schemas.EVENT).parquet(path).select(*EVENT_KEYS)
+        # A batch of a few competitions reads the keys of their folders only.
+        few = [row[0] for row in batch.select("competition_id").distinct().limit(MAX_PRUNED + 1).collect()]
+        if len(few) <= MAX_PRUNED:
+            stored = stored.where(F.col("competition_id").isin(*few))
+        batch = new_rows(stored, batch)
     else:
         batch = first_per_key(batch, EVENT_KEYS)
     write_partitioned(batch, path)
