@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import mixing
+from touchline.llm import mixing, url_templates
 from touchline.llm.common import table
 
 
+def op5_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's url."""
+    return url_templates.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken from every document under the default weights."""
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op10_mixing": op10_mixing}
+QUERIES = {"op5_url_templates": op5_url_templates, "op10_mixing": op10_mixing}
 SQL = {"op10_mixing": mixing.MIX_SQL}
