@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from touchline.llm.common import materialise, prepare
 
 PER_CLASS = 4000  # labelled documents per class that the fit sees, by hash of the id
-FEATURES = 64  # words with the strongest evidence
+FEATURES = 256  # words with the strongest evidence
 FOLDS = 5
 RIDGE = 1.0
 REJECT = 0.5  # probability of the last category from which on a document is toxic
@@ -60,16 +60,17 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, steps: int = 25) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, start: np.ndarray | None = None, ridge: float = RIDGE, steps: int = 25) -> np.ndarray:
     """Weights of a ridge logistic regression (Newton steps); the first column, the intercept, is not shrunk."""
-    w, penalty = np.zeros(x.shape[1]), np.full(x.shape[1], ridge)
+    w = np.zeros(x.shape[1]) if start is None else start.copy()
+    penalty = np.full(x.shape[1], ridge)
     penalty[0] = 1e-6
     for _ in range(steps):
         p = _sigmoid(x @ w)
         curve = (x * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ x + np.diag(penalty)
         move = np.linalg.solve(curve, x.T @ (p - y) + penalty * w)
         w = w - move * min(1.0, 5.0 / max(np.abs(move).max(), 1e-12))
-        if np.abs(move).max() < 1e-6:
+        if np.abs(move).max() < 1e-3:
             break
     return w
 
@@ -84,7 +85,7 @@ def fit_chain(present: np.ndarray, targets: np.ndarray, folds: np.ndarray, n_fol
         for f in range(n_folds):
             held = folds == f
             if held.any():
-                outside[held] = _sigmoid(x[held] @ (_logistic(x[~held], y[~held]) if (~held).any() else links[-1]))
+                outside[held] = _sigmoid(x[held] @ (_logistic(x[~held], y[~held], links[-1]) if (~held).any() else links[-1]))
         earlier = np.column_stack([earlier, outside])
     return links
 
