@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import mixing, pii, toxicity, url_templates
+from touchline.llm import decontamination, mixing, pii, toxicity, url_templates
 from touchline.llm.common import table
 
 
@@ -13,6 +13,11 @@ def op5_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold benchmark items."""
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in every document."""
     return pii.find(table(spark, sf_dir, "documents"))
@@ -29,5 +34,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op5_url_templates": op5_url_templates, "op7_pii": op7_pii, "op8_toxicity": op8_toxicity, "op10_mixing": op10_mixing}
+QUERIES = {"op5_url_templates": op5_url_templates, "op6_decontamination": op6_decontamination, "op7_pii": op7_pii, "op8_toxicity": op8_toxicity, "op10_mixing": op10_mixing}
 SQL = {"op10_mixing": mixing.MIX_SQL}
