@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import decontamination, mixing, pii, toxicity, url_templates
+from touchline.llm import decontamination, mixing, pii, site_style, toxicity, url_templates
 from touchline.llm.common import table
 
 
+def op2_site_style(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return site_style.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on every page's url."""
     return url_templates.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
@@ -34,5 +39,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op5_url_templates": op5_url_templates, "op6_decontamination": op6_decontamination, "op7_pii": op7_pii, "op8_toxicity": op8_toxicity, "op10_mixing": op10_mixing}
+QUERIES = {"op2_site_style": op2_site_style, "op5_url_templates": op5_url_templates, "op6_decontamination": op6_decontamination, "op7_pii": op7_pii, "op8_toxicity": op8_toxicity, "op10_mixing": op10_mixing}
 SQL = {"op10_mixing": mixing.MIX_SQL}
