@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import decontamination, mixing, pii, site_style, toxicity, url_templates
+from touchline.llm import decontamination, mixing, near_duplicates, pii, site_style, toxicity, url_templates
 from touchline.llm.common import table
 
 
@@ -13,6 +13,11 @@ def op2_site_style(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_style.extract(table(spark, sf_dir, "pages"))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document under links of a similarity of 0.85 or more."""
+    return near_duplicates.find(table(spark, sf_dir, "documents"))
+
+
 def op5_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on every page's url."""
     return url_templates.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
@@ -39,5 +44,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op2_site_style": op2_site_style, "op5_url_templates": op5_url_templates, "op6_decontamination": op6_decontamination, "op7_pii": op7_pii, "op8_toxicity": op8_toxicity, "op10_mixing": op10_mixing}
+QUERIES = {"op2_site_style": op2_site_style, "op3_near_duplicates": op3_near_duplicates, "op5_url_templates": op5_url_templates, "op6_decontamination": op6_decontamination, "op7_pii": op7_pii, "op8_toxicity": op8_toxicity, "op10_mixing": op10_mixing}
 SQL = {"op10_mixing": mixing.MIX_SQL}
