@@ -1,14 +1,20 @@
 """Near-duplicate documents by chosen-path set similarity join.
 
 A document is its set of distinct word shingles; documents with the same set are one class. Every class carries
-``SKETCH`` minwise tokens. A node of a chosen-path tree selects ``BRANCH`` of these positions; a class goes to the child
-that its token at a position names. Two sets of similarity s meet below a node with probability 1 - (1 - s p)^BRANCH,
-whatever the depth, where p is that of a child: 0.996 at s = 0.85. ``TREES`` independent trees miss one pair in 10^5.
-
-Small nodes are compared exhaustively. In a larger one every class is first compared with the node's smallest, which
-settles groups of near copies at once; what is left on the other side of known components is compared with the whole
-node if it is little, or branched again. Comparisons go by sketch first (with a margin of five standard errors) and are
-confirmed on the full sets. Only pairs between known components are looked at again, since components are what is asked.
+``SKETCH`` minwise tokens. A node of a chosen-path tree selects some paths of these positions; a class goes to the child
+that its tokens along a path name. At the root a tree selects ``BRANCH`` paths of one token, so two sets of similarity s
+meet with probability 1 - (1 - s)^BRANCH, 0.9966 at s = 0.85, and ``TREES`` independent trees miss one pair in 10^5.
+Below, a node selects ``WAYS`` paths of ``STEPS`` tokens at once: two sets meet again with probability
+1 - (1 - s^STEPS)^WAYS, 0.9999 at s = 0.85, while sets that share half of their shingles are in 0.3 children on average,
+so that large nodes fall apart. Three things happen with the nodes:
+
+1. In every root node each class is compared with the smallest one. That settles most groups of near copies at once.
+2. Nodes of at most ``LEAF`` classes are compared exhaustively by sketch, with a margin of ``MARGIN`` standard errors;
+   larger ones are branched. What may be linked forms candidate groups.
+3. Within a candidate group every pair that is not known to be connected is compared on its full sets. Groups are dealt
+   in pairs of blocks of ``BLOCK`` classes, so no task holds more, however many copies there are.
+
+Only components are asked for, so links within a known component are not looked at again.
 """
 
 from __future__ import annotations
@@ -19,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.common import materialise, prepare
@@ -27,9 +33,11 @@ from touchline.llm.components import components
 
 SHINGLE = 5
 SKETCH = 64  # minwise tokens of a class
-TREES, BRANCH = 2, 3
-LEAF = 32  # nodes up to this size are compared exhaustively, and so many outsiders with the whole of a larger node
-DEPTH = 10  # levels after which what is left is compared whatever its size
+TREES, BRANCH = 2, 3  # independent trees, paths of one token at their roots
+WAYS, STEPS = 20, 6  # paths of a node below, and their tokens
+LEAF = 1024  # nodes up to this size are compared exhaustively
+DEPTH = 4  # levels after which what is left is compared whatever its size, in blocks
+BLOCK = 512  # classes of a block
 MARGIN = 5.0  # standard errors
 
 _MULTIPLY = np.array([xxhash.xxh3_64_intdigest(f"minwise {i}".encode()) | 1 for i in range(SKETCH)], dtype=np.uint64)
@@ -125,27 +133,159 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, top: int, bottom: int) -> Data
     return with_b.select("a", "b", "items_a", "items_b").mapInArrow(compare, "a long, b long")
 
 
-def _children(entries: DataFrame) -> DataFrame:
-    """``node, class_id, sketch`` one level deeper: a child for each position that the node selects."""
-    way = F.explode(F.array(*map(F.lit, range(BRANCH)))).alias("way")
+def _children(entries: DataFrame, ways: int, steps: int) -> DataFrame:
+    """``node, class_id`` one level deeper: a child for each path of ``steps`` positions that the node selects."""
+    way = F.explode(F.array(*map(F.lit, range(ways)))).alias("way")
+    places = [F.pmod(F.xxhash64("node", "way", F.lit(i)), F.lit(SKETCH)).cast("int") for i in range(steps)]
     entries = entries.select("node", "class_id", "sketch", way)
-    place = F.pmod(F.xxhash64("node", "way"), F.lit(SKETCH)).cast("int")
-    return entries.select(F.xxhash64("node", "way", F.get("sketch", place)).alias("node"), "class_id", "sketch")
+    return entries.select(F.xxhash64("node", "way", *[F.get("sketch", p) for p in places]).alias("node"), "class_id")
 
 
-def _alike(a: str, b: str, least: int):
+def _alike(a: str, b: str, least: int) -> Column:
     same = F.aggregate(F.arrays_zip(F.col(a).alias("x"), F.col(b).alias("y")), F.lit(0), lambda n, z: n + (z["x"] == z["y"]).cast("int"))
     return same >= least
 
 
 def _shared(entries: DataFrame) -> DataFrame:
     """Entries of nodes with at least two of them, with the node's size and smallest class."""
+    entries = materialise(entries.distinct(), "near-children")  # hashes of paths, read twice
     sizes = entries.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("class_id").alias("lead")).filter("n > 1")
     return entries.join(sizes, "node")
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _dealt(rows: DataFrame, group: str, block: int) -> DataFrame:
+    """``rows`` (group, class_id, component, ..) of open groups, copied to pairs of blocks: ``task, own`` are added.
+
+    The largest component of a group is its main side. Blocks hold either main classes or others, and two blocks of the
+    main side never meet, since what they hold is connected already.
+    """
+    sides = rows.groupBy(group, "component").agg(F.count(F.lit(1)).alias("side"))
+    sizes = sides.groupBy(group).agg(
+        F.max(F.struct("side", "component")).alias("main"), F.sum("side").alias("n"), F.count(F.lit(1)).alias("sides")
+    )
+    rows = rows.join(sizes.filter("sides > 1"), group)
+    main = F.col("component") == F.col("main.component")
+    others = F.ceil((F.col("n") - F.col("main.side")) / block).cast("long")
+    blocks = F.ceil(F.col("main.side") / block).cast("long")
+    place = F.xxhash64("class_id")
+    own = F.when(main, others + F.pmod(place, blocks)).otherwise(F.pmod(place, others))
+    rows = rows.withColumn("own", own).withColumn("others", others).withColumn("all", others + blocks)
+    meets = F.filter(F.sequence(F.lit(0).cast("long"), F.col("all") - 1), lambda o: (F.col("own") < F.col("others")) | (o < F.col("others")))
+    rows = rows.withColumn("met", F.explode(meets))
+    task = F.xxhash64(group, F.least("own", "met"), F.greatest("own", "met")).alias("task")
+    return rows.select("*", task).drop("main", "side", "sides", "n", "others", "all", "met", group)
+
+
+class _Union:
+    """Union-find over the rows of a task."""
+
+    def __init__(self, component: np.ndarray):
+        _, self.up = np.unique(component, return_inverse=True)
+        self.at = self.up.copy()
+        self.up = np.arange(self.up.max() + 1 if len(self.up) else 0)
+
+    def root(self, i: int) -> int:
+        r = self.at[i]
+        while self.up[r] != r:
+            self.up[r] = self.up[self.up[r]]
+            r = self.up[r]
+        return int(r)
+
+    def join(self, i: int, j: int) -> bool:
+        x, y = self.root(i), self.root(j)
+        self.up[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _runs(chunks: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each task, from batches sorted by task (the first column)."""
+    held: list[pa.RecordBatch] = []
+    for chunk in chunks:
+        if not chunk.num_rows:
+            continue
+        key = chunk.column(0).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
+        for a, b in zip(cuts, cuts[1:]):
+            if held and held[-1].column(0)[0].as_py() != key[a]:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(chunk.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _packed(rows: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*rows) if rows else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _compared(dealt: DataFrame, payload: str, neighbours) -> DataFrame:
+    """Links ``a, b`` that connect what ``neighbours(i, rows)`` says is alike, per task: a spanning forest of them."""
+
+    def compare(chunks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple[int, int]] = []
+        for rows in _runs(chunks):
+            ids, component, own = (rows.column(c).to_numpy() for c in ("class_id", "component", "own"))
+            if len(ids) < 2:
+                continue
+            union, data = _Union(component), neighbours(rows.column(payload).combine_chunks())
+            two = own.min() != own.max()
+            for i in range(len(ids) - 1):
+                later = np.flatnonzero(data(i))
+                later = later[(later > i) & (component[later] != component[i])]
+                if two:
+                    later = later[own[later] != own[i]]
+                found += [(int(ids[i]), int(ids[j])) for j in later.tolist() if union.join(i, j)]
+            if len(found) > 5000:
+                yield _packed(found)
+                found = []
+        yield _packed(found)
+
+    spread = dealt.select("task", "class_id", "component", "own", payload).repartition("task").sortWithinPartitions("task")
+    return spread.mapInArrow(compare, "a long, b long")
+
+
+def _by_sketch(least: int):
+    def prepared(column: pa.Array):
+        tokens = column.flatten().to_numpy().reshape(-1, SKETCH)
+        return lambda i: (tokens == tokens[i]).sum(1) >= least
+
+    return prepared
+
+
+def _by_set(top: int, bottom: int):
+    def prepared(column: pa.Array):
+        sets = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in column]
+        sizes = np.array([len(x) for x in sets])
+        _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        mark = np.zeros(flat.max() + 1, dtype=np.int32)
+
+        def alike(i: int) -> np.ndarray:
+            mine = flat[starts[i] : starts[i] + sizes[i]]
+            mark[mine] = 1
+            both = np.add.reduceat(mark[flat], starts)
+            mark[mine] = 0
+            return bottom * both >= top * (sizes + sizes[i] - both)
+
+        return alike
+
+    return prepared
+
+
+def _labelled(classes: DataFrame, links: DataFrame | None, fallback: str = "class_id") -> DataFrame:
+    """``classes`` with the component that ``links`` give each class, else its own id."""
+    if links is None:
+        return classes.withColumn("component", F.col(fallback))
+    known = materialise(components(links), "near-known").select(F.col("node").alias("class_id"), "component")
+    return classes.join(known, "class_id", "left").withColumn("component", F.coalesce("component", fallback))
+
+
+def _stars(entries: DataFrame, least: int) -> DataFrame:
+    """Pairs of every class of a node with its smallest one, alike by sketch."""
+    lead = entries.filter("class_id = lead").select("node", F.col("class_id").alias("a"), F.col("sketch").alias("sketch_a"))
+    pairs = entries.filter("class_id <> lead").join(lead, "node").filter(_alike("sketch", "sketch_a", least))
+    return pairs.select("a", F.col("class_id").alias("b")).distinct()
 
 
 def find(docs: DataFrame, top: int = 85, bottom: int = 100) -> DataFrame:
@@ -155,63 +295,46 @@ def find(docs: DataFrame, top: int = 85, bottom: int = 100) -> DataFrame:
     it is kept. Rows that repeat an id share its component if they share its set; other columns are not looked at.
     """
     prepare(docs.sparkSession)
-    least = max(1, math.ceil(SKETCH * (top / bottom) - MARGIN * math.sqrt(SKETCH * (top / bottom) * (1 - top / bottom))))
+    share = top / bottom
+    least = max(1, math.ceil(SKETCH * share - MARGIN * math.sqrt(SKETCH * share * (1 - share))))
     rows = materialise(_described(docs), "near-rows")
     told = rows.filter("key IS NOT NULL AND doc_id IS NOT NULL")
     classes = told.groupBy("key").agg(F.min("doc_id").alias("class_id"), F.first("sketch").alias("sketch"))
-    # An id with several texts may lead several classes: they are one node of the graph, each with its own set.
     classes = materialise(classes, "near-classes")
-    keys = classes.select("class_id", "key").dropDuplicates(["class_id"])
+    # An id with several texts may lead several classes; one of them stands for it.
+    heads = materialise(classes.dropDuplicates(["class_id"]), "near-heads")
+    sketches, keys = heads.select("class_id", "sketch"), heads.select("class_id", "key")
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        return _sets(docs, materialise(ids.select("class_id").distinct().join(keys, "class_id"), "near-wanted"))
+
     tree = F.explode(F.array(*[F.lit(t).cast("long") for t in range(TREES)])).alias("node")
-    entries = _children(classes.select(tree, "class_id", "sketch"))
-    links, known, sets = None, None, None
+    entries = _shared(_children(heads.select(tree, "class_id", "sketch"), BRANCH, 1)).join(sketches, "class_id")
+    entries = materialise(entries, "near-entries")
+    pairs = materialise(_stars(entries, least), "near-stars")
+    both = pairs.select(F.col("a").alias("class_id")).unionByName(pairs.select(F.col("b").alias("class_id")))
+    sets = materialise(sets_of(both), "near-sets")
+    links = materialise(_confirmed(pairs, sets, top, bottom), "near-links")
+    settled = materialise(_labelled(heads.select("class_id"), links), "near-settled")
+    maybe = links
     for depth in range(DEPTH + 1):
-        entries = materialise(_shared(entries), "near-entries")
-        if known is not None:
-            labels = known.select(F.col("node").alias("class_id"), "component")
-            entries = entries.join(labels, "class_id", "left").withColumn("component", F.coalesce("component", "class_id"))
-        else:
-            entries = entries.withColumn("component", F.col("class_id"))
-        by_side = entries.groupBy("node", "component").agg(F.count(F.lit(1)).alias("side"))
-        main = by_side.groupBy("node").agg(F.max(F.struct("side", "component")).alias("main"), F.count(F.lit(1)).alias("sides"))
-        open_ = materialise(entries.join(main.filter("sides > 1"), "node"), "near-open")
-        if open_.isEmpty():
+        entries = entries.join(settled, "class_id")
+        sides = entries.groupBy("node").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
+        entries = materialise(entries.join(sides.select("node"), "node"), "near-open")
+        leaf = F.col("n") <= (LEAF if depth < DEPTH else 1 << 62)
+        maybe = maybe.unionByName(materialise(_compared(_dealt(entries.filter(leaf).drop("n", "lead"), "node", LEAF), "sketch", _by_sketch(least)), "near-maybe"))
+        entries = entries.filter(~leaf)
+        if entries.isEmpty():
             break
-        side = ["node", "class_id", "sketch", "component"]
-        lead = open_.filter("class_id = lead").select("node", *[F.col(c).alias(f"{c}_a") for c in side[1:]]).dropDuplicates(["node"])
-        stars = open_.filter("class_id <> lead AND n > 2").join(lead, "node").filter("component <> component_a")
-        few = F.col("n") <= LEAF if depth < DEPTH else F.lit(True)
-        small = open_.filter(few)
-        other = small.select("node", *[F.col(c).alias(f"{c}_a") for c in side[1:]])
-        inside = small.select(*side).join(other, "node").filter("class_id_a < class_id AND component <> component_a")
-        outsiders = (F.col("n") - F.col("main.side") <= LEAF) & (F.col("n") > LEAF) & F.lit(depth < DEPTH)
-        out = open_.filter(outsiders & (F.col("component") != F.col("main.component")))
-        out = out.select("node", *[F.col(c).alias(f"{c}_a") for c in side[1:]])
-        across = open_.filter(outsiders).select(*side).join(out, "node").filter("component <> component_a")
-        pairs = None
-        for some in (stars, inside, across):
-            some = some.filter(_alike("sketch", "sketch_a", least)).select(F.col("class_id_a").alias("a"), F.col("class_id").alias("b"))
-            pairs = some if pairs is None else pairs.unionByName(some)
-        pairs = materialise(_ordered(pairs), "near-pairs")
-        if not pairs.isEmpty():
-            ids = pairs.select(F.col("a").alias("class_id")).unionByName(pairs.select(F.col("b").alias("class_id"))).distinct()
-            if sets is not None:
-                ids = ids.join(sets.select("class_id"), "class_id", "left_anti")
-            ids = materialise(ids.join(keys, "class_id"), "near-wanted")
-            if not ids.isEmpty():
-                new = materialise(_sets(docs, ids), "near-sets")
-                sets = new if sets is None else sets.unionByName(new)
-            new_links = materialise(_confirmed(pairs, sets, top, bottom), "near-links")
-            links = new_links if links is None else links.unionByName(new_links)
-            known = materialise(components(links), "near-known")
-        # Settled: small nodes (compared), nodes with few outsiders (compared); the rest is branched again.
-        entries = _children(open_.filter((F.col("n") > LEAF) & (F.col("n") - F.col("main.side") > LEAF)))
-    members = classes.select("key", "class_id")
-    if known is not None:
-        members = members.join(known.select(F.col("node").alias("class_id"), "component"), "class_id", "left")
-    else:
-        members = members.withColumn("component", F.lit(None).cast("long"))
-    members = members.select("key", F.coalesce("component", "class_id").alias("component"))
+        entries = materialise(_shared(_children(entries, WAYS, STEPS)).join(sketches, "class_id"), "near-entries")
+    groups = _labelled(settled.withColumnRenamed("component", "settled"), maybe).withColumnRenamed("component", "group")
+    groups = groups.withColumnRenamed("settled", "component")
+    open_ = groups.groupBy("group").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
+    open_ = materialise(groups.join(open_.select("group"), "group"), "near-groups")
+    sets = materialise(sets_of(open_), "near-sets")
+    more = _compared(_dealt(open_, "group", BLOCK).join(sets, "class_id"), "items", _by_set(top, bottom))
+    links = links.unionByName(materialise(more, "near-links"))
+    members = _labelled(classes.select("key", "class_id"), links).select("key", "component")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")
     done = rows.select("doc_id", "n_shingles", "key").join(members, "key", "left").select("doc_id", "n_shingles", component)
     return done.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
