@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from touchline.llm import decontamination, mixing, near_duplicates, pii, site_style, toxicity, url_templates
+from touchline.llm import decontamination, mixing, near_duplicates, pii, site_style, substring_dedup, toxicity, url_templates
 from touchline.llm.common import table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words that stand in repeated windows, as a digest."""
+    out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op2_site_style(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return site_style.extract(table(spark, sf_dir, "pages"))
@@ -44,5 +51,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op2_site_style": op2_site_style, "op3_near_duplicates": op3_near_duplicates, "op5_url_templates": op5_url_templates, "op6_decontamination": op6_decontamination, "op7_pii": op7_pii, "op8_toxicity": op8_toxicity, "op10_mixing": op10_mixing}
+QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op2_site_style": op2_site_style, "op3_near_duplicates": op3_near_duplicates, "op5_url_templates": op5_url_templates, "op6_decontamination": op6_decontamination, "op7_pii": op7_pii, "op8_toxicity": op8_toxicity, "op10_mixing": op10_mixing}
 SQL = {"op10_mixing": mixing.MIX_SQL}
