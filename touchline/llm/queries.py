@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import decontamination, mixing, near_duplicates, pii, site_style, substring_dedup, toxicity, url_templates
+from touchline.llm import decontamination, mixing, near_duplicates, pii, quality, site_style, substring_dedup, toxicity, url_templates
 from touchline.llm.common import table
 
 
@@ -25,6 +25,11 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.find(table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posterior of every document and whether it is kept."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 def op5_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on every page's url."""
     return url_templates.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
@@ -51,5 +56,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op2_site_style": op2_site_style, "op3_near_duplicates": op3_near_duplicates, "op5_url_templates": op5_url_templates, "op6_decontamination": op6_decontamination, "op7_pii": op7_pii, "op8_toxicity": op8_toxicity, "op10_mixing": op10_mixing}
+QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op2_site_style": op2_site_style, "op3_near_duplicates": op3_near_duplicates, "op4_quality": op4_quality, "op5_url_templates": op5_url_templates, "op6_decontamination": op6_decontamination, "op7_pii": op7_pii, "op8_toxicity": op8_toxicity, "op10_mixing": op10_mixing}
 SQL = {"op10_mixing": mixing.MIX_SQL}

@@ -162,7 +162,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, unit_bytes: int = UNIT
     spark = prepare(docs.sparkSession)
     size = docs.select(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0  # one row
     units, buckets = max(1, round(size / unit_bytes)), max(1, round(size / 6 / bucket_keys))
-    tasks = min(units, parts_for(spark, size, 16 * unit_bytes))
+    tasks = parts_for(spark, size, 16 * unit_bytes)
     spread = docs.select(
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(units)).alias("unit"), F.col("doc_id").cast("long"), "text"
     ).repartition(tasks, "unit")
