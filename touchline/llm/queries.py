@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import decontamination, mixing, near_duplicates, pii, quality, site_style, substring_dedup, toxicity, url_templates
+from touchline.llm import decontamination, embedding_graph, mixing, near_duplicates, pii, quality, site_style, substring_dedup, toxicity, url_templates
 from touchline.llm.common import table
 
 
@@ -50,11 +50,16 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_embedding_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector under a cosine of 0.9 or more."""
+    return embedding_graph.find(table(spark, sf_dir, "embeddings"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken from every document under the default weights."""
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op2_site_style": op2_site_style, "op3_near_duplicates": op3_near_duplicates, "op4_quality": op4_quality, "op5_url_templates": op5_url_templates, "op6_decontamination": op6_decontamination, "op7_pii": op7_pii, "op8_toxicity": op8_toxicity, "op10_mixing": op10_mixing}
+QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op2_site_style": op2_site_style, "op3_near_duplicates": op3_near_duplicates, "op4_quality": op4_quality, "op5_url_templates": op5_url_templates, "op6_decontamination": op6_decontamination, "op7_pii": op7_pii, "op8_toxicity": op8_toxicity, "op9_embedding_graph": op9_embedding_graph, "op10_mixing": op10_mixing}
 SQL = {"op10_mixing": mixing.MIX_SQL}
