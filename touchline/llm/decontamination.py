@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -242,11 +243,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, b
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, block: int = BLOCK) -> DataFrame:
     """The rows of ``docs`` that no item contaminates, with their columns; rows are judged one by one, nothing is moved."""
     for part in blocks(benchmark, block):
-        shared = docs.sparkSession.sparkContext.broadcast(part)
+        docs = docs.filter(_clean(docs.sparkSession.sparkContext.broadcast(part), cover)("text"))
+    return docs
 
-        @F.pandas_udf("boolean")
-        def clean(text: pd.Series, shared=shared) -> pd.Series:
-            return pd.Series([not matches(t, shared.value, cover) for t in text], dtype=bool)
 
-        docs = docs.filter(clean("text"))
-    return docs
+def _clean(shared: Broadcast, cover: float):
+    @F.pandas_udf("boolean")
+    def clean(text: pd.Series) -> pd.Series:
+        return pd.Series([not matches(t, shared.value, cover) for t in text], dtype=bool)
+
+    return clean

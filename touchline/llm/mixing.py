@@ -105,6 +105,15 @@ def mix(
     )
 
 
+def mixed(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, with a column ``copies``; rows that repeat an id and a size go alike."""
+    taken = mix(docs, **options).filter("copies > 0").groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies"))
+    taken = taken.toDF("mix_id", "mix_source", "mix_size", "copies")
+    same = docs["doc_id"].eqNullSafe(F.col("mix_id")) & docs["source"].eqNullSafe(F.col("mix_source")) & (F.col("mix_words") == F.col("mix_size"))
+    rows = docs.drop("copies").withColumn("mix_words", word_count(F.col("text")))
+    return rows.join(taken, same).drop("mix_words", "mix_id", "mix_source", "mix_size")
+
+
 MIX_SQL = rf"""
 WITH sizes AS (
   SELECT doc_id, source, CAST(COALESCE(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size

@@ -29,7 +29,7 @@ ADDED = ("secret", "key")
 KINDS = (*BASE, *ADDED)
 TYPES = ("other", *KINDS)
 
-TRAIN_LINES = 600  # lines with triggers that the fit sees, by hash
+TRAIN_DOCUMENTS, TRAIN_LINES = 20_000, 600  # documents, and of their lines with triggers, that the fit sees, by hash
 MAX_TOKENS = 5  # longest segment
 BUCKETS = 1 << 14  # hashed features
 EPOCHS, RATE, RIDGE = 3, 0.3, 1e-4
@@ -262,11 +262,16 @@ def all_spans(text: str | None, weights: np.ndarray | None) -> list[Span]:
     return sorted(base + added, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
-def fit(docs: DataFrame, lines: int = TRAIN_LINES) -> np.ndarray | None:
-    """Weights from a bounded sample of the lines of ``docs`` that have a trigger, in order of a hash."""
+def fit(docs: DataFrame, documents: int = TRAIN_DOCUMENTS, lines: int = TRAIN_LINES) -> np.ndarray | None:
+    """Weights from a bounded sample: about ``documents`` documents by a hash of the id, and ``lines`` of their lines.
+
+    Documents are drawn by a threshold on the hash, so that tasks send lines of the sample only; null ids count too.
+    """
     prepare(docs.sparkSession)
+    share = min(1.0, documents / max(1, docs.count()))
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit("pii")), F.lit(1 << 30)) < int(share * (1 << 30))
     line = F.explode(F.split("text", "\n")).alias("line")
-    some = docs.select(line).filter(F.col("line").rlike(_TRIGGER.pattern) & (F.length("line") <= 4000))
+    some = docs.filter(drawn).select(line).filter(F.col("line").rlike(_TRIGGER.pattern) & (F.length("line") <= 4000))
     picked = some.orderBy(F.xxhash64("line"), "line").limit(lines).collect()  # bounded: lines x 4000 characters
     return train([r["line"] for r in picked])
 
