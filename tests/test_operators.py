@@ -223,7 +223,7 @@ def test_running_sum_with_one_partition_holding_most_rows(spark):
 def test_rank_shares_ties_and_puts_nulls_first(spark):
     rows = [("a", 5), ("a", 5), ("a", 9), ("a", None), ("a", 1), ("b", 2)] + [("c", i // 3) for i in range(300)]
     df = spark.createDataFrame(rows, "k string, v long")
-    got = sorted((r.k, r.v if r.v is not None else -1, r.r) for r in running.rank_desc(df, ["k"], "v", "r").collect())
+    got = sorted((r.k, r.v if r.v is not None else -1, r.r) for r in running.rank_rows(df, ["k"], "v", "r").collect())
     frame = df.toPandas()
     want = []
     for key, group in frame.groupby("k"):

@@ -144,16 +144,18 @@ def test_clips(spark, tmp_path):
     assert set(got) == {"a", "b", "d"} and (got["b"]["rank"], got["a"]["rank"], got["d"]["rank"]) == (1, 2, 1)
     assert (got["a"].start_ms, got["a"].end_ms, got["a"].code) == (0, 6000, "xT_ACTION_02")
     assert (got["b"].start_ms, got["b"].end_ms) == (597000, 605000)
-    assert got["a"].label == "xT: 0.1235 | Type: Pass | Player: Ada B | Team: Reds | From: (10.0, 20.0) | To: (30.3, 40.0) | Under Pressure: Yes"
+    assert got["a"].label == "xT: 0.1235 | Type: Pass | Player: Ada B | Team: Reds | From: (10.0, 20.0) | To: (30.2, 40.0) | Under Pressure: Yes"
     assert got["b"].label == "xT: 0.5000 | xG: 0.2500 | Type: Carry | Player: Unknown | Team: Reds | From: (1.0, 2.0)"
     path = str(tmp_path / "xml")
     tables.write_clips_xml(clips, path)
-    text = "".join(p.read_text() for p in Path(path).glob("instances/match_id=5/*.xml"))
-    for part in ("<file>", "<instance>", "<ID>1</ID>", "<code>xT_ACTION_02</code>", "<pos_x>10.00</pos_x>", "<xt_value>0.500000</xt_value>", "<player>Unknown</player>"):
+    (file,) = Path(path).glob("match_id=5/*.txt")
+    text = file.read_text()
+    assert text.startswith("<file><ALL_INSTANCES><instance>") and "</ALL_INSTANCES><SEQUENCE>" in text
+    for part in ("<action_count>2</action_count>", "<ID>1</ID>", "<code>xT_ACTION_02</code>", "<pos_x>10.00</pos_x>", "<xt_value>0.500000</xt_value>", "<player>Unknown</player>"):
         assert part in text
     assert text.count("<instance>") == 2 and text.count("<end_pos_x>") == 1
-    back = spark.read.format("xml").option("rowTag", "SEQUENCE").load(f"{path}/sequence")
-    assert ids(back, "match_id", "action_count") == [(5, 2), (6, 1)]
+    back = spark.read.format("xml").option("rowTag", "instance").load(f"{path}/match_id=6")
+    assert [(r["ID"], r["label"]["event_type"]) for r in back.collect()] == [(1, "Pass")]
 
 
 def test_match_document(spark):

@@ -29,14 +29,27 @@ def clip_code(rank: Column) -> Column:
 def fixed(value: Column, digits: int) -> Column:
     """A number as text with a fixed count of decimals, rounded on its binary value as printf does.
 
-    A direct cast to decimal would round the shortest decimal form instead: 0.5035 is stored a little below
-    that and prints as 0.503.
+    A cast to decimal would round the shortest decimal form instead: 0.0045 is stored a little below that and
+    prints as 0.004. The product with the power of ten is rounded too, so a half is settled by what that
+    rounding left out (the product of the halves of the value's digits is exact); a true half goes to the even
+    number.
     """
-    units = F.floor(F.abs(value) * F.lit(10.0**digits) + F.lit(0.5))
-    signed = F.when(value < 0, -units).otherwise(units) / F.lit(10.0**digits)
-    return signed.cast(f"decimal(18,{digits})").cast("string")
-
-
+    power = F.lit(float(10**digits))
+    size = F.abs(value.cast("double"))
+    product = size * power
+    spread = size * F.lit(float(2**27 + 1))
+    high = spread - (spread - size)
+    left_out = (high * power - product) + (size - high) * power
+    below = F.floor(product)
+    part = product - below
+    half_up = F.when(left_out != 0, left_out > 0).otherwise(below % 2 == 1)
+    up = F.when(part == 0.5, half_up).otherwise(part > 0.5)
+    units = below + up.cast("bigint")
+    text = (units / power).cast(f"decimal(18,{digits})").cast("string")
+    return F.when(value < 0, F.concat(F.lit("-"), text)).otherwise(text)
+
+
+# The wording of the clip line, of the labels and of the sentences below.
 def clip_label() -> Column:
     """One line per clip; parts without a value are left out. Reads the clip columns by name."""
     c = F.col

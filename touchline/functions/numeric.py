@@ -10,6 +10,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SNAP_DIGITS = 8
+# Up to here a value in units of the last snapped digit is a bigint; from WHOLE on a double has no decimals to round.
+MOST = 9e10
+WHOLE = 1e15
+
+
+def _wide(value: Column, digits: int) -> Column:
+    """Rounding of a large value >= 0 as a decimal, which holds all of its digits."""
+    exact = F.round(F.least(value, F.lit(WHOLE)).cast("decimal(38,8)"), digits).cast("double")
+    return F.when(value >= WHOLE, value).otherwise(exact)
 
 
 def _snap(value: Column, digits: int) -> Column:
@@ -22,14 +31,18 @@ def _snap(value: Column, digits: int) -> Column:
 
 def round_pos(value: Column, digits: int) -> Column:
     """Round a value known to be >= 0 half up, after snapping to eight digits like a decimal cast."""
-    return _snap(value.cast("double"), digits) / F.lit(float(10**digits))
+    value = value.cast("double")
+    small = _snap(value, digits) / F.lit(float(10**digits))
+    return F.when(value > MOST, _wide(value, digits)).otherwise(small)
 
 
 def round_any(value: Column, digits: int) -> Column:
     """Round half away from zero."""
     value = value.cast("double")
     units = _snap(F.abs(value), digits)
-    return F.when(value < 0, -units).otherwise(units) / F.lit(float(10**digits))
+    small = F.when(value < 0, -units).otherwise(units) / F.lit(float(10**digits))
+    wide = F.signum(value) * _wide(F.abs(value), digits)
+    return F.when(F.abs(value) > MOST, wide).otherwise(small)
 
 
 def to_units(value: Column, digits: int) -> Column:
@@ -38,7 +51,10 @@ def to_units(value: Column, digits: int) -> Column:
 
 
 def exact_sum(value: Column, digits: int) -> Column:
-    """Order-independent sum of a column with at most ``digits`` decimals (nulls are skipped)."""
+    """Order-independent sum of a column with at most ``digits`` decimals (nulls are skipped).
+
+    The sum of the units is a bigint: at six digits it holds totals up to 9 * 10^12.
+    """
     return F.sum(to_units(value, digits)) / F.lit(float(10**digits))
 
 

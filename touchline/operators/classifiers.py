@@ -11,7 +11,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchline.functions.numeric import round_pos
@@ -27,6 +27,9 @@ FEW_SHOTS = 50
 MIN_PASSES = 500
 TRAIN_SAMPLE = 300_000
 SEED = 42
+# Trees are grown on partitions of about this many rows; a small table is not spread over many tasks.
+PARTITION_ROWS = 50_000
+HASH_BINS = 4096
 
 
 @dataclass(frozen=True)
@@ -51,9 +54,15 @@ class TrainingError(RuntimeError):
     """The data cannot carry a model."""
 
 
-def hash_share(key: str, seed: int):
-    """A number in [0, 1) fixed by the row's id: the same on every run and every retry of a task."""
-    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1_000_000)) / F.lit(1e6)
+def hash_number(key: str, seed: int) -> Column:
+    """A whole number below 2^52 fixed by the row's id, the same on every run, in every task and in any engine."""
+    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"/{seed}")))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint")
+
+
+def hash_share(key: str, seed: int) -> Column:
+    """The same as a number in [0, 1)."""
+    return hash_number(key, seed) / F.lit(float(1 << 52))
 
 
 def training_sample(rows: DataFrame, n: int = TRAIN_SAMPLE, key: str = "event_id", seed: int = SEED) -> DataFrame:
@@ -62,19 +71,59 @@ def training_sample(rows: DataFrame, n: int = TRAIN_SAMPLE, key: str = "event_id
     return rows if total <= n else rows.where(hash_share(key, seed) < F.lit(n / total))
 
 
+def split_parts(rows: DataFrame, label: str, test: float = 0.2, key: str = "event_id", seed: int = SEED) -> DataFrame:
+    """Rows with a label and their ``part``: of each label the share ``test`` with the lowest hashes is the test part.
+
+    The size of a label's test part is rounded down. The hash where it ends is found in a histogram, so only
+    one bin of each label is ordered.
+    """
+    kept = rows.where(F.col(label).isNotNull()).withColumn("_hash", hash_number(key, seed + 1))
+    kept = materialise(kept.withColumn("_bin", F.expr(f"_hash div {(1 << 52) // HASH_BINS}")), "split")
+    bins = kept.groupBy(F.col(label).alias("_label"), F.col("_bin").alias("_edge")).agg(F.count("*").alias("_n"))
+    upto = Window.partitionBy("_label").orderBy("_edge").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy("_label")
+    bins = bins.withColumns({"_before": F.coalesce(F.sum("_n").over(upto), F.lit(0)),
+                             "_wanted": F.floor(F.sum("_n").over(every) * F.lit(test))})
+    edge = bins.where((F.col("_before") <= F.col("_wanted")) & (F.col("_before") + F.col("_n") > F.col("_wanted")))
+    kept = kept.join(F.broadcast(edge.drop("_n")), F.col(label) == F.col("_label"))  # a row per label
+    place = F.row_number().over(Window.partitionBy(label).orderBy("_hash", key))
+    inside = kept.where("_bin = _edge").withColumn("_test", F.col("_before") + place <= F.col("_wanted"))
+    outside = kept.where("_bin <> _edge").withColumn("_test", F.col("_bin") < F.col("_edge"))
+    part = F.when(F.col("_test"), "test").otherwise("train")
+    return outside.unionByName(inside).select(*rows.columns, part.alias("part"))
+
+
 def stratified_split(
     rows: DataFrame, label: str, test: float = 0.2, key: str = "event_id", seed: int = SEED
 ) -> tuple[DataFrame, DataFrame]:
-    """Train and test parts with the same share of every label, in expectation, and no row in both."""
-    is_test = hash_share(key, seed + 1) < F.lit(test)
-    kept = rows.where(F.col(label).isNotNull())
-    return kept.where(~is_test), kept.where(is_test)
+    """Train and test parts with the same share of every label and no row in both."""
+    parts = materialise(split_parts(rows, label, test, key, seed), "parts")
+    return tuple(parts.where(F.col("part") == name).drop("part") for name in ("train", "test"))
+
+
+def stratified_folds(rows: DataFrame, label: str, folds: int, key: str = "event_id", seed: int = SEED) -> DataFrame:
+    """``rows`` with a ``fold``: each label's rows are cut at the quantiles of their hash, so folds share it alike."""
+    rows = rows.withColumn("_hash", hash_number(key, seed))
+    cuts = [i / folds for i in range(1, folds)]
+    edges = rows.groupBy(F.col(label).alias("_label")).agg(F.percentile_approx("_hash", cuts, 100_000).alias("_cuts"))
+    joined = rows.join(F.broadcast(edges), F.col(label) == F.col("_label"))  # a row per label
+    fold = F.size(F.filter("_cuts", lambda cut: cut < F.col("_hash")))
+    return joined.withColumn("fold", fold).drop("_label", "_cuts", "_hash")
+
+
+def _gathered(rows: DataFrame, size: int) -> DataFrame:
+    return rows.coalesce(max(1, -(-size // PARTITION_ROWS)))
 
 
 def _assemble(rows: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(rows)
 
 
+def assembled(passes: DataFrame) -> DataFrame:
+    """Passes with the feature vector that the xP model reads."""
+    return _assemble(passes, XP_FEATURES)
+
+
 def _margin(scored: DataFrame, out: str) -> DataFrame:
     value = F.get(vector_to_array("rawPrediction"), F.lit(1))
     return scored.withColumn(out, value).drop("rawPrediction", "probability", "prediction")
@@ -109,26 +158,29 @@ class CalibratedModel:
         return cls([PipelineModel.load(f"{path.rstrip('/')}/fold-{i}") for i in range(folds)], features)
 
 
-def _fit_fold(data: DataFrame, label: str, settings: TreeSettings, fold: int) -> PipelineModel:
+def _fit_fold(data: DataFrame, label: str, settings: TreeSettings, fold: int) -> tuple[PipelineModel, float | None]:
+    """The fold's model and the AUC of its trees on the rows they have not seen."""
     trees = settings.classifier(label).fit(data.where(F.col("fold") != fold))
     held = _margin(trees.transform(data.where(F.col("fold") == fold)), "_margin")
     held = VectorAssembler(inputCols=["_margin"], outputCol="_m").transform(held)
     sigmoid = LogisticRegression(
         labelCol=label, featuresCol="_m", rawPredictionCol="_raw", probabilityCol="_prob", predictionCol="_pred"
     ).fit(held)
-    return PipelineModel([trees, sigmoid])
+    unseen = held.select(label, (1 / (1 + F.exp(-2 * F.col("_margin")))).alias("_p"))
+    return PipelineModel([trees, sigmoid]), classifier_metrics(unseen, label, "_p").first()["auc"]
 
 
 def fit_calibrated(
-    rows: DataFrame, label: str, features: Sequence[str], settings: TreeSettings, folds: int
-) -> CalibratedModel:
-    """One ensemble per fold, trained on the other folds and calibrated on its own."""
-    fold = F.floor(hash_share("event_id", SEED) * folds).cast("int")
-    data = _assemble(rows, features).select("event_id", label, "features", fold.alias("fold")).persist()
+    rows: DataFrame, label: str, features: Sequence[str], settings: TreeSettings, folds: int, size: int
+) -> tuple[CalibratedModel, float | None]:
+    """One ensemble per fold, trained on the other folds and calibrated on its own, and their mean hold-out AUC."""
+    dealt = stratified_folds(_assemble(rows, features).select("event_id", label, "features"), label, folds)
+    data = _gathered(dealt, size).persist()
     try:
         fits = [partial(_fit_fold, data, label, settings, i) for i in range(folds)]
-        models = run_together(rows.sparkSession, fits)
-        return CalibratedModel(models, features)
+        fitted = run_together(rows.sparkSession, fits)
+        scores = [auc for _, auc in fitted if auc is not None]
+        return CalibratedModel([model for model, _ in fitted], features), sum(scores) / len(scores) if scores else None
     finally:
         data.unpersist()
 
@@ -138,7 +190,8 @@ def train_xg(
 ) -> tuple[CalibratedModel, dict]:
     """Calibrated shot model and its metrics. ``shots`` is :func:`features.xg_features`.
 
-    Fails without shots, without goals, or when the model does not separate them. The metrics are in-sample.
+    Fails without shots, without goals, or when the model does not separate them. ``holdout_auc`` is the mean over the
+    folds of the AUC on the rows a fold's trees have not seen; the other metrics are in-sample.
     """
     data = materialise(shots, "xg-training")
     size, goals = data.agg(F.count("*"), F.coalesce(F.sum("is_goal"), F.lit(0))).first()
@@ -149,11 +202,11 @@ def train_xg(
     if size < FEW_SHOTS:
         log.warning("only %d shots: expected goals will be unreliable", size)
     folds = min(max_folds, max(2, int(goals)))
-    model = fit_calibrated(data, "is_goal", XG_FEATURES, settings, folds)
+    model, holdout = fit_calibrated(data, "is_goal", XG_FEATURES, settings, folds, size)
     metrics = classifier_metrics(model.score(data, "xg_value"), "is_goal", "xg_value").first().asDict()
     report = {
         "roc_auc": metrics["auc"], "brier_score": metrics["brier_score"], "expected_goals": metrics["expected_positives"],
-        "actual_goals": metrics["actual_positives"], "total_shots": metrics["n_rows"],
+        "actual_goals": metrics["actual_positives"], "total_shots": metrics["n_rows"], "holdout_auc": holdout,
     }
     if report["roc_auc"] is None or report["roc_auc"] < auc_floor:
         raise TrainingError(f"xG AUC {report['roc_auc']} is below {auc_floor}")
@@ -172,13 +225,22 @@ def train_xp(passes: DataFrame, settings: TreeSettings = XP_TREES, sample: int =
         log.warning("only %d passes: no xP model", size)
         return None, {}
     train, test = stratified_split(data, "target")
-    model = settings.classifier("target").fit(_assemble(train, XP_FEATURES))
+    data = _gathered(_assemble(train, XP_FEATURES).select("target", "features"), size).persist()
+    try:
+        model = settings.classifier("target").fit(data)
+    finally:
+        data.unpersist()
     metrics = classifier_metrics(score_xp(model, test, keep=("target",)), "target", "xp_value").first()
     return model, {"auc": metrics["auc"], "log_loss": metrics["log_loss"], "train_size": train.count()}
 
 
 def score_xp(model, passes: DataFrame, keep: Sequence[str] = (), scored: DataFrame | None = None) -> DataFrame:
-    """Completion probability of every pass with six digits; with ``scored``, only of passes it lacks."""
+    """Completion probability of every pass with six digits; with ``scored``, only of passes it lacks.
+
+    Without a model (too few passes to train one) there are no scores.
+    """
+    if model is None:
+        return passes.select("event_id", *keep, F.lit(None).cast("double").alias("xp_value")).where(F.lit(False))
     rows = passes if scored is None else passes.join(
         scored.where(F.col("xp_value").isNotNull()).select("event_id"), "event_id", "left_anti"
     )

@@ -47,27 +47,28 @@ def running_sum(
     return joined.withColumn(out, total).drop(*drop)
 
 
-def rank_table(df: DataFrame, partition: Sequence[str], sort_units: str, out: str) -> DataFrame:
-    """Rank of every distinct (partition, ``sort_units``): largest first, ties sharing a rank, nulls first.
+def rank_rows(df: DataFrame, partition: Sequence[str], sort_units: str, out: str) -> DataFrame:
+    """Add ``out``: the rank of each row within its partition, largest ``sort_units`` first, ties sharing it, nulls first.
 
-    Rows are first counted per distinct value, so equal values collapse before anything is sorted.
+    Rows are range-partitioned by (partition, value), so equal values stay in one range and a range's ranks only lack
+    the number of rows in the earlier ranges of its partition.
     """
     keys = list(partition)
-    counts = df.groupBy(*keys, sort_units).agg(F.count("*").alias("_n"))
-    ranked = running_sum(counts, keys, [F.col(sort_units).desc_nulls_first()], F.col("_n"), "_upto")
-    return ranked.select(*keys, sort_units, (F.col("_upto") - F.col("_n") + 1).cast("int").alias(out))
-
-
-def rank_desc(df: DataFrame, partition: Sequence[str], sort_units: str, out: str, source: DataFrame | None = None):
-    """Add ``out``: the rank of each row within its partition. ``source`` may give the ranked rows when ``df`` is
-    those rows with more columns joined to them."""
-    keys = [*partition, sort_units]
-    table = rank_table(df if source is None else source, partition, sort_units, out)
-    side = table.select(*[F.col(k).alias(f"_k_{k}") for k in keys], out)
-    on = F.lit(True)
+    order = [F.col(k).asc_nulls_first() for k in keys] + [F.col(sort_units).desc_nulls_first()]
+    rows = materialise(df.repartitionByRange(*order).withColumn("_rs_range", F.spark_partition_id()), "ranked")
+    local = Window.partitionBy(*keys, "_rs_range").orderBy(F.col(sort_units).desc_nulls_first())
+    rows = rows.withColumn("_rs_local", F.rank().over(local))
+    totals = rows.groupBy(*keys, "_rs_range").agg(F.count("*").alias("_rs_total"))
+    earlier = Window.partitionBy(*keys).orderBy("_rs_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.withColumn("_rs_offset", F.sum("_rs_total").over(earlier)).where(F.col("_rs_offset").isNotNull())
+    side = offsets.select(F.col("_rs_range").alias("_rs_r"), *[F.col(k).alias(f"_rs_k_{k}") for k in keys], "_rs_offset")
+    on = F.col("_rs_range") == F.col("_rs_r")
     for key in keys:
-        on = on & F.col(key).eqNullSafe(F.col(f"_k_{key}"))
-    return df.join(side, on, "left").drop(*[f"_k_{k}" for k in keys])
+        on = on & F.col(key).eqNullSafe(F.col(f"_rs_k_{key}"))
+    # At most one row per range boundary.
+    joined = rows.join(F.broadcast(side), on, "left")
+    rank = (F.col("_rs_local") + F.coalesce("_rs_offset", F.lit(0).cast("bigint"))).cast("int")
+    return joined.withColumn(out, rank).drop("_rs_range", "_rs_local", "_rs_r", "_rs_offset", *[f"_rs_k_{k}" for k in keys])
 
 
 def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, out: str = "rank") -> DataFrame:

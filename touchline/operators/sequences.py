@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from touchline.functions.labels import match_clock_sec
 from touchline.functions.numeric import count_where, round_any, to_units
-from touchline.operators.running import running_sum
 
 # Types of pressing actions, the window and the smallest count of actions.
 PRESS_TYPES = ("Pressure", "Interception", "Tackle", "Block")
@@ -88,8 +87,10 @@ def xg_timeline(shots: DataFrame) -> DataFrame:
         F.coalesce("xg_value", F.lit(0.0)).alias("xg"),
     )
     order = [c("minute").asc(), c("second").asc(), c("event_id").asc()]
-    summed = running_sum(rows, ["match_id", "team_id"], order, to_units(c("xg"), 6), "_units")
-    return summed.withColumn("cumulative_xg", round_any(c("_units") / F.lit(1e6), 6)).drop("_units")
+    # A side has a few dozen shots in a match, so no partition of this window is large.
+    so_far = Window.partitionBy("match_id", "team_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    units = F.sum(to_units(c("xg"), 6)).over(so_far)
+    return rows.withColumn("cumulative_xg", round_any(units / F.lit(1e6), 6))
 
 
 def xg_verdict(sides: DataFrame) -> DataFrame:

@@ -136,11 +136,33 @@ def surface_table(surface: DataFrame) -> DataFrame:
 def lookup_cells(actions: DataFrame, surface: DataFrame) -> DataFrame:
     """Values of the start and end cell of every action.
 
-    The surface has 192 rows, a size fixed by the grid, so it is broadcast.
+    The surface becomes one row with an array of 192 values, a size fixed by the grid, and is planned once: both
+    lookups index it.
     """
-    start = F.broadcast(surface.select("cell", F.col("xt").alias("start_xt")))
-    end = F.broadcast(surface.select(F.col("cell").alias("end_cell"), F.col("xt").alias("end_xt")))
-    return actions.join(start, "cell", "left").join(end, "end_cell", "left")
+    joined = actions.crossJoin(F.broadcast(surface_array(surface)))
+    value = {name: F.get("_surface", F.col(cell)) for name, cell in (("start_xt", "cell"), ("end_xt", "end_cell"))}
+    return joined.withColumns(value).drop("_surface")
+
+
+def surface_array(surface: DataFrame) -> DataFrame:
+    """One row: the values of all cells by cell number."""
+    cells = F.array_sort(F.collect_list(F.struct("cell", "xt")))
+    return surface.agg(F.transform(cells, lambda e: e["xt"]).alias("_surface"))
+
+
+def with_model_xt(events: DataFrame, surface: DataFrame, strict: bool = False) -> DataFrame:
+    """Silver events with ``xt_value`` from the surface on the same row; null where an event has no value.
+
+    The same values as :func:`event_xt`, without a join of events with events.
+    """
+    c = F.col
+    start = xy.grid_cell(c("location_x"), c("location_y"))
+    end = xy.grid_cell(c("end_location_x"), c("end_location_y"))
+    placed = c("location_x").isNotNull() & c("location_y").isNotNull()
+    at_start, at_end = F.get("_surface", start), F.get("_surface", end)
+    value = F.when(placed & (c("event_type") == "Shot"), at_start).when(placed & completed_move(strict), at_end - at_start)
+    joined = events.drop("xt_value").crossJoin(F.broadcast(surface_array(surface)))
+    return joined.withColumn("xt_value", round_any(value, 6)).drop("_surface")
 
 
 def event_xt(actions: DataFrame, surface: DataFrame) -> DataFrame:

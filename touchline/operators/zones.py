@@ -15,6 +15,8 @@ from touchline.session import materialise, run_together
 
 N_ZONES = 6
 RESTARTS = 10
+# Bounds of the iteration.
+ITERATIONS, TOLERANCE = 300, 1e-4
 SEED = 42
 ZONE_TYPES = ("Corner", "Shot")
 
@@ -60,7 +62,9 @@ def kmeans_zones(
         data = VectorAssembler(inputCols=["location_x", "location_y"], outputCol="features").transform(scaled)
         data = data.select("features", "weight").persist()
         try:
-            fits = [KMeans(k=k, seed=seed + i, weightCol="weight", featuresCol="features") for i in range(restarts)]
+            fits = [KMeans(
+                k=k, seed=seed + i, maxIter=ITERATIONS, tol=TOLERANCE, weightCol="weight", featuresCol="features"
+            ) for i in range(restarts)]
             models = run_together(spark, [partial(fit.fit, data) for fit in fits])
             best = min(models, key=lambda m: m.summary.trainingCost)
             counts = best.transform(data).groupBy("prediction").agg(F.sum("weight").cast("bigint").alias("n"))
@@ -91,3 +95,30 @@ def _weighted_scale(rows: DataFrame) -> dict[str, tuple[float, float]]:
     return {c: (row[f"{c}_m"], row[f"{c}_s"] if row[f"{c}_s"] > 1e-9 else 1.0) for c in ("location_x", "location_y")}
 
 
+def zone_checks(points: DataFrame, centres: DataFrame) -> DataFrame:
+    """Per type: points, zones, members, and whether every centre is the mean of the points nearest to it.
+
+    Nearness is taken on the standardised pitch, as the fit does; the centres are a dozen rows, so each point meets
+    the few of its type.
+    """
+    c = F.col
+    scale = points.groupBy("event_type").agg(*[
+        F.when(F.stddev_pop(n) > 1e-9, F.stddev_pop(n)).otherwise(1.0).alias(f"_s{n[-1]}") for n in ("location_x", "location_y")
+    ])
+    place = F.struct("cluster_label", "center_x", "center_y", "member_count")
+    sets = centres.groupBy("event_type").agg(F.collect_list(place).alias("_all"), F.sum("member_count").alias("n_members"),
+                                             F.count("*").alias("n_zones"))
+    joined = points.join(F.broadcast(sets), "event_type").join(F.broadcast(scale), "event_type")  # two rows each
+
+    def away(z):
+        return F.pow((c("location_x") - z["center_x"]) / c("_sx"), 2) + F.pow((c("location_y") - z["center_y"]) / c("_sy"), 2)
+
+    nearest = F.array_min(F.transform("_all", lambda z: F.struct(away(z).alias("d"), z.alias("z"))))["z"]
+    zoned = joined.withColumn("_zone", nearest).groupBy("event_type", "n_members", "n_zones", "_zone").agg(
+        F.count("*").alias("_n"), F.avg("location_x").alias("_x"), F.avg("location_y").alias("_y")
+    )
+    # Points on a border may change sides when the centres are rounded to centimetres.
+    off = F.greatest(F.abs(c("_x") - c("_zone.center_x")), F.abs(c("_y") - c("_zone.center_y")))
+    return zoned.groupBy("event_type", "n_members", "n_zones").agg(
+        F.sum("_n").alias("n_points"), (F.max(off) < 0.1).alias("centred")
+    ).select("event_type", "n_points", "n_zones", "n_members", "centred")

@@ -56,7 +56,8 @@ _EVENT = {
     "end_location_x": "case when p % 17 = 0 then null else ((o * 3 + p * 5) % wide) / 10D end",
     "end_location_y": "case when p % 17 = 0 then null else ((o * 5 + s * 7) % tall) / 10D end",
     "outcome": """case when event_type = 'Shot'
-            then case flag when 'A' then 'Goal' when 'R' then 'Saved' else 'Off T' end
+            then case when flag = 'A' and 2 * ((o * 7 + p * 3) % wide) >= wide then 'Goal'
+                when flag in ('A', 'R') then 'Saved' else 'Off T' end
         when flag = 'A' then null when flag = 'R' then 'Incomplete'
         when p % 8 = 0 then 'Success' when p % 8 = 1 then '' else 'Unknown' end""",
     "under_pressure": "case when p % 29 = 0 then null else line = 'O' end",

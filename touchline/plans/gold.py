@@ -28,25 +28,31 @@ def value_avg(name: str, digits: int = 4):
 
 
 def gold_player_metrics(events: DataFrame, players: DataFrame, teams: DataFrame) -> DataFrame:
-    """Passing and shooting per player, team and match."""
+    """Passing and shooting per player, team and match: one scan and one aggregation by player, team and match.
+
+    A player's passes and shots in a match meet by player and match, whatever their team, as a full outer join does:
+    each team with passes meets each team with shots. The teams of a player in a match are a handful, so they are
+    paired within the group. Without a player nothing meets, and every team stands alone.
+    """
     c = F.col
-    passes = (
-        silver.silver_passes(events, keep=("xt_value",))
-        .groupBy("player_id", "team_id", "match_id")
-        .agg(
-            F.count("*").alias("_passes"), count_where(c("is_successful")).alias("_done"),
-            round_pos(exact_avg(c("pass_distance_m"), 2), 2).alias("avg_pass_distance_m"),
-            value_sum("xt_value").alias("_xt"), count_where(c("under_pressure")).alias("_pressed"),
-        )
-        .withColumnRenamed("team_id", "_pass_team")
+    is_pass = (c("event_type") == "Pass") & c("location_x").isNotNull() & c("end_location_x").isNotNull()
+    is_shot = (c("event_type") == "Shot") & c("location_x").isNotNull() & c("location_y").isNotNull()
+    rows = events.where(c("event_type").isin("Pass", "Shot")).withColumns({
+        "is_successful": silver.completed_pass(),
+        "pass_distance_m": round_pos(xy.distance(c("location_x"), c("location_y"), c("end_location_x"), c("end_location_y")), 2),
+    })
+
+    def sum_of(name: str, where):
+        return round_any(exact_sum(F.when(where, F.coalesce(c(name), F.lit(0.0))), XT_DIGITS), 4)
+
+    both = rows.groupBy("player_id", "match_id", "team_id").agg(
+        count_where(is_pass).alias("_passes"), count_where(is_pass & c("is_successful")).alias("_done"),
+        round_pos(exact_avg(F.when(is_pass, c("pass_distance_m")), 2), 2).alias("avg_pass_distance_m"),
+        sum_of("xt_value", is_pass).alias("_xt"), count_where(is_pass & c("under_pressure")).alias("_pressed"),
+        count_where(is_shot).alias("_shots"), sum_of("xg_value", is_shot).alias("_xg"),
+        count_where(is_shot & (c("outcome") == "Goal")).alias("_goals"),
     )
-    shots = (
-        silver.silver_shots(events, keep=("xg_value",))
-        .groupBy("player_id", "team_id", "match_id")
-        .agg(F.count("*").alias("_shots"), value_sum("xg_value").alias("_xg"), F.sum("is_goal").alias("_goals"))
-        .withColumnRenamed("team_id", "_shot_team")
-    )
-    merged = joins.full_outer_merge(passes, shots, ["player_id", "match_id"])
+    merged = _paired(both)
     merged = joins.add_player_name(merged, players)
     merged = joins.join_dims_on(
         merged, F.coalesce("_pass_team", "_shot_team"), teams, "team_id", {"team_name": "team_name"}
@@ -65,6 +71,40 @@ def gold_player_metrics(events: DataFrame, players: DataFrame, teams: DataFrame)
     )
 
 
+_PASSING = ("_passes", "_done", "avg_pass_distance_m", "_xt", "_pressed")
+_SHOOTING = ("_shots", "_xg", "_goals")
+
+
+def _paired(both: DataFrame) -> DataFrame:
+    """Sides of a (player, match) paired as a full outer join on player and match pairs them; a null player never."""
+    c = F.col
+    side = F.struct("team_id", *_PASSING, *_SHOOTING)
+    alone = F.when(c("player_id").isNull(), F.struct("team_id"))  # one group for each team without a player
+    # The teams a player has events for in one match: one, rarely two.
+    group = both.groupBy("player_id", "match_id", alone.alias("_alone")).agg(F.collect_list(side).alias("_sides"))
+    passing = F.filter("_sides", lambda s: s["_passes"] > 0)
+    shooting = F.filter("_sides", lambda s: s["_shots"] > 0)
+    none = F.array(F.lit(None).cast(both.select(side.alias("s")).schema["s"].dataType))
+
+    def or_none(sides):
+        return F.when(F.size(sides) > 0, sides).otherwise(none)
+
+    met = group.where(c("player_id").isNotNull()).select("player_id", "match_id", or_none(passing).alias("_p"), or_none(shooting).alias("_s"))
+    met = met.withColumn("_p", F.explode("_p")).withColumn("_s", F.explode("_s"))
+    single = group.where(c("player_id").isNull()).withColumn("_side", F.explode("_sides"))
+    empty = F.lit(None).cast(both.select(side.alias("s")).schema["s"].dataType)
+    halves = F.array(
+        F.struct(F.when(c("_side._passes") > 0, c("_side")).otherwise(empty).alias("_p"), empty.alias("_s")),
+        F.struct(empty.alias("_p"), F.when(c("_side._shots") > 0, c("_side")).otherwise(empty).alias("_s")),
+    )
+    single = single.select("player_id", "match_id", F.explode(halves).alias("_h")).select("player_id", "match_id", "_h.*")
+    every = met.unionByName(single).where(c("_p").isNotNull() | c("_s").isNotNull())
+    return every.select(
+        "player_id", "match_id", c("_p.team_id").alias("_pass_team"), c("_s.team_id").alias("_shot_team"),
+        *[c(f"_p.{name}").alias(name) for name in _PASSING], *[c(f"_s.{name}").alias(name) for name in _SHOOTING],
+    )
+
+
 def gold_team_summary(events: DataFrame, teams: DataFrame) -> DataFrame:
     """Counts, goals, xG, xT and conversion per team and match."""
     c = F.col

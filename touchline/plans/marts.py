@@ -9,9 +9,8 @@ from touchline.functions.coordinates import distance
 from touchline.functions.labels import pressing_label
 from touchline.functions.numeric import count_where, exact_avg, ratio, round_any, round_pos, to_units
 from touchline.operators import joins
-from touchline.operators.running import rank_desc
+from touchline.operators.running import rank_rows
 from touchline.plans.gold import value_avg, value_sum
-from touchline.session import materialise
 
 # Event types that count as defensive actions, and the smallest pass count of an edge.
 DEFENSIVE_TYPES = ("Tackle", "Interception", "Foul", "Block", "Pressure")
@@ -164,20 +163,18 @@ def with_rank_keys(totals: DataFrame) -> DataFrame:
     return totals.withColumns({"_xt_key": to_units(F.col("total_xt"), 4), "_match_key": to_units(per_match, 12)})
 
 
-def xt_rank(keyed: DataFrame, source: DataFrame | None = None) -> DataFrame:
+def xt_rank(keyed: DataFrame) -> DataFrame:
     """Rank within the competition by total xT."""
-    return rank_desc(keyed, ["competition_id"], "_xt_key", "xt_rank", source)
+    return rank_rows(keyed, ["competition_id"], "_xt_key", "xt_rank")
 
 
-def xt_per_match_rank(keyed: DataFrame, source: DataFrame | None = None) -> DataFrame:
+def xt_per_match_rank(keyed: DataFrame) -> DataFrame:
     """Rank within the competition by xT per match."""
-    return rank_desc(keyed, ["competition_id"], "_match_key", "xt_per_match_rank", source)
+    return rank_rows(keyed, ["competition_id"], "_match_key", "xt_per_match_rank")
 
 
 def mart_competition_leaderboard(events: DataFrame, players: DataFrame, competitions: DataFrame) -> DataFrame:
-    # Ranked twice and joined, so the totals are computed once.
-    totals = materialise(with_rank_keys(competition_totals(events)), "competition-totals")
-    ranked = xt_per_match_rank(xt_rank(totals), totals)
+    ranked = xt_per_match_rank(xt_rank(with_rank_keys(competition_totals(events))))
     named = joins.add_player_name(ranked, players)
     named = joins.join_dims_on(
         named, F.col("competition_id"), competitions, "competition_id", {"competition_name": "competition_name"}

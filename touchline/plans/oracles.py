@@ -73,7 +73,8 @@ CTE["fact"] = """SELECT concat_ws('_', o, n, p, s, cents) AS event_id, match_id,
   CASE WHEN (o + s) % 211 = 0 THEN NULL ELSE CAST((o * 11 + s * 13) % tall AS DOUBLE) / 10 END AS location_y,
   CASE WHEN p % 17 = 0 THEN NULL ELSE CAST((o * 3 + p * 5) % wide AS DOUBLE) / 10 END AS end_location_x,
   CASE WHEN p % 17 = 0 THEN NULL ELSE CAST((o * 5 + s * 7) % tall AS DOUBLE) / 10 END AS end_location_y,
-  CASE WHEN event_type = 'Shot' THEN CASE flag WHEN 'A' THEN 'Goal' WHEN 'R' THEN 'Saved' ELSE 'Off T' END
+  CASE WHEN event_type = 'Shot' THEN CASE WHEN flag = 'A' AND 2 * ((o * 7 + p * 3) % wide) >= wide THEN 'Goal'
+      WHEN flag IN ('A', 'R') THEN 'Saved' ELSE 'Off T' END
     WHEN flag = 'A' THEN NULL WHEN flag = 'R' THEN 'Incomplete' WHEN p % 8 = 0 THEN 'Success'
     WHEN p % 8 = 1 THEN '' ELSE 'Unknown' END AS outcome,
   CASE WHEN p % 29 = 0 THEN NULL ELSE line_status = 'O' END AS under_pressure,

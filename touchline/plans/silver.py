@@ -17,6 +17,7 @@ from touchline.functions.numeric import round_any, round_pos
 VALUE_COLUMNS = ("competition_id", "xt_value", "xg_value", "xp_value")
 # Fixed value: providers whose payload names the receiver of a pass.
 RECIPIENT_PROVIDERS = ("statsbomb", "wyscout")
+SHOT_PAYLOAD = "shot struct<technique:struct<name:string>, body_part:struct<name:string>>, Qualifiers array<struct<QualifierId:int>>"
 
 
 def bronze_events(fact: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -73,10 +74,15 @@ def enriched_events(fact: DataFrame, null_safe: bool = False) -> DataFrame:
     return silver_events(bronze_events(fact, VALUE_COLUMNS), VALUE_COLUMNS, null_safe)
 
 
+def completed_pass(strict: bool = False) -> Column:
+    """The words of a completed pass."""
+    return F.col("outcome").isin("Unknown", "Success") if strict else F.col("outcome") == "Unknown"
+
+
 def silver_passes(events: DataFrame, keep: Sequence[str] = (), strict: bool = False) -> DataFrame:
     """Passes with their length in metres. ``strict`` also accepts the third feed's word for a completed pass."""
     c = F.col
-    done = c("outcome").isin("Unknown", "Success") if strict else c("outcome") == "Unknown"
+    done = completed_pass(strict)
     length = xy.distance(c("location_x"), c("location_y"), c("end_location_x"), c("end_location_y"))
     placed = c("location_x").isNotNull() & c("end_location_x").isNotNull()
     return events.where((c("event_type") == "Pass") & placed).select(
@@ -89,15 +95,18 @@ def silver_passes(events: DataFrame, keep: Sequence[str] = (), strict: bool = Fa
 def silver_shots(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Shots with distance, visible angle, header flag, body part and the goal flag."""
     c = F.col
-    technique = F.get_json_object("raw_json", "$.shot.technique.name")
-    qualifiers = F.from_json(F.get_json_object("raw_json", "$.Qualifiers"), "array<struct<QualifierId:int>>")
-    tagged = F.exists(qualifiers, lambda q: q["QualifierId"] == 72)
-    header = ((c("provider") == "statsbomb") & (technique == "Header")) | ((c("provider") == "opta") & tagged)
+    # One pass over the payload for all that a shot needs of it.
+    payload = F.from_json("raw_json", SHOT_PAYLOAD)
+    tagged = F.exists(c("_payload.Qualifiers"), lambda q: q["QualifierId"] == 72)
+    header = ((c("provider") == "statsbomb") & (c("_payload.shot.technique.name") == "Header")) | (
+        (c("provider") == "opta") & tagged
+    )
     body_part = F.when(
-        c("provider") == "statsbomb", F.coalesce(F.get_json_object("raw_json", "$.shot.body_part.name"), F.lit("Unknown"))
+        c("provider") == "statsbomb", F.coalesce("_payload.shot.body_part.name", F.lit("Unknown"))
     ).otherwise("Unknown")
     placed = c("location_x").isNotNull() & c("location_y").isNotNull()
-    return events.where((c("event_type") == "Shot") & placed).select(
+    shots = events.where((c("event_type") == "Shot") & placed).withColumn("_payload", payload)
+    return shots.select(
         "event_id", "match_id", "team_id", "player_id", "minute", "second", "location_x", "location_y", "outcome",
         "under_pressure", "provider", "raw_json",
         # Never null for a placed shot; the default only tells the optimizer so.

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import contextlib
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -49,22 +50,35 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a throw-away one only for a local session."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="touchline-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    """This application's folder under ``spark.checkpoint.dir``; without that setting, under the warehouse.
+
+    Both are folders every executor can reach. The application's folder goes when the driver's Python ends.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    application = spark.sparkContext.applicationId
+    folder = f"{root.rstrip('/')}/touchline-{application}"
+    if application not in _OWNED:
+        _OWNED.add(application)
+        atexit.register(release, spark, folder)
     return folder
 
 
+_OWNED: set[str] = set()
+
+
+def release(spark: SparkSession, folder: str | None = None) -> None:
+    """Delete the application's folder with everything :func:`materialise` wrote. Results read from it are gone then."""
+    with contextlib.suppress(Exception):  # the gateway may have ended before
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder or shared_folder(spark))
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` once under the shared folder and read it back.
 
     Used where two branches of a plan must see the very same rows (range boundaries, model folds) and where
-    an iterative fit would otherwise recompute its input. The table outlives a lost executor.
+    an iterative fit would otherwise recompute its input. The table outlives a lost executor and is removed with the
+    application's folder, because results are read from it lazily.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"

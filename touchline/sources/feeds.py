@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchline import schemas
 
@@ -42,7 +43,14 @@ def _lookup(table: dict, key: Column) -> Column:
 
 
 def _match_id_from_file() -> Column:
-    return F.regexp_extract(F.col("_metadata.file_path"), r"(\d+)[^/\d]*$", 1).cast("int")
+    """The first number of the file's name; null for a name without one (or one that is no int)."""
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    return F.regexp_extract(name, r"(\d+)", 1).try_cast("int")
+
+
+def payload_of(raw: DataFrame, event: Column) -> Column:
+    """The event as delivered, where the reader kept it; else its declared fields."""
+    return F.col("payload") if "payload" in raw.columns else F.to_json(event)
 
 
 def _canonical(df: DataFrame) -> DataFrame:
@@ -72,15 +80,14 @@ def map_statsbomb(raw: DataFrame, competition_id: int = 0) -> DataFrame:
             .alias("outcome"),
             F.coalesce("under_pressure", F.lit(False)).alias("under_pressure"),
             F.lit("statsbomb").alias("provider"), F.lit("statsbomb_120x80").alias("coord_system"),
-            F.to_json(body).alias("raw_json"),
+            payload_of(raw, body).alias("raw_json"),
         )
     )
 
 
 def map_opta(raw: DataFrame, competition_id: int = 0) -> DataFrame:
-    """Rows with ``Events`` and ``match_id`` to canonical events; a missing list gives no rows."""
-    c = F.col
-    flat = raw.select("match_id", F.explode("Events").alias("e"))
+    """Rows with an event ``e`` and ``match_id`` to canonical events."""
+    c, flat = F.col, raw
     pressed = F.exists(
         F.coalesce("e.Qualifiers", F.array()), lambda q: q["QualifierId"] == F.lit(OPTA_PRESSURE_QUALIFIER)
     )
@@ -97,15 +104,14 @@ def map_opta(raw: DataFrame, competition_id: int = 0) -> DataFrame:
             F.when(c("e.Outcome") == 1, "Unknown").otherwise("Fail").alias("outcome"),
             F.coalesce(pressed, F.lit(False)).alias("under_pressure"),
             F.lit("opta").alias("provider"), F.lit("opta_100x100").alias("coord_system"),
-            F.to_json("e").alias("raw_json"),
+            payload_of(raw, c("e")).alias("raw_json"),
         )
     )
 
 
 def map_wyscout(raw: DataFrame, competition_id: int = 0) -> DataFrame:
-    """Rows with ``events`` and ``match_id`` to canonical events; a missing list gives no rows."""
-    c = F.col
-    flat = raw.select("match_id", F.explode("events").alias("e"))
+    """Rows with an event ``e`` and ``match_id`` to canonical events."""
+    c, flat = F.col, raw
     outcome = (
         F.when(c("e.pass").isNotNull(), F.when(c("e.pass.accurate"), "Success").otherwise("Fail"))
         .when(c("e.shot.isGoal"), "Goal")
@@ -128,32 +134,57 @@ def map_wyscout(raw: DataFrame, competition_id: int = 0) -> DataFrame:
             outcome.alias("outcome"),
             F.coalesce(F.array_contains(tags, "under_pressure"), F.lit(False)).alias("under_pressure"),
             F.lit("wyscout").alias("provider"), F.lit("wyscout_100x100").alias("coord_system"),
-            F.to_json("e").alias("raw_json"),
+            payload_of(raw, c("e")).alias("raw_json"),
         )
     )
 
 
+def _event_schema(feed: T.StructType, member: str | None) -> T.StructType:
+    return feed if member is None else feed[member].dataType.elementType
+
+
+# Per provider the member of the document that lists the events (None: the document is the list) and their mapping.
 FEEDS = {
-    "statsbomb": (schemas.STATSBOMB_FEED, map_statsbomb),
-    "opta": (schemas.OPTA_FEED, map_opta),
-    "wyscout": (schemas.WYSCOUT_FEED, map_wyscout),
+    "statsbomb": (schemas.STATSBOMB_FEED, None, map_statsbomb),
+    "opta": (schemas.OPTA_FEED, "Events", map_opta),
+    "wyscout": (schemas.WYSCOUT_FEED, "events", map_wyscout),
 }
 
 
-def _with_match_id(raw: DataFrame, match_id: int | None) -> DataFrame:
-    value = _match_id_from_file() if match_id is None else F.lit(match_id)
-    return raw.withColumn("match_id", value)
+def documents(files: DataFrame, provider: str, match_id: int | None = None) -> DataFrame:
+    """``match_id, file, error, events`` of whole-text files; ``events`` are JSON texts as delivered.
+
+    ``error`` says why a file cannot be loaded: its JSON is broken, or no match id is known. Such a file has no events.
+    """
+    _, member, _ = FEEDS[provider]
+    number = _match_id_from_file() if match_id is None else F.lit(match_id)
+    listed = F.from_json("value", "array<string>") if member is None else F.from_json("value", f"{member} array<string>")[member]
+    whole = files.select(number.alias("match_id"), F.col("_metadata.file_path").alias("file"), "value")
+    broken = F.try_parse_json("value").isNull() | F.col("value").rlike(r"^\s*$")
+    error = F.when(broken, "broken JSON").when(F.col("match_id").isNull(), "no match id in the file name")
+    events = F.when(error.isNull(), F.coalesce(listed, F.array().cast("array<string>")))
+    return whole.select("match_id", "file", error.alias("error"), events.alias("events"))
+
+
+def map_documents(docs: DataFrame, provider: str, competition_id: int = 0) -> DataFrame:
+    """Canonical events of :func:`documents`, each with its payload as delivered."""
+    feed, member, mapper = FEEDS[provider]
+    flat = docs.select("match_id", F.explode("events").alias("payload"))
+    parsed = flat.withColumn("e", F.from_json("payload", _event_schema(feed, member)))
+    return mapper(parsed.select("match_id", "payload", "e.*") if member is None else parsed, competition_id)
+
+
+def _files(reader, path: str) -> DataFrame:
+    return reader.option("wholetext", True).text(path)
 
 
 def read_feed(
     spark: SparkSession, provider: str, path: str, competition_id: int = 0, match_id: int | None = None
 ) -> DataFrame:
-    """Canonical events of one provider's files. An unknown provider is an error."""
+    """Canonical events of one provider's files; a broken file gives none. An unknown provider is an error."""
     if provider not in FEEDS:
         raise ValueError(f"Unknown provider: {provider}")
-    schema, mapper = FEEDS[provider]
-    raw = spark.read.schema(schema).option("multiLine", True).json(path)
-    return mapper(_with_match_id(raw, match_id), competition_id)
+    return map_documents(documents(_files(spark.read, path), provider, match_id), provider, competition_id)
 
 
 def read_statsbomb(spark: SparkSession, path: str, competition_id: int = 0, match_id: int | None = None) -> DataFrame:
@@ -168,14 +199,9 @@ def read_wyscout(spark: SparkSession, path: str, competition_id: int = 0, match_
     return read_feed(spark, "wyscout", path, competition_id, match_id)
 
 
-def stream_feed(spark: SparkSession, provider: str, path: str, competition_id: int = 0, files_per_batch: int = 1000):
-    """The same mapping over files as they arrive."""
-    schema, mapper = FEEDS[provider]
-    raw = (
-        spark.readStream.schema(schema).option("multiLine", True).option("maxFilesPerTrigger", files_per_batch)
-        .json(path)
-    )
-    return mapper(_with_match_id(raw, None), competition_id)
+def stream_documents(spark: SparkSession, provider: str, path: str, files_per_batch: int = 1000) -> DataFrame:
+    """Files as they arrive, see :func:`documents`."""
+    return documents(_files(spark.readStream.option("maxFilesPerTrigger", files_per_batch), path), provider)
 
 
 def union_providers(*parts: DataFrame) -> DataFrame:

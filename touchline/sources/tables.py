@@ -9,14 +9,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchline import schemas
+from touchline.functions.labels import fixed
 
 EVENT_KEYS = ("event_id", "competition_id")
-MAX_PRUNED = 200
 # The views that may be refreshed by name.
 REFRESHABLE = ("mv_team_xg", "mv_shot_locations")
 
@@ -25,24 +26,27 @@ REFRESHABLE = ("mv_team_xg", "mv_shot_locations")
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
-    """One row per key: the smallest by ``order`` (all other columns by default).
+    """One row per key: the smallest by ``order``, nulls last, then by a hash of the row.
 
-    An aggregate, not a window: each task reduces its own copies first, so a key with very many copies does
-    not travel whole to one task.
+    Only narrow columns are ordered, never a payload, and the filter sits right on the row number: each task keeps one
+    row per key before the shuffle, so a key with very many copies does not travel whole to one task.
     """
     rest = [name for name in df.columns if name not in keys]
     if not rest:
         return df.select(*keys).distinct()
-    ranking = list(order) if order else rest
-    # Nulls sort first inside a struct; the flag puts rows without a value behind rows with one.
-    sort_key = F.struct(*[part for name in ranking for part in (F.col(name).isNull(), F.col(name))])
-    best = F.min_by(F.struct(*rest), sort_key).alias("_row")
-    return df.groupBy(*keys).agg(best).select(*keys, "_row.*").select(*df.columns)
+    hashed = df.withColumn("_hash", F.xxhash64(*rest))
+    ordered = Window.partitionBy(*keys).orderBy(*[F.col(name).asc_nulls_last() for name in order or ()], "_hash")
+    return hashed.withColumn("_place", F.row_number().over(ordered)).where("_place = 1").select(*df.columns)
+
+
+def keyed(batch: DataFrame, keys: Sequence[str] = EVENT_KEYS) -> DataFrame:
+    """Rows with a whole key. A null key equals no stored key, so every replay would add such a row again."""
+    return batch.where(reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in keys]))
 
 
 def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str] = EVENT_KEYS) -> DataFrame:
-    """Rows of ``batch`` whose key the target does not hold, one per key."""
-    return first_per_key(batch, keys).join(target.select(*keys), list(keys), "left_anti")
+    """Rows of ``batch`` whose key the target does not hold, one per key; rows without a whole key are refused."""
+    return first_per_key(keyed(batch, keys), keys).join(target.select(*keys), list(keys), "left_anti")
 
 
 def append_new(target: DataFrame, batch: DataFrame, keys: Sequence[str] = EVENT_KEYS) -> DataFrame:
@@ -59,7 +63,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFram
 def dimension_rows(events: DataFrame, key: str, cols: dict[str, Column]) -> DataFrame:
     """Dimension members seen in a batch of events: one row per non-null key."""
     seen = events.where(F.col(key).isNotNull()).select(key, *[value.alias(name) for name, value in cols.items()])
-    return first_per_key(seen, [key])
+    return first_per_key(seen, [key], list(cols))
 
 
 def upsert_dimension(target: DataFrame, events: DataFrame, key: str, cols: dict[str, Column]) -> DataFrame:
@@ -111,7 +115,7 @@ def write_event_values(values: DataFrame, scored: DataFrame, column: str) -> Dat
 
 
 def with_event_values(df: DataFrame, values: DataFrame, how: str = "left") -> DataFrame:
-    """Attach model values by event key; both tables bucketed by the key join without a shuffle."""
+    """Attach model values by event key: id and competition, where both sides have it."""
     on = [key for key in EVENT_KEYS if key in df.columns and key in values.columns]
     kept = df.drop("xt_value", "xp_value", "xg_value")
     return kept.join(values, on, how)
@@ -160,36 +164,43 @@ def write_partitioned(
 
 
 def append_events(spark: SparkSession, batch: DataFrame, path: str) -> None:
-    """Insert-or-ignore into the stored fact table."""
+    """Insert-or-ignore into the stored fact table; rows without a whole key are refused.
+
+    Stored keys are first narrowed to the batch's matches, so a batch of a few matches is compared with their events
+    only, and the competitions of the batch prune the folders that are read.
+    """
     if table_exists(spark, path):
-        stored = spark.read.schema(schemas.EVENT).parquet(path).select(*EVENT_KEYS)
-        # A batch of a few competitions reads the keys of their folders only.
-        few = [row[0] for row in batch.select("competition_id").distinct().limit(MAX_PRUNED + 1).collect()]
-        if len(few) <= MAX_PRUNED:
-            stored = stored.where(F.col("competition_id").isin(*few))
-        batch = new_rows(stored, batch)
+        stored = spark.read.schema(schemas.EVENT).parquet(path).select(*EVENT_KEYS, "match_id")
+        near = batch.select("competition_id", "match_id").distinct()
+        batch = new_rows(stored.join(near, ["competition_id", "match_id"], "left_semi"), batch)
     else:
-        batch = first_per_key(batch, EVENT_KEYS)
+        batch = first_per_key(keyed(batch), EVENT_KEYS)
     write_partitioned(batch, path)
 
 
-def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "event_id") -> None:
-    """Saved table whose later joins on ``key`` need no shuffle."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
-
-
 def replace_table(df: DataFrame, path: str) -> DataFrame:
-    """Truncate and insert. The new rows are staged first, so ``df`` may read the table it replaces."""
+    """Truncate and insert. The new rows are staged first, so ``df`` may read the table it replaces.
+
+    The old table is moved aside, the new one moved in, and the old one deleted last: a crash leaves one of the two
+    whole, and the next call moves an old one back that has no successor.
+    """
     spark = df.sparkSession
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    staging = f"{path.rstrip('/')}__staging_{uuid.uuid4().hex}"
-    df.write.parquet(staging)
-    source, target = jvm.org.apache.hadoop.fs.Path(staging), jvm.org.apache.hadoop.fs.Path(path)
+    base = path.rstrip("/")
+    source, aside, target = (
+        jvm.org.apache.hadoop.fs.Path(name) for name in (f"{base}__staging_{uuid.uuid4().hex}", f"{base}__replaced", base)
+    )
     fs = target.getFileSystem(conf)
-    if fs.exists(target):
-        fs.delete(target, True)
+    if fs.exists(aside) and not fs.exists(target):
+        fs.rename(aside, target)
+    df.write.parquet(source.toString())
+    fs.delete(aside, True)
+    if fs.exists(target) and not fs.rename(target, aside):
+        raise OSError(f"could not move {path} aside")
     if not fs.rename(source, target):
-        raise OSError(f"could not move {staging} to {path}")
+        fs.rename(aside, target)
+        raise OSError(f"could not move {source.toString()} to {path}")
+    fs.delete(aside, True)
     spark.catalog.refreshByPath(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -230,36 +241,49 @@ def to_json_docs(df: DataFrame, key: str) -> DataFrame:
     return df.select(key, F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("document"))
 
 
-def write_clips_xml(clips: DataFrame, path: str, description: str = "Top xT offensive actions") -> None:
-    """Clip lists as XML, one folder of ``<file><instance>`` documents per match plus its ``SEQUENCE`` block.
+def clip_documents(clips: DataFrame, description: str = "Top xT offensive actions") -> DataFrame:
+    """One XML document per match: ``match_id, document``.
 
-    Columns: match_id, rank, start_ms, end_ms, code, text and the clip columns of the report.
+    ``clips`` has the columns match_id, rank, start_ms, end_ms, code, label and the clip columns of the report. A match
+    has at most as many clips as the report asks for, so a document is small.
     """
     c = F.col
 
+    def text(value: Column) -> Column:
+        for sign, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            value = F.replace(value, F.lit(sign), F.lit(name))
+        return value
+
+    def element(name: str, value: Column) -> Column:
+        whole = F.concat(F.lit(f"<{name}>"), text(value.cast("string")), F.lit(f"</{name}>"))
+        return F.coalesce(whole, F.lit(""))  # nothing for a missing value
+
     def number(name: str, digits: int) -> Column:
-        return c(name).cast(f"decimal(18,{digits})").cast("string").alias
-
-    label = F.struct(
-        c("label").alias("text"),
-        number("location_x", 2)("pos_x"), number("location_y", 2)("pos_y"),
-        number("end_location_x", 2)("end_pos_x"), number("end_location_y", 2)("end_pos_y"),
-        number("xt_value", 6)("xt_value"), number("xg_value", 6)("xg_value"),
-        c("minute"), c("second"),
-        F.coalesce("player_name", F.lit("Unknown")).alias("player"),
-        F.coalesce("team_name", F.lit("Unknown")).alias("team"), c("event_type"),
+        return F.when(c(name).isNotNull(), fixed(c(name), digits))
+
+    # The element names of the importer.
+    label = [
+        element("text", c("label")), element("pos_x", number("location_x", 2)), element("pos_y", number("location_y", 2)),
+        element("end_pos_x", number("end_location_x", 2)), element("end_pos_y", number("end_location_y", 2)),
+        element("xt_value", number("xt_value", 6)), element("xg_value", number("xg_value", 6)),
+        element("minute", c("minute")), element("second", c("second")),
+        element("player", F.coalesce("player_name", F.lit("Unknown"))), element("team", F.coalesce("team_name", F.lit("Unknown"))),
+        element("event_type", c("event_type")),
+    ]
+    instance = F.concat(
+        F.lit("<instance>"), element("ID", c("rank")), element("start", c("start_ms")), element("end", c("end_ms")),
+        element("code", c("code")), F.lit("<label>"), *label, F.lit("</label></instance>"),
     )
-    instances = clips.select(
-        "match_id", c("rank").alias("ID"), c("start_ms").alias("start"), c("end_ms").alias("end"), "code",
-        label.alias("label"),
-    )
-    xml = {"rootTag": "file", "rowTag": "instance"}
-    root = path.rstrip("/")
-    (
-        instances.repartition("match_id").sortWithinPartitions("match_id", "ID")
-        .write.mode("overwrite").partitionBy("match_id").format("xml").options(**xml).save(f"{root}/instances")
+    ordered = F.array_sort(F.collect_list(F.struct(c("rank"), instance.alias("xml"))))
+    one = clips.groupBy("match_id").agg(ordered.alias("_all"))
+    document = F.concat(
+        F.lit("<file><ALL_INSTANCES>"), F.array_join(F.transform("_all", lambda e: e["xml"]), ""), F.lit("</ALL_INSTANCES><SEQUENCE>"),
+        element("description", F.lit(description)), element("action_count", F.size("_all")), F.lit("</SEQUENCE></file>"),
     )
-    summary = clips.groupBy("match_id").agg(F.count("*").alias("action_count")).withColumn(
-        "description", F.lit(description)
-    )
-    summary.write.mode("overwrite").format("xml").options(rootTag="file", rowTag="SEQUENCE").save(f"{root}/sequence")
+    return one.select("match_id", document.alias("document"))
+
+
+def write_clips_xml(clips: DataFrame, path: str, description: str = "Top xT offensive actions") -> None:
+    """The clip documents as files, one folder with one document per match."""
+    documents = clip_documents(clips, description).repartition("match_id")
+    documents.write.mode("overwrite").partitionBy("match_id").option("lineSep", "\n").text(path)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import logging
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -10,35 +13,56 @@ from touchline import schemas
 from touchline.session import shared_folder
 from touchline.sources import feeds, tables
 
+log = logging.getLogger(__name__)
+
+
+def store_batch(docs: DataFrame, provider: str, competition_id: int, events_path: str, ledger_path: str) -> None:
+    """Store one micro-batch of files (:func:`feeds.documents`) and record every match in the ledger.
 
-def store_batch(batch: DataFrame, events_path: str, ledger_path: str) -> None:
-    """Store one micro-batch. A replay after a failure adds nothing, because known ids are left out."""
-    spark = batch.sparkSession
-    batch = batch.persist()
+    A match all of whose files load is a ``success`` with its number of events. A broken file, or an event without a
+    whole key, makes it an ``error`` with count 0, to be retried: nothing of it is stored. A file without a match id has
+    no row in the ledger; it is logged. A replay after a failure adds nothing, because known ids are left out.
+    """
+    spark = docs.sparkSession
+    docs = docs.persist()
     try:
-        tables.append_events(spark, batch, events_path)
-        counts = batch.groupBy("match_id").agg(
-            F.min("competition_id").alias("competition_id"), F.count("*").alias("event_count")
-        )
-        outcomes = counts.withColumns({"status": F.lit("success"), "ingested_at": F.current_timestamp()})
-        outcomes = outcomes.select(*schemas.LEDGER.fieldNames())
+        nameless = docs.where(F.col("match_id").isNull())
+        if not nameless.isEmpty():
+            log.warning("files without a match id: %s", [r["file"] for r in nameless.select("file").limit(10).collect()])
+        named = docs.where(F.col("match_id").isNotNull())
+        events = feeds.map_documents(named, provider, competition_id).persist()
+        keyless = reduce(lambda a, b: a | b, [F.col(key).isNull() for key in tables.EVENT_KEYS])
+        counts = events.groupBy("match_id").agg(F.count("*").alias("_n"), F.count_if(keyless).alias("_keyless"))
+        state = named.groupBy("match_id").agg(F.count("error").alias("_errors")).join(counts, "match_id", "left")
+        failed = (F.col("_errors") > 0) | (F.coalesce("_keyless", F.lit(0)) > 0)
+        state = state.select("match_id", failed.alias("_failed"), F.coalesce("_n", F.lit(0)).cast("bigint").alias("_n"))
+        good = events.join(state.where(~F.col("_failed")).select("match_id"), "match_id", "left_semi")
+        tables.append_events(spark, good.select(*events.columns), events_path)
+        outcomes = state.select(
+            "match_id", F.lit(competition_id).alias("competition_id"),
+            F.when(F.col("_failed"), F.lit(0).cast("bigint")).otherwise(F.col("_n")).alias("event_count"),
+            F.when(F.col("_failed"), "error").otherwise("success").alias("status"),
+            F.current_timestamp().alias("ingested_at"),
+        ).select(*schemas.LEDGER.fieldNames())
         if tables.table_exists(spark, ledger_path):
             ledger = tables.read_table(spark, ledger_path, schemas.LEDGER)
         else:
             ledger = spark.createDataFrame([], schemas.LEDGER)
         tables.replace_table(tables.mark_ingested(ledger, outcomes), ledger_path)
+        events.unpersist()
     finally:
-        batch.unpersist()
+        docs.unpersist()
 
 
 def stream_ingest(
     spark: SparkSession, provider: str, feed_path: str, events_path: str, ledger_path: str, checkpoint: str,
     competition_id: int = 0,
 ) -> StreamingQuery:
-    """Load every file not loaded before, then stop. Progress is kept in ``checkpoint``."""
-    events = feeds.stream_feed(spark, provider, feed_path, competition_id)
+    """Load every file not loaded before, then stop. Progress is kept in ``checkpoint``; a mended file comes under a new
+    name or through :func:`feeds.read_feed` for the matches that :func:`tables.pending_matches` lists."""
+    docs = feeds.stream_documents(spark, provider, feed_path)
     return (
-        events.writeStream.foreachBatch(lambda batch, _: store_batch(batch, events_path, ledger_path))
+        docs.writeStream.foreachBatch(lambda batch, _: store_batch(batch, provider, competition_id, events_path, ledger_path))
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
