@@ -86,20 +86,20 @@ def actions(spark, rows):
 
 
 SAMPLE = [
-    ("1", "Shot", 100.0, 34.0, None, None, "Goal"), ("2", "Pass", 30.0, 20.0, 60.0, 34.0, None),
-    ("3", "Carry", 60.0, 34.0, 80.0, 34.0, None), ("4", "Shot", 95.0, 40.0, None, None, "Saved"),
-    ("5", "Pass", 30.0, 20.0, 31.0, 20.0, "Incomplete"), ("6", "Pass", 30.0, 20.0, 100.0, 34.0, "Unknown"),
-    ("7", "Tackle", 1.0, 1.0, None, None, None), ("8", "Pass", 100.0, 34.0, None, None, None),
+    ("a", "Carry", 47.5, 12.25, 71.0, 9.5, ""), ("b", "Shot", 92.0, 27.5, None, None, "Goal"),
+    ("c", "Pass", 71.0, 9.5, 92.0, 27.5, "Unknown"), ("d", "Pass", 47.5, 12.25, 13.0, 55.0, None),
+    ("e", "Shot", 92.0, 28.0, None, None, "Off T"), ("f", "Pass", 71.0, 9.5, 72.0, 9.0, "Incomplete"),
+    ("g", "Interception", 3.0, 66.0, None, None, None), ("h", "Pass", 92.0, 27.5, None, None, None),
 ]
 
 
 def test_hot_cell_without_moves(spark):
-    # Eight of ten actions in cell 100 are shots; the goal share is 0.9 of ten shots.
+    # With no moves the value is the share of shots times the share of goals among them.
     kind = "cell int, shot_prob double, goal_prob double, moves array<struct<dst:int,n:bigint>>, n_moves bigint"
-    cells = spark.createDataFrame([(100, 0.8, 0.9, [], 0)], kind)
+    cells = spark.createDataFrame([(57, 0.25, 0.5, [], 0)], kind)
     surface = {r.cell: r.xt for r in xt.solve_cells(cells).collect()}
-    assert len(surface) == 192 and surface[100] == pytest.approx(0.72)
-    assert all(v == 0 for k, v in surface.items() if k != 100)
+    assert len(surface) == 192 and surface[57] == pytest.approx(0.125)
+    assert all(v == 0 for k, v in surface.items() if k != 57)
 
 
 def brute_surface(rows, iterations=10):
@@ -176,7 +176,7 @@ def press(spark, rows):
         ([("Ball Recovery", 100), ("Pressure", 100), ("Tackle", 102)], []),
         ([("Ball Recovery", 100), ("Pressure", 101), ("Tackle", 102), ("Block", 105)], ["e1", "e2", "e3"]),
         ([("Ball Recovery", 100), ("Pressure", 101), ("Tackle", 102), ("Block", 106)], []),
-        ([("Ball Recovery", 600), ("Pressure", 610), ("Pressure", 615), ("Pressure", 620)], []),
+        ([("Ball Recovery", 77), ("Pressure", 83), ("Pressure", 91), ("Pressure", 140)], []),
         ([("Pressure", 100), ("Pressure", 100), ("Pressure", 100)], []),
         ([("Pressure", 100), ("Pressure", 100), ("Pressure", 100), ("Ball Recovery", 100)], ["e0", "e1", "e2"]),
         ([], []),

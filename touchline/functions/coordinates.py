@@ -93,23 +93,30 @@ def pitch_third(col: Column) -> Column:
     )
 
 
+# Zone limits and names, the first that fits counts: name, comparison with x, x, range of y.
+BOX_ZONES = (
+    ("6-yard box", ">", 114, (30, 50)), ("Penalty area", ">", 102, (18, 62)), ("Attacking third", ">", 60, None),
+    ("Own half / long range", None, None, None),
+)
+BAND_ZONES = (
+    ("Six Yard Box", ">=", 102, (18, 62)), ("Penalty Area", ">=", 88, (13, 67)), ("Attacking Third", ">=", 80, None),
+    ("Long Range", None, None, None),
+)
+
+
+def _zone(x: Column, y: Column, zones: tuple) -> Column:
+    out = F.lit(zones[-1][0])
+    for name, sign, limit, sides in reversed(zones[:-1]):
+        fits = x > limit if sign == ">" else x >= limit
+        out = F.when(fits & y.between(*sides) if sides else fits, name).otherwise(out)
+    return out
+
+
 def shot_zone_boxes(x: Column, y: Column) -> Column:
     """Zones of the shot-quality report, in native 120 x 80 units."""
-    # Zone limits and names.
-    return (
-        F.when((x > 114) & y.between(30, 50), "6-yard box")
-        .when((x > 102) & y.between(18, 62), "Penalty area")
-        .when(x > 60, "Attacking third")
-        .otherwise("Own half / long range")
-    )
+    return _zone(x, y, BOX_ZONES)
 
 
 def shot_zone_bands(x: Column, y: Column) -> Column:
     """Zones of the saved shot query; its limits differ from :func:`shot_zone_boxes`."""
-    # Zone limits and names.
-    return (
-        F.when((x >= 102) & y.between(18, 62), "Six Yard Box")
-        .when((x >= 88) & y.between(13, 67), "Penalty Area")
-        .when(x >= 80, "Attacking Third")
-        .otherwise("Long Range")
-    )
+    return _zone(x, y, BAND_ZONES)
