@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import types as T
@@ -184,3 +185,19 @@ def test_flatten_events(spark):
     assert {r.xt_value for r in got.values()} == {None} and got[0].event_type == "Pass"
     again = {r.player_id: r.event_id for r in df.collect()}
     assert again[4] == got[4].event_id
+
+
+def test_payload_is_the_event_as_delivered(spark, tmp_path):
+    event = {"id": "x", "type": {"name": "Pass"}, "possession": 7, "pass": {"length": 1.5, "height": {"name": "Low"}}}
+    (got,) = rows(feeds.read_statsbomb(spark, write(tmp_path / "f", "18245_v3.json", [event])))
+    assert json.loads(got["raw_json"]) == event and got["match_id"] == 18245
+
+
+def test_broken_and_nameless_files(spark, tmp_path):
+    folder = Path(write(tmp_path / "f", "5.json", [{"id": "x"}])).parent
+    (folder / "bad_77.json").write_text('[{"id": "y"}, {"id"')
+    (folder / "match.json").write_text('[{"id": "z"}]')
+    files = spark.read.option("wholetext", True).text(str(folder))
+    got = {(r.match_id, r.error) for r in feeds.documents(files, "statsbomb").collect()}
+    assert got == {(5, None), (77, "broken JSON"), (None, "no match id in the file name")}
+    assert [r["event_id"] for r in rows(feeds.read_statsbomb(spark, str(folder)))] == ["x"]

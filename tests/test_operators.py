@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from touchline.functions import coordinates as xy
+from touchline.functions.labels import fixed
 from touchline.functions.numeric import exact_avg, exact_sum, round_any, round_pos
 from touchline.operators import classifiers, metrics, quality, running, sequences, similarity, xt, zones
 from touchline.plans import features, silver
@@ -154,9 +155,9 @@ def test_event_values(spark):
     by_cell = {r.cell: r.xt for r in surface.collect()}
     cells = {r.event_id: (r.cell, r.end_cell) for r in acts.collect()}
     got = {r.event_id: r.xt_value for r in xt.event_xt(acts, surface).select("event_id", "xt_value").collect()}
-    assert set(got) == {"1", "2", "3", "4", "6"}
-    assert got["1"] == pytest.approx(by_cell[cells["1"][0]], abs=1e-6)
-    assert got["6"] == pytest.approx(by_cell[cells["6"][1]] - by_cell[cells["6"][0]], abs=1e-6)
+    assert set(got) == {"a", "b", "c", "d", "e"}
+    assert got["b"] == pytest.approx(by_cell[cells["b"][0]], abs=1e-6)
+    assert got["c"] == pytest.approx(by_cell[cells["c"][1]] - by_cell[cells["c"][0]], abs=1e-6)
 
 
 # --- press triggers ---------------------------------------------------------------------------------------
@@ -470,3 +471,50 @@ def test_shot_payload(spark, provider, payload, header, part):
     got = silver.silver_shots(spark.createDataFrame([row], RAW)).first()
     assert (got.is_header, got.body_part, got.is_goal, got.distance_to_goal) == (header, part, 1, 11.0)
     assert got.shot_angle == pytest.approx(abs(math.atan2(7.32 * 11, 121 - 3.66**2)), abs=1e-5)
+
+
+# --- arithmetic at size -----------------------------------------------------------------------------------
+
+
+def test_rounding_of_large_totals(spark):
+    values = [1e11, 1e13 + 0.125, -2.5e13, 9.3e10 + 0.00005, 3e15, 1e300, 0.00005, -0.00005]
+    got = [r.v for r in spark.createDataFrame([(v,) for v in values], "x double").select(round_any(F.col("x"), 4).alias("v")).collect()]
+    assert got == [1e11, 1e13 + 0.125, -2.5e13, 9.3e10 + 0.0001, 3e15, 1e300, 0.0001, -0.0001]
+
+
+def test_fixed_prints_as_printf(spark):
+    random.seed(5)
+    values = [i / 10000 + 0.0005 for i in range(0, 10000, 7)] + [0.0045, 30.25, 30.75, 0.5, -0.0045, -30.25, 1e9 + 0.125, 0.0]
+    values += [random.uniform(-1000, 1000) for _ in range(500)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double")
+    got = df.select("i", "x", *[fixed(F.col("x"), d).alias(f"d{d}") for d in (1, 2, 3, 4)]).collect()
+    for r in got:
+        for d in (1, 2, 3, 4):
+            assert r[f"d{d}"] == f"{r.x:.{d}f}", (r.x, d)
+
+
+def test_metrics_of_billions_of_pairs(spark):
+    rows = spark.createDataFrame([(0.2, 0, 5 * 10**9), (0.8, 5 * 10**9, 0)], "p double, pos bigint, neg bigint")
+    rows = rows.withColumn("n", F.col("pos") + F.col("neg"))
+    below = F.when(F.col("p") > 0.5, F.lit(5 * 10**9)).otherwise(F.lit(0).cast("bigint"))
+    zero = F.lit(0.0)
+    assert metrics._summary(rows, below, F.sum("n") * 0.5, zero, zero).first()["auc"] == 1.0
+
+
+def test_exact_metrics_keep_close_scores_apart(spark):
+    rows = spark.createDataFrame([(1, 0.5000002), (0, 0.5000001)] * 3, "y int, p double")
+    assert metrics.classifier_metrics(rows, "y", "p").first()["auc"] == 0.5
+    assert metrics.classifier_metrics(rows, "y", "p", digits=None).first()["auc"] == 1.0
+
+
+def test_split_and_folds_share_rare_labels(spark):
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("event_id"), (F.col("id") % 100 == 0).cast("int").alias("y"))
+    counts = {(r.y, r.part): r["count"] for r in classifiers.split_parts(rows, "y").groupBy("y", "part").count().collect()}
+    assert counts == {(0, "train"): 792, (0, "test"): 198, (1, "train"): 8, (1, "test"): 2}
+    folds = classifiers.stratified_folds(rows, "y", 5).groupBy("y", "fold").count().collect()
+    assert sorted((r.y, r["count"]) for r in folds) == [(0, 198)] * 5 + [(1, 2)] * 5
+
+
+def test_no_model_no_scores(spark):
+    passes = spark.createDataFrame([("a", 1)], "event_id string, target int")
+    assert classifiers.score_xp(None, passes, keep=("target",)).collect() == []

@@ -277,3 +277,37 @@ def test_request_limit_counts_accepted_only(spark, tmp_path):
     timed = stream.withColumn("ts", F.timestamp_seconds("sec"))
     got = ids(ingest.run_to_table(stateful.stream_request_limit(timed, "user", "request_id", "ts", 20, 60), "l"), "request_id", "accepted")
     assert [a for _, a in got] == sequential_limit(times, 20, 60) and not all(a for _, a in got)
+
+
+def test_ingest_records_errors_and_retries(spark, tmp_path):
+    feed, fact, ledger, progress = (str(tmp_path / n) for n in ("feed", "fact", "ledger", "progress"))
+    Path(feed).mkdir()
+
+    def run():
+        ingest.stream_ingest(spark, "statsbomb", feed, fact, ledger, progress, competition_id=43).awaitTermination()
+        return ids(tables.read_table(spark, ledger, schemas.LEDGER), "match_id", "status", "event_count")
+
+    Path(feed, "1.json").write_text('[{"id": "a", "minute": 1}]')
+    Path(feed, "bad_77.json").write_text('[{"id": "b", "minute": 1}, {"id": "c", "min')
+    Path(feed, "nameless.json").write_text('[{"id": "d"}]')
+    Path(feed, "8.json").write_text('[{"id": "e"}, {"minute": 3}]')
+    assert run() == [(1, "success", 1), (8, "error", 0), (77, "error", 0)]
+    assert ids(tables.read_events(spark, fact), "event_id") == [("a",)]
+    matches = spark.createDataFrame([(1, 43), (8, 43), (77, 43)], "match_id int, competition_id int")
+    assert ids(tables.pending_matches(matches, tables.read_table(spark, ledger, schemas.LEDGER)), "match_id") == [(8,), (77,)]
+    Path(feed, "77_again.json").write_text('[{"id": "b", "minute": 1}, {"id": "c", "minute": 2}]')
+    assert (77, "success", 0) in run()  # a known match keeps its first count
+    assert ids(tables.read_events(spark, fact), "event_id") == [("a",), ("b",), ("c",)]
+
+
+def test_null_keys_are_refused(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1), (None, 1), ("b", None)], "event_id string, competition_id int")
+    assert ids(tables.new_rows(rows.limit(0), rows), "event_id") == [("a",)]
+
+
+def test_replace_recovers_a_table_moved_aside(spark, tmp_path):
+    path = tmp_path / "t"
+    tables.replace_table(spark.range(3).toDF("v"), str(path))
+    path.rename(tmp_path / "t__replaced")  # as a crash between the two moves leaves it
+    got = tables.replace_table(spark.range(5).toDF("v"), str(path))
+    assert got.count() == 5 and not (tmp_path / "t__replaced").exists()

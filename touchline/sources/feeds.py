@@ -43,9 +43,13 @@ def _lookup(table: dict, key: Column) -> Column:
 
 
 def _match_id_from_file() -> Column:
-    """The first number of the file's name; null for a name without one (or one that is no int)."""
+    """The first number of the file's name that stands alone (``f24-7`` is match 7), else the first one.
+
+    Null for a name without a number, or with one that is no int.
+    """
     name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    return F.regexp_extract(name, r"(\d+)", 1).try_cast("int")
+    alone = F.nullif(F.regexp_extract(name, r"(?<![A-Za-z\d])(\d+)(?![A-Za-z\d])", 1), F.lit(""))
+    return F.coalesce(alone, F.regexp_extract(name, r"(\d+)", 1)).try_cast("int")
 
 
 def payload_of(raw: DataFrame, event: Column) -> Column:

@@ -26,7 +26,7 @@ REFRESHABLE = ("mv_team_xg", "mv_shot_locations")
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
-    """One row per key: the smallest by ``order``, nulls last, then by a hash of the row.
+    """One row per key: the smallest by ``order``, nulls last, then the one with the fewest nulls, then by a hash.
 
     Only narrow columns are ordered, never a payload, and the filter sits right on the row number: each task keeps one
     row per key before the shuffle, so a key with very many copies does not travel whole to one task.
@@ -34,8 +34,9 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | Non
     rest = [name for name in df.columns if name not in keys]
     if not rest:
         return df.select(*keys).distinct()
-    hashed = df.withColumn("_hash", F.xxhash64(*rest))
-    ordered = Window.partitionBy(*keys).orderBy(*[F.col(name).asc_nulls_last() for name in order or ()], "_hash")
+    missing = reduce(lambda a, b: a + b, [F.col(name).isNull().cast("int") for name in rest])
+    hashed = df.withColumns({"_hash": F.xxhash64(*rest), "_missing": missing})
+    ordered = Window.partitionBy(*keys).orderBy(*[F.col(name).asc_nulls_last() for name in order or ()], "_missing", "_hash")
     return hashed.withColumn("_place", F.row_number().over(ordered)).where("_place = 1").select(*df.columns)
 
 
