@@ -1,10 +1,12 @@
-"""Exact nearest neighbours by cosine similarity without a cross join.
+"""Nearest neighbours by cosine similarity: exact, and approximate with its recall.
 
-Vectors are grouped by their closest pivot (a cell) and cells are cut into blocks of a bounded number of rows.
+Exact: vectors are grouped by their closest pivot (a cell) and cells are cut into blocks of a bounded number of rows.
 Every vector first finds its best neighbours inside its own block. A cell can then be skipped when even its
 closest possible member is worse than what the vector already has: on the unit sphere angles obey the triangle
 inequality, so angle(vector, pivot) minus the cell's radius bounds every member from below. Vectors are sent only
-to the blocks of the remaining cells, in chunks, and each task multiplies two bounded matrices.
+to the blocks of the remaining cells, in chunks, and each task multiplies two bounded matrices, a slice at a time.
+Data in clusters is pruned; vectors that point in all directions are not, whatever the bound, and every pair of
+blocks is multiplied. For those, and for very large tables, there is :func:`approximate_neighbours`.
 
 Identical vectors are searched once: a group of copies is represented by one row that carries its smallest ids.
 """
@@ -25,8 +27,10 @@ from touchline.operators.running import top_per_group
 from touchline.session import materialise
 
 N_NEIGHBOURS = 10
-BLOCK_ROWS = 2048
-PIVOTS = 256
+BLOCK_ROWS = 16_384  # rows of a block: 8 MB at 64 dimensions
+PIVOTS = 4096  # bound of the cells, whose pivots every task holds
+SLICE_ROWS = 512  # rows of a product at a time
+TABLES, BUCKET_ROWS, AUDITED = 12, 400, 200  # approximate search: hash tables, rows a bucket aims at, audited queries
 SLACK = 2e-6  # two units of the last digit, so that rounding never hides a tie
 
 
@@ -97,7 +101,8 @@ def _search(reps: DataFrame, k: int, block_rows: int, pivots: int) -> DataFrame:
     if not total:
         return reps.sparkSession.createDataFrame([], _PAIRS)
     # A bounded sample of vectors, whatever the size of the table; a few cells per block of rows are enough.
-    wanted = min(pivots, max(1, 4 * (math.ceil(total / block_rows) - 1)))
+    blocks_needed = math.ceil(total / block_rows)
+    wanted = min(pivots, max(4 * (blocks_needed - 1), math.isqrt(total) if blocks_needed > 1 else 1, 1))
     sample = reps.orderBy(F.xxhash64("id"), "id").limit(wanted).collect()
     pivot = np.array([row["vec"] for row in sample], dtype="float64")
 
@@ -132,9 +137,12 @@ def _search(reps: DataFrame, k: int, block_rows: int, pivots: int) -> DataFrame:
     def own(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id")
         ids, vecs = pdf["id"].to_numpy(), _matrix(pdf["vec"])
-        units = _units6(vecs @ vecs.T)
-        np.fill_diagonal(units, SELF)
-        return _emit(ids, *_best(units, ids, k))
+        parts = []
+        for at in range(0, len(ids), SLICE_ROWS):
+            units = _units6(vecs[at : at + SLICE_ROWS] @ vecs.T)
+            units[np.arange(len(units)), np.arange(at, at + len(units))] = SELF
+            parts.append(_emit(ids[at : at + SLICE_ROWS], *_best(units, ids, k)))
+        return pd.concat(parts, ignore_index=True)
 
     near = placed.select("id", "vec", "block").groupBy("block").applyInPandas(
         lambda pdf: own(pdf[["id", "vec"]]), _PAIRS
@@ -153,17 +161,17 @@ def _search(reps: DataFrame, k: int, block_rows: int, pivots: int) -> DataFrame:
             angles = np.arccos(np.clip(_matrix(pdf["vec"]) @ centre.T, -1, 1))
             bound = np.cos(np.maximum(angles - radius[None, :], 0.0))
             floors = pdf["floor"].fillna(-2.0).to_numpy()[:, None]
-            targets = []
-            for keep, home in zip(bound + SLACK >= floors, pdf["block"].to_numpy()):
-                spans = [np.arange(s, s + n) for s, n in zip(first_block[keep], blocks_of[keep])]
-                every = np.concatenate(spans) if spans else np.empty(0, dtype="int64")
-                targets.append(every[every != home].astype("int32"))
-            yield pdf[["id", "vec"]].assign(targets=targets)
+            row, cell = np.nonzero(bound + SLACK >= floors)
+            targets = np.split(used[cell].astype("int32"), np.searchsorted(row, np.arange(1, len(pdf))))
+            yield pdf[["id", "vec", "block"]].assign(cells=targets)
 
     queries = placed.join(floor, "id", "left").select("id", "vec", "block", "floor")
-    routed = queries.mapInPandas(route, "id bigint, vec array<double>, targets array<int>")
+    routed = queries.mapInPandas(route, "id bigint, vec array<double>, block int, cells array<int>")
     chunk = F.pmod(F.xxhash64("id", F.lit(2)), F.lit(chunks)).cast("int")
-    asked = routed.select("id", "vec", F.explode("targets").alias("block"), chunk.alias("chunk"))
+    # A row carries the cells that are left to it; their blocks follow from the layout.
+    by_cell = routed.select("id", "vec", F.col("block").alias("_home"), F.explode("cells").alias("cell"), chunk.alias("chunk"))
+    span = F.sequence(place["start"], place["start"] + place["count"] - 1)
+    asked = by_cell.select("id", "vec", "_home", F.explode(span).alias("block"), "chunk").where("block <> _home").drop("_home")
     # A block goes only to the chunks that ask for it.
     wanted_by = asked.select(F.col("block").alias("_block"), F.col("chunk").alias("_chunk")).distinct()
     offered = placed.join(wanted_by, F.col("block") == F.col("_block")).select(
@@ -174,8 +182,12 @@ def _search(reps: DataFrame, k: int, block_rows: int, pivots: int) -> DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"id": [], "other": [], "score": []}).astype({"id": "int64", "other": "int64"})
         right = right.sort_values("id")
-        units = _units6(_matrix(left["vec"]) @ _matrix(right["vec"]).T)
-        return _emit(left["id"].to_numpy(), *_best(units, right["id"].to_numpy(), k))
+        ids, vecs, there = left["id"].to_numpy(), _matrix(left["vec"]), _matrix(right["vec"]).T
+        parts = [
+            _emit(ids[at : at + SLICE_ROWS], *_best(_units6(vecs[at : at + SLICE_ROWS] @ there), right["id"].to_numpy(), k))
+            for at in range(0, len(ids), SLICE_ROWS)
+        ]
+        return pd.concat(parts, ignore_index=True)
 
     far = asked.groupBy("block", "chunk").cogroup(offered.groupBy("block", "chunk")).applyInPandas(across, _PAIRS)
     return top_per_group(near.unionByName(far), ["id"], [F.col("score").desc(), F.col("other").asc()], k, "_r").drop("_r")
@@ -235,14 +247,83 @@ def cosine_neighbours(
     )
 
 
+def approximate_neighbours(
+    vectors: DataFrame, key: str, vec: str = "vec", n: int = N_NEIGHBOURS, tables: int = TABLES,
+    bucket_rows: int = BUCKET_ROWS, seed: int = 11,
+) -> DataFrame:
+    """Most similar other rows among those that share a bucket, by exact cosine, with the measured ``recall``.
+
+    Random hyperplanes cut the space; a row's bucket in each of ``tables`` tables is the sides it lies on, with as many
+    planes as make buckets of about ``bucket_rows`` rows. Work grows with the rows, not with their square. A bucket above
+    eight times that is cut by id: of very many near copies a row then meets some, and :func:`cosine_neighbours` is the
+    exact way. ``recall`` compares the answers of a bounded sample of rows with brute force. Zero vectors are left out.
+    """
+    c = F.col
+    points = vectors.select(c(key).cast("bigint").alias("id"), unit(c(vec).cast("array<double>")).alias("vec"))
+    points = materialise(points.where(~F.forall("vec", lambda x: x == 0)), "points")
+    total = points.count()
+    wide = points.select(F.max(F.size("vec"))).first()[0] or 1  # one row
+    planes = max(1, math.ceil(math.log2(max(2, total / bucket_rows))))
+    normal = np.random.default_rng(seed).normal(size=(tables * planes, wide))
+    most = 8 * bucket_rows
+
+    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        powers = 1 << np.arange(planes, dtype="int64")
+        for pdf in batches:
+            if len(pdf):
+                sides = (_matrix(pdf["vec"]) @ normal.T >= 0).reshape(len(pdf), tables, planes)
+                yield pdf.assign(buckets=list((sides * powers).sum(axis=2) * tables + np.arange(tables)))
+
+    hashed = points.mapInPandas(sign, "id bigint, vec array<double>, buckets array<bigint>")
+    spread = hashed.select("id", "vec", F.explode("buckets").alias("bucket"))
+    sizes = spread.groupBy("bucket").agg(F.ceil(F.count("*") / most).cast("bigint").alias("parts"))
+    spread = spread.join(sizes, "bucket").withColumn("part", F.pmod(F.xxhash64("id"), c("parts")))
+
+    def inside(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id")
+        ids, vecs = pdf["id"].to_numpy(), _matrix(pdf["vec"])
+        parts = [pd.DataFrame({"id": ids[:0], "other": ids[:0], "score": np.empty(0)})]
+        for at in range(0, len(ids) if len(ids) > 1 else 0, SLICE_ROWS):
+            units = _units6(vecs[at : at + SLICE_ROWS] @ vecs.T)
+            units[np.arange(len(units)), np.arange(at, at + len(units))] = SELF
+            parts.append(_emit(ids[at : at + SLICE_ROWS], *_best(units, ids, n)))
+        return pd.concat(parts, ignore_index=True)
+
+    pairs = spread.select("id", "vec", "bucket", "part").groupBy("bucket", "part").applyInPandas(
+        lambda pdf: inside(pdf[["id", "vec"]]), _PAIRS
+    )
+    best = top_per_group(pairs.distinct(), ["id"], [c("score").desc(), c("other").asc()], n, "rank")
+    best = materialise(best, "approximate")
+    audit = points.orderBy(F.xxhash64("id"), "id").limit(AUDITED).collect()  # bounded
+    asked, query = np.array([r["id"] for r in audit]), np.array([r["vec"] for r in audit]).reshape(len(audit), -1)
+
+    def brute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf) and len(asked):
+                pdf = pdf.sort_values("id")
+                units = _units6(query @ _matrix(pdf["vec"]).T)
+                units[asked[:, None] == pdf["id"].to_numpy()[None, :]] = SELF
+                yield _emit(asked, *_best(units, pdf["id"].to_numpy(), n))
+
+    exact = top_per_group(points.mapInPandas(brute, _PAIRS), ["id"], [c("score").desc(), c("other").asc()], n, "_r")
+    hit = exact.join(best.select("id", "other", F.lit(1).alias("_hit")), ["id", "other"], "left")
+    recall = hit.agg(F.avg(F.coalesce("_hit", F.lit(0))).alias("recall"))  # one row
+    return best.crossJoin(F.broadcast(recall)).select(
+        c("id").alias(key), c("other").alias(f"similar_{key}"), round_any(F.greatest("score", F.lit(0.0)), 6).alias("similarity_score"),
+        c("rank").cast("int").alias("rank"), "recall",
+    )
+
+
 def neighbour_rank(scores: DataFrame, key: str, other: str, score: str, n: int = N_NEIGHBOURS) -> DataFrame:
     """Rank already scored pairs per key, best first, and keep the first ``n``."""
     return top_per_group(scores, [key], [F.col(score).desc(), F.col(other).asc()], n, "rank")
 
 
-def player_similarity(features: DataFrame, cols: Sequence[str], n: int = N_NEIGHBOURS) -> DataFrame:
+def player_similarity(
+    features: DataFrame, cols: Sequence[str], n: int = N_NEIGHBOURS, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
     """Similarity table over player profiles. It replaces the stored table as a whole, so no stale pair stays."""
-    return cosine_neighbours(standardised(features, "player_id", cols), "player_id", n=n)
+    return cosine_neighbours(standardised(features, "player_id", cols), "player_id", n=n, block_rows=block_rows)
 
 
 def top_neighbours(scores: DataFrame, player_id: int, n: int = N_NEIGHBOURS) -> DataFrame:
