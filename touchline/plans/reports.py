@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions.labels import clip_code, clip_label, clip_window, game_clock_ms, surname
@@ -170,3 +170,29 @@ def verify_top_actions(fact: DataFrame, players: DataFrame, n: int = 10) -> Data
         "event_id", "event_type", "player_name", round_any(c("xt_value"), 4).alias("xt"),
         round_any(c("xp_value"), 4).alias("xp"),
     )
+
+
+def verify_ledger(ledger: DataFrame) -> DataFrame:
+    """What was loaded: matches and events per status and competition."""
+    return ledger.groupBy("status", "competition_id").agg(
+        F.count("*").alias("matches"), F.sum("event_count").cast("bigint").alias("events")
+    )
+
+
+def verify_bundle(surface: DataFrame, fact: DataFrame, players: DataFrame, ledger: DataFrame) -> DataFrame:
+    """The verification listing in one table: best cells, best actions, and the ledger by status and competition."""
+    c = F.col
+
+    def section(name: str, df: DataFrame, order: list, item, value) -> DataFrame:
+        place = F.row_number().over(Window.orderBy(*order))  # a handful of rows, or one per status and competition
+        return df.select(F.lit(name).alias("section"), place.alias("place"), item.alias("item"), value.alias("value"))
+
+    cells = verify_top_cells(surface)
+    best = fact.where(c("xt_value").isNotNull()).orderBy(*_xt_order()).limit(10)
+    loaded = verify_ledger(ledger)
+    return (
+        section("cell", cells, [F.desc("xt"), c("grid_row"), c("grid_col")], F.concat_ws(",", "grid_col", "grid_row"), c("xt"))
+        .unionByName(section("action", best, _xt_order(), c("event_id"), round_any(c("xt_value"), 4)))
+        .unionByName(section("ledger", loaded, [c("status"), c("competition_id")], F.concat_ws(",", "status", "competition_id"),
+                             c("matches").cast("double")))
+    )

@@ -88,22 +88,31 @@ def accept(times: np.ndarray, accepted: deque, limit: int, window_us: int) -> np
     return out
 
 
-def stream_request_limit(requests: DataFrame, key: str, request_id: str, ts: str, limit: int = 60, window: int = 60) -> DataFrame:
-    """Whether each request is let through. The state of a key is its at most ``limit`` accepted times."""
+def stream_request_limit(requests: DataFrame, key: str, request_id: str, ts: str, limit: int = 60, window: int = 60, delay: str = "1 minute") -> DataFrame:
+    """Whether each request is let through. The state of a key is its at most ``limit`` accepted times.
+
+    A key is forgotten when the watermark has passed its last accepted request by the window: then none of them counts.
+    """
     window_us = window * 1_000_000
 
     def step(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         rows = pd.concat(list(batches), ignore_index=True).sort_values(["us", "request_id"], kind="stable")
         accepted = deque(state.get[0] if state.exists else [])
         rows["accepted"] = accept(rows["us"].to_numpy("int64"), accepted, limit, window_us)
         state.update((list(accepted),))
+        last = max(accepted, default=int(rows["us"].max())) // 1000 + window * 1000
+        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + 1)
         yield rows[["key", "request_id", "us", "accepted"]]
 
+    at = F.col(ts).cast("timestamp")
     rows = requests.select(
         F.col(key).cast("string").alias("key"), F.col(request_id).cast("string").alias("request_id"),
-        F.unix_micros(F.col(ts).cast("timestamp")).alias("us"),
-    )
+        F.unix_micros(at).alias("us"), at.alias("_at"),
+    ).withWatermark("_at", delay)
     return rows.groupBy("key").applyInPandasWithState(
         step, "key string, request_id string, us bigint, accepted boolean", _LIMIT_STATE, "append",
-        GroupStateTimeout.NoTimeout,
+        GroupStateTimeout.EventTimeTimeout,
     )
