@@ -17,7 +17,7 @@ def _large(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = _mins(both).select("u", F.least("u", "m").alias("m"))
     out = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return out.filter("u <> v").distinct()
+    return out.filter("u <> v")
 
 
 def _small(edges: DataFrame) -> DataFrame:
@@ -42,7 +42,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         if state == before or not state[0]:
             break
         before = state
-        edges = materialise(_small(_large(edges)), "links")
+        edges = materialise(_small(materialise(_large(edges), "links")), "links")
     else:
         raise RuntimeError("components did not settle")
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

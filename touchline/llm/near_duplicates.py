@@ -8,11 +8,13 @@ Below, a node selects ``WAYS`` paths of ``STEPS`` tokens at once: two sets meet
 1 - (1 - s^STEPS)^WAYS, 0.9999 at s = 0.85, while sets that share half of their shingles are in 0.3 children on average,
 so that large nodes fall apart. Three things happen with the nodes:
 
-1. In every root node each class is compared with the smallest one. That settles most groups of near copies at once.
-2. Nodes of at most ``LEAF`` classes are compared exhaustively by sketch, with a margin of ``MARGIN`` standard errors;
-   larger ones are branched. What may be linked forms candidate groups.
-3. Within a candidate group every pair that is not known to be connected is compared on its full sets. Groups are dealt
-   in pairs of blocks of ``BLOCK`` classes, so no task holds more, however many copies there are.
+1. In every root node each class is compared by sketch, with a margin of ``MARGIN`` standard errors, with the smallest
+   one. Classes that are like the same one need no further comparison to be candidates together.
+2. Nodes of at most ``LEAF`` classes are compared exhaustively by sketch; larger ones are branched. What may be linked
+   forms candidate groups.
+3. The full sets of the classes in candidate groups are read once. The pairs of step 1 are confirmed on them, which
+   settles most groups of near copies; then every pair of a group that is not known to be connected is compared.
+   Groups are dealt in pairs of blocks of ``BLOCK`` classes, so no task holds more, however many copies there are.
 
 Only components are asked for, so links within a known component are not looked at again.
 """
@@ -35,7 +37,7 @@ SHINGLE = 5
 SKETCH = 64  # minwise tokens of a class
 TREES, BRANCH = 2, 3  # independent trees, paths of one token at their roots
 WAYS, STEPS = 20, 6  # paths of a node below, and their tokens
-LEAF = 1024  # nodes up to this size are compared exhaustively
+LEAF = 4096  # nodes up to this size are compared exhaustively
 DEPTH = 4  # levels after which what is left is compared whatever its size, in blocks
 BLOCK = 512  # classes of a block
 MARGIN = 5.0  # standard errors
@@ -111,7 +113,8 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     sets.append(found.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["class_id", "items"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("class_id"), "text").join(wanted, "class_id")
+    # The table of classes grows with the documents, so it is never broadcast, however small it is.
+    texts = docs.select(F.col("doc_id").cast("long").alias("class_id"), "text").join(wanted.hint("merge"), "class_id")
     return texts.select("class_id", "key", "text").mapInArrow(pack, "class_id long, items binary").dropDuplicates(["class_id"])
 
 
@@ -147,33 +150,45 @@ def _alike(a: str, b: str, least: int) -> Column:
 
 
 def _shared(entries: DataFrame) -> DataFrame:
-    """Entries of nodes with at least two of them, with the node's size and smallest class."""
-    entries = materialise(entries.distinct(), "near-children")  # hashes of paths, read twice
-    sizes = entries.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("class_id").alias("lead")).filter("n > 1")
-    return entries.join(sizes, "node")
+    """Entries of nodes with at least two of them, with the node's smallest class."""
+    sizes = entries.groupBy("node").agg(F.count(F.lit(1)).alias("count"), F.min("class_id").alias("lead")).filter("count > 1")
+    return entries.join(sizes.drop("count"), "node")
 
 
-def _dealt(rows: DataFrame, group: str, block: int) -> DataFrame:
-    """``rows`` (group, class_id, component, ..) of open groups, copied to pairs of blocks: ``task, own`` are added.
+def _sided(rows: DataFrame, group: str) -> DataFrame:
+    """``rows`` (group, class_id, component, ..) of groups with several components: ``n`` and ``main`` are added.
 
-    The largest component of a group is its main side. Blocks hold either main classes or others, and two blocks of the
-    main side never meet, since what they hold is connected already.
+    The largest component of a group is its main side (its size and number).
     """
     sides = rows.groupBy(group, "component").agg(F.count(F.lit(1)).alias("side"))
     sizes = sides.groupBy(group).agg(
         F.max(F.struct("side", "component")).alias("main"), F.sum("side").alias("n"), F.count(F.lit(1)).alias("sides")
     )
-    rows = rows.join(sizes.filter("sides > 1"), group)
+    return rows.join(sizes.filter("sides > 1").drop("sides"), group)
+
+
+def _dealt(rows: DataFrame, group: str, block: int) -> DataFrame:
+    """:func:`_sided` rows copied to pairs of blocks: ``task, own`` are added.
+
+    Blocks hold either main classes or others, and two blocks of the main side never meet, since what they hold is
+    connected already.
+    """
     main = F.col("component") == F.col("main.component")
     others = F.ceil((F.col("n") - F.col("main.side")) / block).cast("long")
     blocks = F.ceil(F.col("main.side") / block).cast("long")
     place = F.xxhash64("class_id")
-    own = F.when(main, others + F.pmod(place, blocks)).otherwise(F.pmod(place, others))
-    rows = rows.withColumn("own", own).withColumn("others", others).withColumn("all", others + blocks)
+    own = F.when(main, others + F.pmod(place, blocks)).otherwise(F.pmod(place, F.greatest(others, F.lit(1))))
+    rows = rows.withColumns({"own": own, "others": others, "all": others + blocks})
     meets = F.filter(F.sequence(F.lit(0).cast("long"), F.col("all") - 1), lambda o: (F.col("own") < F.col("others")) | (o < F.col("others")))
     rows = rows.withColumn("met", F.explode(meets))
     task = F.xxhash64(group, F.least("own", "met"), F.greatest("own", "met")).alias("task")
-    return rows.select("*", task).drop("main", "side", "sides", "n", "others", "all", "met", group)
+    return rows.select("*", task).drop("main", "n", "others", "all", "met", group)
+
+
+def _nearest(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``rows`` with the smallest class that a pair links each to as its component, else its own."""
+    lead = pairs.groupBy(F.col("b").alias("class_id")).agg(F.min("a").alias("component"))
+    return rows.join(lead, "class_id", "left").withColumn("component", F.coalesce("component", "class_id"))
 
 
 class _Union:
@@ -273,19 +288,11 @@ def _by_set(top: int, bottom: int):
     return prepared
 
 
-def _labelled(classes: DataFrame, links: DataFrame | None, fallback: str = "class_id") -> DataFrame:
-    """``classes`` with the component that ``links`` give each class, else its own id."""
-    if links is None:
-        return classes.withColumn("component", F.col(fallback))
-    known = materialise(components(links), "near-known").select(F.col("node").alias("class_id"), "component")
-    return classes.join(known, "class_id", "left").withColumn("component", F.coalesce("component", fallback))
-
-
 def _stars(entries: DataFrame, least: int) -> DataFrame:
     """Pairs of every class of a node with its smallest one, alike by sketch."""
     lead = entries.filter("class_id = lead").select("node", F.col("class_id").alias("a"), F.col("sketch").alias("sketch_a"))
     pairs = entries.filter("class_id <> lead").join(lead, "node").filter(_alike("sketch", "sketch_a", least))
-    return pairs.select("a", F.col("class_id").alias("b")).distinct()
+    return pairs.select("a", F.col("class_id").alias("b")).distinct()  # the smaller class first
 
 
 def find(docs: DataFrame, top: int = 85, bottom: int = 100) -> DataFrame:
@@ -305,36 +312,28 @@ def find(docs: DataFrame, top: int = 85, bottom: int = 100) -> DataFrame:
     heads = materialise(classes.dropDuplicates(["class_id"]), "near-heads")
     sketches, keys = heads.select("class_id", "sketch"), heads.select("class_id", "key")
 
-    def sets_of(ids: DataFrame) -> DataFrame:
-        return _sets(docs, materialise(ids.select("class_id").distinct().join(keys, "class_id"), "near-wanted"))
-
     tree = F.explode(F.array(*[F.lit(t).cast("long") for t in range(TREES)])).alias("node")
     entries = _shared(_children(heads.select(tree, "class_id", "sketch"), BRANCH, 1)).join(sketches, "class_id")
     entries = materialise(entries, "near-entries")
-    pairs = materialise(_stars(entries, least), "near-stars")
-    both = pairs.select(F.col("a").alias("class_id")).unionByName(pairs.select(F.col("b").alias("class_id")))
-    sets = materialise(sets_of(both), "near-sets")
-    links = materialise(_confirmed(pairs, sets, top, bottom), "near-links")
-    settled = materialise(_labelled(heads.select("class_id"), links), "near-settled")
-    maybe = links
+    stars = materialise(_stars(entries, least), "near-stars")
+    maybe = stars
     for depth in range(DEPTH + 1):
-        entries = entries.join(settled, "class_id")
-        sides = entries.groupBy("node").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
-        entries = materialise(entries.join(sides.select("node"), "node"), "near-open")
+        open_ = materialise(_sided(_nearest(entries, stars), "node"), "near-open")
         leaf = F.col("n") <= (LEAF if depth < DEPTH else 1 << 62)
-        maybe = maybe.unionByName(materialise(_compared(_dealt(entries.filter(leaf).drop("n", "lead"), "node", LEAF), "sketch", _by_sketch(least)), "near-maybe"))
-        entries = entries.filter(~leaf)
-        if entries.isEmpty():
+        compared = _compared(_dealt(open_.filter(leaf), "node", LEAF), "sketch", _by_sketch(least))
+        maybe = maybe.unionByName(materialise(compared, "near-maybe"))
+        large = open_.filter(~leaf)
+        if large.isEmpty():
             break
-        entries = materialise(_shared(_children(entries, WAYS, STEPS)).join(sketches, "class_id"), "near-entries")
-    groups = _labelled(settled.withColumnRenamed("component", "settled"), maybe).withColumnRenamed("component", "group")
-    groups = groups.withColumnRenamed("settled", "component")
-    open_ = groups.groupBy("group").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
-    open_ = materialise(groups.join(open_.select("group"), "group"), "near-groups")
-    sets = materialise(sets_of(open_), "near-sets")
+        entries = materialise(_shared(_children(large, WAYS, STEPS)).join(sketches, "class_id"), "near-entries")
+    groups = components(maybe).select(F.col("node").alias("class_id"), F.col("component").alias("group"))
+    sets = materialise(_sets(docs, materialise(groups.select("class_id").join(keys, "class_id"), "near-wanted")), "near-sets")
+    links = materialise(_confirmed(stars, sets, top, bottom), "near-links")
+    open_ = _sided(_nearest(groups, links), "group")
     more = _compared(_dealt(open_, "group", BLOCK).join(sets, "class_id"), "items", _by_set(top, bottom))
-    links = links.unionByName(materialise(more, "near-links"))
-    members = _labelled(classes.select("key", "class_id"), links).select("key", "component")
+    known = components(links.unionByName(materialise(more, "near-links"))).select(F.col("node").alias("class_id"), "component")
+    members = classes.select("key", "class_id").join(known, "class_id", "left")
+    members = members.select("key", F.coalesce("component", "class_id").alias("component"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")
     done = rows.select("doc_id", "n_shingles", "key").join(members, "key", "left").select("doc_id", "n_shingles", component)
     return done.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
