@@ -1,7 +1,7 @@
 """Toxicity by a classifier chain.
 
-The categories are predicted one after the other. Each is a linear (logistic) model over the presence of the words that
-tell toxic from other documents, and every model after the first also sees the probabilities of the categories before
+The categories are predicted one after the other. Each is a linear (logistic) model over the presence of the words, and
+beginnings of words, that tell toxic from other documents, and every model after the first also sees the probabilities of the categories before
 it. In training those come from folds the document was not part of, so that a later model learns how far an earlier one
 can be trusted. The models are fitted on a bounded sample of labelled documents (``PER_CLASS``); the words are chosen
 by Spark over that sample, the fit itself works on a small 0/1 matrix. Scoring covers every document.
@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from touchline.llm.common import materialise, prepare
 
 PER_CLASS = 4000  # labelled documents per class that the fit sees, by hash of the id
-FEATURES = 256  # words with the strongest evidence
+FEATURES, LEAST = 256, 3.0  # words with the strongest evidence, and the standard errors it has at least
+STEM = 4  # bytes of a word's beginning
 FOLDS = 5
 RIDGE = 1.0
 REJECT = 0.5  # probability of the last category from which on a document is toxic
@@ -38,7 +39,12 @@ _FOLD = bytes(
 
 
 def distinct_words(text: str | None) -> set[bytes]:
-    return set(text.encode("utf-8", "surrogatepass").translate(_FOLD).split()) if text else set()
+    """The words of a whole text in lower case, and the first ``STEM`` bytes of longer ones as words of their own kind.
+
+    Beginnings carry evidence from the inflected and compound forms of a word that are too rare to be chosen themselves.
+    """
+    words = set(text.encode("utf-8", "surrogatepass").translate(_FOLD).split()) if text else set()
+    return words | {b"^" + w[:STEM] for w in words if len(w) > STEM}
 
 
 @dataclass(frozen=True)
@@ -121,9 +127,10 @@ def train(
     seen = seen.agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
     bad, good = (F.col("a") + 0.5) / (n[1] + 1.0), (F.col("b") + 0.5) / (n[0] + 1.0)
     spread = F.sqrt(bad * (1 - bad) / n[1] + good * (1 - good) / n[0])
-    strongest = seen.orderBy((F.abs(bad - good) / spread).desc(), "word").limit(features).collect()
+    evidence = F.abs(bad - good) / spread
+    strongest = seen.filter(evidence >= LEAST).orderBy(evidence.desc(), "word").limit(features).collect()
     vocabulary = tuple(sorted(bytes(r["word"]) for r in strongest))
-    kept = F.array_intersect("words", F.array(*[F.lit(w) for w in vocabulary]))
+    kept = F.array_intersect("words", F.array(*[F.lit(w) for w in vocabulary]).cast("array<binary>"))
     marks = {name: F.arrays_overlap("words", F.array(*[F.lit(w.encode()) for w in some])) for name, some in seeds.items()}
     sample = rows.select(
         "doc_id", "toxic", kept.alias("words"), *[(m & (F.col("toxic") == 1)).cast("int").alias(f"is_{k}") for k, m in marks.items()]
