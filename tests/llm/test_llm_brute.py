@@ -175,8 +175,9 @@ def test_decontamination_slots(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     bench = spark.createDataFrame([(77, item)], "item_id long, text string")
     got = decontamination.contamination(df, bench)
-    # The third keeps only windows before its second "2 hours", which answers to two different numbers of the item.
-    assert {r["doc_id"] for r in got.collect()} - {2} == {0, 1}
+    # The third answers to two numbers of the item with one, so it may keep enough windows before that or not; the last
+    # has the name as a plain word, which costs it the windows around it only.
+    assert {r["doc_id"] for r in got.collect()} - {2} == {0, 1, 5}
     assert got.filter("doc_id = 1").first()["item_ids"] == [77]
 
 
