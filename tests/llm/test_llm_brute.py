@@ -153,6 +153,28 @@ def test_style_tree_cuts_what_pages_share(spark):
     assert got[0] == "Text number 0 of many\nshared" and got[9] == "Text number 9 of many\nmore 9"
 
 
+def extracted(spark, pages):
+    rows = [(i, f"http://h.net/{i}", page) for i, page in enumerate(pages)]
+    return {r["page_id"]: r["text"] for r in site_style.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_noise_marks_hold_for_their_element_only(spark):
+    """An id, a role or a hidden element goes; what has its path on this or another page of the host stays."""
+    shell = "<body><div id=content><p>Text {0} outside</p></div><article><p>Text {0} inside</p>{1}</article><div id=footer>{2}</div>"
+    extra = {0: "<p hidden>secret</p>", 1: "<div id=comments><p>me too</p></div>", 2: "<p style='display: none'>gone</p>"}
+    foot = "".join(f"<p>Foot {k}</p>" for k in range(12))
+    got = extracted(spark, [shell.format(i, extra.get(i, f"<div><p>more {i}</p></div>"), foot) for i in range(20)])
+    for i in range(20):
+        assert got[i] == f"Text {i} outside\nText {i} inside" + (f"\nmore {i}" if i > 2 else "")
+
+
+def test_articles_are_not_cut_by_their_host(spark):
+    """Text in an article stays though the host repeats it or has mostly links around it."""
+    menu = "".join(f"<p><a href=/{k}>A long entry of the menu, number {k}</a></p>" for k in range(20))
+    got = extracted(spark, [f"<body><div class=x>{menu}</div><article><p>The same text on every page</p></article>" for _ in range(12)])
+    assert set(got.values()) == {"The same text on every page"}
+
+
 @pytest.mark.parametrize(
     ("page", "text"),
     [

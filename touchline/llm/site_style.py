@@ -4,8 +4,9 @@ The pages of a host are merged into one tree. A node of it is a path of block el
 many pages have it, how differently its children are laid out there (presentation) and how differently its blocks read
 (content). What is alike on every page carries no information: a node's importance is an entropy to the base of the
 number of its pages, 1 for text that is new on each page, 0 for text that all of them share. The importance of a branch
-mixes its own presentation with the content below it, and is scaled by what the element says of itself (a ``nav`` or a
-``div class="ad"`` has none) and by the share of link text. Branches of low importance are cut from each page.
+mixes its own presentation with the content below it, and is scaled by the share of link text. Branches of low
+importance are cut from each page. What an element says of itself (a ``nav``, a ``div id="footer"``, anything hidden)
+holds for that element alone: it goes from its page and takes no part in the tree, where others may have its path.
 
 Text inside an ``article`` or ``main`` element is cut only by what its elements say of themselves, because articles may
 quote the same passage. Statistics are one grouped aggregation of hashes; page texts are never shuffled.
@@ -95,7 +96,7 @@ def _marks(name: str, rest: str, inside_main: bool) -> tuple[str, bool]:
 
 
 def parse(page: str | None) -> tuple[list[tuple[str, str, int, bool, bool]], list[tuple[str, str]]]:
-    """Blocks in page order (path, text, characters in links, noise by name, inside the article) and node layouts.
+    """Blocks in page order (path, text, characters in links, noise by name, inside the article) and layouts of other nodes than noise.
 
     Missing end tags, stray end tags and cut-off markup are taken as browsers take them: a paragraph ends where a block
     begins, an end tag without its start is passed over, an unfinished tag at the end is dropped.
@@ -119,7 +120,8 @@ def parse(page: str | None) -> tuple[list[tuple[str, str, int, bool, bool]], lis
         flush()
         while len(stack) > depth:
             node = stack.pop()
-            layouts.append((node.path, " ".join(node.children)))
+            if not node.noise:
+                layouts.append((node.path, " ".join(node.children)))
 
     at = 0
     while True:
@@ -185,22 +187,22 @@ def _key(text: str) -> int:
 
 _STATS = pa.schema([
     ("host", pa.string()), ("path", pa.string()), ("kind", pa.string()), ("feature", pa.int64()), ("chars", pa.int64()), ("links", pa.int64()),
-    ("named", pa.bool_()), ("main", pa.bool_()),
+    ("main", pa.bool_()),
 ])
 
 
 def observations(host: str, page: str | None) -> Iterator[tuple]:
-    """What one page tells of its host's tree: each layout and each block text of a node once."""
+    """What one page tells of its host's tree: each layout and each block text of a node once, noise by name left out."""
     blocks, layouts = parse(page)
     seen = set()
     for path, layout in layouts:
         if ("layout", path, layout) not in seen:
             seen.add(("layout", path, layout))
-            yield host, path, "layout", _key(layout), 0, 0, False, False
+            yield host, path, "layout", _key(layout), 0, 0, False
     for path, text, links, noise, main in blocks:
-        if ("text", path, text) not in seen:
+        if not noise and ("text", path, text) not in seen:
             seen.add(("text", path, text))
-            yield host, path, "text", _key(text), len(text), links, noise, main
+            yield host, path, "text", _key(text), len(text), links, main
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
@@ -214,12 +216,12 @@ def style_tree(pages: DataFrame) -> DataFrame:
         )
 
     said = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(
-        observe, "host string, path string, kind string, feature long, chars long, links long, named boolean, main boolean"
+        observe, "host string, path string, kind string, feature long, chars long, links long, main boolean"
     )
     # Pages with a feature first, so that the text that all pages share is one row of each task.
     alike = said.groupBy("host", "path", "kind", "feature").agg(
         F.count(F.lit(1)).alias("k"), F.sum("chars").alias("chars"), F.sum("links").alias("links"),
-        F.max("named").alias("named"), F.max("main").alias("main"),
+        F.max("main").alias("main"),
     )
     layout, text = F.col("kind") == "layout", F.col("kind") == "text"
     k, k_log = F.col("k"), F.col("k") * F.log(F.col("k"))
@@ -230,7 +232,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
     nodes = alike.groupBy("host", "path").agg(
         total(k, layout).alias("pages"), total(k_log, layout).alias("layout_log"), total(k, text).alias("texts"),
         total(k_log, text).alias("text_log"), F.sum("chars").alias("chars"), F.sum("links").alias("links"),
-        F.max("named").alias("named"), F.max("main").alias("main"),
+        F.max("main").alias("main"),
     )
     many = F.col("pages") >= MIN_PAGES
     log_m = F.log(F.col("pages"))
@@ -249,14 +251,13 @@ def style_tree(pages: DataFrame) -> DataFrame:
         F.try_divide(F.sum(F.col("texts") * F.col("content")), F.sum("texts")).alias("inside"),
         F.try_divide(F.sum("links"), F.sum("chars")).alias("linked"), F.sum(direct.cast("int")).alias("kids"),
     )
-    own = nodes.select("host", F.col("path").alias("branch"), "pages", "presentation", "named", "main")
+    own = nodes.select("host", F.col("path").alias("branch"), "pages", "presentation", "main")
     joined = branches.join(own, ["host", "branch"])
     decay = F.pow(F.lit(DECAY), F.col("kids"))
     mixed = (1 - decay) * F.col("presentation") + decay * F.coalesce(F.col("inside"), F.lit(1.0))
-    named = F.when(F.col("named"), 0.0).otherwise(1.0)
     menu = F.when(~F.col("main") & (F.coalesce(F.col("linked"), F.lit(0.0)) > LINKS), 0.0).otherwise(1.0)
     inside = F.when(F.col("main") | (F.size(F.split("branch", "/")) <= 3), 1.0).otherwise(mixed)
-    return joined.select("host", F.col("branch").alias("path"), "pages", (inside * named * menu).alias("importance"))
+    return joined.select("host", F.col("branch").alias("path"), "pages", (inside * menu).alias("importance"))
 
 
 def extract(pages: DataFrame, least: float = LEAST) -> DataFrame:
@@ -285,14 +286,14 @@ def extract(pages: DataFrame, least: float = LEAST) -> DataFrame:
 
 
 def main_text(page: str | None, cut: list[str] | tuple[str, ...] = ()) -> str:
-    """The blocks of a page that stand in no branch to be cut."""
+    """The blocks of a page that neither are noise by name nor, outside an article, stand in a branch to be cut."""
     known: dict[str, bool] = {}
     gone = set(cut)
     out = []
-    for path, text, _, noise, _ in parse(page)[0]:
+    for path, text, _, noise, main in parse(page)[0]:
         if path not in known:
             steps = path.split("/")
             known[path] = any("/".join(steps[:i]) in gone for i in range(2, len(steps) + 1))
-        if not noise and not known[path]:
+        if not noise and (main or not known[path]):
             out.append(text)
     return "\n".join(out)
