@@ -175,6 +175,15 @@ def test_articles_are_not_cut_by_their_host(spark):
     assert set(got.values()) == {"The same text on every page"}
 
 
+def test_copies_of_a_page_count_once(spark):
+    """A group of copies is no boilerplate, neither beside unique pages nor alone on its host."""
+    shell = "<body><div class=top><p>Welcome to the site</p></div><div class=body><p>{}</p></div>"
+    got = extracted(spark, [shell.format("The copied text" if i >= 20 else f"Text {i}") for i in range(220)])
+    assert [got[i] for i in range(21)] == [*(f"Text {i}" for i in range(20)), "The copied text"]
+    alone = extracted(spark, ["<body><div class=body><p>The copied text</p></div>"] * 30)
+    assert set(alone.values()) == {"The copied text"}
+
+
 @pytest.mark.parametrize(
     ("page", "text"),
     [

@@ -9,7 +9,8 @@ importance are cut from each page. What an element says of itself (a ``nav``, a
 holds for that element alone: it goes from its page and takes no part in the tree, where others may have its path.
 
 Text inside an ``article`` or ``main`` element is cut only by what its elements say of themselves, because articles may
-quote the same passage. Statistics are one grouped aggregation of hashes; page texts are never shuffled.
+quote the same passage. Pages of a host with the same blocks count as one, so that copies do not look like boilerplate.
+Statistics are grouped aggregations of hashes, first by page, then by node; page texts are never shuffled.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import batches, materialise, prepare
+from touchline.llm.common import BATCH_ROWS, batches, materialise, prepare
 from touchline.llm.url_templates import host_of
 
 LEAST = 0.2  # importance below which a branch is cut
@@ -185,24 +186,24 @@ def _key(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-_STATS = pa.schema([
-    ("host", pa.string()), ("path", pa.string()), ("kind", pa.string()), ("feature", pa.int64()), ("chars", pa.int64()), ("links", pa.int64()),
-    ("main", pa.bool_()),
+_SAID = pa.struct([
+    ("path", pa.string()), ("kind", pa.string()), ("feature", pa.int64()), ("chars", pa.int64()), ("links", pa.int64()), ("main", pa.bool_()),
 ])
+_PAGES = pa.schema([("host", pa.string()), ("page", pa.binary()), ("said", pa.list_(_SAID))])
 
 
-def observations(host: str, page: str | None) -> Iterator[tuple]:
-    """What one page tells of its host's tree: each layout and each block text of a node once, noise by name left out."""
+def observations(page: str | None) -> tuple[bytes, list[tuple]]:
+    """A hash of the page's blocks, and what it tells of its host's tree, noise by name left out.
+
+    That is each layout and each block text of a node once: path, kind, feature, characters, those in links, in an article.
+    """
     blocks, layouts = parse(page)
-    seen = set()
-    for path, layout in layouts:
-        if ("layout", path, layout) not in seen:
-            seen.add(("layout", path, layout))
-            yield host, path, "layout", _key(layout), 0, 0, False
-    for path, text, links, noise, main in blocks:
-        if not noise and ("text", path, text) not in seen:
-            seen.add(("text", path, text))
-            yield host, path, "text", _key(text), len(text), links, main
+    blocks = [b for b in blocks if not b[3]]
+    told = {("layout", path, layout): (path, "layout", _key(layout), 0, 0, False) for path, layout in layouts}
+    for path, text, links, _, main in blocks:
+        told.setdefault(("text", path, text), (path, "text", _key(text), len(text), links, main))
+    whole = "\n".join(part for block in blocks for part in block[:2])  # neither paths nor texts have line breaks
+    return xxhash.xxh3_128_digest(whole.encode("utf-8", "surrogatepass")), list(told.values())
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
@@ -211,13 +212,16 @@ def style_tree(pages: DataFrame) -> DataFrame:
 
     def observe(chunks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from batches(
-            (row for chunk in chunks for host, page in zip(chunk.column(0), chunk.column(1)) for row in observations(host.as_py(), page.as_py())),
-            _STATS,
+            ((host.as_py(), *observations(page.as_py())) for chunk in chunks for host, page in zip(chunk.column(0), chunk.column(1))),
+            _PAGES,
+            BATCH_ROWS,
         )
 
-    said = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(
-        observe, "host string, path string, kind string, feature long, chars long, links long, main boolean"
-    )
+    told = "array<struct<path string, kind string, feature long, chars long, links long, main boolean>>"
+    each = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(observe, f"host string, page binary, said {told}")
+    # Copies of a page may differ in their layouts: the smallest stands for them, whatever the order of the tasks.
+    distinct = each.groupBy("host", "page").agg(F.min("said").alias("said"))
+    said = distinct.select("host", F.explode("said").alias("s")).select("host", "s.*")
     # Pages with a feature first, so that the text that all pages share is one row of each task.
     alike = said.groupBy("host", "path", "kind", "feature").agg(
         F.count(F.lit(1)).alias("k"), F.sum("chars").alias("chars"), F.sum("links").alias("links"),
