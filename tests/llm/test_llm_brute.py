@@ -357,6 +357,21 @@ def test_embedding_links(spark, per_cell, cap):
     assert same >= 0.99 * len(x)
 
 
+def test_embedding_recall_outside_large_groups(spark, monkeypatch):
+    """A search that finds the links of one large group only is not enough: all pairs are compared then."""
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=(101, 24))
+    x = np.concatenate([np.repeat(centre[:1], 700, 0), np.repeat(centre[1:], 4, 0)])
+    x += 0.01 * rng.normal(size=x.shape)
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    whole = embedding_graph._searched
+    monkeypatch.setattr(embedding_graph, "_searched", lambda *a: whole(*a).filter("vec_id < 700 AND root < 700"))
+    got = {r["vec_id"]: r for r in embedding_graph.find(df, per_cell=100, cap=200).collect()}
+    assert [got[i]["n_links"] for i in range(len(x))] == [699] * 700 + [3] * 400
+    assert [got[i]["component_id"] for i in range(len(x))] == [0] * 700 + [700 + 4 * (i // 4) for i in range(400)]
+    assert got[0]["audited_recall"] == 1.0
+
+
 def test_pipeline(spark, texts):
     """Every stage against its own input."""
     docs = table(spark, FOLDER, "documents")

@@ -10,13 +10,16 @@
    neighbours in range until none is new. Each cosine is taken in double precision, so what is found is verified.
 4. A pair that meets in several shards counts in one of them only, which the cells of the two name; tasks return a
    number of links per vector and a spanning forest, never all pairs.
-5. Recall is measured against brute force for a bounded part of the stated queries (ids divisible by ``EVERY``); if it is
-   below ``RECALL``, the overlap is doubled and the search repeated.
+5. Recall is measured against brute force for the stated queries (all ids divisible by ``EVERY``, in blocks of ``AUDIT``),
+   averaged over the queries with links, and over those of them outside large groups (at most ``per_cell`` links), so that
+   a large group does not speak for the small ones. While either is below ``RECALL``, the overlap is doubled and the search
+   repeated; when that would cost more than comparing all pairs of blocks, they are compared.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -220,19 +223,25 @@ def range_search(x: np.ndarray, graph: Graph, least: float, beam: int = BEAM) ->
 
 
 def _links_of(group: pa.Table, least: float) -> pa.Table:
-    """Links per vector that count in this shard, and a spanning forest of all that were found."""
+    """Links per vector that count in this shard, and a spanning forest of all that were found.
+
+    With lists of neighbours (``near``) they are searched along the graph, without by comparing all rows.
+    """
     group = group.sort_by("vec_id")
     ids, block = group.column("vec_id").to_numpy(), group.column("block").to_numpy()
     cell, low, high = (group.column(c)[0].as_py() for c in ("cell", "low", "high"))
     x = matrix(group.column("vector"))
     cells = np.array(group.column("cells").to_pylist())
-    lists = []
-    for near in group.column("near").to_pylist():
-        near = np.array(near or [], dtype=np.int64)
-        at = np.minimum(np.searchsorted(ids, near), len(ids) - 1)
-        lists.append(at[ids[at] == near])
-    found = np.triu(range_search(x, Graph(lists), least), 1)
-    a, b = np.nonzero(found)
+    if "near" in group.column_names:
+        lists = []
+        for near in group.column("near").to_pylist():
+            near = np.array(near or [], dtype=np.int64)
+            at = np.minimum(np.searchsorted(ids, near), len(ids) - 1)
+            lists.append(at[ids[at] == near])
+        found = range_search(x, Graph(lists), least)
+    else:
+        found = x @ x.T >= least
+    a, b = np.nonzero(np.triu(found, 1))
     up = np.arange(len(ids))
 
     def root(i: int) -> int:
@@ -289,6 +298,31 @@ def _searched(assigned: DataFrame, least: float, cap: int) -> DataFrame:
     return materialise(searched, "graph-links")
 
 
+def _compared(vectors: DataFrame, least: float, cap: int) -> DataFrame:
+    """``vec_id, n, root`` from all pairs of blocks: one cell holds every vector."""
+    shards = _shards(vectors.withColumn("cells", F.array(F.lit(0))), cap)
+    compared = shards.groupBy("shard").applyInArrow(lambda group: _links_of(group, least), "vec_id long, n long, root long")
+    return materialise(compared, "graph-links")
+
+
+def audited(vectors: DataFrame, least: float = LINK, block: int = AUDIT) -> DataFrame:
+    """``vec_id, n``: exact numbers of links of all ids divisible by ``EVERY``, a block of them at a time."""
+    asked = materialise(vectors.filter(F.col("vec_id") % EVERY == 0), "graph-audit")
+    parts = max(1, -(-asked.count() // block))
+    place = F.pmod(F.xxhash64("vec_id", F.lit("audit")), F.lit(parts))
+    counted = [materialise(brute_force(vectors, asked.filter(place == k), least), "graph-exact") for k in range(parts)]
+    return reduce(DataFrame.unionByName, counted)
+
+
+def recall_of(exact: DataFrame, counts: DataFrame, large: int = PER_CELL) -> float:
+    """The average share of links found per audited vector that has any; the lower one of all and of those with at most ``large``."""
+    share = F.least(F.col("n"), F.coalesce("n_links", F.lit(0))) / F.col("n")
+    row = exact.filter("n > 0").join(counts, "vec_id", "left").agg(
+        F.avg(share).alias("all"), F.avg(F.when(F.col("n") <= large, share)).alias("small")
+    ).first()
+    return min((x for x in row if x is not None), default=1.0)
+
+
 def brute_force(vectors: DataFrame, queries: DataFrame, least: float = LINK) -> DataFrame:
     """``vec_id, n``: exact numbers of links of the queries (a bounded table) against all vectors."""
     picked = queries.toArrow()
@@ -321,16 +355,20 @@ def find(vectors: DataFrame, least: float = LINK, overlap: int = OVERLAP, recall
     usable = materialise(_valid(vectors), "graph-vectors")
     n = usable.count()
     middle = centroids(usable, n, per_cell)
-    audit = materialise(usable.filter(F.col("vec_id") % EVERY == 0).orderBy(F.xxhash64("vec_id"), "vec_id").limit(AUDIT), "graph-audit")
-    exact = materialise(brute_force(usable, audit, least), "graph-exact")
+    exact = audited(usable, least)
+    blocks = -(-n // (cap // 2))  # how often the comparison of all pairs of blocks copies a vector
     while True:
         searched = _searched(materialise(_assigned(usable, middle, overlap), "graph-cells"), least, cap)
         counts = searched.groupBy("vec_id").agg(F.sum("n").alias("n_links"))
-        seen = exact.join(counts, "vec_id", "left").agg(F.sum("n").alias("all"), F.sum(F.least("n", F.coalesce("n_links", F.lit(0)))).alias("got")).first()
-        reached = seen["got"] / seen["all"] if seen["all"] else 1.0
-        if reached >= recall or overlap >= len(middle):
+        reached = recall_of(exact, counts, per_cell)
+        if reached >= recall:
+            break
+        if 2 * overlap >= min(len(middle), blocks):
+            searched = _compared(usable, least, cap)
+            counts = searched.groupBy("vec_id").agg(F.sum("n").alias("n_links"))
+            reached = recall_of(exact, counts, per_cell)
             break
-        overlap = min(2 * overlap, len(middle))
+        overlap *= 2
     forest = searched.select(F.col("vec_id").alias("a"), F.col("root").alias("b")).filter("a <> b")
     groups = components(forest).withColumnRenamed("node", "vec_id")
     rows = vectors.select(F.col("vec_id").cast("long")).join(counts, "vec_id", "left").join(groups, "vec_id", "left")
