@@ -136,6 +136,19 @@ def test_url_tree(spark):
     assert {r["template"] for r in got if "/s/" in r["path"]} == {"/s/*/{n}"}
 
 
+def test_url_tree_keeps_rare_bad_directories(spark):
+    """A bad directory with a small share of a host's pages is blocked, however many siblings it has, with many labels or few."""
+    pages = [(i, f"http://h.net/good{chr(97 + i % 26)}{chr(97 + i // 26 % 4)}/{i}") for i in range(4000)]
+    pages += [(5000 + i, f"http://h.net/spam/{5000 + i}") for i in range(50)] + [(6000 + i, f"http://h.net/scam/{6000 + i}") for i in range(20)]
+    labels = [(i, int(i < 5000)) for i, _ in pages if i % 10 == 0 or i >= 5000]
+    got = url_templates.judge(
+        spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int")
+    ).collect()
+    assert {r["verdict"] for r in got if r["page_id"] >= 5000} == {"block"}
+    assert {r["verdict"] for r in got if r["page_id"] < 5000} == {"allow"}
+    assert {r["template"] for r in got if r["page_id"] < 5000} == {"/*/{n}"}
+
+
 def test_page_text(spark):
     """The article, whatever stands around it, against a plain cut at the article's tags."""
     got = {r["page_id"]: r["text"] for r in queries.op2_site_style(spark, FOLDER).collect()}

@@ -2,7 +2,8 @@
 
 Only DataFrame functions. Paths are cut into segments; numbers and hexadecimal ids become typed holes at once, so that
 the table of templates is far smaller than the table of pages. Then the tree is built level by level: where a node has
-many children, the rare ones are merged into one wildcard. A child whose share of good labels cannot be told from its
+many children, the rare ones are merged into one wildcard, but for those with enough labels of their own and those whose
+share of good labels is not that of the wildcard's pool. A child whose share of good labels cannot be told from its
 parent's is merged into the parent's estimate; any other gets its own, shrunk towards the parent's. A page is blocked if
 the estimate of its deepest node is below ``MIN_PURITY``.
 """
@@ -25,6 +26,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DEPTH = 4  # levels of the tree; the last one holds the rest of a longer path as one segment
 MANY = 16  # a node with more children than this has a wildcard
 RARE = 1 / 64  # for its children with less than this share of its pages
+ENOUGH = 30  # labels with which a child stays out of the wildcard, however rare it is
+FEW = 5  # labels from which on its share of good ones is held against the wildcard's
 ALIKE = 1.96  # standard errors within which a child counts as like its parent
 WEIGHT = 10.0  # labels that the parent's estimate is worth
 MIN_PURITY = 0.5
@@ -91,7 +94,14 @@ def template_tree(
             F.count(F.lit(1)).alias("kids"), *[F.sum(c).alias(f"node_{c}") for c in ("n", "labelled", "good")]
         )
         wild = (F.col("kids") > many) & (F.col("n") < rare * F.col("node_n")) & (F.col(key) != END)
-        child = child.join(node, up).withColumn(f"t{level + 1}", F.when(wild, "*").otherwise(F.col(key)))
+        wild &= F.col("labelled") < ENOUGH
+        child = materialise(child.join(node, up).withColumn("wild", wild), "url-child")
+        pool = child.filter("wild").groupBy(*up).agg(F.try_divide(F.sum("good"), F.sum("labelled")).alias("pool"))
+        off = F.abs(F.try_divide("good", "labelled") - F.col("pool"))
+        apart = (F.col("labelled") >= FEW) & (off > alike * F.sqrt(F.try_divide(F.col("pool") * (1 - F.col("pool")), F.col("labelled"))))
+        child = child.join(pool, up, "left").withColumn(
+            f"t{level + 1}", F.when(F.col("wild") & ~F.coalesce(apart, F.lit(False)), "*").otherwise(F.col(key))
+        )
         child = materialise(child, "url-level")
         branch = child.groupBy(*up, f"t{level + 1}").agg(
             *sums, *[F.first(c).alias(c) for c in ("above", "node_labelled", "node_good")]
