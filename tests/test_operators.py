@@ -284,6 +284,18 @@ def test_neighbours_equal_brute_force(spark, shape):
         assert np.allclose([s for _, s in got[key]], [s for _, s in expected], atol=1e-9)
 
 
+def test_approximate_neighbours_of_a_large_group(spark):
+    """Near copies beyond the size of a bucket meet all the same; every row has its neighbours, with a recall of 0.9."""
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(size=(1, 8)) + 0.01 * rng.normal(size=(500, 8)), rng.normal(size=(150, 8)), np.zeros((1, 8))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "pid long, vec array<double>")
+    got = similarity.approximate_neighbours(df, "pid", n=5, bucket_rows=20).collect()
+    want = {(r.pid, r.similar_pid) for r in similarity.cosine_neighbours(df, "pid", n=5).collect()}
+    found = {(r.pid, r.similar_pid) for r in got}
+    assert len(got) == len(found) == 5 * len(x)
+    assert len(found & want) >= 0.9 * len(want) and {r.recall >= 0.9 for r in got} == {True}
+
+
 def test_scaling_uses_the_population_deviation(spark):
     df = spark.createDataFrame([(1, 1.0, 5.0), (2, 3.0, 5.0), (3, None, 5.0)], "player_id int, a double, b double")
     got = {r.player_id: r.vec for r in similarity.standardised(df, "player_id", ["a", "b"]).collect()}

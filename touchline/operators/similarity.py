@@ -14,7 +14,7 @@ Identical vectors are searched once: a group of copies is represented by one row
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -30,7 +30,8 @@ N_NEIGHBOURS = 10
 BLOCK_ROWS = 16_384  # rows of a block: 8 MB at 64 dimensions
 PIVOTS = 4096  # bound of the cells, whose pivots every task holds
 SLICE_ROWS = 512  # rows of a product at a time
-TABLES, BUCKET_ROWS, AUDITED = 12, 400, 200  # approximate search: hash tables, rows a bucket aims at, audited queries
+TABLES, BUCKET_ROWS = 12, 400  # approximate search: hash tables at first, rows a bucket aims at
+EVERY, ASKED, RECALL = 50, 1024, 0.9  # ids that are audited, rows of a block of them, recall that is reached
 SLACK = 2e-6  # two units of the last digit, so that rounding never hides a tie
 
 
@@ -195,12 +196,12 @@ def _search(reps: DataFrame, k: int, block_rows: int, pivots: int) -> DataFrame:
 
 def cosine_neighbours(
     vectors: DataFrame, key: str, vec: str = "vec", n: int = N_NEIGHBOURS, block_rows: int = BLOCK_ROWS,
-    pivots: int = PIVOTS,
+    pivots: int = PIVOTS, search: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """The ``n`` most similar other rows of every row: ``key``, ``similar_<key>``, ``similarity_score``, ``rank``.
 
     Ordered by the cosine with six digits, then by id; a negative cosine is reported as zero. A zero vector has
-    cosine zero with everything.
+    cosine zero with everything. ``search`` finds pairs of distinct vectors (given with the points), by default all.
     """
     c = F.col
     points = materialise(
@@ -208,7 +209,7 @@ def cosine_neighbours(
     )
     is_zero = F.forall("vec", lambda x: x == 0)
     reps = materialise(_distinct_vectors(points.where(~is_zero), n), "vectors")
-    pairs = _search(reps, n, block_rows, pivots)
+    pairs = search(reps, points) if search else _search(reps, n, block_rows, pivots)
 
     entry = F.struct((-c("score")).alias("neg"), c("other").alias("id"))
     others = (
@@ -247,22 +248,10 @@ def cosine_neighbours(
     )
 
 
-def approximate_neighbours(
-    vectors: DataFrame, key: str, vec: str = "vec", n: int = N_NEIGHBOURS, tables: int = TABLES,
-    bucket_rows: int = BUCKET_ROWS, seed: int = 11,
-) -> DataFrame:
-    """Most similar other rows among those that share a bucket, by exact cosine, with the measured ``recall``.
-
-    Random hyperplanes cut the space; a row's bucket in each of ``tables`` tables is the sides it lies on, with as many
-    planes as make buckets of about ``bucket_rows`` rows. Work grows with the rows, not with their square. A bucket above
-    eight times that is cut by id: of very many near copies a row then meets some, and :func:`cosine_neighbours` is the
-    exact way. ``recall`` compares the answers of a bounded sample of rows with brute force. Zero vectors are left out.
-    """
+def _in_buckets(reps: DataFrame, total: int, k: int, tables: int, bucket_rows: int, seed: int) -> DataFrame:
+    """Top ``k`` other rows among those that share a bucket of one of ``tables`` tables."""
     c = F.col
-    points = vectors.select(c(key).cast("bigint").alias("id"), unit(c(vec).cast("array<double>")).alias("vec"))
-    points = materialise(points.where(~F.forall("vec", lambda x: x == 0)), "points")
-    total = points.count()
-    wide = points.select(F.max(F.size("vec"))).first()[0] or 1  # one row
+    wide = reps.select(F.max(F.size("vec"))).first()[0] or 1  # one row
     planes = max(1, math.ceil(math.log2(max(2, total / bucket_rows))))
     normal = np.random.default_rng(seed).normal(size=(tables * planes, wide))
     most = 8 * bucket_rows
@@ -274,10 +263,14 @@ def approximate_neighbours(
                 sides = (_matrix(pdf["vec"]) @ normal.T >= 0).reshape(len(pdf), tables, planes)
                 yield pdf.assign(buckets=list((sides * powers).sum(axis=2) * tables + np.arange(tables)))
 
-    hashed = points.mapInPandas(sign, "id bigint, vec array<double>, buckets array<bigint>")
+    hashed = reps.select("id", "vec").mapInPandas(sign, "id bigint, vec array<double>, buckets array<bigint>")
     spread = hashed.select("id", "vec", F.explode("buckets").alias("bucket"))
-    sizes = spread.groupBy("bucket").agg(F.ceil(F.count("*") / most).cast("bigint").alias("parts"))
-    spread = spread.join(sizes, "bucket").withColumn("part", F.pmod(F.xxhash64("id"), c("parts")))
+    # A large bucket is dealt in pairs of blocks, in which every two of its rows meet.
+    rows = F.count("*")
+    parts = F.when(rows > most, F.ceil(rows / (most // 2))).otherwise(1).cast("bigint")
+    spread = spread.join(spread.groupBy("bucket").agg(parts.alias("parts")), "bucket").withColumn("part", F.pmod(F.xxhash64("id"), c("parts")))
+    spread = spread.withColumn("met", F.explode(F.sequence(F.lit(0).cast("bigint"), c("parts") - 1)))
+    spread = spread.select("id", "vec", "bucket", F.least("part", "met").alias("low"), F.greatest("part", "met").alias("high"))
 
     def inside(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id")
@@ -286,32 +279,86 @@ def approximate_neighbours(
         for at in range(0, len(ids) if len(ids) > 1 else 0, SLICE_ROWS):
             units = _units6(vecs[at : at + SLICE_ROWS] @ vecs.T)
             units[np.arange(len(units)), np.arange(at, at + len(units))] = SELF
-            parts.append(_emit(ids[at : at + SLICE_ROWS], *_best(units, ids, n)))
+            parts.append(_emit(ids[at : at + SLICE_ROWS], *_best(units, ids, k)))
         return pd.concat(parts, ignore_index=True)
 
-    pairs = spread.select("id", "vec", "bucket", "part").groupBy("bucket", "part").applyInPandas(
-        lambda pdf: inside(pdf[["id", "vec"]]), _PAIRS
-    )
-    best = top_per_group(pairs.distinct(), ["id"], [c("score").desc(), c("other").asc()], n, "rank")
-    best = materialise(best, "approximate")
-    audit = points.orderBy(F.xxhash64("id"), "id").limit(AUDITED).collect()  # bounded
-    asked, query = np.array([r["id"] for r in audit]), np.array([r["vec"] for r in audit]).reshape(len(audit), -1)
+    return spread.groupBy("bucket", "low", "high").applyInPandas(lambda pdf: inside(pdf[["id", "vec"]]), _PAIRS)
 
-    def brute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if len(pdf) and len(asked):
+
+def _brute(reps: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """The exact top ``k`` other rows of the rows of ``asked``, a block of ``ASKED`` of them at a time."""
+    parts = max(1, math.ceil(asked.count() / ASKED))
+    found = reps.sparkSession.createDataFrame([], _PAIRS)
+    for part in range(parts):
+        block = asked.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(parts)) == part).select("id", "vec").collect()  # bounded
+        if not block:
+            continue
+        ids, query = np.array([r["id"] for r in block], dtype="int64"), np.array([r["vec"] for r in block], dtype="float64")
+
+        def all_of(batches: Iterator[pd.DataFrame], ids=ids, query=query) -> Iterator[pd.DataFrame]:
+            best: tuple[np.ndarray, np.ndarray] | None = None
+            for pdf in batches:
+                if not len(pdf):
+                    continue
                 pdf = pdf.sort_values("id")
+                there = pdf["id"].to_numpy()
                 units = _units6(query @ _matrix(pdf["vec"]).T)
-                units[asked[:, None] == pdf["id"].to_numpy()[None, :]] = SELF
-                yield _emit(asked, *_best(units, pdf["id"].to_numpy(), n))
-
-    exact = top_per_group(points.mapInPandas(brute, _PAIRS), ["id"], [c("score").desc(), c("other").asc()], n, "_r")
-    hit = exact.join(best.select("id", "other", F.lit(1).alias("_hit")), ["id", "other"], "left")
-    recall = hit.agg(F.avg(F.coalesce("_hit", F.lit(0))).alias("recall"))  # one row
-    return best.crossJoin(F.broadcast(recall)).select(
-        c("id").alias(key), c("other").alias(f"similar_{key}"), round_any(F.greatest("score", F.lit(0.0)), 6).alias("similarity_score"),
-        c("rank").cast("int").alias("rank"), "recall",
-    )
+                units[ids[:, None] == there[None, :]] = SELF
+                more = _best(units, there, k)
+                other, score = more if best is None else (np.hstack(x) for x in zip(best, more))
+                order = np.lexsort((other, -score))[:, :k]
+                best = np.take_along_axis(other, order, 1), np.take_along_axis(score, order, 1)
+            if best is not None:
+                yield _emit(ids, *best)
+
+        found = found.unionByName(materialise(reps.select("id", "vec").mapInPandas(all_of, _PAIRS), "asked"))
+    return _top(found, k)
+
+
+def _top(pairs: DataFrame, k: int) -> DataFrame:
+    return top_per_group(pairs.distinct(), ["id"], [F.col("score").desc(), F.col("other").asc()], k, "_r").drop("_r")
+
+
+def approximate_neighbours(
+    vectors: DataFrame, key: str, vec: str = "vec", n: int = N_NEIGHBOURS, tables: int = TABLES,
+    bucket_rows: int = BUCKET_ROWS, seed: int = 11, least: float = RECALL,
+) -> DataFrame:
+    """Columns of :func:`cosine_neighbours` and ``recall``: most similar rows among those that share a bucket, by exact cosine.
+
+    Random hyperplanes cut the space; a vector's bucket in each of ``tables`` tables is the sides it lies on, with as many
+    planes as make buckets of about ``bucket_rows`` vectors. A bucket above eight times that is compared in pairs of blocks,
+    and vectors that met fewer than ``n`` others are compared with all. ``recall`` compares the answers of all ids divisible
+    by ``EVERY`` with brute force, so that this part grows with the square. Below ``least`` the tables are doubled; when
+    their buckets would hold as many rows as the table, every pair of blocks is compared instead.
+    """
+    reached = 1.0
+
+    def search(reps: DataFrame, points: DataFrame) -> DataFrame:
+        nonlocal reached
+        total, done, more = reps.count(), 0, tables
+        wanted = min(n, total - 1)
+        if wanted < 1:
+            return _search(reps, n, BLOCK_ROWS, PIVOTS)
+        audit = points.where(F.col("id") % EVERY == 0).select(F.xxhash64("vec").alias("_h"), "vec").distinct()
+        audit = materialise(reps.select(F.xxhash64("vec").alias("_h"), "id", "vec").join(audit, ["_h", "vec"], "left_semi"), "audit")
+        exact = materialise(_brute(reps, audit, n), "exact")
+        best = reps.sparkSession.createDataFrame([], _PAIRS)
+        while not done or 8 * bucket_rows * (done + more) < total:
+            best = materialise(_top(best.unionByName(_in_buckets(reps, total, n, more, bucket_rows, seed + done)), n), "approximate")
+            done += more
+            more = done
+            hit = exact.join(best.select("id", "other", F.lit(1).alias("_hit")), ["id", "other"], "left")
+            reached = hit.agg(F.avg(F.coalesce("_hit", F.lit(0)))).first()[0]  # one row
+            reached = 0.0 if reached is None else reached
+            if reached >= least:
+                met = best.groupBy("id").agg(F.count("*").alias("met")).where(F.col("met") >= wanted)
+                short = materialise(reps.select("id", "vec").join(met, "id", "left_anti"), "short")
+                if short.count() * 8 <= total:
+                    return _top(best.unionByName(_brute(reps, short, n)), n)
+        reached = 1.0
+        return _search(reps, n, BLOCK_ROWS, PIVOTS)
+
+    return cosine_neighbours(vectors, key, vec, n, search=search).withColumn("recall", F.lit(float(reached)))
 
 
 def neighbour_rank(scores: DataFrame, key: str, other: str, score: str, n: int = N_NEIGHBOURS) -> DataFrame:
