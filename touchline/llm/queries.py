@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import decontamination, embedding_graph, mixing, near_duplicates, pii, quality, site_style, substring_dedup, toxicity, url_templates
+from touchline.llm import (
+    decontamination,
+    embedding_graph,
+    line_rules,
+    mixing,
+    near_duplicates,
+    periodic_runs,
+    pii,
+    quality,
+    site_style,
+    spelling,
+    substring_dedup,
+    toxicity,
+    url_templates,
+)
 from touchline.llm.common import table
 
 
@@ -61,5 +75,29 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op2_site_style": op2_site_style, "op3_near_duplicates": op3_near_duplicates, "op4_quality": op4_quality, "op5_url_templates": op5_url_templates, "op6_decontamination": op6_decontamination, "op7_pii": op7_pii, "op8_toxicity": op8_toxicity, "op9_embedding_graph": op9_embedding_graph, "op10_mixing": op10_mixing}
-SQL = {"op10_mixing": mixing.MIX_SQL}
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and root of every frequent word of the documents."""
+    return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents"), spelling.TYPO))
+
+
+def op12_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base figures and verdict on every document."""
+    out = line_rules.judge(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, a tenth of them made periodic, as digests."""
+    return periodic_runs.digest(periodic_runs.find(periodic_runs.with_periods(table(spark, sf_dir, "documents"))))
+
+
+QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup, "op2_site_style": op2_site_style, "op3_near_duplicates": op3_near_duplicates,
+    "op4_quality": op4_quality, "op5_url_templates": op5_url_templates, "op6_decontamination": op6_decontamination,
+    "op7_pii": op7_pii, "op8_toxicity": op8_toxicity, "op9_embedding_graph": op9_embedding_graph, "op10_mixing": op10_mixing,
+    "op11_spelling": op11_spelling, "op12_line_rules": op12_line_rules, "op13_periodic_runs": op13_periodic_runs,
+}
+SQL = {
+    "op10_mixing": mixing.MIX_SQL, "op11_spelling": spelling.SPELLING_SQL, "op12_line_rules": line_rules.RULES_SQL,
+    "op13_periodic_runs": periodic_runs.RUNS_SQL,
+}
