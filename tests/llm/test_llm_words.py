@@ -126,9 +126,9 @@ def some_words(seed):
         w = "".join(rng.choice("abéÿz") for _ in range(rng.randint(5, 9)))
         for _ in range(8):
             words[w] = rng.randint(1, 40)
-            k, kind = rng.randrange(len(w)), rng.randrange(3)
+            k, kind = rng.randrange(len(w)), rng.randrange(3) if len(w) > 3 else 1
             w = w[:k] + ("" if kind == 0 else rng.choice("abéÿz")) + w[k + (kind != 1) :]
-    return {w: n for w, n in words.items() if w}
+    return words
 
 
 def test_spelling_groups(spark, monkeypatch):
@@ -139,7 +139,6 @@ def test_spelling_groups(spark, monkeypatch):
         df = spark.createDataFrame(list(vocab.items()), "word string, n long")
         got = [tuple(r) for r in spelling.variants(df).select("word", "form", "root", "n", "n_near", "form_n").collect()]
         assert len(got) == len(vocab) and set(got) == grouped(vocab)
-        assert len({w for w, *_ in got if near(w, w[::-1])}) < len(got)
 
 
 def test_long_words_in_pieces(monkeypatch):
@@ -196,14 +195,15 @@ def test_line_rules(line, rule):
 
 
 def test_documents_that_lose_too_much(spark, docs):
-    long = "\n".join(f"{BASE} {i}" for i in "abcdef")
+    lines = [" ".join(f"{i}{c}word" for c in "abcdefghij") + "." for i in "pqrstu"]
+    long = "\n".join(lines)
     texts = {
-        1: long, 2: f"{long}\n\n{BASE} a", 3: long[:200] + "\nHome | News | Sport | More | Home | News | Sport | More | x | y | z",
+        1: long, 2: f"{long}\n\n{lines[0]}", 3: "\n".join(lines[:3]) + "\nHome | News | Sport | More | Food | Films | Books | Music | x | y | z",
         4: "too few words here", 5: None, 6: "one two three four five six seven eight. " * 9, 7: f"{long}\r\n \nx",
     }
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = {r["doc_id"]: r for r in line_rules.judge(df).collect()}
-    assert [i for i, r in got.items() if r["kept"]] == [1, 2, 7] or {i for i, r in got.items() if r["kept"]} == {1, 2, 7}
+    assert {i for i, r in got.items() if r["kept"]} == {1, 2, 7}
     assert {i for i, r in got.items() if r["base_failed"]} == {4, 5, 6}
     assert got[2]["n_dup_lines"] == 1 and got[2]["kept_text"] == long + "\n" and got[1]["kept_text"] == long
     assert got[3]["n_navigation"] == 1 and not got[3]["kept"]
