@@ -206,7 +206,7 @@ def test_documents_that_lose_too_much(spark, docs):
     assert {i for i, r in got.items() if r["kept"]} == {1, 2, 7}
     assert {i for i, r in got.items() if r["base_failed"]} == {4, 5, 6}
     assert got[2]["n_dup_lines"] == 1 and got[2]["kept_text"] == long + "\n" and got[1]["kept_text"] == long
-    assert got[3]["n_navigation"] == 1 and not got[3]["kept"]
+    assert got[3]["n_marks"] == 1 and not got[3]["kept"]
     assert got[6]["n_repeat_words"] == 72 and got[1]["n_symbols"] == 0 and got[3]["n_symbols"] == 10
     for i, text in texts.items():
         w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
