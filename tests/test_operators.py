@@ -407,8 +407,9 @@ def test_xg_model(spark, tmp_path):
     assert abs(report["expected_goals"] - report["actual_goals"]) < 0.25 * report["actual_goals"]
     scored = {r.event_id: r.xg_value for r in classifiers.score_xg(model, data).collect()}
     assert len(scored) == 240 and all(0 <= v <= 1 for v in scored.values())
-    model.save(str(tmp_path / "xg"))
-    loaded = classifiers.CalibratedModel.load(str(tmp_path / "xg"), 2, features.XG_FEATURES)
+    assert report["holdout_auc"] > 0.5 and len(model.rows) == 2 and sum(r["n_held"] for r in model.rows) == 240
+    classifiers.save_model(spark, model, str(tmp_path / "xg"))
+    loaded = classifiers.load_model(spark, str(tmp_path / "xg"))
     assert {r.event_id: r.xg_value for r in classifiers.score_xg(loaded, data).collect()} == scored
 
 
@@ -433,8 +434,8 @@ def test_xp_model(spark, tmp_path):
     some = scored.where(F.col("xp_value") > 0.5)
     assert classifiers.score_xp(model, data, scored=some).count() == 800 - some.count()
     assert classifiers.needs_xp(data, some) and not classifiers.needs_xp(data, scored)
-    classifiers.save_tree_model(model, str(tmp_path / "xp"))
-    again = classifiers.load_tree_model(spark, str(tmp_path / "xp"))
+    classifiers.save_model(spark, model, str(tmp_path / "xp"))
+    again = classifiers.load_model(spark, str(tmp_path / "xp"))
     assert classifiers.score_xp(again, data).exceptAll(scored).count() == 0
     assert classifiers.train_xp(data.limit(100)) == (None, {})
 

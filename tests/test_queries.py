@@ -11,8 +11,6 @@ import __spark_entry__ as driver
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
-# Hundreds of trees; tests/test_operators.py trains smaller models.
-SLOW = {"xg_scores", "xp_scores", "xg_invariants", "xp_invariants"}
 # The text queries have tests of their own, where they are present.
 OTHER = set(getattr(driver, "TEXT_QUERIES", {})) - set(driver.oracle_sql())
 
@@ -22,12 +20,12 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(driver.oracle_sql())))
 def test_equals_sql(spark, con, name):
     assert differences(driver.queries()[name](spark, FOLDER), con, driver.oracle_sql()[name]) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.queries()) - set(driver.oracle_sql()) - SLOW - OTHER))
+@pytest.mark.parametrize("name", sorted(set(driver.queries()) - set(driver.oracle_sql()) - OTHER))
 def test_has_rows(spark, name):
     assert driver.queries()[name](spark, FOLDER).count() > 0
 

@@ -4,20 +4,14 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
-from dataclasses import dataclass
-from functools import partial
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from touchline.functions.numeric import round_pos
+from touchline.operators.boosting import BoostedModel, TreeSettings, train
 from touchline.operators.metrics import classifier_metrics
 from touchline.plans.features import XG_FEATURES, XP_FEATURES
-from touchline.session import materialise, run_together
+from touchline.session import materialise
 
 log = logging.getLogger(__name__)
 
@@ -27,25 +21,9 @@ FEW_SHOTS = 50
 MIN_PASSES = 500
 TRAIN_SAMPLE = 300_000
 SEED = 42
-# Trees are grown on partitions of about this many rows; a small table is not spread over many tasks.
-PARTITION_ROWS = 50_000
 HASH_BINS = 4096
 
 
-@dataclass(frozen=True)
-class TreeSettings:
-    trees: int
-    depth: int
-    rate: float = 0.05
-    subsample: float = 0.8
-
-    def classifier(self, label: str) -> GBTClassifier:
-        return GBTClassifier(
-            labelCol=label, featuresCol="features", maxIter=self.trees, maxDepth=self.depth, stepSize=self.rate,
-            subsamplingRate=self.subsample, featureSubsetStrategy="0.8", seed=SEED,
-        )
-
-
 XG_TREES = TreeSettings(trees=300, depth=4)
 XP_TREES = TreeSettings(trees=400, depth=5)
 
@@ -111,87 +89,14 @@ def stratified_folds(rows: DataFrame, label: str, folds: int, key: str = "event_
     return joined.withColumn("fold", fold).drop("_label", "_cuts", "_hash")
 
 
-def _gathered(rows: DataFrame, size: int) -> DataFrame:
-    return rows.coalesce(max(1, -(-size // PARTITION_ROWS)))
-
-
-def _assemble(rows: DataFrame, features: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol="features").transform(rows)
-
-
-def assembled(passes: DataFrame) -> DataFrame:
-    """Passes with the feature vector that the xP model reads."""
-    return _assemble(passes, XP_FEATURES)
-
-
-def _margin(scored: DataFrame, out: str) -> DataFrame:
-    value = F.get(vector_to_array("rawPrediction"), F.lit(1))
-    return scored.withColumn(out, value).drop("rawPrediction", "probability", "prediction")
-
-
-class CalibratedModel:
-    """Average of fold models, each a boosted ensemble followed by its sigmoid."""
-
-    def __init__(self, folds: list[PipelineModel], features: Sequence[str]):
-        self.folds, self.features = folds, tuple(features)
-
-    def score(self, rows: DataFrame, out: str) -> DataFrame:
-        """Probability with six digits next to the columns of ``rows``."""
-        scored = _assemble(rows, self.features)
-        names = []
-        for i, fold in enumerate(self.folds):
-            trees, sigmoid = fold.stages
-            scored = _margin(trees.transform(scored), "_margin")
-            scored = VectorAssembler(inputCols=["_margin"], outputCol="_m").transform(scored)
-            scored = sigmoid.transform(scored).withColumn(f"_p{i}", F.get(vector_to_array("_prob"), F.lit(1)))
-            scored = scored.drop("_margin", "_m", "_raw", "_prob", "_pred")
-            names.append(f"_p{i}")
-        mean = sum((F.col(n) for n in names), F.lit(0.0)) / F.lit(float(len(names)))
-        return scored.withColumn(out, round_pos(mean, 6)).drop("features", *names)
-
-    def save(self, path: str) -> None:
-        for i, fold in enumerate(self.folds):
-            fold.write().overwrite().save(f"{path.rstrip('/')}/fold-{i}")
-
-    @classmethod
-    def load(cls, path: str, folds: int, features: Sequence[str]) -> CalibratedModel:
-        return cls([PipelineModel.load(f"{path.rstrip('/')}/fold-{i}") for i in range(folds)], features)
-
-
-def _fit_fold(data: DataFrame, label: str, settings: TreeSettings, fold: int) -> tuple[PipelineModel, float | None]:
-    """The fold's model and the AUC of its trees on the rows they have not seen."""
-    trees = settings.classifier(label).fit(data.where(F.col("fold") != fold))
-    held = _margin(trees.transform(data.where(F.col("fold") == fold)), "_margin")
-    held = VectorAssembler(inputCols=["_margin"], outputCol="_m").transform(held)
-    sigmoid = LogisticRegression(
-        labelCol=label, featuresCol="_m", rawPredictionCol="_raw", probabilityCol="_prob", predictionCol="_pred"
-    ).fit(held)
-    unseen = held.select(label, (1 / (1 + F.exp(-2 * F.col("_margin")))).alias("_p"))
-    return PipelineModel([trees, sigmoid]), classifier_metrics(unseen, label, "_p").first()["auc"]
-
-
-def fit_calibrated(
-    rows: DataFrame, label: str, features: Sequence[str], settings: TreeSettings, folds: int, size: int
-) -> tuple[CalibratedModel, float | None]:
-    """One ensemble per fold, trained on the other folds and calibrated on its own, and their mean hold-out AUC."""
-    dealt = stratified_folds(_assemble(rows, features).select("event_id", label, "features"), label, folds)
-    data = _gathered(dealt, size).persist()
-    try:
-        fits = [partial(_fit_fold, data, label, settings, i) for i in range(folds)]
-        fitted = run_together(rows.sparkSession, fits)
-        scores = [auc for _, auc in fitted if auc is not None]
-        return CalibratedModel([model for model, _ in fitted], features), sum(scores) / len(scores) if scores else None
-    finally:
-        data.unpersist()
-
-
 def train_xg(
     shots: DataFrame, settings: TreeSettings = XG_TREES, auc_floor: float = AUC_FLOOR, max_folds: int = 5
-) -> tuple[CalibratedModel, dict]:
+) -> tuple[BoostedModel, dict]:
     """Calibrated shot model and its metrics. ``shots`` is :func:`features.xg_features`.
 
-    Fails without shots, without goals, or when the model does not separate them. ``holdout_auc`` is the mean over the
-    folds of the AUC on the rows a fold's trees have not seen; the other metrics are in-sample.
+    One ensemble per fold, trained on the other folds and calibrated on its own. Fails without shots, without goals, or
+    when the model does not separate them. The ``holdout`` metrics are means over the folds of what an ensemble reaches,
+    before calibration, on rows it has not seen; the other metrics are in-sample.
     """
     data = materialise(shots, "xg-training")
     size, goals = data.agg(F.count("*"), F.coalesce(F.sum("is_goal"), F.lit(0))).first()
@@ -202,39 +107,40 @@ def train_xg(
     if size < FEW_SHOTS:
         log.warning("only %d shots: expected goals will be unreliable", size)
     folds = min(max_folds, max(2, int(goals)))
-    model, holdout = fit_calibrated(data, "is_goal", XG_FEATURES, settings, folds, size)
+    model = train(stratified_folds(data, "is_goal", folds), XG_FEATURES, "is_goal", "fold", folds, settings, True, SEED)
     metrics = classifier_metrics(model.score(data, "xg_value"), "is_goal", "xg_value").first().asDict()
     report = {
         "roc_auc": metrics["auc"], "brier_score": metrics["brier_score"], "expected_goals": metrics["expected_positives"],
-        "actual_goals": metrics["actual_positives"], "total_shots": metrics["n_rows"], "holdout_auc": holdout,
+        "actual_goals": metrics["actual_positives"], "total_shots": metrics["n_rows"], "holdout_auc": model.mean("auc"),
+        "holdout_log_loss": model.mean("log_loss"), "holdout_brier": model.mean("brier_score"),
     }
     if report["roc_auc"] is None or report["roc_auc"] < auc_floor:
         raise TrainingError(f"xG AUC {report['roc_auc']} is below {auc_floor}")
     return model, report
 
 
-def score_xg(model: CalibratedModel, shots: DataFrame) -> DataFrame:
+def score_xg(model: BoostedModel, shots: DataFrame) -> DataFrame:
     return model.score(shots, "xg_value").select("event_id", "xg_value")
 
 
-def train_xp(passes: DataFrame, settings: TreeSettings = XP_TREES, sample: int = TRAIN_SAMPLE):
-    """Pass model and hold-out metrics; (None, {}) for fewer than 500 passes."""
+def train_xp(
+    passes: DataFrame, settings: TreeSettings = XP_TREES, sample: int = TRAIN_SAMPLE
+) -> tuple[BoostedModel | None, dict]:
+    """Pass model and hold-out metrics; (None, {}) for fewer than 500 passes. It learns from about ``sample`` passes."""
     data = materialise(training_sample(passes, sample), "xp-training")
     size = data.count()
     if size < MIN_PASSES:
         log.warning("only %d passes: no xP model", size)
         return None, {}
-    train, test = stratified_split(data, "target")
-    data = _gathered(_assemble(train, XP_FEATURES).select("target", "features"), size).persist()
-    try:
-        model = settings.classifier("target").fit(data)
-    finally:
-        data.unpersist()
-    metrics = classifier_metrics(score_xp(model, test, keep=("target",)), "target", "xp_value").first()
-    return model, {"auc": metrics["auc"], "log_loss": metrics["log_loss"], "train_size": train.count()}
+    parts = materialise(split_parts(data, "target"), "xp-parts").withColumn("held", F.when(F.col("part") == "test", 0).otherwise(1))
+    model = train(parts, XP_FEATURES, "target", "held", 1, settings, False, SEED)
+    row = model.rows[0]
+    return model, {"auc": row["auc"], "log_loss": row["log_loss"], "train_size": row["n_train"], "test_size": row["n_held"]}
 
 
-def score_xp(model, passes: DataFrame, keep: Sequence[str] = (), scored: DataFrame | None = None) -> DataFrame:
+def score_xp(
+    model: BoostedModel | None, passes: DataFrame, keep: Sequence[str] = (), scored: DataFrame | None = None
+) -> DataFrame:
     """Completion probability of every pass with six digits; with ``scored``, only of passes it lacks.
 
     Without a model (too few passes to train one) there are no scores.
@@ -244,9 +150,7 @@ def score_xp(model, passes: DataFrame, keep: Sequence[str] = (), scored: DataFra
     rows = passes if scored is None else passes.join(
         scored.where(F.col("xp_value").isNotNull()).select("event_id"), "event_id", "left_anti"
     )
-    out = model.transform(_assemble(rows, XP_FEATURES))
-    value = round_pos(F.get(vector_to_array("probability"), F.lit(1)), 6)
-    return out.select("event_id", *keep, value.alias("xp_value"))
+    return model.score(rows, "xp_value").select("event_id", *keep, "xp_value")
 
 
 def needs_xp(passes: DataFrame, values: DataFrame) -> bool:
@@ -255,11 +159,9 @@ def needs_xp(passes: DataFrame, values: DataFrame) -> bool:
     return bool(passes.join(done, "event_id", "left_anti").head(1))
 
 
-def save_tree_model(model, path: str) -> None:
-    model.write().overwrite().save(path)
-
+def save_model(spark: SparkSession, model: BoostedModel, path: str) -> None:
+    model.save(spark, path)
 
-def load_tree_model(spark: SparkSession, path: str):
-    from pyspark.ml.classification import GBTClassificationModel
 
-    return GBTClassificationModel.load(path)
+def load_model(spark: SparkSession, path: str) -> BoostedModel:
+    return BoostedModel.load(spark, path)
