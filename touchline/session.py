@@ -24,6 +24,8 @@ RUNTIME = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Top-k per group keeps k rows per group and task before the shuffle up to this k (a page may hold 2000 rows).
     "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
+    # Keyed state with maps and timers, read and written entry by entry, needs this store.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 # Settings for a session of our own.
 DEFAULTS = {
