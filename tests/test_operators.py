@@ -531,3 +531,33 @@ def test_split_and_folds_share_rare_labels(spark):
 def test_no_model_no_scores(spark):
     passes = spark.createDataFrame([("a", 1)], "event_id string, target int")
     assert classifiers.score_xp(None, passes, keep=("target",)).collect() == []
+
+
+def test_rank_of_a_million_equal_values(spark, monkeypatch):
+    written = {}
+
+    def record(df, tag):
+        out = materialise(df, tag)
+        written[tag] = max(r["n"] for r in out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect())
+        return out
+
+    materialise = running.materialise
+    monkeypatch.setattr(running, "materialise", record)
+    rows = spark.range(1_000_000).select(F.lit(1).alias("k"), F.when(F.col("id") < 5, F.col("id")).when(F.col("id") < 7, None).otherwise(-1).alias("v"))
+    ranked = running.rank_rows(rows, ["k"], "v", "r")
+    got = {(r["v"], r["r"]): r["count"] for r in ranked.groupBy("v", "r").count().collect()}
+    assert got == {(None, 1): 2, **{(v, 7 - v): 1 for v in range(5)}, (-1, 8): 999_993}
+    assert written["ranges"] <= 7  # a row per distinct value, not per row
+
+
+@pytest.mark.parametrize("window", [0, 1, 5])
+def test_actions_after_pairs(spark, window):
+    rng = np.random.default_rng(window)
+    sides = [[(int(rng.integers(2)), int(rng.integers(2)), f"{n}{i}", int(rng.integers(-20, 60))) for i in range(150)] for n in "ra"]
+    sides[0] += [(None, 1, "rn", 3), (1, 1, "rs", None), sides[0][0]]
+    begun, done = (spark.createDataFrame(rows, "match_id int, team_id int, event_id string, sec int") for rows in sides)
+    got = sequences.actions_after(begun, done, window)
+    want = [(m, t, i, j, s, u) for m, t, i, s in sides[0] for m2, t2, j, u in sides[1] if (m, t) == (m2, t2) and s is not None and s <= u <= s + window]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want) and want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "_slot" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan

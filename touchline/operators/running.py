@@ -50,25 +50,20 @@ def running_sum(
 def rank_rows(df: DataFrame, partition: Sequence[str], sort_units: str, out: str) -> DataFrame:
     """Add ``out``: the rank of each row within its partition, largest ``sort_units`` first, ties sharing it, nulls first.
 
-    Rows are range-partitioned by (partition, value), so equal values stay in one range and a range's ranks only lack
-    the number of rows in the earlier ranges of its partition.
+    Equal values collapse to one row with their number before anything is ordered, so a value that fills a partition costs
+    one row; ranks are running sums of these numbers. The join that brings them back to the rows has one row per value on
+    its other side, so a hot value can be split.
     """
     keys = list(partition)
-    order = [F.col(k).asc_nulls_first() for k in keys] + [F.col(sort_units).desc_nulls_first()]
-    rows = materialise(df.repartitionByRange(*order).withColumn("_rs_range", F.spark_partition_id()), "ranked")
-    local = Window.partitionBy(*keys, "_rs_range").orderBy(F.col(sort_units).desc_nulls_first())
-    rows = rows.withColumn("_rs_local", F.rank().over(local))
-    totals = rows.groupBy(*keys, "_rs_range").agg(F.count("*").alias("_rs_total"))
-    earlier = Window.partitionBy(*keys).orderBy("_rs_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("_rs_offset", F.sum("_rs_total").over(earlier)).where(F.col("_rs_offset").isNotNull())
-    side = offsets.select(F.col("_rs_range").alias("_rs_r"), *[F.col(k).alias(f"_rs_k_{k}") for k in keys], "_rs_offset")
-    on = F.col("_rs_range") == F.col("_rs_r")
-    for key in keys:
-        on = on & F.col(key).eqNullSafe(F.col(f"_rs_k_{key}"))
-    # At most one row per range boundary.
-    joined = rows.join(F.broadcast(side), on, "left")
-    rank = (F.col("_rs_local") + F.coalesce("_rs_offset", F.lit(0).cast("bigint"))).cast("int")
-    return joined.withColumn(out, rank).drop("_rs_range", "_rs_local", "_rs_r", "_rs_offset", *[f"_rs_k_{k}" for k in keys])
+    rows = materialise(df, "ranked")
+    values = rows.groupBy(*keys, sort_units).agg(F.count(F.lit(1)).alias("_rk_n"))
+    summed = running_sum(values, keys, [F.col(sort_units).desc_nulls_first()], F.col("_rk_n"), "_rk_upto")
+    rank = (F.col("_rk_upto") - F.col("_rk_n") + 1).cast("int").alias(out)
+    ranks = summed.select(*(F.col(k).alias(f"_rk_{k}") for k in (*keys, sort_units)), rank)
+    on = F.lit(True)
+    for k in (*keys, sort_units):
+        on = on & F.col(k).eqNullSafe(F.col(f"_rk_{k}"))
+    return rows.join(ranks, on).drop(*(f"_rk_{k}" for k in (*keys, sort_units)))
 
 
 def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, out: str = "rank") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,7 +49,7 @@ def qualifying_recoveries(
     return counted.where((F.col("recoveries") > 0) & (F.col("actions_ahead") >= min_actions))
 
 
-def actions_after(events: DataFrame, window: int = PRESS_WINDOW_SEC, min_actions: int = MIN_ACTIONS) -> DataFrame:
+def trigger_actions(events: DataFrame, window: int = PRESS_WINDOW_SEC, min_actions: int = MIN_ACTIONS) -> DataFrame:
     """Pressing actions inside the window of any qualifying recovery, without a range join.
 
     Seconds are flagged by a second window over the per-second counts (same partitioning and order, so no new
@@ -67,13 +69,34 @@ def actions_after(events: DataFrame, window: int = PRESS_WINDOW_SEC, min_actions
     return actions.join(flagged, ["match_id", "team_id", "sec"], "left_semi")
 
 
+def actions_after(
+    recoveries: DataFrame, actions: DataFrame, sec: int = PRESS_WINDOW_SEC, keys: Sequence[str] = ("match_id", "team_id")
+) -> DataFrame:
+    """``*keys, recovery_id, action_id, recovery_sec, action_sec``: every action up to ``sec`` seconds after a recovery, both
+    ends included, that shares its keys.
+
+    Both sides have the keys, ``event_id`` and ``sec``. Time is cut into slots as long as the window, so an action lies in the
+    slot of its recovery or in the next one: a recovery goes to two slots, an action to its own, and the join is an
+    equality of keys and slot. No match is one task, and a busy slot can be split like any skewed key. Rows with a null
+    key or second pair with nothing; repeated rows pair each.
+    """
+    width, c = max(int(sec), 1), F.col
+    slot = F.floor(c("sec") / F.lit(width))
+    begun = recoveries.select(
+        *keys, c("event_id").alias("recovery_id"), c("sec").alias("recovery_sec"), F.explode(F.array(slot, slot + 1)).alias("_slot")
+    )
+    done = actions.select(*keys, c("event_id").alias("action_id"), c("sec").alias("action_sec"), slot.alias("_slot"))
+    near = c("action_sec").between(c("recovery_sec"), c("recovery_sec") + F.lit(int(sec)))
+    return begun.join(done, [*keys, "_slot"]).where(near).select(*keys, "recovery_id", "action_id", "recovery_sec", "action_sec")
+
+
 def distinct_ids(df: DataFrame, key: str = "event_id") -> DataFrame:
     return df.select(key).distinct()
 
 
 def press_triggers(events: DataFrame, window: int = PRESS_WINDOW_SEC, min_actions: int = MIN_ACTIONS) -> DataFrame:
     """Ids of the actions that make up press triggers, each once."""
-    return distinct_ids(actions_after(events, window, min_actions))
+    return distinct_ids(trigger_actions(events, window, min_actions))
 
 
 def xg_timeline(shots: DataFrame) -> DataFrame:
