@@ -210,19 +210,65 @@ def test_parse(page, text):
     assert site_style.main_text(page) == text
 
 
+def contaminated(spark, item, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(77, item)], "item_id long, text string")
+    got = decontamination.contamination(df, bench).collect()
+    assert all(r["item_ids"] == [77] for r in got)
+    return {r["doc_id"]: r["coverage"] for r in got}
+
+
 def test_decontamination_slots(spark):
     item = "A train of Mario covers 120 km in 2 hours while the other train needs 5 hours for the same way to Rome"
     texts = [
         item, f"Before. {item.replace('120', '340').replace('Mario', 'Luigi')} and after", item.replace("5 hours", "2 hours"),
         "A train of Mario covers 7 km", " ".join("The 1 2 3 4 5 6 7 8 9 km" for _ in range(20)), "x " * 50 + item.lower() + " y" * 50,
     ]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    bench = spark.createDataFrame([(77, item)], "item_id long, text string")
-    got = decontamination.contamination(df, bench)
-    # The third answers to two numbers of the item with one, so it may keep enough windows before that or not; the last
-    # has the name as a plain word, which costs it the windows around it only.
-    assert {r["doc_id"] for r in got.collect()} - {2} == {0, 1, 5}
-    assert got.filter("doc_id = 1").first()["item_ids"] == [77]
+    # The third gives two slots the same value, which re-parameterised questions may do; the last has the names as words.
+    assert set(contaminated(spark, item, texts)) == {0, 1, 2, 5}
+
+
+def test_decontamination_longer_slots(spark):
+    """Slots filled with more tokens, values that differ from place to place, and items that are mostly slots."""
+    item = "A train leaves Rome at noon and reaches the town of Genoa after 5 hours of travel through the hills"
+    other = item.replace("Rome", "New York").replace("Genoa", "Los Angeles").replace("5", "17")
+    got = contaminated(spark, item, [other, f"Well, {other.lower()}", item.replace("Rome", "the big old city of lights")])
+    assert got[0] == 1.0 and 2 in got
+    twice = "If a box holds 12 red balls and 12 blue balls then how many balls of all colours are there in the box"
+    texts = [twice.replace("12", "40"), twice.replace("12", "40", 1).replace("12", "41")]
+    got = contaminated(spark, twice, texts)
+    assert got[0] == 1.0 and got.get(1, 0) < 1.0  # one value of the item cannot be two values
+    for short in ("Compute 3 + 4 * 5", "12 7 9 4 15 22 31 8 45", "Anna Maria 5 km 6 kg 9"):
+        assert set(contaminated(spark, short, [f"so. {short} it is", "Compute 7 + 1 * 2", "12 7 9 4 15 22 31 9 45", ""])) == {0}
+
+
+def test_decontamination_part_of_a_long_item(spark):
+    rng = np.random.default_rng(8)
+    w = [f"w{chr(97 + a)}{chr(97 + b)}" for a, b in rng.integers(0, 26, (400, 2))]
+    texts = [" ".join(["x"] * 30 + w[100:250] + ["y"] * 30), " ".join(["x"] * 30 + w[100:140] + ["y"] * 30), " ".join(w[:20] + w[200:260])]
+    assert set(contaminated(spark, " ".join(w), texts)) == {0, 2}
+
+
+def reworded(item, seed):
+    """The item with every number and name replaced, each value by one other."""
+    rng = np.random.default_rng(seed)
+    new = {}
+    out, at = [], 0
+    for m in re.finditer(r"[0-9]+|(?<=[a-z] )[A-Z][a-z]+", item):
+        value = new.setdefault(m[0], str(int(rng.integers(100, 10**6))) if m[0][0].isdigit() else "Zo" + "".join(rng.choice(list("abcd"), 5)))
+        out += [item[at : m.start()], value]
+        at = m.end()
+    return "".join([*out, item[at:]])
+
+
+def test_decontamination_reworded_items(spark, texts):
+    """Every benchmark item with other values is found in the document that holds it, and in no clean one."""
+    items = {r["item_id"]: r["text"] for r in table(spark, FOLDER, "benchmark").collect()}
+    clean = [t for t in list(texts.values())[:150] if not any(x in t for x in items.values())]
+    corpus = [(k, t) for k, t in enumerate(clean)] + [(1000 + i, f"So. {reworded(x, i)}\n{clean[i % len(clean)]}") for i, x in items.items()]
+    df = spark.createDataFrame(corpus, "doc_id long, text string")
+    got = {r["doc_id"]: r["item_ids"] for r in decontamination.contamination(df, table(spark, FOLDER, "benchmark")).collect()}
+    assert set(got) == {1000 + i for i in items} and all(d - 1000 in ids for d, ids in got.items())
 
 
 def test_decontamination_brute(spark, texts):
@@ -234,10 +280,10 @@ def test_decontamination_brute(spark, texts):
 
 
 def test_decontamination_fast_numbers(texts):
-    block = decontamination.Block(decontamination.item_windows(0, texts[4]) and [(0, at, w) for at, w in decontamination.item_windows(0, texts[4])], {})
-    for t in [*list(texts.values())[:60], "Of 3 km. Then Anna, 4% Km? 5 Km X", "", "A"]:
+    block = decontamination.Block([(0, *w) for w in decontamination.item_windows(0, texts[4])], {})
+    for t in [*list(texts.values())[:60], "Of 3 km. Then Anna, 4% Km? 5 Km X", "", "A", "to New York, Rome. New Town of Old Man Km 5 Km Xy Zz"]:
         slow = [block.ids.get(c, 0) for c, _ in decontamination.canonical(t)]
-        assert block.numbers(t).tolist() == slow
+        assert block.numbers(t)[0].tolist() == slow
 
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -284,6 +330,63 @@ def test_pii_credentials_held_out():
         assert pii.mask(t, weights).count("<") == len(added)
 
 
+@pytest.fixture(scope="module")
+def field():
+    return pii.train([f"word{k} password={k}abc99{k}f in 19{k % 90 + 10} a=b" for k in range(60)])
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "value"),
+    [
+        ("password: correcthorsebattery", "secret", "correcthorsebattery"), ("now token = abcdefghijklmnopqrs here", "secret", "abcdefghijklmnopqrs"),
+        ("please call 212 555 0148 today", "phone", "212 555 0148"), ("phone (212) 555-0148.", "phone", "(212) 555-0148"),
+        ("paid with 4539.1488.0343.6467 there", "card", "4539.1488.0343.6467"), ("card 4539  1488  0343  6467", "card", "4539  1488  0343  6467"),
+        ("write to john [at] example [dot] com please", "email", "john [at] example [dot] com"),
+    ],
+)
+def test_pii_what_the_patterns_miss(field, text, kind, value):
+    assert [(k, text[a:b]) for k, a, b in pii.all_spans(text, field)] == [(kind, value)]
+    assert pii.mask(text, field) == text.replace(value, f"<{kind.upper()}>")
+
+
+@pytest.mark.parametrize("text", ["the secret garden was open", "password: required here", "order 212-555-0148 shipped", "on 2020-10-12 at 10:30 sharp", "4111 1111 1111 1112 is no card", "999.1.2.3"])
+def test_pii_look_alikes(field, text):
+    assert pii.all_spans(text, field) == []
+
+
+def segmentations(n, most):
+    """Every way to cut ``n`` tokens into segments of at most ``most``."""
+    if n == 0:
+        yield []
+        return
+    for k in range(1, min(n, most) + 1):
+        for rest in segmentations(n - k, most):
+            yield [*rest, (n - k, n)]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_pii_decoder_against_all_segmentations(seed):
+    rng = np.random.default_rng(seed)
+    weights = rng.normal(size=(pii.BUCKETS, len(pii.TYPES))) * 0.5
+    text = " ".join(rng.choice(["a", "1", "b2", "@", "=", "x9", "word"], 7))
+    tokens = [m.span() for m in pii._TOKEN.finditer(text)]
+    best = -np.inf
+    for cut in segmentations(len(tokens), pii.MAX_TOKENS):
+        total, types = 0.0, []
+        for i, j in cut:
+            score = weights[pii.features(text, tokens, i, j)].sum(0)
+            score[1:] -= pii.MARGIN
+            if j - i > 1:
+                score[0] = -np.inf
+                if not any(pii._TRIGGER.search(text, a, b) for a, b in tokens[i:j]):
+                    score[:] = -np.inf
+            total += score.max()
+            types.append(int(score.argmax()))
+        if total > best:
+            best, want = total, [(i, j, t) for (i, j), t in zip(cut, types) if t]
+    assert pii.decode(text, tokens, weights) == want
+
+
 def test_toxicity_held_out(spark):
     rng = np.random.default_rng(11)
     vocabulary = [f"{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in "lmnrs"]

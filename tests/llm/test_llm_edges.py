@@ -161,3 +161,25 @@ def test_mixing(docs, none):
     # Equal ranks: rows that repeat an id.
     assert got.filter("doc_id = 5").select("taken").distinct().count() <= 2
     assert got.agg(F.sum("size")).first()[0] == 60_000 + 2 * 3 + 14
+
+
+CLASHES = ["gone_id", "gone", "mix_id", "mix_source", "mix_size", "mix_words", "words", "words_id", "copies", "item_ids", "windows", "found", "size", "node", "key", "class_id", "contaminated", "p_toxic", "toxic", "kept"]
+
+
+@pytest.mark.parametrize("name", ["toxicity", "near_duplicates", "decontamination", "pii", "mixing"])
+def test_pipeline_stages(spark, name):
+    """Extra columns of any name, rows that repeat, and an empty table, in every stage."""
+    import corpus_pipeline
+
+    folder = "/root/testdata/sf0.001"
+    stage = dict(corpus_pipeline.STAGES)[name]
+    docs = docs_of(spark, [*ROWS, *(ROWS[:5] * 2)]).select("doc_id", "text", "source", "lang").withColumn("n_chars", F.length("text").cast("long"))
+    wide = docs.withColumns({c: F.lit("mine") for c in CLASHES})
+    out = stage(spark, wide, folder)
+    assert out.columns == [c for c in wide.columns if name != "mixing" or c != "copies"] + ["copies"] * (name == "mixing")
+    got = out.collect()
+    assert got and all(r[c] == "mine" for r in got for c in CLASHES if c != "copies" or name != "mixing")
+    plain = stage(spark, docs, folder)
+    assert sorted(map(str, (r["doc_id"] for r in got))) == sorted(str(r["doc_id"]) for r in plain.collect())
+    empty = stage(spark, docs.limit(0), folder)
+    assert empty.columns == plain.columns and empty.count() == 0

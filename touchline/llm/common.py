@@ -16,7 +16,7 @@ BATCH_ROWS = 1000
 # Words are maximal runs of anything but these six characters (fixed by the data contract).
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["BATCH_ROWS", "WORD", "batches", "materialise", "parts_for", "prepare", "table", "word_count", "words"]
+__all__ = ["BATCH_ROWS", "WORD", "batches", "materialise", "parts_for", "prepare", "table", "unused", "word_count", "words"]
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -62,3 +62,11 @@ def _batch(held: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 def parts_for(spark: SparkSession, amount: float, per_part: float) -> int:
     """Partitions so that each holds about ``per_part`` of ``amount``; at least the session's own number."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(np.ceil(amount / per_part)), 1)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever the case of its letters."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name

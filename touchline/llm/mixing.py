@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.common import materialise, prepare, word_count
+from touchline.llm.common import materialise, prepare, unused, word_count
 
 WEIGHTS = (5, 2, 1)  # by position of the source, repeating
 CAP = 3  # no source and no document gives more than this many times its size
@@ -106,12 +106,17 @@ def mix(
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that the mix takes, with a column ``copies``; rows that repeat an id and a size go alike."""
+    """The rows of ``docs`` that the mix takes, with a last column ``copies``; rows that repeat an id and a size go alike.
+
+    Other columns of any name stay as they are, but for a ``copies`` that is there already: the mix's takes its place.
+    """
     taken = mix(docs, **options).filter("copies > 0").groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies"))
-    taken = taken.toDF("mix_id", "mix_source", "mix_size", "copies")
-    same = docs["doc_id"].eqNullSafe(F.col("mix_id")) & docs["source"].eqNullSafe(F.col("mix_source")) & (F.col("mix_words") == F.col("mix_size"))
-    rows = docs.drop("copies").withColumn("mix_words", word_count(F.col("text")))
-    return rows.join(taken, same).drop("mix_words", "mix_id", "mix_source", "mix_size")
+    rows = docs.drop("copies")
+    words = unused(rows, "words")
+    keys = [unused(rows, f"{words}_{k}") for k in ("id", "source", "size")]
+    rows, taken = rows.withColumn(words, word_count(F.col("text"))), taken.toDF(*keys, "copies")
+    same = rows["doc_id"].eqNullSafe(taken[keys[0]]) & rows["source"].eqNullSafe(taken[keys[1]]) & (rows[words] == taken[keys[2]])
+    return rows.join(taken, same).drop(words, *keys)
 
 
 MIX_SQL = rf"""

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import materialise, prepare
+from touchline.llm.common import materialise, prepare, unused
 from touchline.llm.components import components
 
 SHINGLE = 5
@@ -340,6 +340,11 @@ def find(docs: DataFrame, top: int = 85, bottom: int = 100) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, top: int = 4, bottom: int = 5) -> DataFrame:
-    """``docs`` without the documents that another of their group stands for; rows without an id stay."""
-    gone = find(docs, top, bottom).filter("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("gone_id"), "left_anti")
+    """``docs`` without the documents that another of their group stands for; rows without an id stay.
+
+    Columns of any name may be there. Of rows that repeat an id all go or all stay.
+    """
+    gone = find(docs, top, bottom).filter("NOT kept").select("doc_id").distinct()
+    name = unused(docs, "gone")
+    gone = gone.withColumnRenamed("doc_id", name)
+    return docs.join(gone, docs["doc_id"].cast("long") == gone[name], "left_anti")

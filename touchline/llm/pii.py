@@ -1,12 +1,14 @@
 """Personal data: exact base patterns, and a semi-Markov conditional random field for what they do not cover.
 
 The base kinds (email, ip, card, phone) follow fixed patterns and are found with expressions that read a text once. The
-random field cuts the tokens around anything with a digit, an at sign or an equals sign into segments and gives every
-segment a type. Its features describe whole segments (shape, length, share of digits, checksum, distinct characters, the
-words before), and dynamic programming over segments of at most ``MAX_TOKENS`` tokens chooses boundaries and types
-together. It is trained here by gradient steps on the likelihood of segmentations that the base patterns and a few
-credential patterns give for a bounded sample of lines (``TRAIN_LINES``). What it adds are credentials (``secret``,
-``key``): the base kinds compete in the field, but their spans stay exactly those of the patterns.
+random field cuts the tokens around triggers (a digit, an at or equals sign, a long run of capitals, a credential word)
+into segments and gives every segment a type. Its features describe whole segments (shape, length, share of digits,
+checksum, distinct characters, the words before), and dynamic programming over segments of at most ``MAX_TOKENS`` tokens
+chooses boundaries and types together. It is trained here by gradient steps on the likelihood of segmentations of a bounded
+sample of lines (``TRAIN_LINES``), marked by the base patterns and a few credential patterns, and of as many lines made
+by rule (:func:`cases`) that show what the patterns miss: cards and phones written otherwise, spelt-out addresses, secrets of
+letters alone, and the same words and numbers where they are none of it. Spans of all kinds are added where they touch no
+base span and hold what their kind has to (:func:`holds`); the base spans stay exactly those of the patterns.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ import hashlib
 import math
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Sequence
 
 import numpy as np
@@ -30,11 +33,12 @@ KINDS = (*BASE, *ADDED)
 TYPES = ("other", *KINDS)
 
 TRAIN_DOCUMENTS, TRAIN_LINES = 20_000, 600  # documents, and of their lines with triggers, that the fit sees, by hash
-MAX_TOKENS = 5  # longest segment
+MAX_TOKENS = 8  # longest segment
 BUCKETS = 1 << 14  # hashed features
+MADE_LINES = 840  # lines made by rule that the fit sees at least
 EPOCHS, RATE, RIDGE = 3, 0.3, 1e-4
 MARGIN = 0.9  # posterior odds are not kept; a segment must beat "other" by this much in log score
-CONTEXT = 2  # tokens on either side of a trigger
+CONTEXT = 3  # tokens on either side of a trigger
 
 Span = tuple[str, int, int]
 
@@ -45,11 +49,12 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_TRIGGER = re.compile(r"[0-9@=]|[A-Z]{16}")
-_TOKEN = re.compile(r"[\w@.%+/-]+|[^\s\w]")
+_WORDS = "password|passwd|passphrase|pwd|token|secret|api_?key"  # fixed list: words that announce a credential
+_TRIGGER = re.compile(rf"[0-9@=]|[A-Z]{{16}}|(?i:{_WORDS})|\[at\]")
+_TOKEN = re.compile(r"\[(?:at|dot)\]|[\w@.%+/-]+|[^\s\w]")
 
 #: Patterns that mark credentials in the training lines (group 1 is the value).
-_SECRET = re.compile(r"(?i)(?:password|passwd|pwd|token|secret|api_?key)\s*[=:]\s*[\"']?([\w+/-]{8,})")
+_SECRET = re.compile(rf"(?i)(?:{_WORDS})\s*[=:]\s*[\"']?([\w+/-]{{8,}})")
 _KEY = re.compile(r"\b((?:AKIA|ASIA)[A-Z0-9]{16})\b")
 
 
@@ -222,19 +227,74 @@ def _gold(text: str, tokens: Sequence[tuple[int, int]], spans: Sequence[Span]) -
     return out
 
 
+def cases(n: int, seed: int = 7) -> list[tuple[str, list[Span]]]:
+    """``n`` lines by rule with their spans: what the patterns do not cover, and look-alikes that are nothing of the kind."""
+    rng = np.random.default_rng(seed)
+
+    def letters(a: int, b: int) -> str:
+        return "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), int(rng.integers(a, b))))
+
+    def digits(k: int) -> str:
+        return "".join(rng.choice(list("0123456789"), k))
+
+    def card(k: int = 16) -> str:
+        body = str(rng.integers(3, 7)) + digits(k - 2)
+        return next(body + c for c in "0123456789" if luhn(body + c))
+
+    def cut(number: str, sizes: Sequence[int], sign: str) -> str:
+        ends = np.cumsum(sizes)
+        return sign.join(number[e - k : e] for k, e in zip(sizes, ends.tolist()))
+
+    def wrong() -> str:
+        number = card()
+        return number[:-1] + str((int(number[-1]) + 1) % 10)
+
+    word = lambda: letters(2, 11)
+    made = [
+        lambda: (f"{rng.choice(['password', 'passphrase', 'Password', 'pwd', 'secret', 'token'])}{rng.choice([': ', ' : ', '=', ' = '])}", letters(14, 26), "secret"),
+        lambda: (f"{rng.choice(['password', 'pwd', 'token'])}{rng.choice([': ', '='])}", letters(2, 7) + digits(int(rng.integers(2, 5))) + letters(0, 4), "secret"),
+        lambda: (f"{rng.choice(['call', 'phone', 'Tel', 'tel:', 'mobile', 'ring'])} ", cut(digits(10), (3, 3, 4), rng.choice([" ", "-", "."])), "phone"),
+        lambda: (f"{rng.choice(['call', 'phone', 'Tel', 'phone:'])} ", f"({digits(3)}) {digits(3)}-{digits(4)}", "phone"),
+        lambda: (f"{rng.choice(['card', 'Visa', 'paid with', 'card:'])} ", cut(card(), (4, 4, 4, 4), rng.choice([".", "  ", " - "])), "card"),
+        lambda: (f"{word()} ", f"{letters(3, 9)} {rng.choice(['[at]', '[at]'])} {letters(3, 9)}{rng.choice([' [dot] ', '.'])}{rng.choice(['com', 'org', 'net'])}", "email"),
+        lambda: (f"{rng.choice(['the', 'a', 'your'])} {rng.choice(['password', 'token', 'secret'])} {rng.choice(['is', 'of', 'for', 'was'])} {word()}", "", ""),
+        lambda: (f"{rng.choice(['password', 'token', 'secret'])}: {rng.choice(['none', 'required', 'see', 'never', 'of', 'a'])} {word()}", "", ""),
+        lambda: (f"{word()} {digits(int(rng.integers(1, 9)))} {word()} {digits(4)}", "", ""),
+        lambda: (f"{rng.choice(['order', 'ref', 'invoice', 'no', word()])} {wrong()}", "", ""),
+        lambda: (f"{rng.choice(['order', 'ref', 'invoice', 'isbn', word()])} {cut(digits(10), (3, 3, 4), rng.choice(['-', ' ', '.']))}", "", ""),
+        lambda: (f"{word()} {rng.integers(1900, 2030)}-{rng.integers(10, 13)}-{rng.integers(10, 29)} {rng.integers(10, 24)}:{rng.integers(10, 60)}", "", ""),
+        lambda: (f"version {rng.integers(1, 20)}.{rng.integers(0, 20)}.{rng.integers(0, 20)} x = {rng.integers(1, 999)}", "", ""),
+        lambda: (f"{digits(3)}.{digits(3)}.{int(rng.integers(256, 999))}.{digits(2)}", "", ""),
+    ]
+    out = []
+    for k in range(n):
+        lead, value, kind = made[k % len(made)]()
+        begin = " ".join(word() for _ in range(int(rng.integers(0, 6))))
+        begin = f"{begin} {lead}" if begin else lead
+        line = f"{begin}{value} {' '.join(word() for _ in range(int(rng.integers(0, 6))))}".rstrip()
+        out.append((line, [(kind, len(begin), len(begin) + len(value))] if kind else []))
+    return out
+
+
 def train(lines: Sequence[str]) -> np.ndarray | None:
-    """Weights (features x types) from lines with triggers; None without lines."""
-    cases = []
-    for line in lines:
-        spans = base_spans(line) + [("secret", *m.span(1)) for m in _SECRET.finditer(line)] + [("key", *m.span(1)) for m in _KEY.finditer(line)]
+    """Weights (features x types) from lines with triggers and as many made by rule; None without lines."""
+    marked = [
+        (line, base_spans(line) + [("secret", *m.span(1)) for m in _SECRET.finditer(line)] + [("key", *m.span(1)) for m in _KEY.finditer(line)])
+        for line in lines
+    ]
+    if not any(regions(line) for line in lines):
+        return None
+    made = cases(max(MADE_LINES, len(marked)))
+    order = np.random.default_rng(3).permutation(len(marked) + len(made))
+    steps = []
+    for k in order.tolist():
+        line, spans = (marked + made)[k]
         for tokens in regions(line):
             if len(tokens) <= 60:
-                cases.append((line, tokens, _gold(line, tokens, spans)))
-    if not cases:
-        return None
+                steps.append((line, tokens, _gold(line, tokens, spans)))
     weights = np.zeros((BUCKETS, len(TYPES)))
     for epoch in range(EPOCHS):
-        for text, tokens, gold in cases:
+        for text, tokens, gold in steps:
             _step(text, tokens, gold, weights, RATE / (1 + epoch))
     return weights
 
@@ -247,18 +307,38 @@ def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
     return start, end
 
 
+def holds(kind: str, value: str) -> bool:
+    """Whether a decoded value has what its kind cannot be without."""
+    digits = re.sub("[^0-9]", "", value)
+    if kind == "card":
+        return 12 <= len(digits) <= 19 and luhn(digits) and not re.search("[A-Za-z]", value)
+    if kind == "phone":
+        return 9 <= len(digits) <= 15 and not re.search("[A-Za-z]", value)
+    if kind == "ip":
+        return len(parts := re.findall("[0-9]+", value)) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)
+    if kind == "email":
+        return bool(re.search(r"@|\[at\]", value))
+    return bool(value)
+
+
 def all_spans(text: str | None, weights: np.ndarray | None) -> list[Span]:
-    """Base spans, and credentials from the random field where they touch no base span; by start, then kind."""
+    """Base spans, and spans of every kind from the random field where they touch no base span; by start, then kind."""
     base = base_spans(text)
     if not text or weights is None:
         return base
     added: list[Span] = []
+    starts = [a for _, a, _ in base]
+    longest = max((b - a for _, a, b in base), default=0)
     for tokens in regions(text):
         for i, j, t in decode(text, tokens, weights):
-            if TYPES[t] in ADDED:
-                start, end = _trimmed(text, tokens[i][0], tokens[j - 1][1])
-                if end - start >= 8 and not any(a < end and start < b for _, a, b in base + added[-1:]):
-                    added.append((TYPES[t], start, end))
+            kind = TYPES[t]
+            start, end = _trimmed(text, tokens[i][0], tokens[j - 1][1])
+            if kind == "phone" and text[start - 1 : start] in ("(", "+"):
+                start -= 1
+            if start < end and holds(kind, text[start:end]):
+                near = base[bisect_left(starts, start - longest) : bisect_left(starts, end)]
+                if not any(a < end and start < b for _, a, b in near + added[-1:]):
+                    added.append((kind, start, end))
     return sorted(base + added, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
@@ -279,7 +359,7 @@ def fit(docs: DataFrame, documents: int = TRAIN_DOCUMENTS, lines: int = TRAIN_LI
 def find(docs: DataFrame, weights: np.ndarray | None = None) -> DataFrame:
     """``doc_id, n_email, n_ip, n_card, n_phone, n_secret, n_key, base_sha256, spans``: one row per input row.
 
-    The counts of the base kinds and ``base_sha256`` are those of the base patterns. Null and empty texts have no spans
+    The counts of the base kinds and ``base_sha256`` are those of the base patterns; ``spans`` has the added ones too. Null and empty texts have no spans
     (the hash of an empty string). Repeated rows give repeated results; columns other than doc_id and text are not
     looked at. ``weights`` come from ``fit``, by default on ``docs`` itself.
     """
@@ -292,8 +372,9 @@ def find(docs: DataFrame, weights: np.ndarray | None = None) -> DataFrame:
         for t in text:
             spans = all_spans(t, shared.value)
             kinds = [s[0] for s in spans]
-            base = ",".join(f"{k}:{a}:{b}" for k, a, b in spans if k in BASE)
-            counts = [kinds.count(k) for k in KINDS]
+            own = base_spans(t)
+            base = ",".join(f"{k}:{a}:{b}" for k, a, b in own)
+            counts = [*([k for k, *_ in own].count(k) for k in BASE), *(kinds.count(k) for k in ADDED)]
             rows.append((*counts, hashlib.sha256(base.encode()).hexdigest(), ",".join(f"{k}:{a}:{b}" for k, a, b in spans)))
         return pd.DataFrame(rows, columns=[*(f"n_{k}" for k in KINDS), "base_sha256", "spans"])
 
