@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from touchline import schemas
 from touchline.operators import sequences
 from touchline.plans import reports, serving
-from touchline.sources import tables
+from touchline.sources import feeds, tables
 from touchline.streaming import ingest, stateful
 
 
@@ -300,6 +300,31 @@ def test_ingest_records_errors_and_retries(spark, tmp_path):
     assert ids(tables.read_events(spark, fact), "event_id") == [("a",), ("b",), ("c",)]
 
 
+def test_file_mended_in_place_is_loaded_by_the_next_run(spark, tmp_path):
+    feed, fact, ledger, progress = (str(tmp_path / n) for n in ("feed", "fact", "ledger", "progress"))
+    Path(feed).mkdir()
+
+    def run():
+        ingest.stream_ingest(spark, "statsbomb", feed, fact, ledger, progress, competition_id=43).awaitTermination()
+        return ids(tables.read_table(spark, ledger, schemas.LEDGER), "match_id", "status")
+
+    assert ingest.retry_failed(spark, "statsbomb", feed, fact, ledger) == 0  # no ledger yet
+    Path(feed, "1.json").write_text('[{"id": "a", "minute": 1}]')
+    Path(feed, "2.json").write_text('[{"id": "b", "min')
+    Path(feed, "3.json").write_text("[")
+    assert run() == [(1, "success"), (2, "error"), (3, "error")]
+    assert run() == [(1, "success"), (2, "error"), (3, "error")]  # tried again, still broken
+    Path(feed, "2.json").write_text('[{"id": "b", "minute": 1}, {"id": "c", "minute": 2}]')
+    Path(feed, "4.json").write_text('[{"id": "d", "minute": 1}]')
+    assert run() == [(1, "success"), (2, "success"), (3, "error"), (4, "success")]
+    assert ids(tables.read_events(spark, fact), "match_id", "event_id") == [(1, "a"), (2, "b"), (2, "c"), (4, "d")]
+    failed = tables.read_table(spark, ledger, schemas.LEDGER).where("status <> 'success'")
+    assert [p.rsplit("/", 1)[1] for p in feeds.files_of(spark, feed, failed)] == ["3.json"]
+    Path(feed, "3.json").write_text("[]")
+    assert (3, "success") in run()
+    assert ingest.retry_failed(spark, "statsbomb", feed, fact, ledger) == 0
+
+
 def test_null_keys_are_refused(spark, tmp_path):
     rows = spark.createDataFrame([("a", 1), (None, 1), ("b", None)], "event_id string, competition_id int")
     assert ids(tables.new_rows(rows.limit(0), rows), "event_id") == [("a",)]

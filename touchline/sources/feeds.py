@@ -42,12 +42,12 @@ def _lookup(table: dict, key: Column) -> Column:
     return F.coalesce(F.get(F.transform(F.array(key), lambda k: entries[k]), F.lit(0)), F.lit("Unknown"))
 
 
-def _match_id_from_file() -> Column:
+def _match_id_from_file(path: Column | None = None) -> Column:
     """The first number of the file's name that stands alone (``f24-7`` is match 7), else the first one.
 
     Null for a name without a number, or with one that is no int.
     """
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    name = F.element_at(F.split(F.col("_metadata.file_path") if path is None else path, "/"), -1)
     alone = F.nullif(F.regexp_extract(name, r"(?<![A-Za-z\d])(\d+)(?![A-Za-z\d])", 1), F.lit(""))
     return F.coalesce(alone, F.regexp_extract(name, r"(\d+)", 1)).try_cast("int")
 
@@ -208,6 +208,13 @@ def stream_documents(spark: SparkSession, provider: str, path: str, files_per_ba
     return documents(_files(spark.readStream.option("maxFilesPerTrigger", files_per_batch), path), provider)
 
 
+def files_of(spark: SparkSession, path: str, matches: DataFrame) -> list[str]:
+    """Paths of the files whose name gives one of the ``match_id`` of ``matches``; only names are read, no contents."""
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    found = names.select("path", _match_id_from_file(F.col("path")).alias("match_id"))
+    return [r["path"] for r in found.join(matches.select("match_id"), "match_id", "left_semi").orderBy("path").collect()]
+
+
 def union_providers(*parts: DataFrame) -> DataFrame:
     """One stream of events; a column missing from a part is null there."""
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)

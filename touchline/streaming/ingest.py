@@ -54,12 +54,35 @@ def store_batch(docs: DataFrame, provider: str, competition_id: int, events_path
         docs.unpersist()
 
 
+def retry_failed(
+    spark: SparkSession, provider: str, feed_path: str, events_path: str, ledger_path: str, competition_id: int = 0,
+    files_per_batch: int = 1000,
+) -> int:
+    """Read the files of every match that the ledger does not call a success again, and how many files that were.
+
+    Progress of a stream goes by file names, so a file that is mended in place would never be offered again; the ledger
+    knows the match. Only the failed matches' files are read, in batches like those of the stream. What is still broken
+    stays an ``error``.
+    """
+    if not tables.table_exists(spark, ledger_path):
+        return 0
+    failed = tables.read_table(spark, ledger_path, schemas.LEDGER).where(F.col("status") != "success")
+    if failed.isEmpty():
+        return 0
+    paths = feeds.files_of(spark, feed_path, failed)
+    for k in range(0, len(paths), files_per_batch):
+        docs = feeds.documents(spark.read.option("wholetext", True).text(paths[k : k + files_per_batch]), provider)
+        store_batch(docs, provider, competition_id, events_path, ledger_path)
+    return len(paths)
+
+
 def stream_ingest(
     spark: SparkSession, provider: str, feed_path: str, events_path: str, ledger_path: str, checkpoint: str,
     competition_id: int = 0,
 ) -> StreamingQuery:
-    """Load every file not loaded before, then stop. Progress is kept in ``checkpoint``; a mended file comes under a new
-    name or through :func:`feeds.read_feed` for the matches that :func:`tables.pending_matches` lists."""
+    """Load every file not loaded before, and the files of failed matches again, then stop. Progress is kept in
+    ``checkpoint``. A match that failed in an earlier run is read again under the name it has, mended or not."""
+    retry_failed(spark, provider, feed_path, events_path, ledger_path, competition_id)
     docs = feeds.stream_documents(spark, provider, feed_path)
     return (
         docs.writeStream.foreachBatch(lambda batch, _: store_batch(batch, provider, competition_id, events_path, ledger_path))
