@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import collections
 import hashlib
 import html
+import math
 import os
+import random
 import re
 from collections import Counter
 
@@ -166,6 +169,78 @@ def test_style_tree_cuts_what_pages_share(spark):
     assert got[0] == "Text number 0 of many\nshared" and got[9] == "Text number 9 of many\nmore 9"
 
 
+def plain_tree(pages):
+    """host -> path -> (pages, importance), page by page in plain Python; no two pages of ``pages`` are alike."""
+    seen = collections.defaultdict(lambda: collections.defaultdict(lambda: (collections.Counter(), {})))
+    for host, page in pages:
+        blocks, layouts = site_style.parse(page)
+        for path, layout in set(layouts):
+            seen[host][path][0][layout] += 1
+        for path, text, links, noise, main in {(b[0], b[1]): b for b in reversed(blocks)}.values():
+            if not noise:
+                k, n, in_links, _ = seen[host][path][1].get(text, (0, 0, 0, False))
+                seen[host][path][1][text] = (k + 1, n + len(text), in_links + links, main)
+    out = {}
+
+    def entropy(counts, total):
+        return sum(-k / m * math.log(k / total) for k in counts) / math.log(total) if (m := sum(counts)) else 1.0
+
+    for host, nodes in seen.items():
+        size = {path: sum(layouts.values()) for path, (layouts, _) in nodes.items()}
+        for path, (layouts, _) in nodes.items():
+            below = [q for q in nodes if q == path or q.startswith(path + "/")]
+            if path == "":
+                continue
+            weights, inside, chars, links = 0, 0.0, 0, 0
+            for q in below:
+                texts = nodes[q][1]
+                k = [t[0] for t in texts.values()]
+                own = max(0.0, entropy(k, size[q])) if size[q] >= site_style.MIN_PAGES and k else 1.0
+                weights, inside = weights + sum(k), inside + sum(k) * own
+                chars, links = chars + sum(t[1] for t in texts.values()), links + sum(t[2] for t in texts.values())
+            kids = sum(q.count("/") == path.count("/") + 1 for q in below)
+            presentation = entropy(layouts.values(), size[path]) if size[path] >= site_style.MIN_PAGES else 1.0
+            decay = site_style.DECAY**kids
+            mixed = (1 - decay) * presentation + decay * (inside / weights if weights else 1.0)
+            main = any(t[3] for t in nodes[path][1].values())
+            value = 1.0 if main or path.count("/") <= 2 else mixed
+            out[host, path] = (size[path], 0.0 if not main and chars and links / chars > site_style.LINKS else value)
+    return out
+
+
+def test_style_tree_against_a_plain_one(spark):
+    """Importances of generated hosts, and of the given pages without the tags that name their parts."""
+    rng = random.Random(4)
+    pages = []
+    for i in range(60):
+        parts = [f"<p>Text {i} {rng.random()}</p>", "<p>Share this</p>", f"<div class=m><ul><li><a href=/>Menu {rng.randrange(2)}</a></ul></div>"]
+        body = "".join(rng.sample(parts, rng.randrange(1, 4)))
+        pages.append((f"h{i % 3}.net", f"<body><div class=top><p>Welcome {rng.randrange(3)}</p></div><div class=t>{body}</div><section>{i}<p>All rights</section>"))
+    names = (("<nav>", "<div class=a1>"), ('<div class="ad">', "<div class=b2>"), ("<article>", "<div class=c3>"), ("<footer>", "<div class=d4>"))
+    given = table(spark, FOLDER, "pages").collect()
+    bare = []
+    for r in given:
+        page = r["html"]
+        for old, new in names:
+            page = page.replace(old, new)
+        bare.append((r["page_id"], r["url"], re.sub("</(nav|article|footer)>", "</div>", page)))
+    pages += [(url.split("://")[1].split("/")[0], page) for page, url in {page: url for _, url, page in bare}.items()]
+    rows = [(i, f"http://{host}/{i}", page) for i, (host, page) in enumerate(pages)]
+    tree = site_style.style_tree(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    got = {(r["host"], r["path"]): (r["pages"], r["importance"]) for r in tree.collect()}
+    want = plain_tree([(host.lower(), page) for host, page in pages])
+    assert {k: v for k, v in got.items() if k not in want} == {} and {k for k in want if k not in got} <= {k for k in want if not want[k][0]}
+    for key, (n, importance) in got.items():
+        assert want[key][0] == n and want[key][1] == pytest.approx(importance, abs=1e-9), key
+    assert any(v[1] < site_style.LEAST for v in got.values()) and any(0 < v[1] < 1 for v in got.values())
+    # Without names the tree and the link share decide: every article line stays, no menu does.
+    texts = {r["page_id"]: r["text"] for r in site_style.extract(spark.createDataFrame(bare, "page_id long, url string, html string")).collect()}
+    whole = {r["page_id"]: r["text"] for r in queries.op2_site_style(spark, FOLDER).collect()}
+    for r in given:
+        lines = set(texts[r["page_id"]].split("\n"))
+        assert lines >= set(whole[r["page_id"]].split("\n")) and not lines & set(re.findall("<li><a[^>]*>(.*?)</a>", r["html"]))
+
+
 def extracted(spark, pages):
     rows = [(i, f"http://h.net/{i}", page) for i, page in enumerate(pages)]
     return {r["page_id"]: r["text"] for r in site_style.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
@@ -204,6 +279,10 @@ def test_copies_of_a_page_count_once(spark):
         ("<ul><li>a<li>b<ul><li>c</ul></ul>", "a\nb\nc"), ("<p title='a>b'>q</p><p clas", "q"), ("<nav>m</nav><header>h</header>t", "t"),
         ("<article><header><h1>T</h1></header>a<br>b<div id=comments>no</div></article><aside>s</aside>", "T\na b"),
         ("<div class='cookie-notice'>n</div><form>f</form><div class='side-ad'>x</div><p>y", "y"),
+        ("<div class='footer-links'>n</div><div id=siteHeader>h</div><div class='with-sidebar'>t</div><div class=ad-slot-2>x</div>", "t"),
+        ("<div id='notice-of-death'>a</div><article><p class='share-price'>b</p><div class='social-history'>c</div></article>", "a\nb\nc"),
+        ("<article><p class=note>a</p><p class=notice>n</p><div class='cookie-notice'>c</div><aside>s</aside></article>", "a\nc"),
+        ("x is <math><mi>a</mi><mo>+</mo>b<annotation>a+b</annotation></math> here <svg><text>no</text></svg>", "x is a+b here"),
     ],
 )
 def test_parse(page, text):

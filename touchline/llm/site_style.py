@@ -9,7 +9,9 @@ importance are cut from each page. What an element says of itself (a ``nav``, a
 holds for that element alone: it goes from its page and takes no part in the tree, where others may have its path.
 
 Text inside an ``article`` or ``main`` element is cut only by what its elements say of themselves, because articles may
-quote the same passage. Pages of a host with the same blocks count as one, so that copies do not look like boilerplate.
+quote the same passage; there a class, id or role counts only if it is a whole word of the list (``notice``, not
+``notice-of-death``). Elsewhere a compound goes by its last word that is not one of layout, as in ``cookie-notice`` or
+``footer-links``. Formulas keep their text and lose their markup. Pages of a host with the same blocks count as one, so that copies do not look like boilerplate.
 Statistics are grouped aggregations of hashes, first by page, then by node; page texts are never shuffled.
 """
 
@@ -39,7 +41,7 @@ BLOCK = frozenset(
     "h4 h5 h6 header hgroup hr legend li main menu nav ol p pre search section summary table tbody tfoot thead tr caption ul".split()
 )
 SPACE = frozenset("br td th wbr option".split())
-RAW = frozenset("script style textarea title noscript iframe xmp template svg math object audio video canvas select button".split())
+RAW = frozenset("script style textarea title noscript iframe xmp template svg annotation annotation-xml object audio video canvas select button".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: What an open element is closed by: a new one of these.
 CLOSES = {
@@ -55,6 +57,12 @@ NOISE_WORDS = frozenset(
     "complementary contentinfo search".split()
 )
 HEADER_WORDS = frozenset("header masthead topbar".split())
+#: Words of layout, which do not tell what a compound names.
+LAYOUT_WORDS = frozenset(
+    "area bar block body bottom box center col column container content group inner item items left link links list main outer panel "
+    "right row section slot text top wrap wrapper".split()
+)
+STATE_WORDS = frozenset("has is no with without".split())  # a compound that starts with one tells of what is inside
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -76,21 +84,34 @@ class Node:
         self.name, self.path, self.noise, self.main, self.children = name, path, noise, main, []
 
 
+def _named(token: str, inside_main: bool) -> bool:
+    """Whether one class, id or role says that its element is not the article."""
+    listed = NOISE_WORDS if inside_main else NOISE_WORDS | HEADER_WORDS
+    if token.lower() in listed:
+        return True
+    if inside_main:
+        return False
+    words = [w.lower() for w in _WORD.findall(token)]
+    if words and words[0] in STATE_WORDS:
+        return False
+    while len(words) > 1 and words[-1] in LAYOUT_WORDS:
+        words.pop()
+    return bool(words) and words[-1] in listed
+
+
 def _marks(name: str, rest: str, inside_main: bool) -> tuple[str, bool]:
     """The node's label (tag, classes) and whether it names itself as noise."""
     noise = name in NOISE_TAGS or (name == "header" and not inside_main)
     label = name
     if rest:
-        words: set[str] = set()
         for m in _MARK.finditer(rest):
             key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if key in ("class", "id", "role"):
-                words.update(w.lower() for w in _WORD.findall(value))
+                noise = noise or any(_named(token, inside_main) for token in value.split())
                 if key == "class":
                     label += "".join(sorted(f".{re.sub('[0-9]+', '0', c)}" for c in value.split()))
             elif key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and "display:none" in value.replace(" ", "")):
                 noise = True
-        noise = noise or bool(words & NOISE_WORDS) or (not inside_main and bool(words & HEADER_WORDS))
         if name in ("html", "body", "article", "main"):
             noise = False
     return label, noise
