@@ -567,6 +567,21 @@ def test_embedding_recall_outside_large_groups(spark, monkeypatch):
     assert got[0]["audited_recall"] == 1.0
 
 
+def test_embedding_lengths_and_unmeasured_recall(spark):
+    """Vectors of unlike lengths are not linked; without audited links, linked vectors are audited; without links nothing is known."""
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.0, 0.0]), (3, [0.99, 0.01]), (4, [0.99, 0.0, 0.01]), (5, [0.0, 1.0]), (6, [5.0]), (7, [3.0])]
+    schema = "vec_id long, embedding array<double>"
+    got = {r["vec_id"]: r for r in embedding_graph.find(spark.createDataFrame(rows, schema)).collect()}
+    assert [(got[i]["n_links"], got[i]["component_id"]) for i in range(1, 8)] == [(1, 1), (1, 2), (1, 1), (1, 2), (0, 5), (1, 6), (1, 6)]
+    assert {r["audited_recall"] for r in got.values()} == {1.0}
+    apart = embedding_graph.find(spark.createDataFrame([(i, [float(i == k) for k in range(60)]) for i in range(60)], schema))
+    assert {(r["n_links"], r["audited_recall"]) for r in apart.collect()} == {(0, None)}
+    # All pairs of blocks compared keep to the same rule.
+    usable = embedding_graph._valid(spark.createDataFrame(rows, schema))
+    counts = {r["vec_id"]: r["n"] for r in embedding_graph._compared(usable, 0.9, 4).groupBy("vec_id").agg(F.sum("n").alias("n")).collect()}
+    assert counts == {1: 1, 2: 1, 3: 1, 4: 1, 6: 1, 7: 1}
+
+
 def test_pipeline(spark, texts):
     """Every stage against its own input."""
     docs = table(spark, FOLDER, "documents")

@@ -12,7 +12,8 @@
    number of links per vector and a spanning forest, never all pairs.
 5. Recall is measured against brute force for the stated queries (all ids divisible by ``EVERY``, in blocks of ``AUDIT``),
    averaged over the queries with links, and over those of them outside large groups (at most ``per_cell`` links), so that
-   a large group does not speak for the small ones. While either is below ``RECALL``, the overlap is doubled and the search
+   a large group does not speak for the small ones. If no stated query has a link, ``AUDIT`` of the vectors that the search
+   linked are measured instead; if it linked none, the recall is unknown and null. While either is below ``RECALL``, the overlap is doubled and the search
    repeated; when that would cost more than comparing all pairs of blocks, they are compared.
 """
 
@@ -61,8 +62,13 @@ def _valid(vectors: DataFrame) -> DataFrame:
     return rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
 
 
+def lengths(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """Numbers of components of packed vectors."""
+    return np.array([x.as_buffer().size // 8 for x in column], dtype=np.int64)
+
+
 def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """Rows of packed vectors; all have the length of the longest (a shorter one cannot be near it and gets zeros)."""
+    """Rows of packed vectors, shorter ones filled with zeros; whether two rows are comparable is for :func:`lengths` to say."""
     rows = [np.frombuffer(x.as_buffer(), dtype=np.float64) for x in column]
     wide = max(map(len, rows), default=0)
     if all(len(r) == wide for r in rows):
@@ -167,12 +173,16 @@ class Graph:
         return np.repeat(query, count), self.to[np.repeat(self.start[node], count) + ahead]
 
 
-def range_search(x: np.ndarray, graph: Graph, least: float, beam: int = BEAM) -> np.ndarray:
-    """Which rows are found within range of which: beams from the medoid, then widening through what is in range."""
+def range_search(x: np.ndarray, graph: Graph, least: float, beam: int = BEAM, size: np.ndarray | None = None) -> np.ndarray:
+    """Which rows are found within range of which: beams from the medoid, then widening through what is in range.
+
+    Rows of unlike ``size`` are never in range of each other.
+    """
     n = len(x)
     seen, found = np.zeros((n, n), bool), np.zeros((n, n), bool)
     if n < 2:
         return found
+    size = np.zeros(n, np.int64) if size is None else size
 
     def look(query: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         new = ~seen[query, node]
@@ -180,6 +190,7 @@ def range_search(x: np.ndarray, graph: Graph, least: float, beam: int = BEAM) ->
         query, node = pair // n, pair % n
         seen[query, node] = True
         cos = np.concatenate([np.einsum("ij,ij->i", x[query[i : i + 65536]], x[node[i : i + 65536]]) for i in range(0, len(query), 65536)] or [np.empty(0)])
+        cos = np.where(size[query] == size[node], cos, np.minimum(cos, np.nextafter(least, -2)))
         inside = cos >= least
         found[query[inside], node[inside]] = True
         return query, node, cos
@@ -190,7 +201,7 @@ def range_search(x: np.ndarray, graph: Graph, least: float, beam: int = BEAM) ->
     done = np.ones((n, beam), bool)
     best_cos[:, 0], best[:, 0], done[:, 0] = x @ x[medoid], medoid, False
     seen[every, medoid] = True
-    found[:, medoid] = best_cos[:, 0] >= least
+    found[:, medoid] = (best_cos[:, 0] >= least) & (size == size[medoid])
     for _ in range(4 * beam):
         at = np.where(done, -3.0, best_cos).argmax(1)
         active = np.flatnonzero(~done[every, at])
@@ -230,7 +241,7 @@ def _links_of(group: pa.Table, least: float) -> pa.Table:
     group = group.sort_by("vec_id")
     ids, block = group.column("vec_id").to_numpy(), group.column("block").to_numpy()
     cell, low, high = (group.column(c)[0].as_py() for c in ("cell", "low", "high"))
-    x = matrix(group.column("vector"))
+    x, size = matrix(group.column("vector")), lengths(group.column("vector"))
     cells = np.array(group.column("cells").to_pylist())
     if "near" in group.column_names:
         lists = []
@@ -238,9 +249,9 @@ def _links_of(group: pa.Table, least: float) -> pa.Table:
             near = np.array(near or [], dtype=np.int64)
             at = np.minimum(np.searchsorted(ids, near), len(ids) - 1)
             lists.append(at[ids[at] == near])
-        found = range_search(x, Graph(lists), least)
+        found = range_search(x, Graph(lists), least, size=size)
     else:
-        found = x @ x.T >= least
+        found = (x @ x.T >= least) & (size[:, None] == size[None, :])
     a, b = np.nonzero(np.triu(found, 1))
     up = np.arange(len(ids))
 
@@ -307,30 +318,38 @@ def _compared(vectors: DataFrame, least: float, cap: int) -> DataFrame:
 
 def audited(vectors: DataFrame, least: float = LINK, block: int = AUDIT) -> DataFrame:
     """``vec_id, n``: exact numbers of links of all ids divisible by ``EVERY``, a block of them at a time."""
-    asked = materialise(vectors.filter(F.col("vec_id") % EVERY == 0), "graph-audit")
+    return exact_counts(vectors, vectors.filter(F.col("vec_id") % EVERY == 0), least, block)
+
+
+def exact_counts(vectors: DataFrame, asked: DataFrame, least: float = LINK, block: int = AUDIT) -> DataFrame:
+    """``vec_id, n`` of the vectors of ``asked`` against all, about ``block`` of them at a time."""
+    asked = materialise(asked, "graph-audit")
     parts = max(1, -(-asked.count() // block))
     place = F.pmod(F.xxhash64("vec_id", F.lit("audit")), F.lit(parts))
     counted = [materialise(brute_force(vectors, asked.filter(place == k), least), "graph-exact") for k in range(parts)]
     return reduce(DataFrame.unionByName, counted)
 
 
-def recall_of(exact: DataFrame, counts: DataFrame, large: int = PER_CELL) -> float:
-    """The average share of links found per audited vector that has any; the lower one of all and of those with at most ``large``."""
+def recall_of(exact: DataFrame, counts: DataFrame, large: int = PER_CELL) -> float | None:
+    """The average share of links found per audited vector that has any; the lower one of all and of those with at most ``large``.
+
+    None if no audited vector has a link: nothing is known of the recall then.
+    """
     share = F.least(F.col("n"), F.coalesce("n_links", F.lit(0))) / F.col("n")
     row = exact.filter("n > 0").join(counts, "vec_id", "left").agg(
         F.avg(share).alias("all"), F.avg(F.when(F.col("n") <= large, share)).alias("small")
     ).first()
-    return min((x for x in row if x is not None), default=1.0)
+    return min((x for x in row if x is not None), default=None)
 
 
 def brute_force(vectors: DataFrame, queries: DataFrame, least: float = LINK) -> DataFrame:
     """``vec_id, n``: exact numbers of links of the queries (a bounded table) against all vectors."""
     picked = queries.toArrow()
-    ids, packed = picked.column("vec_id").to_numpy(), matrix(picked.column("vector"))
-    shared = vectors.sparkSession.sparkContext.broadcast((ids, packed))
+    ids, packed, size = picked.column("vec_id").to_numpy(), matrix(picked.column("vector")), lengths(picked.column("vector"))
+    shared = vectors.sparkSession.sparkContext.broadcast((ids, packed, size))
 
     def count(chunks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, q = shared.value
+        own, q, size = shared.value
         total = np.zeros(len(own), np.int64)
         for chunk in chunks:
             if not chunk.num_rows or not len(own):
@@ -338,6 +357,7 @@ def brute_force(vectors: DataFrame, queries: DataFrame, least: float = LINK) ->
             x = matrix(chunk.column("vector"))
             wide = min(x.shape[1], q.shape[1])
             near = (q[:, :wide] @ x[:, :wide].T >= least) & (own[:, None] != chunk.column("vec_id").to_numpy()[None, :])
+            near &= size[:, None] == lengths(chunk.column("vector"))[None, :]
             total += near.sum(1)
         yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(total)], names=["vec_id", "n"])
 
@@ -349,7 +369,8 @@ def find(vectors: DataFrame, least: float = LINK, overlap: int = OVERLAP, recall
 
     A vector that is null, empty, zero, or holds a null or a number that is not finite, links nothing; so does a row
     without an id, whose component is null and which is kept. Rows that repeat an id are one vector (the smallest by its
-    bytes) and get the same figures. Labels and other columns are not looked at.
+    bytes) and get the same figures. Vectors of different lengths have no cosine and are not linked. ``audited_recall`` is
+    null where no link is there to be found. Labels and other columns are not looked at.
     """
     prepare(vectors.sparkSession)
     usable = materialise(_valid(vectors), "graph-vectors")
@@ -361,7 +382,13 @@ def find(vectors: DataFrame, least: float = LINK, overlap: int = OVERLAP, recall
         searched = _searched(materialise(_assigned(usable, middle, overlap), "graph-cells"), least, cap)
         counts = searched.groupBy("vec_id").agg(F.sum("n").alias("n_links"))
         reached = recall_of(exact, counts, per_cell)
-        if reached >= recall:
+        if reached is None:
+            some = materialise(counts.filter("n_links > 0").orderBy(F.xxhash64("vec_id"), "vec_id").limit(AUDIT).select("vec_id"), "graph-linked")
+            further = exact_counts(usable, usable.join(some, "vec_id", "left_semi"), least)
+            reached = recall_of(further, counts, per_cell)
+            if reached is not None:
+                exact = further
+        if reached is None or reached >= recall:
             break
         if 2 * overlap >= min(len(middle), blocks):
             searched = _compared(usable, least, cap)
@@ -375,5 +402,5 @@ def find(vectors: DataFrame, least: float = LINK, overlap: int = OVERLAP, recall
     component = F.coalesce("component", "vec_id")
     return rows.select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
-        F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"), F.lit(reached).alias("audited_recall"),
+        F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"), F.lit(reached).cast("double").alias("audited_recall"),
     )
