@@ -154,8 +154,13 @@ def mv_team_xg(fact: DataFrame, teams: DataFrame) -> DataFrame:
 
     Shots are summed per team id first; the names are joined to the sums, then merged where names coincide.
     """
+    return team_xg_of(team_xg_partials(fact), teams)
+
+
+def team_xg_partials(fact: DataFrame) -> DataFrame:
+    """Sums per team id and match that add up across any split of the events."""
     c = F.col
-    shots = (
+    return (
         fact.where(c("event_type") == "Shot")
         .groupBy("team_id", "match_id")
         .agg(
@@ -163,7 +168,12 @@ def mv_team_xg(fact: DataFrame, teams: DataFrame) -> DataFrame:
             exact_sum(c("xg_value"), XT_DIGITS).alias("_xg"),
         )
     )
-    named = joins.add_team_name(shots, teams).withColumn("team_name", F.coalesce("team_name", F.lit("Unknown")))
+
+
+def team_xg_of(partials: DataFrame, teams: DataFrame) -> DataFrame:
+    """The view from its partial sums."""
+    c = F.col
+    named = joins.add_team_name(partials, teams).withColumn("team_name", F.coalesce("team_name", F.lit("Unknown")))
     total, goals = F.sum("_shots"), F.sum("_goals")
     return named.groupBy("team_name", "match_id").agg(
         total.alias("total_shots"), round_any(exact_sum(c("_xg"), XT_DIGITS), 4).alias("total_xg"),

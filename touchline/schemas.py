@@ -36,6 +36,7 @@ PLAYERS = _struct(("player_id", INT), ("player_name", STR), ("nationality", STR)
 LEDGER = _struct(
     ("match_id", INT), ("competition_id", INT), ("event_count", LONG), ("status", STR), ("ingested_at", TS)
 )
+TEAM_XG_PARTIALS = _struct(("team_id", INT), ("match_id", INT), ("_shots", LONG), ("_goals", LONG), ("_xg", DBL))
 REGISTRY = _struct(
     ("model_name", STR), ("version", STR), ("trained_at", TS), ("metrics", STR), ("artifact_path", STR)
 )

@@ -138,9 +138,13 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 def read_events(spark: SparkSession, path: str) -> DataFrame:
     """Fact table with every declared column; files from before provenance columns get their defaults."""
     # The declared schema spares a pass over every file footer; a column a file lacks reads as null.
+    return with_provenance(spark.read.schema(schemas.EVENT).parquet(path).select(*schemas.EVENT.fieldNames()))
+
+
+def with_provenance(events: DataFrame) -> DataFrame:
+    """Events with the defaults of columns that older files lack."""
     defaults = {"provider": F.lit("statsbomb"), "coord_system": F.lit("statsbomb_120x80"), "under_pressure": F.lit(False)}
-    df = spark.read.schema(schemas.EVENT).parquet(path).select(*schemas.EVENT.fieldNames())
-    return df.withColumns({name: F.coalesce(F.col(name), value) for name, value in defaults.items()})
+    return events.withColumns({name: F.coalesce(F.col(name), value) for name, value in defaults.items()})
 
 
 def write_partitioned(
@@ -179,6 +183,22 @@ def append_events(spark: SparkSession, batch: DataFrame, path: str) -> None:
     write_partitioned(batch, path)
 
 
+def write_bucketed(
+    df: DataFrame, name: str, path: str, keys: Sequence[str] = EVENT_KEYS, buckets: int | None = None
+) -> DataFrame:
+    """A catalog table over ``path`` whose rows lie in buckets of their key, sorted within them, and the table itself.
+
+    Tables with the same keys and number of buckets join, merge and aggregate by these keys without moving a stored row:
+    the one shuffle is paid at the write. A bucket is one task of such a join, so there should be enough of them for a
+    bucket to fit in memory; by default there are as many as shuffle partitions (with fewer, Spark spreads them anew to use its tasks). The keys should be unique, or nearly so.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartition(n, *keys)  # a file per bucket
+    rows.write.mode("overwrite").format("parquet").option("path", path).bucketBy(n, *keys).sortBy(*keys).saveAsTable(name)
+    return spark.table(name)
+
+
 def replace_table(df: DataFrame, path: str) -> DataFrame:
     """Truncate and insert. The new rows are staged first, so ``df`` may read the table it replaces.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,19 +12,41 @@ from pyspark.sql.streaming import StreamingQuery
 
 from touchline import schemas
 from touchline.session import shared_folder
-from touchline.sources import feeds, tables
+from touchline.sources import feeds, published, tables
 
 log = logging.getLogger(__name__)
 
 
+Store = Callable[[DataFrame, DataFrame], None]  # what is done with the events and the ledger rows of a batch
+
+
 def store_batch(docs: DataFrame, provider: str, competition_id: int, events_path: str, ledger_path: str) -> None:
-    """Store one micro-batch of files (:func:`feeds.documents`) and record every match in the ledger.
+    """Store one micro-batch of files: first its events, then its ledger rows (:func:`map_batch`)."""
+    spark = docs.sparkSession
+
+    def store(good: DataFrame, outcomes: DataFrame) -> None:
+        tables.append_events(spark, good, events_path)
+        if tables.table_exists(spark, ledger_path):
+            ledger = tables.read_table(spark, ledger_path, schemas.LEDGER)
+        else:
+            ledger = spark.createDataFrame([], schemas.LEDGER)
+        tables.replace_table(tables.mark_ingested(ledger, outcomes), ledger_path)
+
+    map_batch(docs, provider, competition_id, store)
+
+
+def publish_batch(docs: DataFrame, provider: str, competition_id: int, root: str) -> None:
+    """Store one micro-batch of files, events and ledger rows in one publication (:mod:`touchline.sources.published`)."""
+    map_batch(docs, provider, competition_id, lambda good, outcomes: published.publish_events(docs.sparkSession, root, good, outcomes))
+
+
+def map_batch(docs: DataFrame, provider: str, competition_id: int, store: Store) -> None:
+    """Map one micro-batch of files (:func:`feeds.documents`) and hand its events and the ledger rows of its matches to ``store``.
 
     A match all of whose files load is a ``success`` with its number of events. A broken file, or an event without a
     whole key, makes it an ``error`` with count 0, to be retried: nothing of it is stored. A file without a match id has
     no row in the ledger; it is logged. A replay after a failure adds nothing, because known ids are left out.
     """
-    spark = docs.sparkSession
     docs = docs.persist()
     try:
         nameless = docs.where(F.col("match_id").isNull())
@@ -37,18 +60,13 @@ def store_batch(docs: DataFrame, provider: str, competition_id: int, events_path
         failed = (F.col("_errors") > 0) | (F.coalesce("_keyless", F.lit(0)) > 0)
         state = state.select("match_id", failed.alias("_failed"), F.coalesce("_n", F.lit(0)).cast("bigint").alias("_n"))
         good = events.join(state.where(~F.col("_failed")).select("match_id"), "match_id", "left_semi")
-        tables.append_events(spark, good.select(*events.columns), events_path)
         outcomes = state.select(
             "match_id", F.lit(competition_id).alias("competition_id"),
             F.when(F.col("_failed"), F.lit(0).cast("bigint")).otherwise(F.col("_n")).alias("event_count"),
             F.when(F.col("_failed"), "error").otherwise("success").alias("status"),
             F.current_timestamp().alias("ingested_at"),
         ).select(*schemas.LEDGER.fieldNames())
-        if tables.table_exists(spark, ledger_path):
-            ledger = tables.read_table(spark, ledger_path, schemas.LEDGER)
-        else:
-            ledger = spark.createDataFrame([], schemas.LEDGER)
-        tables.replace_table(tables.mark_ingested(ledger, outcomes), ledger_path)
+        store(good.select(*events.columns), outcomes)
         events.unpersist()
     finally:
         docs.unpersist()
@@ -66,13 +84,21 @@ def retry_failed(
     """
     if not tables.table_exists(spark, ledger_path):
         return 0
-    failed = tables.read_table(spark, ledger_path, schemas.LEDGER).where(F.col("status") != "success")
+    ledger = tables.read_table(spark, ledger_path, schemas.LEDGER)
+    return _read_again(
+        provider, feed_path, ledger, lambda docs: store_batch(docs, provider, competition_id, events_path, ledger_path), files_per_batch
+    )
+
+
+def _read_again(provider: str, feed_path: str, ledger: DataFrame, store: Callable[[DataFrame], None], files_per_batch: int = 1000) -> int:
+    spark = ledger.sparkSession
+    failed = ledger.where(F.col("status") != "success")
     if failed.isEmpty():
         return 0
     paths = feeds.files_of(spark, feed_path, failed)
     for k in range(0, len(paths), files_per_batch):
         docs = feeds.documents(spark.read.option("wholetext", True).text(paths[k : k + files_per_batch]), provider)
-        store_batch(docs, provider, competition_id, events_path, ledger_path)
+        store(docs)
     return len(paths)
 
 
@@ -90,6 +116,19 @@ def stream_ingest(
     )
 
 
+def stream_publish(
+    spark: SparkSession, provider: str, feed_path: str, root: str, checkpoint: str, competition_id: int = 0
+) -> StreamingQuery:
+    """:func:`stream_ingest` into published tables: no reader ever sees events without their ledger rows or the reverse."""
+    ledger = published.read(spark, root, published.LEDGER, schemas.LEDGER)
+    _read_again(provider, feed_path, ledger, lambda docs: publish_batch(docs, provider, competition_id, root))
+    return (
+        feeds.stream_documents(spark, provider, feed_path)
+        .writeStream.foreachBatch(lambda batch, _: publish_batch(batch, provider, competition_id, root))
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
 def stream_dedup(
     events: DataFrame, event_time: str, delay: str = "10 minutes", keys: tuple[str, ...] = tables.EVENT_KEYS
 ) -> DataFrame:
