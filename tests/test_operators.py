@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from touchline.functions import coordinates as xy
 from touchline.functions.labels import fixed
 from touchline.functions.numeric import exact_avg, exact_sum, round_any, round_pos
-from touchline.operators import classifiers, metrics, quality, running, sequences, similarity, xt, zones
+from touchline.operators import classifiers, kmeans, metrics, quality, running, sequences, similarity, xt, zones
 from touchline.plans import features, silver
 from touchline.plans.marts import opponent_passes
 
@@ -364,6 +364,62 @@ def test_zones_of_equal_points(spark):
     assert zones.kmeans_zones(same.where("false")).count() == 0
 
 
+@pytest.fixture(scope="module")
+def two_groups(spark):
+    """Weighted places of two groups on the grid of the fits, over several partitions."""
+    rng = np.random.default_rng(3)
+    spots = {"a": rng.normal(size=(7, 2)) * 3, "b": rng.normal(size=(5, 2))}
+    rows = {
+        (name, *map(int, kmeans.on_grid(there[rng.integers(len(there))] + rng.normal(size=2) * 0.1))): int(rng.integers(1, 4))
+        for name, there in spots.items() for _ in range(400)
+    }
+    rows = [(*place, weight) for place, weight in rows.items()]
+    return rows, spark.createDataFrame(rows, "grp string, x bigint, y bigint, weight bigint").repartition(5)
+
+
+def test_kmeans_cells_hold_every_point(two_groups):
+    rows, points = two_groups
+    cells = kmeans.cells_of(points, ("x", "y")).collect()
+    for name in "ab":
+        own, got = [r for r in rows if r[0] == name], [r for r in cells if r.grp == name]
+        assert sum(r.n for r in got) == sum(r[3] for r in own)
+        assert sum(r.x for r in got) == sum(r[1] * r[3] for r in own) and sum(r.y for r in got) == sum(r[2] * r[3] for r in own)
+        assert len(got) <= kmeans.COARSE**2
+
+
+def test_kmeans_equals_plain_steps(two_groups):
+    rows, points = two_groups
+    fits = kmeans.fit(points, ("x", "y"), 4, 3, 300, 0.0, 11)
+    assert set(fits) == {"a", "b"}
+    for name, fit in fits.items():
+        own = np.array([r[1:] for r in rows if r[0] == name], dtype="float64")
+        at, weight = own[:, :2] / kmeans.UNIT, own[:, 2]
+        away = ((at[:, None] - fit.centres[None]) ** 2).sum(axis=2)
+        label = away.argmin(axis=1)
+        assert fit.members.tolist() == np.bincount(label, weight, 4).tolist() and fit.members.sum() == weight.sum()
+        for j, centre in enumerate(fit.centres):  # a centre that rests is the mean of its points
+            assert np.allclose(centre, np.average(at[label == j], axis=0, weights=weight[label == j]), atol=1e-9)
+        assert fit.cost == pytest.approx((away.min(axis=1) * weight).sum(), rel=1e-4)
+        # No worse than the best of as many plain fits over the rows, within what a local minimum may differ.
+        plain = []
+        for r in range(3):
+            centres = kmeans.fit_cells(at, weight, 4, 300, 0.0, np.random.default_rng([11, r, *name.encode()]))
+            plain.append((((at[:, None] - centres[None]) ** 2).sum(axis=2).min(axis=1) * weight).sum())
+        assert fit.cost <= 1.25 * min(plain)
+
+
+def test_kmeans_does_not_depend_on_partitions(two_groups):
+    _, points = two_groups
+    first, second = (kmeans.fit(df, ("x", "y"), 3, 2, 300, 1e-4, 5) for df in (points, points.repartition(2, "x")))
+    for name, fit in first.items():
+        assert np.array_equal(fit.centres, second[name].centres) and fit.cost == second[name].cost
+
+
+def test_kmeans_of_nothing(two_groups):
+    _, points = two_groups
+    assert kmeans.fit(points.where("false"), ("x", "y"), 3, 2, 300, 1e-4, 5) == {}
+
+
 def test_opponent_passes_equal_the_theta_join(spark):
     random.seed(19)
     kinds = ["Pass", "Tackle", "Foul", "Block", "Carry"]

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from functools import partial
+from collections.abc import Mapping, Sequence
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from touchline.functions.coordinates import in_corner_arc
 from touchline.functions.numeric import round_any
-from touchline.session import materialise, run_together
+from touchline.operators import kmeans
+from touchline.session import materialise
 
 N_ZONES = 6
 RESTARTS = 10
@@ -19,6 +18,7 @@ RESTARTS = 10
 ITERATIONS, TOLERANCE = 300, 1e-4
 SEED = 42
 ZONE_TYPES = ("Corner", "Shot")
+PLACE = ("location_x", "location_y")
 
 
 def set_piece_points(silver: DataFrame) -> DataFrame:
@@ -36,63 +36,59 @@ def kmeans_zones(
 ) -> DataFrame:
     """Zone centres in metres with their member counts; a type with fewer than ``k`` rows is skipped.
 
-    Equal points are merged into one weighted point first. The fit with the lowest cost of all restarts wins.
-    Labels follow the centres from left to right.
+    Equal points are merged into one weighted point first. Both types and all restarts are fitted together, a job a step,
+    and the fit with the lowest cost wins. Labels follow the centres from left to right.
     """
     spark = points.sparkSession
-    weighted = points.groupBy("event_type", "location_x", "location_y").agg(F.count("*").cast("double").alias("weight"))
-    weighted = materialise(weighted, "zone-points")
-    per_type = weighted.groupBy("event_type").agg(F.sum("weight").alias("n"), F.count("*").alias("points"))
-    sizes = {r["event_type"]: r for r in per_type.collect()}  # two rows
+    weighted = points.groupBy("event_type", *PLACE).agg(F.count("*").alias("weight"))
+    weighted = materialise(weighted.where(F.col("event_type").isin(*ZONE_TYPES)), "zone-points")
+    stats = {r["event_type"]: r for r in _weighted_scale(weighted).collect()}  # two rows
+    enough = [kind for kind in ZONE_TYPES if kind in stats and stats[kind]["n"] >= k]
+    fitted = [kind for kind in enough if stats[kind]["points"] > k]
     out = []
-    for kind in ZONE_TYPES:
-        if kind not in sizes or sizes[kind]["n"] < k:
+    for kind in enough:
+        if kind in fitted:
             continue
-        rows = weighted.where(F.col("event_type") == kind)
-        if sizes[kind]["points"] <= k:
-            # No more distinct points than zones: every point is a centre and the rest stay empty.
-            points = sorted((r["location_x"], r["location_y"], int(r["weight"])) for r in rows.collect())
-            points += [(*points[0][:2], 0)] * (k - len(points))
-            out += [(kind, label, *point) for label, point in enumerate(points)]
-            continue
-        stats = _weighted_scale(rows)
-        scaled = rows.select(
-            "weight", *[((F.col(c) - stats[c][0]) / stats[c][1]).alias(c) for c in ("location_x", "location_y")]
-        )
-        data = VectorAssembler(inputCols=["location_x", "location_y"], outputCol="features").transform(scaled)
-        data = data.select("features", "weight").persist()
-        try:
-            fits = [KMeans(
-                k=k, seed=seed + i, maxIter=ITERATIONS, tol=TOLERANCE, weightCol="weight", featuresCol="features"
-            ) for i in range(restarts)]
-            models = run_together(spark, [partial(fit.fit, data) for fit in fits])
-            best = min(models, key=lambda m: m.summary.trainingCost)
-            counts = best.transform(data).groupBy("prediction").agg(F.sum("weight").cast("bigint").alias("n"))
-            members = {r["prediction"]: r["n"] for r in counts.collect()}  # k rows
-        finally:
-            data.unpersist()
-        centres = [
-            tuple(float(v) * stats[c][1] + stats[c][0] for v, c in zip(centre, ("location_x", "location_y")))
-            for centre in best.clusterCenters()
-        ]
-        order = sorted(range(len(centres)), key=lambda i: centres[i])
-        out += [(kind, label, *centres[i], members.get(i, 0)) for label, i in enumerate(order)]
+        # No more distinct points than zones: every point is a centre and the rest stay empty.
+        rows = weighted.where(F.col("event_type") == kind).collect()
+        spots = sorted((r["location_x"], r["location_y"], r["weight"]) for r in rows)
+        spots += [(*spots[0][:2], 0)] * (k - len(spots))
+        out += [(kind, label, *spot) for label, spot in enumerate(spots)]
+    if fitted:
+        scaled = [
+            F.round((F.col(c) - _of(stats, fitted, f"{c}_m")) / _of(stats, fitted, f"{c}_s") * F.lit(float(kmeans.UNIT)))
+            .cast("bigint").alias(c) for c in PLACE
+        ]
+        grid = weighted.where(F.col("event_type").isin(*fitted)).select(F.col("event_type").alias("grp"), *scaled, "weight")
+        grid = materialise(grid, "zone-grid")
+        best = kmeans.fit(grid, PLACE, k, restarts, ITERATIONS, TOLERANCE, seed)
+        for kind, fit in best.items():
+            of = stats[kind]
+            centres = [tuple(float(v) * of[f"{c}_s"] + of[f"{c}_m"] for v, c in zip(centre, PLACE)) for centre in fit.centres]
+            order = sorted(range(k), key=lambda i: centres[i])
+            out += [(kind, label, *centres[i], int(fit.members[i])) for label, i in enumerate(order)]
     table = spark.createDataFrame(
         out, "event_type string, cluster_label int, center_x double, center_y double, member_count bigint"
     )
     return table.withColumns({c: round_any(F.col(c), 2) for c in ("center_x", "center_y")})
 
 
-def _weighted_scale(rows: DataFrame) -> dict[str, tuple[float, float]]:
-    """Mean and population deviation of the underlying points; one is used for a zero deviation."""
+def _weighted_scale(rows: DataFrame) -> DataFrame:
+    """Per type: rows, distinct points, mean and population deviation of the rows (one in place of a zero deviation)."""
     w = F.col("weight")
     parts = []
-    for c in ("location_x", "location_y"):
+    for c in PLACE:
         mean = F.sum(F.col(c) * w) / F.sum(w)
         square = F.sum(F.col(c) * F.col(c) * w) / F.sum(w)
-        parts += [mean.alias(f"{c}_m"), F.sqrt(F.greatest(square - mean * mean, F.lit(0.0))).alias(f"{c}_s")]
-    row = rows.agg(*parts).first()
-    return {c: (row[f"{c}_m"], row[f"{c}_s"] if row[f"{c}_s"] > 1e-9 else 1.0) for c in ("location_x", "location_y")}
+        deviation = F.sqrt(F.greatest(square - mean * mean, F.lit(0.0)))
+        # Nine digits: the last ones depend on the order of the sums.
+        parts += [F.round(mean, 9).alias(f"{c}_m"), F.when(deviation > 1e-9, F.round(deviation, 9)).otherwise(1.0).alias(f"{c}_s")]
+    return rows.groupBy("event_type").agg(F.sum(w).alias("n"), F.count("*").alias("points"), *parts)
+
+
+def _of(stats: Mapping[str, Row], kinds: Sequence[str], name: str) -> Column:
+    """A figure of the row's type."""
+    return F.create_map(*[F.lit(x) for kind in kinds for x in (kind, stats[kind][name])])[F.col("event_type")]
 
 
 def zone_checks(points: DataFrame, centres: DataFrame) -> DataFrame:
