@@ -521,6 +521,20 @@ def test_gate(spark):
     quality.gate("silver", found.where("false"))
 
 
+def test_wide_values_are_unique_by_digest(spark, tmp_path):
+    rows = [(i, f"payload {i % 900}" * 20 if i % 10 else None) for i in range(1000)] + [(1000, ""), (1001, "")]
+    path = str(tmp_path / "t")
+    spark.createDataFrame(rows, "id int, body string").write.parquet(path)
+    df = spark.read.parquet(path)
+    narrow, wide = quality.check_unique(df, "body"), quality.check_unique(df, "body", wide=True)
+    assert sorted(narrow.collect()) == sorted(wide.collect()) and wide.count() == 91
+    assert quality.check_unique(df.where("id < 5"), "body", wide=True).count() == 0
+    # Payloads are narrowed by the digests before the only exchange that carries them.
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert plan.index("Exchange hashpartitioning(body") < plan.index("BroadcastHashJoin")
+
+
 RAW = "event_id string, provider string, raw_json string, event_type string, match_id int, team_id int, player_id int, minute int, second int, location_x double, location_y double, outcome string, under_pressure boolean"
 
 

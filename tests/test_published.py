@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from touchline import schemas
+from touchline.operators import quality
 from touchline.plans import gold
 from touchline.sources import published, tables
 from touchline.streaming import ingest
@@ -71,6 +72,39 @@ def test_a_crash_shows_neither_events_nor_ledger(spark, tmp_path, monkeypatch, s
         assert state(spark, root) == ([(1, "a"), (2, "b")], [(1,), (2,)])
 
 
+def test_failed_checks_publish_nothing(spark, tmp_path):
+    root = str(tmp_path / "p")
+    good = [("a", 1, 9, "Shot", "Goal", 0.25), ("b", 1, 8, "Shot", None, 0.5)]
+    checks = {published.EVENTS: {"type": F.col("event_type").isNull(), "xg_range": quality.outside("xg_value", 0, 1)}}
+    published.publish(spark, root, add={published.EVENTS: events(spark, good)}, checks=checks)
+    before = state(spark, root)
+    bad = [("c", 2, 9, "Shot", None, 1.5), ("d", 2, 9, None, None, 7.0), ("e", 2, 9, "Pass", None, None)]
+    with pytest.raises(quality.GateError, match=r"events.type: 1, events.xg_range: 2"):
+        published.publish(spark, root, add={published.EVENTS: events(spark, bad), "other": spark.range(3)}, checks=checks)
+    assert state(spark, root) == before and "other" not in published.folders(spark, root)
+    # Tables that have no checks, and empty ones that have some, go through.
+    published.publish(spark, root, add={published.EVENTS: events(spark, bad).where("event_id = 'none'"), "other": spark.range(3)}, checks=checks)
+    assert state(spark, root) == before and "other" in published.folders(spark, root)
+
+
+@pytest.mark.parametrize("n", [0, 1, 1000])
+def test_watched_write_counts_as_the_tally(spark, tmp_path, n):
+    rows = [(f"e{i}" if i % 7 else None, i % 5, 9, "Shot" if i % 3 else None, None, float(i % 4) - 1) for i in range(n)]
+    df = events(spark, rows).repartition(7)
+    checks = {"id": F.col("event_id").isNull(), "type": F.col("event_type").isNull(), "xg": quality.outside("xg_value", 0, 1),
+              "none": F.col("match_id") < 0}
+    watch = quality.Watch(checks)
+    tables.write_partitioned(df, str(tmp_path / "t"), watch=watch.on)
+    assert ids(watch.tallies(spark), "check", "failing") == ids(quality.tally(df, checks), "check", "failing")
+
+
+def test_watch_of_a_plain_write(spark, tmp_path):
+    watch = quality.Watch({"id": F.col("id").isNull()})
+    watched = watch.on(spark.range(3))
+    watched.write.parquet(str(tmp_path / "t"))
+    assert watch.failing() == {"id": 0}
+
+
 def test_two_writers_are_noticed(spark, tmp_path, monkeypatch):
     root = str(tmp_path / "p")
     published.publish(spark, root, add={"t": spark.range(2)})

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.functions.coordinates import PITCH_X, PITCH_Y
 from touchline.functions.numeric import count_where
+from touchline.session import materialise
 
 
 class GateError(RuntimeError):
@@ -39,9 +40,20 @@ def check_not_null(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNull())
 
 
-def check_unique(df: DataFrame, column: str) -> DataFrame:
-    """Values that occur more than once, with their count."""
-    seen = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n_records"))
+def check_unique(df: DataFrame, column: str, wide: bool = False) -> DataFrame:
+    """Values that occur more than once, with their count.
+
+    A ``wide`` column (a payload) is counted by a digest of eight bytes first, and only rows whose digest was seen twice
+    go on to be compared by value: a digest that two values share costs time, not a wrong answer. The digests seen twice
+    are written; as long as their table is below the broadcast threshold no other payload is moved.
+    """
+    present = df.where(F.col(column).isNotNull())
+    if wide:
+        digest = F.xxhash64(column).alias("_digest")
+        twice = present.select(digest).groupBy("_digest").count().where("count > 1").select("_digest")
+        twice = materialise(twice, "seen-twice")
+        present = present.select(column, digest).join(twice, "_digest", "left_semi")
+    seen = present.groupBy(column).agg(F.count("*").alias("n_records"))
     return seen.where(F.col("n_records") > 1)
 
 
@@ -70,16 +82,49 @@ def duplicates(df: DataFrame, column: str, name: str) -> DataFrame:
     return check_unique(df, column).agg(F.count("*").alias("failing")).select(F.lit(name).alias("check"), "failing")
 
 
+class Watch:
+    """Counts the failing rows of a table's checks while the table is written, without a scan of its own.
+
+    Put :meth:`on` right below the write, behind the last shuffle: Spark counts a task of the writing stage once however
+    often it is retried, while a stage in front of a shuffle may run, and count, again.
+    """
+
+    def __init__(self, conditions: Mapping[str, Column]):
+        self.conditions = dict(conditions)
+        self.seen = Observation()
+
+    def on(self, df: DataFrame) -> DataFrame:
+        counts = [count_where(condition).alias(name) for name, condition in self.conditions.items()]
+        return df.observe(self.seen, F.count(F.lit(1)).alias(_ROWS), *counts)
+
+    def failing(self) -> dict[str, int]:
+        """Failing rows per check, once the write is done."""
+        counts = dict(self.seen.get)
+        if _ROWS not in counts:
+            raise GateError("the write reported no counts")
+        return {name: int(counts[name]) for name in self.conditions}
+
+    def tallies(self, spark: SparkSession) -> DataFrame:
+        """``check, failing`` as :func:`tally` gives them."""
+        return spark.createDataFrame(list(self.failing().items()), "check string, failing bigint")
+
+
+_ROWS = "rows of the table"
+
+
 def _union(*parts: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
 def gate(layer: str, failures: DataFrame) -> None:
     """Raise if any check of a layer has failing rows, so that later steps do not run."""
-    failed = failures.where(F.col("failing") > 0).collect()  # one row per check
+    refuse(layer, {row["check"]: row["failing"] for row in failures.where(F.col("failing") > 0).collect()})  # one row per check
+
+
+def refuse(layer: str, failing: Mapping[str, int]) -> None:
+    failed = ", ".join(f"{check}: {n}" for check, n in failing.items() if n)
     if failed:
-        detail = ", ".join(f"{row['check']}: {row['failing']}" for row in failed)
-        raise GateError(f"{layer} checks failed ({detail})")
+        raise GateError(f"{layer} checks failed ({failed})")
 
 
 # Allowed codes per layer.
@@ -91,13 +136,17 @@ def _missing(*columns: str) -> dict[str, Column]:
     return {f"{name}_not_null": F.col(name).isNull() for name in columns}
 
 
-def bronze_failures(bronze: DataFrame) -> DataFrame:
-    rows = {
+def bronze_rows() -> dict[str, Column]:
+    """The checks of bronze that look at one row."""
+    return {
         **_missing("event_id", "match_id", "event_type", "provider", "coord_system"),
         "provider_accepted": not_accepted("provider", PROVIDERS),
         "coord_system_accepted": not_accepted("coord_system", SYSTEMS),
     }
-    return _union(tally(bronze, rows), duplicates(bronze, "event_id", "event_id_unique"))
+
+
+def bronze_failures(bronze: DataFrame) -> DataFrame:
+    return _union(tally(bronze, bronze_rows()), duplicates(bronze, "event_id", "event_id_unique"))
 
 
 def silver_failures(

@@ -12,10 +12,11 @@ import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from touchline import schemas
+from touchline.operators import quality
 from touchline.sources import tables
 
 EVENTS, LEDGER = "events", "ledger"
@@ -61,22 +62,29 @@ def _list(spark: SparkSession, root: str, tables_now: Mapping[str, Sequence[str]
 
 def publish(
     spark: SparkSession, root: str, add: Mapping[str, DataFrame] | None = None, replace: Mapping[str, DataFrame] | None = None,
-    notes: Mapping[str, Sequence[str]] | None = None,
+    notes: Mapping[str, Sequence[str]] | None = None, checks: Mapping[str, Mapping[str, Column]] | None = None,
 ) -> None:
     """Add rows to some tables and replace others, all at once. ``notes`` are kept in the list next to the folders.
 
-    The rows may be read from the tables themselves: nothing that is current is touched.
+    The rows may be read from the tables themselves: nothing that is current is touched. ``checks`` name, by table, the
+    conditions of a failing row; they are counted while the table is written, and if any row fails, none of the tables
+    becomes current and a :class:`GateError` says which checks failed.
     """
     now = folders(spark, root)
     after = {**now, **(notes or {})}
+    watched: dict[str, quality.Watch] = {}
     for kept, changes in ((True, add or {}), (False, replace or {})):
         for name, df in changes.items():
             load = f"load={uuid.uuid4().hex}"
+            if checks and name in checks:
+                watched[name] = quality.Watch(checks[name])
+            watch = {"watch": watched[name].on} if name in watched else {}
             if name == EVENTS:
-                tables.write_partitioned(df, f"{root}/{name}/{load}")
+                tables.write_partitioned(df, f"{root}/{name}/{load}", **watch)
             else:
-                df.write.parquet(f"{root}/{name}/{load}")
+                (watched[name].on(df) if watch else df).write.parquet(f"{root}/{name}/{load}")
             after[name] = [*(now.get(name, []) if kept else []), load]
+    quality.refuse("published", {f"{name}.{check}": n for name, seen in watched.items() for check, n in seen.failing().items()})
     _list(spark, root, after)
 
 

@@ -8,7 +8,7 @@ fact table is never rewritten. One writer per table is assumed.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -148,22 +148,24 @@ def with_provenance(events: DataFrame) -> DataFrame:
 
 
 def write_partitioned(
-    df: DataFrame, path: str, mode: str = "append", known_competitions: Sequence[int] | None = None
-) -> None:
+    df: DataFrame, path: str, mode: str = "append", known_competitions: Sequence[int] | None = None,
+    watch: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
     """One folder per competition, so that a filter on ``competition_id`` reads only its folders.
 
     With ``known_competitions`` the folder column is ``competition`` and all other competitions share the folder
     ``default``. Rows are gathered by competition and match; the rebalance splits whatever is too large for one
     task, be it one competition or one match, and merges what is too small for a file of its own. Files are sorted,
-    so that match and type filters skip row groups.
+    so that match and type filters skip row groups. ``watch`` sees the rows in the stage that writes them.
     """
     folder = "competition_id"
     if known_competitions is not None:
         folder = "competition"
         known = F.col("competition_id").isin(*known_competitions)
         df = df.withColumn(folder, F.when(known, F.col("competition_id").cast("string")).otherwise("default"))
+    gathered = df.hint("rebalance", folder, "match_id")
     (
-        df.hint("rebalance", folder, "match_id").sortWithinPartitions(folder, "match_id", "event_type")
+        (watch(gathered) if watch else gathered).sortWithinPartitions(folder, "match_id", "event_type")
         .write.mode(mode).partitionBy(folder).parquet(path)
     )
 
