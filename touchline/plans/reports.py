@@ -187,11 +187,13 @@ def verify_bundle(surface: DataFrame, fact: DataFrame, players: DataFrame, ledge
         place = F.row_number().over(Window.orderBy(*order))  # a handful of rows, or one per status and competition
         return df.select(F.lit(name).alias("section"), place.alias("place"), item.alias("item"), value.alias("value"))
 
-    cells = verify_top_cells(surface)
+    # Places follow the stored value: cells that look alike with four digits keep their order.
+    cell_order = [F.desc("xt_value"), c("grid_row"), c("grid_col")]
+    cells = surface.orderBy(*cell_order).limit(5)
     best = fact.where(c("xt_value").isNotNull()).orderBy(*_xt_order()).limit(10)
     loaded = verify_ledger(ledger)
     return (
-        section("cell", cells, [F.desc("xt"), c("grid_row"), c("grid_col")], F.concat_ws(",", "grid_col", "grid_row"), c("xt"))
+        section("cell", cells, cell_order, F.concat_ws(",", "grid_col", "grid_row"), round_any(c("xt_value"), 4))
         .unionByName(section("action", best, _xt_order(), c("event_id"), round_any(c("xt_value"), 4)))
         .unionByName(section("ledger", loaded, [c("status"), c("competition_id")], F.concat_ws(",", "status", "competition_id"),
                              c("matches").cast("double")))
