@@ -292,6 +292,44 @@ def test_neighbours_equal_brute_force(spark, shape):
         assert np.allclose([s for _, s in got[key]], [s for _, s in expected], atol=1e-9)
 
 
+@pytest.mark.parametrize("clustered", [False, True])
+def test_neighbours_across_strips_equal_brute_force(spark, monkeypatch, clustered):
+    rng = np.random.default_rng(5)
+    mat = rng.normal(size=(600, 6))
+    if clustered:
+        mat = rng.normal(size=(12, 6))[rng.integers(0, 12, 600)] + rng.normal(scale=0.02, size=(600, 6))
+    monkeypatch.setattr(similarity, "STRIP_VALUES", 6 * 90)  # seven strips
+    monkeypatch.setattr(similarity, "CHUNK_ROWS", 20)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(mat)], "pid long, vec array<double>")
+    got = defaultdict(list)
+    for r in sorted(similarity.cosine_neighbours(df, "pid", n=5, block_rows=16).collect(), key=lambda r: r["rank"]):
+        got[r.pid].append((r.similar_pid, r.similarity_score))
+    want = brute_neighbours(dict(enumerate(mat)), 5)
+    assert {k: [i for i, _ in v] for k, v in got.items()} == {k: [i for i, _ in v] for k, v in want.items()}
+    assert all(np.allclose([x for _, x in got[k]], [x for _, x in v], atol=1e-9) for k, v in want.items())
+
+
+def test_search_sends_a_row_once_per_strip(spark, monkeypatch):
+    """Fine blocks prune, but they do not multiply the rows that travel: the rows of both sides are counted in the tasks."""
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(800, 8)))], "id long, vec array<double>")
+    df = df.select("id", similarity.unit(F.col("vec")).alias("vec"))
+    sent = spark.sparkContext.accumulator(0)
+
+    def run(function):
+        def task(left, right):
+            sent.add(len(left) + len(right))
+            return function(left, right)
+
+        return task
+
+    kind = type(df.groupBy("id").cogroup(df.groupBy("id")))
+    apply = kind.applyInPandas
+    monkeypatch.setattr(kind, "applyInPandas", lambda self, function, schema: apply(self, run(function), schema))
+    assert similarity._search(df, 5, 20, 4096).count() == 5 * 800
+    assert sent.value <= 800 * (1 + 2 * spark.sparkContext.defaultParallelism)
+
+
 def test_approximate_neighbours_of_a_large_group(spark):
     """Near copies beyond the size of a bucket meet all the same; every row has its neighbours, with a recall of 0.9."""
     rng = np.random.default_rng(8)

@@ -3,10 +3,11 @@
 Exact: vectors are grouped by their closest pivot (a cell) and cells are cut into blocks of a bounded number of rows.
 Every vector first finds its best neighbours inside its own block. A cell can then be skipped when even its
 closest possible member is worse than what the vector already has: on the unit sphere angles obey the triangle
-inequality, so angle(vector, pivot) minus the cell's radius bounds every member from below. Vectors are sent only
-to the blocks of the remaining cells, in chunks, and each task multiplies two bounded matrices, a slice at a time.
+inequality, so angle(vector, pivot) minus the cell's radius bounds every member from below. Blocks travel in strips of
+16 MB. Vectors are sent, in chunks, only to the strips that hold a remaining cell, so a row travels once per strip at
+most; a task multiplies its chunk with the remaining cells of the strip, a slice at a time, best cells first.
 Data in clusters is pruned; vectors that point in all directions are not, whatever the bound, and every pair of
-blocks is multiplied. For those, and for very large tables, there is :func:`approximate_neighbours`.
+strips is multiplied. For those, and for very large tables, there is :func:`approximate_neighbours`.
 
 Identical vectors are searched once: a group of copies is represented by one row that carries its smallest ids.
 """
@@ -30,6 +31,10 @@ N_NEIGHBOURS = 10
 BLOCK_ROWS = 16_384  # rows of a block: 8 MB at 64 dimensions
 PIVOTS = 4096  # bound of the cells, whose pivots every task holds
 SLICE_ROWS = 512  # rows of a product at a time
+FIRST_COLUMNS, MOST_COLUMNS = 512, 8192  # columns of a product, at first and at most
+STRIP_VALUES = 2_097_152  # components of a strip: 16 MB, 32,768 rows at 64 dimensions
+CHUNK_ROWS = 1024  # queries that make a task worth its strip
+NO_FLOOR = -2.0  # below any cosine
 TABLES, BUCKET_ROWS = 12, 400  # approximate search: hash tables at first, rows a bucket aims at
 EVERY, ASKED, RECALL = 50, 1024, 0.9  # ids that are audited, rows of a block of them, recall that is reached
 SLACK = 2e-6  # two units of the last digit, so that rounding never hides a tie
@@ -96,11 +101,20 @@ def _distinct_vectors(points: DataFrame, k: int) -> DataFrame:
     )
 
 
+def _kept(rows: np.ndarray, units: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of candidates (row, units, id) the best ``k`` of every row by (units desc, id asc), by row."""
+    order = np.lexsort((ids, -units, rows))
+    rows, units, ids = rows[order], units[order], ids[order]
+    best = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+    return rows[best], units[best], ids[best]
+
+
 def _search(reps: DataFrame, k: int, block_rows: int, pivots: int) -> DataFrame:
     """Top ``k`` other representatives of every representative (non-zero unit vectors)."""
-    total = reps.count()
+    c, spark = F.col, reps.sparkSession
+    total, wide = reps.agg(F.count("*"), F.max(F.size("vec"))).first()  # one row
     if not total:
-        return reps.sparkSession.createDataFrame([], _PAIRS)
+        return spark.createDataFrame([], _PAIRS)
     # A bounded sample of vectors, whatever the size of the table; a few cells per block of rows are enough.
     blocks_needed = math.ceil(total / block_rows)
     wanted = min(pivots, max(4 * (blocks_needed - 1), math.isqrt(total) if blocks_needed > 1 else 1, 1))
@@ -108,8 +122,9 @@ def _search(reps: DataFrame, k: int, block_rows: int, pivots: int) -> DataFrame:
     pivot = np.array([row["vec"] for row in sample], dtype="float64")
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if len(pdf):
+        for batch in batches:
+            for at in range(0, len(batch), SLICE_ROWS):
+                pdf = batch.iloc[at : at + SLICE_ROWS]
                 dots = np.clip(_matrix(pdf["vec"]) @ pivot.T, -1, 1)
                 cell = dots.argmax(axis=1)
                 angle = np.arccos(dots[np.arange(len(pdf)), cell])
@@ -122,76 +137,106 @@ def _search(reps: DataFrame, k: int, block_rows: int, pivots: int) -> DataFrame:
     stats = {r["cell"]: (r["n"], r["radius"]) for r in cells.groupBy("cell").agg(
         F.count("*").alias("n"), F.max("angle").alias("radius")).collect()}
     used = np.array(sorted(stats), dtype="int64")
-    blocks_of = np.array([math.ceil(stats[c][0] / block_rows) for c in used], dtype="int64")
-    radius = np.array([stats[c][1] for c in used])
-    first_block = np.concatenate([[0], np.cumsum(blocks_of)[:-1]])
-    chunks = max(1, math.ceil(total / block_rows))
-
-    layout = F.create_map(*[
-        F.lit(x) for c, start, count in zip(used, first_block, blocks_of)
-        for x in (int(c), F.struct(F.lit(int(start)).alias("start"), F.lit(int(count)).alias("count")))
-    ])
+    rows_of = np.array([stats[i][0] for i in used], dtype="float64")
+    radius = np.array([stats[i][1] for i in used])
+    blocks_of = np.ceil(rows_of / block_rows).astype("int64")
+    first_block = np.cumsum(blocks_of) - blocks_of
+    n_blocks = int(blocks_of.sum())
+    # A strip is a run of blocks that goes to a task as a whole. Its size follows from the memory it takes and not from
+    # the blocks, so that a row travels once per strip, however fine the blocks are.
+    n_strips = min(n_blocks, math.ceil(total * max(wide, 1) / STRIP_VALUES))
+    in_block = np.repeat(rows_of / blocks_of, blocks_of)
+    strip_of = np.minimum((np.cumsum(in_block) - in_block / 2) * n_strips // total, n_strips - 1).astype("int32")
+    # Cells with a block in the strip follow one another.
+    low, high = strip_of[first_block], strip_of[first_block + blocks_of - 1]
+    reach = [(int(np.searchsorted(high, s)), int(np.searchsorted(low, s, "right"))) for s in range(n_strips)]
+    # The queries of a strip are dealt over some tasks where there are few strips.
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    parts = max(1, min(math.ceil(tasks / n_strips**2), math.ceil(total / n_strips / CHUNK_ROWS)))
+
+    layout = spark.createDataFrame(
+        [(int(i), int(start), int(count)) for i, start, count in zip(used, first_block, blocks_of)], "cell int, start int, blocks int"
+    )
     spread = F.xxhash64("id", F.lit(1))
-    place = layout[F.col("cell")]
-    placed = cells.withColumn("block", (place["start"] + F.pmod(spread, place["count"])).cast("int"))
+    placed = cells.join(F.broadcast(layout), "cell").select(  # a row per pivot
+        "id", "vec", "cell", (c("start") + F.pmod(spread, c("blocks"))).cast("int").alias("block")
+    )
 
     def own(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id")
-        ids, vecs = pdf["id"].to_numpy(), _matrix(pdf["vec"])
-        parts = []
-        for at in range(0, len(ids), SLICE_ROWS):
+        """The score that a better neighbour must reach: the k-th best inside the block, or none."""
+        vecs, floors = _matrix(pdf["vec"]), np.full(len(pdf), NO_FLOOR)
+        for at in range(0, len(pdf) if len(pdf) > k else 0, SLICE_ROWS):
             units = _units6(vecs[at : at + SLICE_ROWS] @ vecs.T)
             units[np.arange(len(units)), np.arange(at, at + len(units))] = SELF
-            parts.append(_emit(ids[at : at + SLICE_ROWS], *_best(units, ids, k)))
-        return pd.concat(parts, ignore_index=True)
-
-    near = placed.select("id", "vec", "block").groupBy("block").applyInPandas(
-        lambda pdf: own(pdf[["id", "vec"]]), _PAIRS
-    )
-    near = materialise(near, "near")
-    if len(used) == 1 and int(blocks_of.sum()) == 1:
-        return near
-    floor = near.groupBy("id").agg(F.when(F.count("*") >= k, F.min("score")).alias("floor"))
-
+            floors[at : at + SLICE_ROWS] = np.partition(units, units.shape[1] - k, axis=1)[:, units.shape[1] - k] / 1e6
+        return pd.DataFrame({"id": pdf["id"], "vec": pdf["vec"], "cell": pdf["cell"], "strip": strip_of[pdf["block"]], "floor": floors})
+
+    fields = "id bigint, vec array<double>, cell int, strip int, floor double"
+    if n_blocks == 1:
+        begun = placed.select("id", "vec", "cell", F.lit(0).alias("strip"), F.lit(NO_FLOOR).alias("floor"))
+    else:
+        begun = materialise(placed.groupBy("block").applyInPandas(lambda pdf: own(pdf), fields), "near")
+    chunk = c("strip") * parts + F.pmod(F.xxhash64("id", F.lit(2)), F.lit(parts)).cast("int")
+    begun = begun.withColumn("chunk", chunk)
     centre = pivot[used]
 
+    def bounds(vecs: np.ndarray, at: slice | np.ndarray) -> np.ndarray:
+        """The best cosine that a vector can have with a member of these cells."""
+        angles = np.arccos(np.clip(vecs @ centre[at].T, -1, 1))
+        return np.cos(np.maximum(angles - radius[at][None, :], 0.0)) + SLACK
+
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            angles = np.arccos(np.clip(_matrix(pdf["vec"]) @ centre.T, -1, 1))
-            bound = np.cos(np.maximum(angles - radius[None, :], 0.0))
-            floors = pdf["floor"].fillna(-2.0).to_numpy()[:, None]
-            row, cell = np.nonzero(bound + SLACK >= floors)
-            targets = np.split(used[cell].astype("int32"), np.searchsorted(row, np.arange(1, len(pdf))))
-            yield pdf[["id", "vec", "block"]].assign(cells=targets)
-
-    queries = placed.join(floor, "id", "left").select("id", "vec", "block", "floor")
-    routed = queries.mapInPandas(route, "id bigint, vec array<double>, block int, cells array<int>")
-    chunk = F.pmod(F.xxhash64("id", F.lit(2)), F.lit(chunks)).cast("int")
-    # A row carries the cells that are left to it; their blocks follow from the layout.
-    by_cell = routed.select("id", "vec", F.col("block").alias("_home"), F.explode("cells").alias("cell"), chunk.alias("chunk"))
-    span = F.sequence(place["start"], place["start"] + place["count"] - 1)
-    asked = by_cell.select("id", "vec", "_home", F.explode(span).alias("block"), "chunk").where("block <> _home").drop("_home")
-    # A block goes only to the chunks that ask for it.
-    wanted_by = asked.select(F.col("block").alias("_block"), F.col("chunk").alias("_chunk")).distinct()
-    offered = placed.join(wanted_by, F.col("block") == F.col("_block")).select(
-        F.col("id").alias("id"), F.col("vec").alias("vec"), F.col("_block").alias("block"), F.col("_chunk").alias("chunk")
-    )
+        for batch in batches:
+            for at in range(0, len(batch), SLICE_ROWS):
+                pdf = batch.iloc[at : at + SLICE_ROWS]
+                need = bounds(_matrix(pdf["vec"]), slice(None)) >= pdf["floor"].to_numpy()[:, None]
+                asked = np.column_stack([need[:, a:b].any(axis=1) for a, b in reach])
+                yield pdf.drop(columns="strip").assign(strips=[np.flatnonzero(row).astype("int32") for row in asked])
+
+    routed = begun.mapInPandas(route, "id bigint, vec array<double>, cell int, floor double, chunk int, strips array<int>")
+    asked = routed.withColumn("strip", F.explode("strips")).drop("strips")
+    # A strip goes only to the chunks that ask for it.
+    wanted_by = materialise(asked.select("strip", "chunk").distinct(), "wanted") if n_strips > 1 else begun.select("strip", "chunk").distinct()
+    offered = begun.select("id", "vec", "cell", "strip").join(wanted_by, "strip")
 
     def across(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        none = pd.DataFrame({"id": [], "other": [], "score": []}).astype({"id": "int64", "other": "int64"})
         if not len(left) or not len(right):
-            return pd.DataFrame({"id": [], "other": [], "score": []}).astype({"id": "int64", "other": "int64"})
-        right = right.sort_values("id")
-        ids, vecs, there = left["id"].to_numpy(), _matrix(left["vec"]), _matrix(right["vec"]).T
-        parts = [
-            _emit(ids[at : at + SLICE_ROWS], *_best(_units6(vecs[at : at + SLICE_ROWS] @ there), right["id"].to_numpy(), k))
-            for at in range(0, len(ids), SLICE_ROWS)
-        ]
-        return pd.concat(parts, ignore_index=True)
-
-    far = asked.groupBy("block", "chunk").cogroup(offered.groupBy("block", "chunk")).applyInPandas(across, _PAIRS)
-    return top_per_group(near.unionByName(far), ["id"], [F.col("score").desc(), F.col("other").asc()], k, "_r").drop("_r")
+            return none
+        left, right = left.sort_values(["cell", "id"]), right.sort_values(["cell", "id"])
+        ids, vecs, floors = left["id"].to_numpy(), _matrix(left["vec"]), left["floor"].to_numpy()
+        there, others, place = right["id"].to_numpy(), _matrix(right["vec"]), np.searchsorted(used, right["cell"].to_numpy())
+        here, first, size = np.unique(place, return_index=True, return_counts=True)
+        found = [none]
+        for at in range(0, len(ids), SLICE_ROWS):
+            query, floor = vecs[at : at + SLICE_ROWS], floors[at : at + SLICE_ROWS].copy()
+            bound = bounds(query, here)
+            # The most promising cells first; what is found there rules out others.
+            order = np.argsort(-bound.max(axis=0), kind="stable")
+            columns = np.concatenate([np.arange(first[i], first[i] + size[i]) for i in order])
+            cell = np.repeat(order, size[order])
+            best = np.empty(0, "int64"), np.empty(0, "int64"), np.empty(0, "int64")
+            step = FIRST_COLUMNS
+            while True:
+                left_over = (bound >= floor[:, None]).any(axis=0)[cell]
+                columns, cell = columns[left_over], cell[left_over]
+                if not len(columns):
+                    break
+                taken, columns, cell = columns[:step], columns[step:], cell[step:]
+                dots = query @ others[taken].T
+                row, col = np.nonzero(dots >= (floor - SLACK)[:, None])
+                other = there[taken[col]]
+                real = other != ids[at + row]
+                row, other, units = row[real], other[real], _units6(dots[row[real], col[real]])
+                best = _kept(*(np.concatenate(x) for x in zip(best, (row, units, other))), k)
+                full = np.flatnonzero(np.bincount(best[0], minlength=len(floor)) == k)
+                floor[full] = np.maximum(floor[full], best[1][np.searchsorted(best[0], full, "right") - 1] / 1e6)
+                step = min(4 * step, MOST_COLUMNS)
+            found.append(pd.DataFrame({"id": ids[at + best[0]], "other": best[2], "score": best[1] / 1e6}))
+        return pd.concat(found, ignore_index=True)
+
+    far = asked.groupBy("strip", "chunk").cogroup(offered.groupBy("strip", "chunk")).applyInPandas(across, _PAIRS)
+    return top_per_group(far, ["id"], [c("score").desc(), c("other").asc()], k, "_r").drop("_r")
 
 
 def cosine_neighbours(
