@@ -342,6 +342,18 @@ def test_approximate_neighbours_of_a_large_group(spark):
     assert len(found & want) >= 0.9 * len(want) and {r.recall >= 0.9 for r in got} == {True}
 
 
+def test_tables_are_not_added_beyond_what_the_exact_search_sends(spark, monkeypatch):
+    """Vectors that point everywhere: tables that cannot reach the recall in time are not built."""
+    rng = np.random.default_rng(9)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(1000, 24)))], "pid long, vec array<double>")
+    built, plain = [], similarity._in_buckets
+    monkeypatch.setattr(similarity, "_in_buckets", lambda reps, total, k, tables, *rest: built.append(tables) or plain(reps, total, k, tables, *rest))
+    got = similarity.approximate_neighbours(df, "pid", n=5, tables=2, bucket_rows=8)
+    want = {(r.pid, r.similar_pid) for r in similarity.cosine_neighbours(df, "pid", n=5).collect()}
+    assert {(r.pid, r.similar_pid) for r in got.collect()} == want and built == [2]
+    assert similarity.tables_for(0.9, 0.9, 12) == pytest.approx(12) and similarity.tables_for(0.75, 0.5, 3) == pytest.approx(6)
+
+
 def test_scaling_uses_the_population_deviation(spark):
     df = spark.createDataFrame([(1, 1.0, 5.0), (2, 3.0, 5.0), (3, None, 5.0)], "player_id int, a double, b double")
     got = {r.player_id: r.vec for r in similarity.standardised(df, "player_id", ["a", "b"]).collect()}

@@ -312,8 +312,10 @@ def _in_buckets(reps: DataFrame, total: int, k: int, tables: int, bucket_rows: i
     spread = hashed.select("id", "vec", F.explode("buckets").alias("bucket"))
     # A large bucket is dealt in pairs of blocks, in which every two of its rows meet.
     rows = F.count("*")
-    parts = F.when(rows > most, F.ceil(rows / (most // 2))).otherwise(1).cast("bigint")
-    spread = spread.join(spread.groupBy("bucket").agg(parts.alias("parts")), "bucket").withColumn("part", F.pmod(F.xxhash64("id"), c("parts")))
+    large = hashed.select(F.explode("buckets").alias("bucket")).groupBy("bucket").agg(rows.alias("rows")).where(c("rows") > most)
+    large = large.select("bucket", F.ceil(c("rows") / (most // 2)).cast("bigint").alias("parts"))  # at most one for ``most`` entries
+    spread = spread.join(F.broadcast(large), "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("bigint")))
+    spread = spread.withColumn("part", F.pmod(F.xxhash64("id"), c("parts")))
     spread = spread.withColumn("met", F.explode(F.sequence(F.lit(0).cast("bigint"), c("parts") - 1)))
     spread = spread.select("id", "vec", "bucket", F.least("part", "met").alias("low"), F.greatest("part", "met").alias("high"))
 
@@ -364,6 +366,13 @@ def _top(pairs: DataFrame, k: int) -> DataFrame:
     return top_per_group(pairs.distinct(), ["id"], [F.col("score").desc(), F.col("other").asc()], k, "_r").drop("_r")
 
 
+def tables_for(least: float, reached: float, tables: int) -> float:
+    """Tables that reach a recall of ``least`` if ``tables`` of them reach ``reached``, each by itself as likely as another."""
+    if reached <= 0 or reached >= 1:
+        return math.inf if reached <= 0 else tables
+    return tables * math.log(max(1 - least, 1e-9)) / math.log(1 - reached)
+
+
 def approximate_neighbours(
     vectors: DataFrame, key: str, vec: str = "vec", n: int = N_NEIGHBOURS, tables: int = TABLES,
     bucket_rows: int = BUCKET_ROWS, seed: int = 11, least: float = RECALL,
@@ -373,8 +382,9 @@ def approximate_neighbours(
     Random hyperplanes cut the space; a vector's bucket in each of ``tables`` tables is the sides it lies on, with as many
     planes as make buckets of about ``bucket_rows`` vectors. A bucket above eight times that is compared in pairs of blocks,
     and vectors that met fewer than ``n`` others are compared with all. ``recall`` compares the answers of all ids divisible
-    by ``EVERY`` with brute force, so that this part grows with the square. Below ``least`` the tables are doubled; when
-    their buckets would hold as many rows as the table, every pair of blocks is compared instead.
+    by ``EVERY`` with brute force, so that this part grows with the square. Below ``least`` the tables are doubled, as long
+    as the recall so far lets them reach it with fewer copies of the table than the exact search sends, and with buckets
+    that hold fewer rows than the table; otherwise every pair of strips is compared instead.
     """
     reached = 1.0
 
@@ -388,7 +398,10 @@ def approximate_neighbours(
         audit = materialise(reps.select(F.xxhash64("vec").alias("_h"), "id", "vec").join(audit, ["_h", "vec"], "left_semi"), "audit")
         exact = materialise(_brute(reps, audit, n), "exact")
         best = reps.sparkSession.createDataFrame([], _PAIRS)
-        while not done or 8 * bucket_rows * (done + more) < total:
+        # A table sends every vector once, the exact search as a query and as a candidate once per strip.
+        wide = reps.select(F.max(F.size("vec"))).first()[0] or 1  # one row
+        most = max(tables, 2 * math.ceil(total * wide / STRIP_VALUES))
+        while not done or (8 * bucket_rows * (done + more) < total and tables_for(least, reached, done) <= most):
             best = materialise(_top(best.unionByName(_in_buckets(reps, total, n, more, bucket_rows, seed + done)), n), "approximate")
             done += more
             more = done
