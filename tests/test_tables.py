@@ -347,3 +347,18 @@ def test_events_of_a_query_are_mapped_in_its_scan(spark):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "lineitem.parquet" in plan and "fact_events" not in plan
     assert "l_quantity" not in plan  # only the columns it needs are read
+
+
+def test_score_table_is_searched_once(spark, monkeypatch):
+    """Every query on similar players reads one stored table, and none of them runs the search a second time."""
+    from touchline.operators import similarity
+    from touchline.plans import queries
+    from touchline.plans.football import Football
+
+    searched = []
+    monkeypatch.setattr(queries, "_MADE", {})
+    stub = spark.createDataFrame([(1, 2, 0.9, 1)], "player_id int, similar_player_id int, similarity_score double, rank int")
+    monkeypatch.setattr(similarity, "player_similarity", lambda *args, **kwargs: searched.append(1) or stub)
+    f = Football(spark, "/root/testdata/sf0.001")
+    assert queries._first_neighbours(f).count() == 1 and queries._scores(f).count() == 1
+    assert len(searched) == 1
