@@ -593,6 +593,24 @@ def test_wide_values_are_unique_by_digest(spark, tmp_path):
     assert plan.index("Exchange hashpartitioning(body") < plan.index("BroadcastHashJoin")
 
 
+def test_many_repeated_payloads_are_added_up_before_they_move(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(f"payload {i % 300}" * 20,) for i in range(900)] + [("once",), (None,)], "body string").write.parquet(path)
+    df = spark.read.parquet(path)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the digests were many
+    try:
+        monkeypatch.setattr(quality, "FEW_DIGESTS", 10, raising=False)
+        wide = quality.check_unique(df, "body", wide=True)
+        assert sorted(wide.collect()) == sorted(quality.check_unique(df, "body").collect()) and wide.count() == 300
+        plan = wide._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "Sort [" not in plan
+        # The one exchange has a partial count on either side of it, and no row of the table goes through it by itself.
+        assert plan.rindex("partial_count") > plan.index("Exchange hashpartitioning(body") and "hashpartitioning(_digest" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 RAW = "event_id string, provider string, raw_json string, event_type string, match_id int, team_id int, player_id int, minute int, second int, location_x double, location_y double, outcome string, under_pressure boolean"
 
 

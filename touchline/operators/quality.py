@@ -12,6 +12,8 @@ from touchline.functions.coordinates import PITCH_X, PITCH_Y
 from touchline.functions.numeric import count_where
 from touchline.session import materialise
 
+FEW_DIGESTS = 500_000  # digests of eight bytes that a task holds at once
+
 
 class GateError(RuntimeError):
     """A layer did not pass its checks."""
@@ -45,14 +47,16 @@ def check_unique(df: DataFrame, column: str, wide: bool = False) -> DataFrame:
 
     A ``wide`` column (a payload) is counted by a digest of eight bytes first, and only rows whose digest was seen twice
     go on to be compared by value: a digest that two values share costs time, not a wrong answer. The digests seen twice
-    are written; as long as their table is below the broadcast threshold no other payload is moved.
+    are written; up to ``FEW_DIGESTS`` of them are broadcast and no other payload is moved. Beyond that all values are
+    counted: copies are added up in each task first, and a payload is not moved, or sorted, once for every row that has it.
     """
     present = df.where(F.col(column).isNotNull())
     if wide:
         digest = F.xxhash64(column).alias("_digest")
         twice = present.select(digest).groupBy("_digest").count().where("count > 1").select("_digest")
         twice = materialise(twice, "seen-twice")
-        present = present.select(column, digest).join(twice, "_digest", "left_semi")
+        if twice.count() <= FEW_DIGESTS:
+            present = present.select(column, digest).join(F.broadcast(twice), "_digest", "left_semi")
     seen = present.groupBy(column).agg(F.count("*").alias("n_records"))
     return seen.where(F.col("n_records") > 1)
 
