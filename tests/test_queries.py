@@ -38,3 +38,27 @@ def test_entry(spark):
 
 def test_every_check_has_a_query():
     assert set(driver.oracle_sql()) <= set(driver.queries())
+
+
+def test_loaded_models_score_beside_the_fitted_ones(spark, monkeypatch):
+    """No score meets another by its event's id, so nothing is stored or moved; a model that came back changed shows."""
+    from touchline.operators import classifiers
+    from touchline.plans import features, queries
+
+    quick = classifiers.TreeSettings(trees=3, depth=3, rate=0.3)
+    fits = {"xg": lambda f: classifiers.train_xg(features.xg_features(f.shots), quick, 0.0, 2),
+            "xp": lambda f: classifiers.train_xp(features.xp_features(f.passes), quick)}
+    monkeypatch.setattr(queries, "_model", lambda f, name: fits[name](f))
+    made = set(queries._MADE)
+    whole = queries.QUERIES["model_artifacts"](spark, FOLDER)
+    rows = whole.collect()
+    assert [r.n_ensembles for r in rows] == [2, 1] and all(r.n_scored == r.n_equal > 0 for r in rows)
+    assert set(queries._MADE) == made and "Join [event_id" not in whole._jdf.queryExecution().executedPlan().toString()
+
+    def changed(spark, path, load=classifiers.load_model):
+        model = load(spark, path)
+        model.rows = [type(r)(**{**r.asDict(), "base": r["base"] + 0.5}) for r in model.rows]
+        return model
+
+    monkeypatch.setattr(classifiers, "load_model", changed)
+    assert all(r.n_equal < r.n_scored for r in queries.QUERIES["model_artifacts"](spark, FOLDER).collect())
