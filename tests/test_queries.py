@@ -62,3 +62,29 @@ def test_loaded_models_score_beside_the_fitted_ones(spark, monkeypatch):
 
     monkeypatch.setattr(classifiers, "load_model", changed)
     assert all(r.n_equal < r.n_scored for r in queries.QUERIES["model_artifacts"](spark, FOLDER).collect())
+
+
+def test_invariants_read_scores_where_they_lie(spark, monkeypatch):
+    from touchline.plans.queries import _invariants
+
+    def checked(ids: str, scores: list) -> tuple:
+        rows = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "event_id string, target int")
+        return tuple(_invariants(spark.createDataFrame(scores, "event_id string, v double"), rows, "v", "target").first())
+
+    assert checked("abcd", [("a", 0.5), ("b", 0.5), ("c", 0.5)]) == (4, 3, 4, 0, True)  # one without a score
+    assert checked("abcd", [(i, 0.5) for i in "abce"]) == (4, 3, 4, 0, True)  # a score of some other row
+    assert checked("abcd", [(i, 0.5) for i in "abcdd"])[:4] == (5, 5, 4, 0)  # one scored twice
+    assert checked("abcd", []) == (4, 0, 4, 0, False)
+    joined, frames = [], type(spark.range(1))
+    join = frames.join
+
+    def watched(self, other, *args, **kwargs):
+        if "v" in other.columns:
+            joined.append(other)
+        return join(self, other, *args, **kwargs)
+
+    monkeypatch.setattr(frames, "join", watched)
+    assert checked("abcd", [(i, 0.5) for i in "dcba"]) == (4, 4, 4, 0, True)
+    assert checked("ab", [("a", 1.5), ("b", None)]) == (2, 1, 2, 1, False)
+    assert checked("aab", [("a", 0.4), ("b", 0.3), ("a", 0.4)]) == (3, 3, 2, 0, True)  # two events with one id are two rows
+    assert not joined
