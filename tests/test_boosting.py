@@ -117,3 +117,38 @@ def test_same_model_whatever_the_partitions(spark):
     scored = models[0].score(rows, "p")
     assert scored.filter("p IS NULL OR p <= 0 OR p >= 1").count() == 0
     assert abs(scored.agg(F.avg("p") - F.avg("y")).first()[0]) < 0.03
+
+
+def test_shared_trees_equal_trees_on_rows(spark):
+    """Shards, jobs for levels and sums over tasks lead to the trees of plain loops over all rows, repeated ones included."""
+    rng = np.random.default_rng(5)
+    bins = rng.integers(0, 6, (300, 3))
+    bins = np.concatenate([bins, bins[:40]])
+    y = (rng.uniform(size=340) < 0.15 + 0.6 * (bins[:, 0] > 2) * (bins[:, 1] < 4)).astype(int)
+    settings = TreeSettings(trees=5, depth=3, rate=0.3, subsample=1.0, columns=1.0)
+    names, edges = ["a", "b", "c"], [[float(i) for i in range(6)]] * 3
+    data = [(*map(float, b), int(v), i % 5 == 0) for i, (b, v) in enumerate(zip(bins, y))]
+    rows = spark.createDataFrame(data, "a double, b double, c double, y int, held boolean").withColumn("cell", boosting.cell(names, edges))
+    models = [boosting.train_shared(r, names, edges, "y", F.col("held"), settings, 7, 340, 64) for r in (rows.coalesce(1), rows.repartition(5))]
+    assert models[0].rows == models[1].rows
+    row, seen = models[0].rows[0], np.arange(340) % 5 != 0
+    assert (row["n_train"], row["n_held"]) == (272, 68) and 0.5 < row["auc"] <= 1 and 0 < row["log_loss"] < 1
+    want = plain_boost((bins[seen] + 1).tolist(), y[seen].tolist(), settings)
+    assert np.allclose(models[0].ensembles()[0].margins(bins[seen] + 1), want, atol=1e-4)
+
+
+def test_shared_draws_do_not_depend_on_tasks_or_on_written_margins(spark):
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 40, (900, 2))
+    data = [(float(a), float(b), int(rng.uniform() < a / 40)) for a, b in x]
+    edges = [[float(i) for i in range(40)]] * 2
+    rows = spark.createDataFrame(data, "a double, b double, y long").select(boosting.cell(["a", "b"], edges).alias("cell"), "y")
+    settings, grown = TreeSettings(trees=4, depth=2, rate=0.3), []
+    for tasks, every in ((1, 100), (3, 100), (3, 2)):
+        counts = rows.groupBy("cell", "y").agg(F.count("*").alias("n")).withColumn("shard", F.pmod(F.xxhash64("cell"), F.lit(6)))
+        dealt = counts.repartitionById(tasks, F.expr(f"cast(shard % {tasks} as int)"))
+        stored = dealt.mapInArrow(lambda batches: boosting._sharded(batches, 2), boosting._SHARD)
+        made, n = boosting.grow_shared(spark, stored, 2, 42, settings, 7, every)
+        assert n == 900
+        grown.append((made.base, made.feature.tolist(), made.cut.tolist(), made.leaf.tolist()))
+    assert grown[0] == grown[1] == grown[2] and any(c != boosting.ALL_LEFT for c in np.ravel(grown[0][2]))

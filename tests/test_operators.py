@@ -554,6 +554,18 @@ def test_xp_model(spark, tmp_path):
     assert classifiers.train_xp(data.limit(100)) == (None, {})
 
 
+def test_xp_learns_from_every_pass(spark):
+    """Beyond the size of the published sample, too."""
+    n = 301_000
+    where = [(F.pmod(F.xxhash64("id", F.lit(i)), F.lit(500)) / 500).alias(name) for i, name in enumerate(features.XP_FEATURES)]
+    passes = spark.range(n).select(F.col("id").cast("string").alias("event_id"), *where)
+    passes = passes.withColumn("target", F.when(F.col("distance") < 0.3, 1).otherwise(0))
+    model, report = classifiers.train_xp(passes, classifiers.TreeSettings(trees=2, depth=2, rate=0.3, columns=1.0))
+    positives = passes.where("target = 1").count()
+    assert report["test_size"] == positives // 5 + (n - positives) // 5 and report["train_size"] == n - report["test_size"]
+    assert report["auc"] > 0.99 and model.rows[0]["n_train"] == report["train_size"]
+
+
 def test_split_and_sample(spark):
     rows = spark.range(20000).select(F.col("id").cast("string").alias("event_id"), (F.col("id") % 4 == 0).cast("int").alias("y"))
     train, test = classifiers.stratified_split(rows, "y")

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from touchline.operators.boosting import BoostedModel, TreeSettings, train
+from touchline.operators.boosting import BoostedModel, TreeSettings, bin_edges, cell, train, train_shared
 from touchline.operators.metrics import classifier_metrics
 from touchline.plans.features import XG_FEATURES, XP_FEATURES
 from touchline.session import materialise
@@ -20,6 +20,7 @@ AUC_FLOOR = 0.55
 FEW_SHOTS = 50
 MIN_PASSES = 500
 TRAIN_SAMPLE = 300_000
+ONE_TASK = 300_000  # passes that one task fits by itself; with more, all tasks share the fit
 SEED = 42
 HASH_BINS = 4096
 
@@ -56,6 +57,11 @@ def split_parts(rows: DataFrame, label: str, test: float = 0.2, key: str = "even
     one bin of each label is ordered.
     """
     kept = rows.where(F.col(label).isNotNull()).withColumn("_hash", hash_number(key, seed + 1))
+    return parts_by_hash(kept, label, test, key).select(*rows.columns, "part")
+
+
+def parts_by_hash(kept: DataFrame, label: str, test: float, tie: str) -> DataFrame:
+    """The ``part`` of rows with a label and a ``_hash``; of equal hashes the lowest ``tie`` comes first."""
     kept = materialise(kept.withColumn("_bin", F.expr(f"_hash div {(1 << 52) // HASH_BINS}")), "split")
     bins = kept.groupBy(F.col(label).alias("_label"), F.col("_bin").alias("_edge")).agg(F.count("*").alias("_n"))
     upto = Window.partitionBy("_label").orderBy("_edge").rowsBetween(Window.unboundedPreceding, -1)
@@ -64,11 +70,10 @@ def split_parts(rows: DataFrame, label: str, test: float = 0.2, key: str = "even
                              "_wanted": F.floor(F.sum("_n").over(every) * F.lit(test))})
     edge = bins.where((F.col("_before") <= F.col("_wanted")) & (F.col("_before") + F.col("_n") > F.col("_wanted")))
     kept = kept.join(F.broadcast(edge.drop("_n")), F.col(label) == F.col("_label"))  # a row per label
-    place = F.row_number().over(Window.partitionBy(label).orderBy("_hash", key))
+    place = F.row_number().over(Window.partitionBy(label).orderBy("_hash", tie))
     inside = kept.where("_bin = _edge").withColumn("_test", F.col("_before") + place <= F.col("_wanted"))
     outside = kept.where("_bin <> _edge").withColumn("_test", F.col("_bin") < F.col("_edge"))
-    part = F.when(F.col("_test"), "test").otherwise("train")
-    return outside.unionByName(inside).select(*rows.columns, part.alias("part"))
+    return outside.unionByName(inside).withColumn("part", F.when(F.col("_test"), "test").otherwise("train"))
 
 
 def stratified_split(
@@ -123,17 +128,22 @@ def score_xg(model: BoostedModel, shots: DataFrame) -> DataFrame:
     return model.score(shots, "xg_value").select("event_id", "xg_value")
 
 
-def train_xp(
-    passes: DataFrame, settings: TreeSettings = XP_TREES, sample: int = TRAIN_SAMPLE
-) -> tuple[BoostedModel | None, dict]:
-    """Pass model and hold-out metrics; (None, {}) for fewer than 500 passes. It learns from about ``sample`` passes."""
-    data = materialise(training_sample(passes, sample), "xp-training")
-    size = data.count()
+def train_xp(passes: DataFrame, settings: TreeSettings = XP_TREES) -> tuple[BoostedModel | None, dict]:
+    """Pass model and hold-out metrics; (None, {}) for fewer than 500 passes. It learns from every pass that is not held out."""
+    size = passes.count()
     if size < MIN_PASSES:
         log.warning("only %d passes: no xP model", size)
         return None, {}
-    parts = materialise(split_parts(data, "target"), "xp-parts").withColumn("held", F.when(F.col("part") == "test", 0).otherwise(1))
-    model = train(parts, XP_FEATURES, "target", "held", 1, settings, False, SEED)
+    if size <= ONE_TASK:
+        data = materialise(passes, "xp-training")
+        parts = materialise(split_parts(data, "target"), "xp-parts").withColumn("held", F.when(F.col("part") == "test", 0).otherwise(1))
+        model = train(parts, XP_FEATURES, "target", "held", 1, settings, False, SEED)
+    else:  # what is stored of a pass is the hash of its id and a byte for each feature
+        known = passes.where(F.col("event_id").isNotNull() & F.col("target").isNotNull())
+        edges = bin_edges(known, XP_FEATURES)
+        coded = known.select("target", cell(XP_FEATURES, edges).alias("cell"), hash_number("event_id", SEED + 1).alias("_hash"))
+        parts = parts_by_hash(coded, "target", 0.2, "cell").select("target", "cell", "part")
+        model = train_shared(parts, XP_FEATURES, edges, "target", F.col("part") == "test", settings, SEED, size)
     row = model.rows[0]
     return model, {"auc": row["auc"], "log_loss": row["log_loss"], "train_size": row["n_train"], "test_size": row["n_held"]}
 
